@@ -16,7 +16,9 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     With a fixed separator large files still split into many tasks.
     """
     lines = spark.read.option("lineSep", "\n").text(path)
-    return lines.select(F.regexp_replace("value", "\r$", "").alias("value"))
+    value = F.col("value")
+    without_cr = F.substring(value, F.lit(1), F.length(value) - 1)
+    return lines.select(F.when(value.endswith("\r"), without_cr).otherwise(value).alias("value"))
 
 
 def read_csv_positional(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

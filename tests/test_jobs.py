@@ -1,0 +1,192 @@
+"""Batch jobs and streams end to end, restarts included."""
+
+import datetime
+import json
+import logging
+
+import pytest
+from pyspark.errors import PySparkException, StreamingQueryException
+
+from tabflow.functions.schema import ACCOUNT_SCHEMA, schema_from_text
+from tabflow.operators.registry_join import require_known, table_name, unknown_messages, with_registry
+from tabflow.plans.ingest import count_accounts_job, load_csv_job, load_tables_job
+from tabflow.plans.routing import REJECTS, Target, route_messages
+from tabflow.session import fresh_path, shared_dir
+from tabflow.sinks.tables import append_table
+from tabflow.sources.messages import message_stream
+from tabflow.streaming.ingest import append_stream, ingest_accounts, parse_accounts, tap_keys
+from tabflow.streaming.router import route_stream
+from tabflow.streaming.windows import late_rows, window_counts
+
+SCHEMAS = {
+    "p:d.one": schema_from_text("tablename:STRING, n:INT64"),
+    "p:d.two": schema_from_text("tablename:STRING, s:STRING, x:FLOAT64"),
+}
+ONE = '{"tablename": "p:d.one", "n": "1"}'
+TWO = '{"tablename": "p:d.two", "s": "a", "x": 0.5}'
+UNKNOWN = '{"tablename": "p:d.three", "n": 1}'
+NAMELESS = '{"n": 1}'
+UNPARSED = '{"tablename": "p:d.one", "n": 1, "more": 2}'
+
+
+def messages(spark, *lines):
+    return spark.createDataFrame([(line,) for line in lines], "value string")
+
+
+def account(n, **changes):
+    row = {name: f"{name}{n}" for name in ACCOUNT_SCHEMA.names}
+    row |= {"credit_card": str(4000 + n), "date_record_created": "2024-01-01 00:00:00", "country_code": "BE"}
+    return json.dumps(row | changes)
+
+
+def test_shared_dir_is_the_configured_one(spark):
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert fresh_path(spark, "x") != fresh_path(spark, "x")
+
+
+def test_count_job_appends(spark, tmp_path):
+    rows = spark.createDataFrame([("BE",), ("BE",), ("FR",)], "country_code string")
+    append_table(rows, "job_accounts", ACCOUNT_SCHEMA, str(tmp_path / "a"))
+    for _ in range(2):
+        count_accounts_job(spark, "job_accounts", "job_counts", str(tmp_path / "c"))
+    assert sorted(map(tuple, spark.table("job_counts").collect())) == [("BE", 2)] * 2 + [("FR", 1)] * 2
+
+
+def test_csv_job_modes(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("J1,1,0.5,1\nJ2,x,1,1\n")
+    with pytest.raises(PySparkException):
+        load_csv_job(spark, str(tmp_path / "in.csv"), "csv_strict", str(tmp_path / "s"))
+    load_csv_job(spark, str(tmp_path / "in.csv"), "csv_some", str(tmp_path / "p"), mode="permissive")
+    assert [tuple(r) for r in spark.table("csv_some").collect()] == [("J1", 1, 0.5, 1.0)]
+
+
+def test_multi_load_appends_and_reports_failures(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"n": 1}\n{"n": "2"}\n')
+    (tmp_path / "b.json").write_text('{"s": "x"}\nbroken\n')
+    (tmp_path / "a.txt").write_text("n:INT64")
+    (tmp_path / "b.txt").write_text("s:STRING")
+
+    def entry(name, target):
+        return {"sourcefile": str(tmp_path / f"{name}.json"), "targettable": target,
+                "schemauri": str(tmp_path / f"{name}.txt")}
+
+    config = tmp_path / "config.json"
+    config.write_text(json.dumps({"tablelist": [entry("b", "multi_b"), entry("a", "multi_a"), entry("a", "multi_a")]}))
+    with pytest.raises(PySparkException):
+        load_tables_job(spark, str(config), table_path=str(tmp_path), parallel=1)
+    # The failure of one load does not stop the others; the same target twice is two appends.
+    assert sorted(r["n"] for r in spark.table("multi_a").collect()) == [1, 1, 2, 2]
+
+
+def test_registry_join(spark, tmp_path):
+    (tmp_path / "r.json").write_text(json.dumps({"tablename": "p:d.one", "schema": {"fields": []}}))
+    from tabflow.sources.registry import read_registry
+
+    registry = read_registry(spark, str(tmp_path / "r.json"))
+    rows = messages(spark, ONE, TWO, NAMELESS).select(table_name().alias("tablename"), "value")
+    assert with_registry(rows, registry).where("schema IS NULL").count() == 2
+    assert {r["tablename"] for r in unknown_messages(rows, registry).collect()} == {"p:d.two", None}
+    assert require_known(with_registry(rows.limit(1), registry)).count() == 1
+    with pytest.raises(PySparkException, match="unknown table"):
+        require_known(with_registry(rows, registry)).collect()
+
+
+def test_route_strict_writes_nothing_on_an_unknown_table(spark, tmp_path):
+    target = Target(str(tmp_path), SCHEMAS, prefix="strict_")
+    for bad in (UNKNOWN, NAMELESS):
+        with pytest.raises(ValueError):
+            route_messages(messages(spark, ONE, bad), target, "l0", str(tmp_path / "stage"))
+    assert not spark.catalog.tableExists(target.table("p:d.one"))
+    with pytest.raises(PySparkException):
+        route_messages(messages(spark, UNPARSED), target, "l0", str(tmp_path / "stage"))
+
+
+def test_route_permissive_and_repeat(spark, tmp_path):
+    target = Target(str(tmp_path), SCHEMAS, prefix="some_")
+    batch = messages(spark, ONE, ONE, TWO, UNKNOWN, NAMELESS, UNPARSED, "broken")
+    for _ in range(2):
+        written = route_messages(batch, target, "l0", str(tmp_path / "stage"), mode="permissive")
+    assert written == ["p:d.one", "p:d.two"]
+    route_messages(messages(spark, TWO), target, "l1", str(tmp_path / "stage"), mode="permissive")
+    assert [tuple(r) for r in target.read(spark, "p:d.one").collect()] == [("p:d.one", 1)] * 2
+    assert [tuple(r) for r in target.read(spark, "p:d.two").collect()] == [("p:d.two", "a", 0.5)] * 2
+    reasons = sorted(r["reject_reason"] for r in target.read(spark, REJECTS).collect())
+    assert reasons == ["unknown more", "unknown table (none)", "unknown table (none)", "unknown table p:d.three"]
+
+
+def test_route_stream_restart(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    target = Target(str(tmp_path / "out"), SCHEMAS, prefix="routed_")
+
+    def drain():
+        route_stream(message_stream(spark, str(source)), target, str(tmp_path / "checkpoint"),
+                     str(tmp_path / "stage"), mode="permissive", drain=True).awaitTermination()
+        return target.read(spark, "p:d.one").count()
+
+    (source / "1.txt").write_text("\n".join([ONE, TWO, UNKNOWN]) + "\n")
+    assert drain() == 1
+    assert drain() == 1
+    (source / "2.txt").write_text("\n".join([ONE, ONE]) + "\n")
+    assert drain() == 3
+
+
+def test_ingest_stream_restart(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    path = str(tmp_path / "rows")
+
+    def drain():
+        ingest_accounts(message_stream(spark, str(source)), path, str(tmp_path / "checkpoint"),
+                        drain=True).awaitTermination()
+        return spark.read.schema(ACCOUNT_SCHEMA).parquet(path).count()
+
+    (source / "1.txt").write_text("\n".join(account(n) for n in range(5)) + "\n")
+    assert drain() == 5
+    assert drain() == 5
+    (source / "2.txt").write_text(account(6) + "\n")
+    assert drain() == 6
+
+
+def test_ingest_stream_modes(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "1.txt").write_text(account(1) + "\n" + account(2, credit_card="x") + "\n")
+    with pytest.raises(StreamingQueryException):
+        ingest_accounts(message_stream(spark, str(source)), str(tmp_path / "a"), str(tmp_path / "ca"),
+                        drain=True).awaitTermination()
+    ingest_accounts(message_stream(spark, str(source)), str(tmp_path / "b"), str(tmp_path / "cb"),
+                    mode="permissive", drain=True).awaitTermination()
+    assert spark.read.schema(ACCOUNT_SCHEMA).parquet(str(tmp_path / "b")).count() == 1
+
+
+def test_tap_logs_and_writes_nothing(spark, tmp_path, caplog):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "1.txt").write_text("\n".join([account(1), account(2), account(3, country_code="FR")]) + "\n")
+    with caplog.at_level(logging.INFO, logger="tabflow.tap"):
+        tap_keys(parse_accounts(message_stream(spark, str(source))), str(tmp_path / "c"), drain=True).awaitTermination()
+    text = [r.getMessage() for r in caplog.records]
+    assert any("(BE, 1) x 2" in t for t in text) and any("(FR, 1) x 1" in t for t in text)
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["c", "in"]
+
+
+def test_window_stream_drops_late_rows(spark, tmp_path):
+    at = datetime.datetime
+    source = tmp_path / "in"
+    source.mkdir()
+    path, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+
+    def drain(name, *rows, lateness="0 seconds"):
+        (source / name).write_text("".join(f"{ts:%Y-%m-%d %H:%M:%S},{country}\n" for ts, country in rows))
+        lines = spark.readStream.schema("ts timestamp, country_code string").csv(str(source))
+        query = append_stream(window_counts(lines, "ts", lateness), path, checkpoint, drain=True)
+        query.awaitTermination()
+        return late_rows(query)
+
+    assert drain("1.csv", (at(2024, 1, 1, 0, 0, 5), "BE"), (at(2024, 1, 1, 0, 0, 50), "BE"),
+                 (at(2024, 1, 1, 0, 5), "BE")) == 0
+    assert drain("2.csv", (at(2024, 1, 1, 0, 0, 30), "BE"), (at(2024, 1, 1, 0, 9), "FR")) == 1
+    rows = spark.read.parquet(path)
+    got = {(r["window_start"].minute, r["country_name"], r["num_cc_card"]) for r in rows.collect()}
+    assert got == {(0, "BE", 2), (5, "BE", 1)}

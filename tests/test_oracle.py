@@ -1,0 +1,37 @@
+"""Every registered query against its SQL oracle, on the smallest data set."""
+
+import pytest
+
+from __spark_entry__ import entry, oracle_sql, queries
+from check import compare, connect
+
+
+@pytest.fixture(scope="module")
+def connection(sf_dir):
+    return connect(sf_dir)
+
+
+@pytest.mark.parametrize("key", sorted(queries()))
+def test_query(spark, sf_dir, connection, key):
+    df = queries()[key](spark, sf_dir)
+    sql = oracle_sql().get(key)
+    if sql is None:
+        assert df.count() > 0
+    else:
+        assert compare(df, connection, sql) is None
+
+
+@pytest.mark.parametrize("key", ["multi_table_load", "append_table", "route_by_table", "scan_table"])
+def test_query_twice(spark, sf_dir, connection, key):
+    queries()[key](spark, sf_dir)
+    assert compare(queries()[key](spark, sf_dir), connection, oracle_sql()[key]) is None
+
+
+def test_every_oracle_has_a_query():
+    assert set(oracle_sql()) <= set(queries())
+    assert set(queries()) - set(oracle_sql()) == {"layout_report", "sample_rows_rand"}
+
+
+def test_entry(spark):
+    rows = entry(spark).collect()
+    assert rows and sum(r["num_cc_card"] for r in rows) == 150
