@@ -31,7 +31,6 @@ from ..plans.job_history import job_history_summary
 from ..plans.layout_report import layout_report
 from ..plans.layouts import (
     BUCKET,
-    DATE,
     LOOKUP_CODES,
     computed,
     run_lookup,
@@ -41,7 +40,7 @@ from ..plans.layouts import (
     write_date_plain,
 )
 from ..plans.routing import REJECTS, Target, route_counts
-from ..session import fresh_path, use_utc
+from ..session import fresh_path, fix_time_settings
 from ..sinks.files import publish_messages, write_lines, write_ndjson
 from ..sinks.tables import append_table
 from ..sources.lines import read_lines, read_ndjson
@@ -72,6 +71,11 @@ def query(key: str) -> Callable[[Query], Query]:
     return register
 
 
+def _zoneless(df: DataFrame, column: str = "tstamp") -> DataFrame:
+    """An instant as the UTC wall time, the form the given tables hold."""
+    return df.withColumn(column, F.col(column).cast("timestamp_ntz"))
+
+
 def _fresh_table(spark: SparkSession, name: str) -> tuple[str, str]:
     """An unused table name and its folder."""
     path = fresh_path(spark, name)
@@ -84,7 +88,7 @@ def _fresh_table(spark: SparkSession, name: str) -> tuple[str, str]:
 def scan_table(spark, sf_dir):
     name = rel.once(spark, sf_dir, "orders table", lambda: _fresh_table(spark, "orders")[0])
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{sf_dir}/orders.parquet'")
-    return read_table(use_utc(spark), name)
+    return read_table(fix_time_settings(spark), name)
 
 
 @query("scan_text")
@@ -336,7 +340,7 @@ def job_history_by_code(spark, sf_dir):
 def layout_date_cust(spark, sf_dir):
     table, path = _fresh_table(spark, "layout_date")
     write_date_clustered(rel.demo_events(spark, sf_dir), table, path)
-    return spark.table(table)
+    return _zoneless(spark.table(table))
 
 
 @query("layout_bucket_ts")
@@ -345,18 +349,18 @@ def layout_bucket_ts(spark, sf_dir):
     write_bucketed(rel.demo_events(spark, sf_dir), table, path, rel.BUCKETS)
     # Which bucket a row is in depends on the hash; that it is the right one is checked here.
     expected = F.col(BUCKET) == bucket_of(F.col("cust_identifier"), rel.BUCKETS)
-    return spark.table(table).withColumn("in_bucket", expected).drop(BUCKET)
+    return _zoneless(spark.table(table).withColumn("in_bucket", expected).drop(BUCKET))
 
 
 @query("layout_date_plain")
 def layout_date_plain(spark, sf_dir):
     table, path = _fresh_table(spark, "layout_plain")
     write_date_plain(rel.demo_events(spark, sf_dir), table, path)
-    return spark.table(table)
+    return _zoneless(spark.table(table))
 
 
 def _lookup(code: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_lookup(use_utc(spark), rel.layouts(spark, sf_dir), code, CUSTOMER, DAY)
+    return _zoneless(run_lookup(fix_time_settings(spark), rel.layouts(spark, sf_dir), code, CUSTOMER, DAY))
 
 
 for _code in LOOKUP_CODES:
@@ -365,7 +369,7 @@ for _code in LOOKUP_CODES:
 
 @query("layout_report")
 def layout_comparison(spark, sf_dir):
-    return layout_report(use_utc(spark), rel.layouts(spark, sf_dir))
+    return layout_report(fix_time_settings(spark), rel.layouts(spark, sf_dir))
 
 
 @query("param_keys")
@@ -441,10 +445,10 @@ def stream_append(spark, sf_dir):
 
 @query("stream_parse_append")
 def stream_parse_append(spark, sf_dir):
-    path = fresh_path(spark, "stream-accounts")
+    table, path = _fresh_table(spark, "stream_accounts")
     messages = message_stream(spark, rel.account_messages(spark, sf_dir))
-    ingest_accounts(messages, path, path + "-checkpoint", drain=True).awaitTermination()
-    return spark.read.schema(ACCOUNT_SCHEMA).parquet(path)
+    ingest_accounts(messages, table, path, path + "-checkpoint", drain=True).awaitTermination()
+    return spark.table(table)
 
 
 @query("console_tap")
@@ -474,6 +478,4 @@ def window_count_stream(spark, sf_dir):
     stream = spark.readStream.schema("ts timestamp, event_type string").parquet(source)
     counts = window_counts(stream, "ts", key="event_type")
     append_stream(counts, path, path + "-checkpoint", drain=True).awaitTermination()
-    return spark.read.schema(counts.schema).parquet(path).withColumn(
-        "window_start", F.col("window_start").cast("timestamp_ntz")
-    )
+    return _zoneless(spark.read.schema(counts.schema).parquet(path), "window_start")

@@ -21,7 +21,7 @@ from ..plans.layouts import (
     write_date_clustered,
     write_date_plain,
 )
-from ..session import fresh_path, use_utc
+from ..session import fresh_path, fix_time_settings
 from ..sinks.files import publish_messages, write_lines, write_ndjson
 
 BUCKETS = 16
@@ -59,7 +59,7 @@ def once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], object]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return fix_time_settings(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,7 +107,7 @@ def demo_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lookup table from ``events``: 30 days."""
     return table(spark, sf_dir, "events").select(
         F.col("user_id").cast("string").alias("cust_identifier"),
-        F.col("ts").alias("tstamp"),
+        F.col("ts").cast("timestamp").alias("tstamp"),
         F.col("event_type").alias("country_code"),
         F.col("event_id").alias("attr1"),
         F.floor("value").cast("bigint").alias("attr2"),

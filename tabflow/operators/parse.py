@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.coerce import fails_cast, to_type
+from ..functions.schema import schema_from_text
 
 REASON = "reject_reason"
+REJECT_SCHEMA = schema_from_text(f"value:STRING, {REASON}:STRING")
 
 # Options also keep the optimizer from splitting one parse into a parse per field.
 _JSON_OPTIONS = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
@@ -122,12 +124,3 @@ def good_rows(tagged: DataFrame) -> DataFrame:
 def bad_rows(tagged: DataFrame) -> DataFrame:
     """Source text and reason of the rejected rows."""
     return tagged.where(F.col(REASON).isNotNull()).select("value", REASON)
-
-
-def parse(tagged: DataFrame, mode: str) -> DataFrame:
-    """``strict`` fails on a bad row, ``permissive`` leaves it out (see ``bad_rows``)."""
-    if mode == "strict":
-        return accept_all(tagged)
-    if mode == "permissive":
-        return good_rows(tagged)
-    raise ValueError(f"mode must be strict or permissive, not {mode!r}")

@@ -7,17 +7,50 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.schema import COUNT_SCHEMA, SCENARIO_SCHEMA
 from ..operators.counts import count_per_country
-from ..operators.parse import parse
+from ..operators.parse import REASON, REJECT_SCHEMA, accept_all, bad_rows, good_rows
 from ..sinks.tables import append_table
 from ..sources.lines import read_csv_positional, read_ndjson
 from ..sources.registry import LoadEntry, read_load_config, read_schema_file
 from ..sources.tables import read_table
 
 Item = TypeVar("Item")
+Append = Callable[[DataFrame], None]
+
+
+def append_checked(tagged: DataFrame, append: Append, append_rejects: Append, mode: str) -> int:
+    """Append the good rows of a tagged frame; the number of rejected ones.
+
+    ``strict`` fails on the first bad row. ``permissive`` counts the bad rows while
+    the good ones are written, and reads the input again only if there are any.
+    """
+    if mode == "strict":
+        append(accept_all(tagged))
+        return 0
+    if mode != "permissive":
+        raise ValueError(f"mode must be strict or permissive, not {mode!r}")
+    seen = Observation()
+    counted = tagged.observe(seen, F.count_if(F.col(REASON).isNotNull()).alias("rejected"))
+    append(good_rows(counted))
+    rejected = seen.get["rejected"]
+    if rejected:
+        append_rejects(bad_rows(tagged))
+    return rejected
+
+
+def append_parsed(tagged: DataFrame, table: str, schema, path: str | None, mode: str) -> int:
+    """``append_checked`` to a table, rejects to ``<table>_rejects``."""
+    beside = f"{path}_rejects" if path else None
+    return append_checked(
+        tagged,
+        lambda rows: append_table(rows, table, schema, path),
+        lambda rows: append_table(rows, f"{table}_rejects", REJECT_SCHEMA, beside),
+        mode,
+    )
 
 
 def count_accounts_job(spark: SparkSession, accounts: str, counts: str, path: str | None = None) -> None:
@@ -26,10 +59,10 @@ def count_accounts_job(spark: SparkSession, accounts: str, counts: str, path: st
 
 
 def load_csv_job(spark: SparkSession, source: str, table: str, path: str | None = None,
-                 mode: str = "strict") -> None:
-    """Append a positional CSV of scenario rows to a table."""
+                 mode: str = "strict") -> int:
+    """Append a positional CSV of scenario rows to a table; the number of rejected lines."""
     tagged = read_csv_positional(spark, source, SCENARIO_SCHEMA)
-    append_table(parse(tagged, mode), table, SCENARIO_SCHEMA, path)
+    return append_parsed(tagged, table, SCENARIO_SCHEMA, path, mode)
 
 
 def load_tables_job(spark: SparkSession, config: str, mode: str = "strict", parallel: int = 8,
@@ -44,9 +77,9 @@ def load_tables_job(spark: SparkSession, config: str, mode: str = "strict", para
 
     def load(entry: LoadEntry) -> None:
         schema = read_schema_file(spark, entry.schema_uri)
-        rows = parse(read_ndjson(spark, entry.source, schema), mode)
+        tagged = read_ndjson(spark, entry.source, schema)
         path = f"{table_path}/{entry.target}" if table_path else None
-        append_table(rows, entry.target, schema, path)
+        append_parsed(tagged, entry.target, schema, path, mode)
 
     run_all(spark, load, entries, parallel)
     return entries
@@ -58,5 +91,3 @@ def run_all(spark: SparkSession, work: Callable[[Item], None], items: Sequence[I
         started = [pool.submit(inheritable_thread_target(spark)(work), item) for item in items]
     for future in started:
         future.result()
-
-

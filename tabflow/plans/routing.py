@@ -9,14 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.schema import schema_from_text
-from ..operators.parse import bad_rows, parse, tag_json
+from ..operators.parse import REJECT_SCHEMA, tag_json
 from ..operators.registry_join import table_name
 from ..sinks.tables import append_load, read_loads
-from .ingest import run_all
+from .ingest import append_checked, run_all
 
 REJECTS = "_rejects"
-REJECT_SCHEMA = schema_from_text("value:STRING, reject_reason:STRING")
 
 
 @dataclass(frozen=True)
@@ -82,15 +80,17 @@ def route_messages(
 
     def load(table: str) -> None:
         tagged = tag_json(staged.where(F.col("route") == table), target.schemas[table])
-        target.append(parse(tagged, mode), table, load_id)
+        append_checked(
+            tagged,
+            lambda rows: target.append(rows, table, load_id),
+            lambda rows: target.append(rows, REJECTS, f"{load_id}-{target.table(table)}"),
+            mode,
+        )
 
     tables = sorted(routes - {REJECTS})
     run_all(spark, load, tables, parallel)
-    if mode == "permissive":
+    if REJECTS in routes:
         reason = F.concat(F.lit("unknown table "), F.coalesce(table_name(), F.lit("(none)")))
-        rejects = staged.where(F.col("route") == REJECTS).select("value", reason.alias("reject_reason"))
-        for table in tables:
-            part = staged.where(F.col("route") == table)
-            rejects = rejects.unionAll(bad_rows(tag_json(part, target.schemas[table])))
-        target.append(rejects, REJECTS, load_id)
+        unknown = staged.where(F.col("route") == REJECTS).select("value", reason.alias("reject_reason"))
+        target.append(unknown, REJECTS, load_id)
     return tables

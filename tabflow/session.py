@@ -8,7 +8,12 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-UTC = "UTC"
+# An instant has one calendar date everywhere, and Parquet keeps min/max of
+# timestamps (the default INT96 form has none), so that lookups by time skip blocks.
+TIME_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+}
 
 
 def build_session(master: str | None = None, app: str = "tabflow", **conf: str) -> SparkSession:
@@ -19,7 +24,7 @@ def build_session(master: str | None = None, app: str = "tabflow", **conf: str)
     them, split skewed joins and split skewed ``rebalance`` partitions.
     """
     settings = {
-        "spark.sql.session.timeZone": UTC,
+        **TIME_SETTINGS,
         "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -41,9 +46,10 @@ def build_session(master: str | None = None, app: str = "tabflow", **conf: str)
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Fix the session zone, so that an instant has one calendar date everywhere."""
-    spark.conf.set("spark.sql.session.timeZone", UTC)
+def fix_time_settings(spark: SparkSession) -> SparkSession:
+    """Apply the time settings to a session that was built elsewhere."""
+    for key, value in TIME_SETTINGS.items():
+        spark.conf.set(key, value)
     return spark
 
 

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.schema import ACCOUNT_SCHEMA
-from ..operators.parse import parse, tag_json
+from ..operators.parse import REJECT_SCHEMA, accept_all, tag_json
+from ..plans.ingest import append_checked
+from ..sinks.tables import append_load
 
 log = logging.getLogger("tabflow.tap")
 
@@ -29,17 +31,46 @@ def append_stream(
     return writer.toTable(table) if table else writer.start()
 
 
-def parse_accounts(messages: DataFrame, mode: str = "strict") -> DataFrame:
+def tag_accounts(messages: DataFrame) -> DataFrame:
     """Account rows from JSON payloads: all 14 keys needed, further keys dropped."""
-    tagged = tag_json(messages, ACCOUNT_SCHEMA, require_keys=True, allow_extra_keys=True)
-    return parse(tagged, mode)
+    return tag_json(messages, ACCOUNT_SCHEMA, require_keys=True, allow_extra_keys=True)
+
+
+def parse_accounts(messages: DataFrame) -> DataFrame:
+    return accept_all(tag_accounts(messages))
+
+
+def batch_load_id(batch: DataFrame, batch_id: int) -> str:
+    """The same for a repeated batch; differs between queries with different checkpoints."""
+    query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{query_id}-{batch_id}"
 
 
 def ingest_accounts(
-    messages: DataFrame, path: str, checkpoint: str, table: str | None = None,
-    mode: str = "strict", drain: bool = False,
+    messages: DataFrame, table: str, path: str, checkpoint: str, mode: str = "strict", drain: bool = False
 ) -> StreamingQuery:
-    return append_stream(parse_accounts(messages, mode), path, checkpoint, table, drain)
+    """Append account messages to a table.
+
+    ``strict`` stops the query at a bad message. ``permissive`` appends those to
+    ``<table>_rejects``; both tables then have a ``load_id`` partition per batch, so
+    that a repeated batch replaces its own rows.
+    """
+    if mode == "strict":
+        return append_stream(parse_accounts(messages), path, checkpoint, table, drain)
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        load_id = batch_load_id(batch, batch_id)
+        append_checked(
+            tag_accounts(batch),
+            lambda rows: append_load(rows, table, load_id, ACCOUNT_SCHEMA, path),
+            lambda rows: append_load(rows, f"{table}_rejects", load_id, REJECT_SCHEMA, f"{path}_rejects"),
+            mode,
+        )
+
+    writer = messages.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    if drain:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
 
 
 def tap_keys(accounts: DataFrame, checkpoint: str, shown: int = 20, drain: bool = False) -> StreamingQuery:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.routing import Target, route_messages
+from .ingest import batch_load_id
 
 
 def route_stream(
@@ -20,8 +21,7 @@ def route_stream(
     """
 
     def route(batch: DataFrame, batch_id: int) -> None:
-        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        route_messages(batch, target, f"{query_id}-{batch_id}", stage, mode)
+        route_messages(batch, target, batch_load_id(batch, batch_id), stage, mode)
 
     writer = messages.writeStream.foreachBatch(route).option("checkpointLocation", checkpoint)
     if drain:

@@ -56,7 +56,10 @@ def test_csv_job_modes(spark, tmp_path):
     (tmp_path / "in.csv").write_text("J1,1,0.5,1\nJ2,x,1,1\n")
     with pytest.raises(PySparkException):
         load_csv_job(spark, str(tmp_path / "in.csv"), "csv_strict", str(tmp_path / "s"))
-    load_csv_job(spark, str(tmp_path / "in.csv"), "csv_some", str(tmp_path / "p"), mode="permissive")
+    with pytest.raises(ValueError):
+        load_csv_job(spark, str(tmp_path / "in.csv"), "csv_odd", str(tmp_path / "o"), mode="lenient")
+    assert load_csv_job(spark, str(tmp_path / "in.csv"), "csv_some", str(tmp_path / "p"), mode="permissive") == 1
+    assert [tuple(r) for r in spark.table("csv_some_rejects").collect()] == [("J2,x,1,1", "bad value in scenarioid")]
     assert [tuple(r) for r in spark.table("csv_some").collect()] == [("J1", 1, 0.5, 1.0)]
 
 
@@ -131,33 +134,39 @@ def test_route_stream_restart(spark, tmp_path):
     assert drain() == 3
 
 
-def test_ingest_stream_restart(spark, tmp_path):
+@pytest.mark.parametrize("mode", ["strict", "permissive"])
+def test_ingest_stream_restart(spark, tmp_path, mode):
     source = tmp_path / "in"
     source.mkdir()
-    path = str(tmp_path / "rows")
+    table = f"ingested_{mode}"
 
     def drain():
-        ingest_accounts(message_stream(spark, str(source)), path, str(tmp_path / "checkpoint"),
-                        drain=True).awaitTermination()
-        return spark.read.schema(ACCOUNT_SCHEMA).parquet(path).count()
+        ingest_accounts(message_stream(spark, str(source)), table, str(tmp_path / "rows"),
+                        str(tmp_path / "checkpoint"), mode, drain=True).awaitTermination()
+        return spark.table(table).count()
 
     (source / "1.txt").write_text("\n".join(account(n) for n in range(5)) + "\n")
     assert drain() == 5
     assert drain() == 5
     (source / "2.txt").write_text(account(6) + "\n")
     assert drain() == 6
+    assert not spark.catalog.tableExists(f"{table}_rejects")
 
 
 def test_ingest_stream_modes(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
-    (source / "1.txt").write_text(account(1) + "\n" + account(2, credit_card="x") + "\n")
+    bad = account(2, credit_card="x")
+    (source / "1.txt").write_text(account(1) + "\n" + bad + "\n")
     with pytest.raises(StreamingQueryException):
-        ingest_accounts(message_stream(spark, str(source)), str(tmp_path / "a"), str(tmp_path / "ca"),
+        ingest_accounts(message_stream(spark, str(source)), "ingest_a", str(tmp_path / "a"), str(tmp_path / "ca"),
                         drain=True).awaitTermination()
-    ingest_accounts(message_stream(spark, str(source)), str(tmp_path / "b"), str(tmp_path / "cb"),
+    ingest_accounts(message_stream(spark, str(source)), "ingest_b", str(tmp_path / "b"), str(tmp_path / "cb"),
                     mode="permissive", drain=True).awaitTermination()
-    assert spark.read.schema(ACCOUNT_SCHEMA).parquet(str(tmp_path / "b")).count() == 1
+    assert [r["credit_card"] for r in spark.table("ingest_b").collect()] == [4001]
+    assert [(r["value"], r["reject_reason"]) for r in spark.table("ingest_b_rejects").collect()] == [
+        (bad, "bad value in credit_card")
+    ]
 
 
 def test_tap_logs_and_writes_nothing(spark, tmp_path, caplog):

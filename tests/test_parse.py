@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tabflow.functions.schema import ACCOUNT_SCHEMA, SCENARIO_SCHEMA, schema_from_text
 from tabflow.functions.text import decode_payload, to_json_line
-from tabflow.operators.parse import accept_all, bad_rows, good_rows, parse, tag_csv, tag_json
+from tabflow.operators.parse import accept_all, bad_rows, good_rows, tag_csv, tag_json
 from tabflow.sources.lines import read_csv_positional, read_lines, read_ndjson
 
 ACCOUNT = {name: f"{name} text" for name in ACCOUNT_SCHEMA.names} | {
@@ -68,8 +68,6 @@ def test_strict_fails_even_if_the_bad_column_is_not_used(spark):
     tagged = tag_accounts(lines(spark, json.dumps(ACCOUNT), json.dumps({"country_code": "BE"})))
     with pytest.raises(PySparkException, match="missing"):
         accept_all(tagged).groupBy("country_code").count().collect()
-    with pytest.raises(ValueError):
-        parse(tagged, "lenient")
 
 
 def test_registry_row(spark):
