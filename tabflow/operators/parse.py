@@ -1,31 +1,30 @@
 """Text to typed rows.
 
-A *tagged* frame has the target columns, the source ``value`` and ``reject_reason``
-(NULL for a good row). ``accept_all`` fails the job on the first bad row;
+A *tagged* frame has the target columns, the source text and a reject reason, NULL
+for a good row. ``accept_all`` fails the job on the first bad row;
 ``good_rows`` and ``bad_rows`` separate them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.coerce import fails_cast, to_type
+from ..functions.coerce import fails_cast, literal, quoted, to_type
 from ..functions.schema import schema_from_text
 
-REASON = "reject_reason"
-REJECT_SCHEMA = schema_from_text(f"value:STRING, {REASON}:STRING")
+# Added columns of a tagged frame; a target table may well have a column "value".
+SOURCE, REASON = "_source", "_reject_reason"
+REJECT_SCHEMA = schema_from_text("value:STRING, reject_reason:STRING")
 
 # Options also keep the optimizer from splitting one parse into a parse per field.
-_JSON_OPTIONS = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
+_JSON_OPTIONS = "map('mode', 'PERMISSIVE', 'allowSingleQuotes', 'false')"
 
 
-def _tag(df: DataFrame, raw: dict[str, Column], schema: T.StructType, reason: Column,
+def _tag(df: DataFrame, raw: dict[str, str], schema: T.StructType, reason: str,
          keep: Sequence[str], value: str) -> DataFrame:
     """Cast the raw columns and attach the reject reason.
 
@@ -33,18 +32,16 @@ def _tag(df: DataFrame, raw: dict[str, Column], schema: T.StructType, reason: Co
     then stays above the parse. Without that step the optimizer copies the parse
     into the filter and every row is parsed twice.
     """
-    casts = [fails_cast(raw[f.name], f.dataType) for f in schema.fields]
-    wrong = [F.when(bad, F.lit(f.name)) for bad, f in zip(casts, schema.fields, strict=True)
-             if not isinstance(f.dataType, T.StringType)]
-    bad_value = F.coalesce(*wrong) if wrong else F.lit(None).cast("string")
-    full_reason = F.coalesce(reason, F.concat(F.lit("bad value in "), bad_value))
-    row = F.struct(
-        *[F.col(name) for name in keep],
-        *[to_type(raw[f.name], f.dataType).alias(f.name) for f in schema.fields],
-        F.col(value).alias("value"),
-        full_reason.alias(REASON),
+    wrong = " ".join(
+        f"WHEN {fails_cast(raw[f.name], f.dataType)} THEN {literal('bad value in ' + f.name)}"
+        for f in schema.fields if not isinstance(f.dataType, T.StringType)
     )
-    return df.select(F.inline(F.array(row)))
+    reasons = f"coalesce({reason}, CASE {wrong} END)" if wrong else reason
+    items = [(name, quoted(name)) for name in keep]
+    items += [(f.name, to_type(raw[f.name], f.dataType)) for f in schema.fields]
+    items += [(SOURCE, quoted(value)), (REASON, reasons)]
+    row = ", ".join(f"{literal(name)}, {expression}" for name, expression in items)
+    return df.selectExpr(f"inline(array(named_struct({row})))")
 
 
 def tag_json(
@@ -63,38 +60,34 @@ def tag_json(
     key (a key holding null is present); rows with keys outside the schema are
     rejected unless ``allow_extra_keys``. The last of repeated keys counts.
     """
-    as_text = T.StructType([T.StructField(name, T.StringType()) for name in schema.names])
+    raw = {name: f"_row.{quoted(name)}" for name in schema.names}
+    as_text = ", ".join(f"{quoted(name)}: string" for name in schema.names)
+    expected = "array(" + ", ".join(map(literal, schema.names)) + ")"
+    source = quoted(value)
+    carried = [quoted(name) for name in dict.fromkeys([*keep, value])]
     # In brackets the parser must consume the whole text: trailing characters or
     # a second object then show up as malformed input or as a longer array.
-    wrapped = F.concat(F.lit("["), F.col(value), F.lit("]"))
-    objects = F.from_json(wrapped, T.ArrayType(as_text), _JSON_OPTIONS)
-    columns = [objects.alias("_objects")]
-    if not allow_extra_keys:
-        pairs = F.from_json(wrapped, "array<map<string,string>>", _JSON_OPTIONS)
-        columns.append(pairs.alias("_pairs"))
-    carried = [*keep] if value in keep else [*keep, value]
-    parsed = df.select(*carried, *columns).select(
-        *carried,
-        F.when(F.size("_objects") == 1, F.get("_objects", F.lit(0))).alias("_row"),
-        *([] if allow_extra_keys else [F.get("_pairs", F.lit(0)).alias("_map")]),
+    objects = (f"from_json(concat('[', {source}, ']'), {literal(f'array<struct<{as_text}>>')}, "
+               f"{_JSON_OPTIONS}) AS _objects")
+    keys = [] if allow_extra_keys else [f"json_object_keys({source}) AS _keys"]
+    parsed = df.selectExpr(*carried, objects, *keys).selectExpr(
+        "*", "CASE WHEN size(_objects) = 1 THEN get(_objects, 0) END AS _row"
     )
-    raw = {name: F.col("_row").getField(name) for name in schema.names}
-    expected = F.array(*[F.lit(name) for name in schema.names])
 
-    reason = F.when(F.col("_row").isNull(), F.lit("malformed"))
+    cases = ["WHEN _row IS NULL THEN 'malformed'"]
     if require_keys:
         # A row without NULLs has every key; only the others list their keys.
-        complete = reduce(and_, [raw[name].isNotNull() for name in schema.names])
-        missing = F.array_except(expected, F.json_object_keys(F.col(value)))
-        reason = reason.when(~complete & (F.size(missing) > 0),
-                             F.concat(F.lit("missing "), F.array_join(missing, ",")))
+        complete = " AND ".join(f"{column} IS NOT NULL" for column in raw.values())
+        missing = f"array_except({expected}, json_object_keys({source}))"
+        cases.append(f"WHEN NOT ({complete}) AND size({missing}) > 0 "
+                     f"THEN concat('missing ', array_join({missing}, ','))")
     if not allow_extra_keys:
-        # As many values as keys means that the schema knows every key.
-        values = reduce(lambda a, b: a + b, [raw[n].isNotNull().cast("int") for n in schema.names])
-        extra = F.array_except(F.map_keys("_map"), expected)
-        reason = reason.when((F.size("_map") != values) & (F.size(extra) > 0),
-                             F.concat(F.lit("unknown "), F.array_join(extra, ",")))
-    return _tag(parsed, raw, schema, reason, keep, value)
+        # As many values as keys means that the schema knows every key; else compare them.
+        values = " + ".join(f"int({column} IS NOT NULL)" for column in raw.values())
+        extra = f"array_except(_keys, {expected})"
+        cases.append(f"WHEN size(_keys) != {values} AND size({extra}) > 0 "
+                     f"THEN concat('unknown ', array_join({extra}, ','))")
+    return _tag(parsed, raw, schema, f"CASE {' '.join(cases)} END", keep, value)
 
 
 def tag_csv(
@@ -104,23 +97,26 @@ def tag_csv(
 
     Surplus fields are dropped; a short line leaves its last columns NULL.
     """
-    carried = [*keep] if value in keep else [*keep, value]
-    fields = df.select(*carried, F.split(value, ",", -1).alias("_fields"))
-    raw = {name: F.get("_fields", F.lit(i)) for i, name in enumerate(schema.names)}
-    return _tag(fields, raw, schema, F.lit(None).cast("string"), keep, value)
+    carried = [quoted(name) for name in dict.fromkeys([*keep, value])]
+    fields = df.selectExpr(*carried, f"split({quoted(value)}, ',', -1) AS _fields")
+    raw = {name: f"get(_fields, {i})" for i, name in enumerate(schema.names)}
+    return _tag(fields, raw, schema, "CAST(NULL AS STRING)", keep, value)
 
 
 def accept_all(tagged: DataFrame) -> DataFrame:
     """The typed rows; fails on a bad one, naming the reason."""
-    failure = F.raise_error(F.concat(F.lit("rejected row: "), F.col(REASON)))
-    checked = tagged.where(F.when(F.col(REASON).isNull(), F.lit(True)).otherwise(failure))
-    return checked.drop("value", REASON)
+    checked = tagged.where(
+        f"CASE WHEN {REASON} IS NULL THEN true ELSE raise_error(concat('rejected row: ', {REASON})) END"
+    )
+    return checked.drop(SOURCE, REASON)
 
 
 def good_rows(tagged: DataFrame) -> DataFrame:
-    return tagged.where(F.col(REASON).isNull()).drop("value", REASON)
+    return tagged.where(F.col(REASON).isNull()).drop(SOURCE, REASON)
 
 
 def bad_rows(tagged: DataFrame) -> DataFrame:
     """Source text and reason of the rejected rows."""
-    return tagged.where(F.col(REASON).isNotNull()).select("value", REASON)
+    return tagged.where(F.col(REASON).isNotNull()).select(
+        F.col(SOURCE).alias("value"), F.col(REASON).alias("reject_reason")
+    )

@@ -86,8 +86,15 @@ def load_tables_job(spark: SparkSession, config: str, mode: str = "strict", para
 
 
 def run_all(spark: SparkSession, work: Callable[[Item], None], items: Sequence[Item], parallel: int) -> None:
-    """Call ``work`` for every item from a few threads; raise the first failure at the end."""
-    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        started = [pool.submit(inheritable_thread_target(spark)(work), item) for item in items]
+    """Call ``work`` for every item from a few threads; raise the first failure at the end.
+
+    Every item has a scheduler pool of its own, as jobs of one pool queue up behind each other.
+    """
+    def run(position: int, item: Item) -> None:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"load-{position % parallel}")
+        work(item)
+
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(run), i, item) for i, item in enumerate(items)]
     for future in started:
         future.result()

@@ -40,10 +40,9 @@ class Target:
 
 def tag_route(messages: DataFrame, tables: list[str]) -> DataFrame:
     """``value`` with its ``route``: the table name, or ``_rejects`` for an unknown one."""
-    name = table_name()
-    return messages.select(
-        "value", F.when(name.isin(tables), name).otherwise(F.lit(REJECTS)).alias("route")
-    )
+    named = messages.select("value", table_name().alias("route"))
+    known = F.col("route").isin(tables)
+    return named.withColumn("route", F.when(known, F.col("route")).otherwise(F.lit(REJECTS)))
 
 
 def route_counts(messages: DataFrame, tables: list[str]) -> DataFrame:

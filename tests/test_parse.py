@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tabflow.functions.schema import ACCOUNT_SCHEMA, SCENARIO_SCHEMA, schema_from_text
 from tabflow.functions.text import decode_payload, to_json_line
-from tabflow.operators.parse import accept_all, bad_rows, good_rows, tag_csv, tag_json
+from tabflow.operators.parse import REASON, accept_all, bad_rows, good_rows, tag_csv, tag_json
 from tabflow.sources.lines import read_csv_positional, read_lines, read_ndjson
 
 ACCOUNT = {name: f"{name} text" for name in ACCOUNT_SCHEMA.names} | {
@@ -25,7 +25,7 @@ def tag_accounts(df):
 
 
 def reasons(tagged):
-    return [r["reject_reason"] for r in tagged.collect()]
+    return [r[REASON] for r in tagged.collect()]
 
 
 def test_account_row(spark):
@@ -95,11 +95,21 @@ def test_the_json_is_parsed_once(spark):
         assert plan.count("from_json(") == 1
 
 
+def test_any_column_name(spark):
+    schema = schema_from_text("value:INT64, reject_reason:STRING, it's:STRING, a b:FLOAT64, x.y:STRING, t`k:INT64")
+    row = {"value": 1, "reject_reason": "none", "it's": "a", "a b": 2.5, "x.y": "z", "t`k": 3}
+    df = spark.createDataFrame([(5, json.dumps(row))], "id long, line string")
+    tagged = tag_json(df, schema, keep=["id"], value="line")
+    assert [tuple(r) for r in accept_all(tagged).collect()] == [(5, *row.values())]
+    bad = tag_json(lines(spark, '{"value": "x"}'), schema)
+    assert [tuple(r) for r in bad_rows(bad).collect()] == [('{"value": "x"}', "bad value in value")]
+
+
 def test_csv_positions(spark):
     tagged = tag_csv(lines(
         spark, "J1,2,0.5,0.25", "J1,2,0.5", "J1", "J1,2,0.5,0.25,more,fields", 'J1,2,"0,5",1', "J1,,1,2", ""
     ), SCENARIO_SCHEMA)
-    rows = [tuple(r) for r in tagged.select(*SCENARIO_SCHEMA.names, "reject_reason").collect()]
+    rows = [tuple(r) for r in tagged.select(*SCENARIO_SCHEMA.names, REASON).collect()]
     assert rows[0] == ("J1", 2, 0.5, 0.25, None)
     assert rows[1] == ("J1", 2, 0.5, None, None)
     assert rows[2] == ("J1", None, None, None, None)
