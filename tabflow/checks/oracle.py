@@ -269,6 +269,11 @@ ORACLES: dict[str, str] = {
         f"{_LAYOUT_COLUMNS.split(', ', 2)[2]} FROM demo, range(1, {q.ITERATIONS}) shifts(x) "
         f"WHERE tstamp::DATE = DATE '{q.REPLICATE_DAY}' "
         f"AND {_fraction(*_SAMPLE_KEY, 'x')} < {q.RATE}::DOUBLE",
+    "replicate_into_table":
+        f"WITH demo AS ({DEMO_EVENTS}) SELECT *, tstamp::DATE AS tstamp_date FROM demo "
+        f"UNION ALL SELECT * EXCLUDE (x) REPLACE (tstamp + x * INTERVAL 1 DAY AS tstamp), "
+        f"(tstamp + x * INTERVAL 1 DAY)::DATE FROM demo, range(1, {q.ITERATIONS}) shifts(x) "
+        f"WHERE tstamp::DATE = DATE '{q.DAY}' AND {_fraction('attr1', 'x')} < {q.RATE}::DOUBLE",
     "generate_accounts": _accounts_sql(),
     "credit_score": _credit_sql("score type", _SCORE),
     "credit_score_name": _credit_sql("name type", _NAME),

@@ -32,6 +32,7 @@ from ..plans.layout_report import layout_report
 from ..plans.layouts import (
     BUCKET,
     LOOKUP_CODES,
+    Layout,
     computed,
     run_lookup,
     with_bucket,
@@ -40,6 +41,7 @@ from ..plans.layouts import (
     write_date_plain,
 )
 from ..plans.routing import REJECTS, Target, route_counts
+from ..plans.synthetic import replicate_day_job
 from ..session import fresh_path, fix_time_settings
 from ..sinks.files import publish_messages, write_lines, write_ndjson
 from ..sinks.tables import append_table
@@ -410,6 +412,15 @@ def shift_replicate_day(spark, sf_dir):
     return shift_replicate(rows, REPLICATE_DAY, ITERATIONS, RATE, key=key, hasher=portable_hash)
 
 
+@query("replicate_into_table")
+def replicate_into_table(spark, sf_dir):
+    table, path = _fresh_table(spark, "grown")
+    write_date_clustered(rel.demo_events(spark, sf_dir), table, path)
+    layout = Layout(table, by_date=True)
+    replicate_day_job(spark, layout, DAY, ITERATIONS, RATE, key=[F.col("attr1")], hasher=portable_hash)
+    return _zoneless(spark.table(table))
+
+
 @query("generate_accounts")
 def generate_accounts(spark, sf_dir):
     customer = rel.table(spark, sf_dir, "customer")

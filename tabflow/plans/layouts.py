@@ -29,13 +29,16 @@ def _save(df: DataFrame, table: str, path: str | None, partition: str) -> None:
     writer.saveAsTable(table)
 
 
-def _save_by_range(df: DataFrame, table: str, path: str | None, partition: str, cluster: str,
-                   tasks: int | None) -> None:
-    """Partition by one column, cluster by another; ``tasks`` defaults to the shuffle setting."""
-    spread = df.withColumn(_SPREAD, F.spark_partition_id())
+def cluster_by_range(df: DataFrame, partition: str, cluster: str, tasks: int | None = None) -> DataFrame:
+    """Tasks of neighbouring (partition, cluster) ranges, sorted within.
+
+    The range bounds come from a sample, at the price of one more pass over the
+    input. ``tasks`` defaults to the shuffle setting, merged by AQE where small.
+    """
     keys = [partition, cluster, _SPREAD]
+    spread = df.withColumn(_SPREAD, F.spark_partition_id())
     ranged = spread.repartitionByRange(tasks, *keys) if tasks else spread.repartitionByRange(*keys)
-    _save(ranged.sortWithinPartitions(partition, cluster).drop(_SPREAD), table, path, partition)
+    return ranged.sortWithinPartitions(partition, cluster).drop(_SPREAD)
 
 
 def with_date(df: DataFrame) -> DataFrame:
@@ -50,7 +53,7 @@ def with_bucket(df: DataFrame, buckets: int, hasher: Hasher = stable_hash) -> Da
 def write_date_clustered(df: DataFrame, table: str, path: str | None = None,
                          tasks: int | None = None) -> None:
     """Date partitions, clustered by customer."""
-    _save_by_range(with_date(df), table, path, DATE, "cust_identifier", tasks)
+    _save(cluster_by_range(with_date(df), DATE, "cust_identifier", tasks), table, path, DATE)
 
 
 def write_bucketed(df: DataFrame, table: str, path: str | None = None, buckets: int = 4000,
@@ -59,7 +62,7 @@ def write_bucketed(df: DataFrame, table: str, path: str | None = None, buckets:
 
     4000 buckets suit a large table; choose fewer where a bucket would fall below a file.
     """
-    _save_by_range(with_bucket(df, buckets), table, path, BUCKET, "tstamp", tasks)
+    _save(cluster_by_range(with_bucket(df, buckets), BUCKET, "tstamp", tasks), table, path, BUCKET)
 
 
 def write_date_plain(df: DataFrame, table: str, path: str | None = None) -> None:

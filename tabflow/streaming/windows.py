@@ -19,7 +19,11 @@ def window_counts(accounts: DataFrame, ts: str, lateness: str = "0 seconds",
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped behind the watermark in the progress the query still remembers."""
+    """Rows dropped behind the watermark in the progress the query still remembers.
+
+    Spark drops after the partial count: late events of one key and window in one
+    task are one row.
+    """
     return sum(
         operator.numRowsDroppedByWatermark
         for progress in query.recentProgress

@@ -12,6 +12,8 @@ from tabflow.operators.accounts import generate_accounts
 from tabflow.operators.parse import accept_all, tag_json
 from tabflow.operators.replicate import shift_replicate
 from tabflow.operators.sample import first_values, pick_values, sample_rows
+from tabflow.plans.layouts import Layout, write_date_clustered
+from tabflow.plans.synthetic import generate_accounts_job, replicate_day_job
 from tabflow.sinks.files import publish_messages
 from tabflow.sources.lines import read_lines
 
@@ -125,6 +127,26 @@ def test_replicate_rates(days):
     assert 0 <= shift_replicate(days, "2024-01-02", 3, seed=3).count() <= 200
 
 
+def test_replicate_job_grows_a_clustered_table(spark, days, tmp_path):
+    write_date_clustered(days, "grown_days", str(tmp_path / "days"))
+    layout = Layout("grown_days", by_date=True)
+    replicate_day_job(spark, layout, datetime.date(2024, 1, 3), 3, 1.0)
+    replicate_day_job(spark, layout, datetime.date(2024, 1, 3), 1)
+    counts = spark.table("grown_days").groupBy("tstamp_date").count().orderBy("tstamp_date").collect()
+    assert [(r[0].day, r[1]) for r in counts] == [(d, 100) for d in range(1, 6)]
+    assert spark.table("grown_days").where("tstamp_date != to_date(tstamp)").count() == 0
+    with pytest.raises(ValueError):
+        replicate_day_job(spark, Layout("x", buckets=4), datetime.date(2024, 1, 3), 3)
+
+
+def test_account_job_destinations(spark, tmp_path):
+    generate_accounts_job(spark, 50, "file", str(tmp_path / "accounts"))
+    assert read_lines(spark, str(tmp_path / "accounts")).count() == 50
+    for destination, location in (("queue", "x"), ("file", ""), ("topic", "")):
+        with pytest.raises(ValueError):
+            generate_accounts_job(spark, 5, destination, location)
+
+
 def test_replicate_appends_to_its_own_table(spark, days, tmp_path):
     days.write.option("path", str(tmp_path / "grown")).saveAsTable("grown")
     shift_replicate(spark.table("grown"), "2024-01-03", 3, 1.0).write.mode("append").saveAsTable("grown")
