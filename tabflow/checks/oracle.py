@@ -253,6 +253,22 @@ ORACLES: dict[str, str] = {
     "layout_bucket_ts": f"SELECT *, true AS in_bucket FROM ({DEMO_EVENTS})",
     "layout_date_plain": f"SELECT *, tstamp::DATE AS tstamp_date FROM ({DEMO_EVENTS})",
     **{f"lookup_{case}{part}": _lookup(where) for case, where in _BY_CASE.items() for part in ("q1", "q2", "q3")},
+    "layout_matches": f"""
+        WITH demo AS ({DEMO_EVENTS}),
+        keys AS (SELECT DISTINCT cust_identifier AS k FROM demo ORDER BY k LIMIT 10),
+        days AS (SELECT DISTINCT tstamp::DATE AS d FROM demo ORDER BY d LIMIT 10),
+        ranked_keys AS (SELECT k, row_number() OVER (ORDER BY {_hash('k', repr('customer'))}, k) AS n FROM keys),
+        ranked_days AS (SELECT d, row_number() OVER (ORDER BY {_hash('d', repr('day'))}, d) AS n FROM days),
+        found(case_code, num_exec, rows_matched) AS (
+          SELECT 'c1', (SELECT count(*) FROM keys), count(*) FROM demo WHERE cust_identifier IN (FROM keys)
+          UNION ALL
+          SELECT 'c2', (SELECT count(*) FROM days), count(*) FROM demo WHERE tstamp::DATE IN (FROM days)
+          UNION ALL
+          SELECT 'c3', (SELECT count(*) FROM ranked_keys JOIN ranked_days USING (n)),
+                 (SELECT count(*) FROM demo JOIN ranked_keys ON cust_identifier = k
+                  JOIN ranked_days r USING (n) WHERE tstamp::DATE = r.d))
+        SELECT case_code || part AS job_group, num_exec, rows_matched
+        FROM found, (VALUES ('q1'), ('q2'), ('q3')) parts(part)""",
     "param_keys":
         f"WITH demo AS ({DEMO_LINEITEM}) SELECT DISTINCT cust_identifier FROM demo "
         "ORDER BY cust_identifier LIMIT 10",

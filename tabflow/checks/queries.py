@@ -28,7 +28,7 @@ from ..operators.replicate import shift_replicate
 from ..operators.sample import first_values, pick_values, sample_rows
 from ..plans.ingest import count_accounts_job, load_csv_job, load_tables_job
 from ..plans.job_history import job_history_summary
-from ..plans.layout_report import layout_report
+from ..plans.layout_report import layout_report, run_lookups
 from ..plans.layouts import (
     BUCKET,
     LOOKUP_CODES,
@@ -134,7 +134,7 @@ def registry_lookup(spark, sf_dir):
     registry = read_registry(spark, rel.registry_path(spark, sf_dir))
     joined = with_registry(messages.select(table_name().alias("tablename"), "value"), registry)
     return joined.groupBy("tablename").agg(
-        F.count("*").alias("n_messages"), F.max(F.size("schema.fields")).alias("n_fields")
+        F.count("*").alias("n_messages"), F.max(F.array_size("schema.fields")).alias("n_fields")
     )
 
 
@@ -374,6 +374,15 @@ def layout_comparison(spark, sf_dir):
     return layout_report(fix_time_settings(spark), rel.layouts(spark, sf_dir))
 
 
+@query("layout_matches")
+def layout_matches(spark, sf_dir):
+    """Rows found by the lookups of a report, which must not depend on the layout."""
+    log = run_lookups(fix_time_settings(spark), rel.layouts(spark, sf_dir), hasher=portable_hash)
+    return log.groupBy(query_code(F.col("job_id")).alias("job_group")).agg(
+        F.count("*").alias("num_exec"), F.sum("rows_matched").alias("rows_matched")
+    )
+
+
 @query("param_keys")
 def param_keys(spark, sf_dir):
     return first_values(rel.demo_lineitem(spark, sf_dir), F.col("cust_identifier"), "cust_identifier")

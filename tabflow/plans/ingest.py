@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
@@ -22,7 +23,22 @@ Item = TypeVar("Item")
 Append = Callable[[DataFrame], None]
 
 
-def append_checked(tagged: DataFrame, append: Append, append_rejects: Append, mode: str) -> int:
+def _rejected(seen: Observation, patience: float) -> int | None:
+    """The observed number of rejects; None if Spark does not report it in time.
+
+    The report is an event of the driver's listener queue, which may drop events
+    on a very busy driver.
+    """
+    found: list[int] = []
+    waiter = threading.Thread(target=lambda: found.append(seen.get["rejected"]), daemon=True)
+    waiter.start()
+    waiter.join(patience)
+    return found[0] if found else None
+
+
+def append_checked(
+    tagged: DataFrame, append: Append, append_rejects: Append, mode: str, patience: float = 60.0
+) -> int:
     """Append the good rows of a tagged frame; the number of rejected ones.
 
     ``strict`` fails on the first bad row. ``permissive`` counts the bad rows while
@@ -34,9 +50,10 @@ def append_checked(tagged: DataFrame, append: Append, append_rejects: Append, mo
     if mode != "permissive":
         raise ValueError(f"mode must be strict or permissive, not {mode!r}")
     seen = Observation()
-    counted = tagged.observe(seen, F.count_if(F.col(REASON).isNotNull()).alias("rejected"))
-    append(good_rows(counted))
-    rejected = seen.get["rejected"]
+    append(good_rows(tagged.observe(seen, F.count_if(F.col(REASON).isNotNull()).alias("rejected"))))
+    rejected = _rejected(seen, patience)
+    if rejected is None:
+        rejected = bad_rows(tagged).count()
     if rejected:
         append_rejects(bad_rows(tagged))
     return rejected
@@ -71,17 +88,21 @@ def load_tables_job(spark: SparkSession, config: str, mode: str = "strict", para
 
     The loads are independent Spark jobs, started from a few threads so that a small
     one does not wait for a large one (``spark.scheduler.mode=FAIR`` shares the
-    cores). All loads run to their end; then the first failure is raised.
+    cores). Loads of one target follow each other, since two jobs must not write to one
+    folder at once. All loads run to their end; then the first failure is raised.
     """
     entries = read_load_config(spark, config)
+    by_target: dict[str, list[LoadEntry]] = {}
+    for entry in entries:
+        by_target.setdefault(entry.target, []).append(entry)
 
-    def load(entry: LoadEntry) -> None:
-        schema = read_schema_file(spark, entry.schema_uri)
-        tagged = read_ndjson(spark, entry.source, schema)
-        path = f"{table_path}/{entry.target}" if table_path else None
-        append_parsed(tagged, entry.target, schema, path, mode)
+    def load(target: str) -> None:
+        path = f"{table_path}/{target}" if table_path else None
+        for entry in by_target[target]:
+            schema = read_schema_file(spark, entry.schema_uri)
+            append_parsed(read_ndjson(spark, entry.source, schema), target, schema, path, mode)
 
-    run_all(spark, load, entries, parallel)
+    run_all(spark, load, list(by_target), parallel)
     return entries
 
 

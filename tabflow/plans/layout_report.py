@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_of
+from ..functions.hashing import Hasher, stable_hash
 from ..functions.text import query_code
 from ..operators.sample import first_values, pick_values
 from .job_history import JOB_LOG_DDL, job_history_summary
@@ -54,13 +55,15 @@ def _measure(spark: SparkSession, layouts: Layouts, code: str, customer, day) ->
             matched, read["numOutputRows"], read["numFiles"])
 
 
-def run_lookups(spark: SparkSession, layouts: Layouts, runs: int = 10) -> DataFrame:
+def run_lookups(
+    spark: SparkSession, layouts: Layouts, runs: int = 10, hasher: Hasher = stable_hash
+) -> DataFrame:
     """``runs`` parameter values for each of the nine lookups; a job log with scan counters."""
     base = spark.table(layouts.date_clustered.table)
     keys = first_values(base, F.col("cust_identifier"), "cust_identifier", runs)
     days = first_values(base, date_of(F.col("tstamp")), "day", runs)
-    customers = [r[0] for r in pick_values(keys, "cust_identifier", runs, "customer").collect()]
-    dates = [r[0] for r in pick_values(days, "day", runs, "day").collect()]
+    customers = [r[0] for r in pick_values(keys, "cust_identifier", runs, "customer", hasher).collect()]
+    dates = [r[0] for r in pick_values(days, "day", runs, "day", hasher).collect()]
     spark.catalog.clearCache()
     log = []
     for customer in customers:

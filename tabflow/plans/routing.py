@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.parse import REJECT_SCHEMA, tag_json
+from ..operators.parse import REJECT_SCHEMA, bad_rows, tag_json
 from ..operators.registry_join import table_name
 from ..sinks.tables import append_load, read_loads
 from .ingest import append_checked, run_all
@@ -77,19 +78,25 @@ def route_messages(
     if mode == "strict" and REJECTS in routes:
         raise ValueError("messages without a known table name; see " + stage)
 
+    def tagged(table: str) -> DataFrame:
+        return tag_json(staged.where(F.col("route") == table), target.schemas[table])
+
+    rejected: dict[str, int] = {}
+
     def load(table: str) -> None:
-        tagged = tag_json(staged.where(F.col("route") == table), target.schemas[table])
-        append_checked(
-            tagged,
-            lambda rows: target.append(rows, table, load_id),
-            lambda rows: target.append(rows, REJECTS, f"{load_id}-{target.table(table)}"),
-            mode,
-        )
+        def append(rows: DataFrame) -> None:
+            target.append(rows, table, load_id)
+
+        # Rejects of all tables go to one table, so they are written together below.
+        rejected[table] = append_checked(tagged(table), append, lambda rows: None, mode)
 
     tables = sorted(routes - {REJECTS})
     run_all(spark, load, tables, parallel)
+    parts = [bad_rows(tagged(table)) for table in tables if rejected[table]]
     if REJECTS in routes:
         reason = F.concat(F.lit("unknown table "), F.coalesce(table_name(), F.lit("(none)")))
-        unknown = staged.where(F.col("route") == REJECTS).select("value", reason.alias("reject_reason"))
-        target.append(unknown, REJECTS, load_id)
+        unnamed = staged.where(F.col("route") == REJECTS)
+        parts.append(unnamed.select("value", reason.alias("reject_reason")))
+    if parts:
+        target.append(reduce(DataFrame.unionAll, parts), REJECTS, load_id)
     return tables

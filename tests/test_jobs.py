@@ -76,11 +76,21 @@ def test_multi_load_appends_and_reports_failures(spark, tmp_path):
     config = tmp_path / "config.json"
     config.write_text(json.dumps({"tablelist": [entry("b", "multi_b"), entry("a", "multi_a"), entry("a", "multi_a")]}))
     with pytest.raises(PySparkException):
-        load_tables_job(spark, str(config), table_path=str(tmp_path), parallel=1)
+        load_tables_job(spark, str(config), table_path=str(tmp_path))
     # The failure of one load does not stop the others; the same target twice is two appends.
     assert sorted(r["n"] for r in spark.table("multi_a").collect()) == [1, 1, 2, 2]
 
 
+def test_rejects_are_found_without_a_report(spark, tmp_path, monkeypatch):
+    """A lost count of rejects costs a second look at the input, not the rejects."""
+    from tabflow.plans import ingest
+
+    monkeypatch.setattr(ingest, "_rejected", lambda seen, patience: None)
+    (tmp_path / "in.csv").write_text("J1,1,0.5,1\nJ2,x,1,1\n")
+    assert load_csv_job(spark, str(tmp_path / "in.csv"), "csv_lost", str(tmp_path / "l"), mode="permissive") == 1
+    assert spark.table("csv_lost_rejects").count() == 1
+
+
 def test_registry_join(spark, tmp_path):
     (tmp_path / "r.json").write_text(json.dumps({"tablename": "p:d.one", "schema": {"fields": []}}))
     from tabflow.sources.registry import read_registry
