@@ -38,8 +38,8 @@ DEMO_LINEITEM = """
 SELECT l_partkey::VARCHAR AS cust_identifier, l_shipdate + to_hours(l_linenumber) AS tstamp,
        l_returnflag AS country_code, l_quantity::BIGINT AS attr1, l_linenumber::BIGINT AS attr2,
        round(l_discount * 100)::BIGINT AS attr3, l_orderkey AS attr4, l_suppkey AS attr5,
-       NULL::BIGINT AS attr6, NULL::BIGINT AS attr7, NULL::BIGINT AS attr8, NULL::BIGINT AS attr9,
-       NULL::BIGINT AS attr10
+       l_partkey AS attr6, floor(l_extendedprice)::BIGINT AS attr7, round(l_tax * 100)::BIGINT AS attr8,
+       l_orderkey % 10 AS attr9, l_partkey % 10 AS attr10
 FROM lineitem
 """
 
@@ -47,8 +47,8 @@ DEMO_EVENTS = """
 SELECT user_id::VARCHAR AS cust_identifier, ts AS tstamp, event_type AS country_code,
        event_id AS attr1, floor(value)::BIGINT AS attr2,
        json_extract_string(props, '$.k')::BIGINT AS attr3,
-       NULL::BIGINT AS attr4, NULL::BIGINT AS attr5, NULL::BIGINT AS attr6, NULL::BIGINT AS attr7,
-       NULL::BIGINT AS attr8, NULL::BIGINT AS attr9, NULL::BIGINT AS attr10
+       user_id AS attr4, event_id % 5 AS attr5, event_id % 6 AS attr6, event_id % 7 AS attr7,
+       event_id % 8 AS attr8, event_id % 9 AS attr9, event_id % 10 AS attr10
 FROM events
 """
 
@@ -189,7 +189,7 @@ ORACLES: dict[str, str] = {
     "registry_lookup": " UNION ALL ".join(
         f"SELECT '{name}' AS tablename, count(*) AS n_messages, {len(text.split(','))} AS n_fields "
         f"FROM {name.rpartition('.')[2]}" for name, text in ROUTED.items()
-    ) + f" UNION ALL SELECT '{UNLISTED}', count(*), NULL FROM part",
+    ) + f" UNION ALL SELECT '{UNLISTED}', count(*), 0 FROM part",
     "unknown_table_rejects": f"SELECT '{UNLISTED}' AS tablename, p_partkey FROM part",
     "append_table":
         "SELECT c_custkey, c_name, c_acctbal, NULL::VARCHAR AS note FROM customer "

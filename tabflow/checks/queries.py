@@ -134,7 +134,7 @@ def registry_lookup(spark, sf_dir):
     registry = read_registry(spark, rel.registry_path(spark, sf_dir))
     joined = with_registry(messages.select(table_name().alias("tablename"), "value"), registry)
     return joined.groupBy("tablename").agg(
-        F.count("*").alias("n_messages"), F.max(F.array_size("schema.fields")).alias("n_fields")
+        F.count("*").alias("n_messages"), F.coalesce(F.max(F.array_size("schema.fields")), F.lit(0)).alias("n_fields")
     )
 
 

@@ -99,7 +99,11 @@ def demo_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.col("l_discount") * 100).cast("bigint").alias("attr3"),
         F.col("l_orderkey").alias("attr4"),
         F.col("l_suppkey").alias("attr5"),
-        *[F.lit(None).cast("bigint").alias(f"attr{i}") for i in range(6, 11)],
+        F.col("l_partkey").alias("attr6"),
+        F.floor("l_extendedprice").cast("bigint").alias("attr7"),
+        F.round(F.col("l_tax") * 100).cast("bigint").alias("attr8"),
+        (F.col("l_orderkey") % 10).alias("attr9"),
+        (F.col("l_partkey") % 10).alias("attr10"),
     )
 
 
@@ -112,7 +116,8 @@ def demo_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("attr1"),
         F.floor("value").cast("bigint").alias("attr2"),
         F.get_json_object("props", "$.k").cast("bigint").alias("attr3"),
-        *[F.lit(None).cast("bigint").alias(f"attr{i}") for i in range(4, 11)],
+        F.col("user_id").alias("attr4"),
+        *[(F.col("event_id") % i).alias(f"attr{i}") for i in range(5, 11)],
     )
 
 
