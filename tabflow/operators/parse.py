@@ -7,6 +7,7 @@ for a good row. ``accept_all`` fails the job on the first bad row;
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -21,7 +22,11 @@ SOURCE, REASON = "_source", "_reject_reason"
 REJECT_SCHEMA = schema_from_text("value:STRING, reject_reason:STRING")
 
 # Options also keep the optimizer from splitting one parse into a parse per field.
-_JSON_OPTIONS = "map('mode', 'PERMISSIVE', 'allowSingleQuotes', 'false')"
+_JSON_OPTIONS = (
+    "map('mode', 'PERMISSIVE', 'allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"
+)
+# Text of the array element that shows where the source text ends.
+_END = "end of row"
 
 
 def _tag(df: DataFrame, raw: dict[str, str], schema: T.StructType, reason: str,
@@ -65,27 +70,34 @@ def tag_json(
     expected = "array(" + ", ".join(map(literal, schema.names)) + ")"
     source = quoted(value)
     carried = [quoted(name) for name in dict.fromkeys([*keep, value])]
-    # In brackets the parser must consume the whole text: trailing characters or
-    # a second object then show up as malformed input or as a longer array.
-    objects = (f"from_json(concat('[', {source}, ']'), {literal(f'array<struct<{as_text}>>')}, "
-               f"{_JSON_OPTIONS}) AS _objects")
+    # Parsed as the first of two array elements: if anything follows the object in
+    # the source text, the second element is not the end mark.
+    first = schema.names[0]
+    mark = json.dumps({first: _END})
+    objects = (f"from_json(concat('[', {source}, {literal(f',{mark}]')}), "
+               f"{literal(f'array<struct<{as_text}>>')}, {_JSON_OPTIONS}) AS _objects")
     keys = [] if allow_extra_keys else [f"json_object_keys({source}) AS _keys"]
     parsed = df.selectExpr(*carried, objects, *keys).selectExpr(
-        "*", "CASE WHEN size(_objects) = 1 THEN get(_objects, 0) END AS _row"
+        "*",
+        f"CASE WHEN size(_objects) = 2 AND get(_objects, 1).{quoted(first)} = {literal(_END)} "
+        "THEN get(_objects, 0) END AS _row",
     )
 
-    cases = ["WHEN _row IS NULL THEN 'malformed'"]
+    # Rows without NULLs are well formed and have every key. Only the others list their
+    # keys; there are none to list if a value is malformed.
+    complete = " AND ".join(f"{column} IS NOT NULL" for column in raw.values())
+    found = f"json_object_keys({source})" if allow_extra_keys else "_keys"
+    cases = ["WHEN _row IS NULL THEN 'malformed'",
+             f"WHEN NOT ({complete}) AND {found} IS NULL THEN 'malformed'"]
     if require_keys:
-        # A row without NULLs has every key; only the others list their keys.
-        complete = " AND ".join(f"{column} IS NOT NULL" for column in raw.values())
-        missing = f"array_except({expected}, json_object_keys({source}))"
+        missing = f"array_except({expected}, {found})"
         cases.append(f"WHEN NOT ({complete}) AND size({missing}) > 0 "
                      f"THEN concat('missing ', array_join({missing}, ','))")
     if not allow_extra_keys:
         # As many values as keys means that the schema knows every key; else compare them.
         values = " + ".join(f"int({column} IS NOT NULL)" for column in raw.values())
-        extra = f"array_except(_keys, {expected})"
-        cases.append(f"WHEN size(_keys) != {values} AND size({extra}) > 0 "
+        extra = f"array_except({found}, {expected})"
+        cases.append(f"WHEN size({found}) != {values} AND size({extra}) > 0 "
                      f"THEN concat('unknown ', array_join({extra}, ','))")
     return _tag(parsed, raw, schema, f"CASE {' '.join(cases)} END", keep, value)
 
