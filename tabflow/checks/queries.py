@@ -15,7 +15,6 @@ from ..functions.hashing import bucket_of, portable_hash
 from ..functions.schema import (
     ACCOUNT_SCHEMA,
     COUNT_SCHEMA,
-    SCENARIO_SCHEMA,
     schema_from_fields,
     schema_from_text,
 )

@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import Column, SparkSession
-from pyspark.sql import functions as F
 
 from ..functions.hashing import Hasher, stable_hash
 from ..operators.accounts import generate_accounts

@@ -58,5 +58,10 @@ def append_load(
 
 
 def read_loads(spark: SparkSession, table: str) -> DataFrame:
-    """All loads of a table, without the load column."""
+    """All loads of a table, without the load column.
+
+    A stream writes in a session of its own, so the files this session remembers
+    may be out of date.
+    """
+    spark.catalog.refreshTable(table)
     return spark.table(table).drop(LOAD_ID)

@@ -102,9 +102,10 @@ def test_generated_messages_parse(spark, tmp_path):
 @pytest.fixture(scope="module")
 def days(spark):
     """100 rows on each of three days, copies of ten customers."""
+    start = F.lit("2024-01-01 10:00:00").cast("timestamp_ntz")
     return spark.range(300).select(
         (ident() % 10).cast("string").alias("cust_identifier"),
-        F.timestamp_add("DAY", (ident() % 3).cast("int"), F.lit("2024-01-01 10:00:00").cast("timestamp_ntz")).alias("tstamp"),
+        F.timestamp_add("DAY", (ident() % 3).cast("int"), start).alias("tstamp"),
         ident().alias("attr1"),
     )
 

@@ -12,7 +12,7 @@ from tabflow.operators.registry_join import require_known, table_name, unknown_m
 from tabflow.plans.ingest import count_accounts_job, load_csv_job, load_tables_job
 from tabflow.plans.routing import REJECTS, Target, route_messages
 from tabflow.session import fresh_path, shared_dir
-from tabflow.sinks.tables import append_table
+from tabflow.sinks.tables import append_table, read_loads
 from tabflow.sources.messages import message_stream
 from tabflow.streaming.ingest import append_stream, ingest_accounts, parse_accounts, tap_keys
 from tabflow.streaming.router import route_stream
@@ -179,6 +179,43 @@ def test_ingest_stream_modes(spark, tmp_path):
     ]
 
 
+def _forget_last_commit(checkpoint):
+    """As after a crash between a batch's writes and its commit: the batch runs again."""
+    commits = sorted((p for p in (checkpoint / "commits").iterdir() if p.name.isdigit()), key=lambda p: int(p.name))
+    for path in (commits[-1], commits[-1].with_name(f".{commits[-1].name}.crc")):
+        path.unlink(missing_ok=True)
+
+
+@pytest.mark.parametrize("mode", ["strict", "permissive"])
+def test_a_repeated_batch_changes_nothing(spark, tmp_path, mode):
+    source = tmp_path / "in"
+    source.mkdir()
+    good = [account(n) for n in range(3)]
+    bad = ["broken"] if mode == "permissive" else []
+    (source / "1.txt").write_text("\n".join(good + bad) + "\n")
+    table, checkpoint = f"repeated_{mode}", tmp_path / "checkpoint"
+    for _ in range(2):
+        query = ingest_accounts(message_stream(spark, str(source)), table, str(tmp_path / "rows"),
+                                str(checkpoint), mode, drain=True)
+        query.awaitTermination()
+        assert query.recentProgress and query.recentProgress[0].batchId == 0
+        _forget_last_commit(checkpoint)
+        assert read_loads(spark, table).count() == 3
+        assert mode == "strict" or read_loads(spark, f"{table}_rejects").count() == 1
+
+
+def test_a_repeated_routed_batch_changes_nothing(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "1.txt").write_text("\n".join([ONE, TWO, UNKNOWN, UNPARSED]) + "\n")
+    target, checkpoint = Target(str(tmp_path / "out"), SCHEMAS, prefix="again_"), tmp_path / "checkpoint"
+    for _ in range(2):
+        route_stream(message_stream(spark, str(source)), target, str(checkpoint), str(tmp_path / "stage"),
+                     mode="permissive", drain=True).awaitTermination()
+        _forget_last_commit(checkpoint)
+        assert [target.read(spark, name).count() for name in ("p:d.one", "p:d.two", REJECTS)] == [1, 1, 2]
+
+
 def test_tap_logs_and_writes_nothing(spark, tmp_path, caplog):
     source = tmp_path / "in"
     source.mkdir()
