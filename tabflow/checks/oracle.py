@@ -251,6 +251,8 @@ ORACLES: dict[str, str] = {
         FROM runs GROUP BY job_group ORDER BY job_group""",
     "layout_date_cust": f"SELECT *, tstamp::DATE AS tstamp_date FROM ({DEMO_EVENTS})",
     "layout_bucket_ts": f"SELECT *, true AS in_bucket FROM ({DEMO_EVENTS})",
+    "layout_bucket_by": DEMO_EVENTS,
+    "lookup_bucket_by": _lookup(_BY_CASE["c3"]),
     "layout_date_plain": f"SELECT *, tstamp::DATE AS tstamp_date FROM ({DEMO_EVENTS})",
     **{f"lookup_{case}{part}": _lookup(where) for case, where in _BY_CASE.items() for part in ("q1", "q2", "q3")},
     "layout_matches": f"""

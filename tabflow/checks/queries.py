@@ -33,8 +33,10 @@ from ..plans.layouts import (
     LOOKUP_CODES,
     Layout,
     computed,
+    lookup,
     run_lookup,
     with_bucket,
+    write_bucket_by,
     write_bucketed,
     write_date_clustered,
     write_date_plain,
@@ -353,6 +355,13 @@ def layout_bucket_ts(spark, sf_dir):
     return _zoneless(spark.table(table).withColumn("in_bucket", expected).drop(BUCKET))
 
 
+@query("layout_bucket_by")
+def layout_bucket_by(spark, sf_dir):
+    table, path = _fresh_table(spark, "layout_bucket_by")
+    write_bucket_by(rel.demo_events(spark, sf_dir), table, path, rel.BUCKETS)
+    return _zoneless(spark.table(table))
+
+
 @query("layout_date_plain")
 def layout_date_plain(spark, sf_dir):
     table, path = _fresh_table(spark, "layout_plain")
@@ -368,6 +377,17 @@ for _code in LOOKUP_CODES:
     QUERIES[f"lookup_{_code}"] = partial(_lookup, _code)
 
 
+@query("lookup_bucket_by")
+def lookup_bucket_by(spark, sf_dir):
+    def make():
+        table, path = _fresh_table(spark, "demo_bucket_by")
+        write_bucket_by(rel.demo_events(spark, sf_dir), table, path, rel.BUCKETS)
+        return Layout(table)
+
+    layout = rel.once(spark, sf_dir, "bucketed events", make)
+    return _zoneless(lookup(fix_time_settings(spark), layout, CUSTOMER, DAY))
+
+
 @query("layout_report")
 def layout_comparison(spark, sf_dir):
     return layout_report(fix_time_settings(spark), rel.layouts(spark, sf_dir))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections.abc import Sequence
 from datetime import date
 
@@ -36,7 +37,7 @@ def shift_replicate(
     if iterations is None or iterations <= 1:
         return source.limit(0)
     if rate is None:
-        rate = df.sparkSession.range(1).select(F.rand(seed)).first()[0]
+        rate = random.Random(seed).random()
     shifted = source.withColumn("_shift", F.explode(F.sequence(F.lit(1), F.lit(iterations - 1))))
     if key is None:
         kept = shifted.where(F.rand(seed) < rate)

@@ -19,7 +19,7 @@ PROJECT = "layouts"
 RUN_DDL = JOB_LOG_DDL + ", rows_matched bigint, rows_read bigint, files_read bigint"
 
 
-def _scan_metrics(executed: DataFrame) -> dict[str, int]:
+def scan_metrics(executed: DataFrame) -> dict[str, int]:
     """Files, bytes and rows the scans of an executed query took, from its plan's SQL metrics."""
     totals = {"numFiles": 0, "filesSize": 0, "numOutputRows": 0}
     pending = [executed._jdf.queryExecution().executedPlan()]
@@ -49,7 +49,7 @@ def _measure(spark: SparkSession, layouts: Layouts, code: str, customer, day) ->
     start = datetime.now(timezone.utc).replace(tzinfo=None)
     matched = total.collect()[0]["n"]
     end = datetime.now(timezone.utc).replace(tzinfo=None)
-    read = _scan_metrics(total)
+    read = scan_metrics(total)
     job_id = f"cpperf_{code}_{uuid.uuid4().hex}"
     return (job_id, start, start, end, read["filesSize"], read["filesSize"], "QUERY", PROJECT,
             matched, read["numOutputRows"], read["numFiles"])

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tabflow.operators.counts import count_lines, count_per_country, count_per_window, latest_date
 from tabflow.plans.job_history import JOB_LOG_DDL, job_history_summary
-from tabflow.plans.layout_report import layout_report, run_lookups
+from tabflow.plans.layout_report import layout_report, run_lookups, scan_metrics
 from tabflow.plans.layouts import (
     LOOKUP_CODES,
     Layout,
@@ -14,6 +14,7 @@ from tabflow.plans.layouts import (
     computed,
     lookup,
     run_lookup,
+    write_bucket_by,
     write_bucketed,
     write_date_clustered,
     write_date_plain,
@@ -49,6 +50,7 @@ def layouts(spark, base, tmp_path_factory):
     write_date_clustered(base, "l_date", str(root / "date"), tasks=8)
     write_bucketed(base, "l_bucket", str(root / "bucket"), buckets=8, tasks=8)
     write_date_plain(base, "l_plain", str(root / "plain"))
+    write_bucket_by(base, "l_bucket_by", str(root / "by"), buckets=8, tasks=8)
     return result
 
 
@@ -67,6 +69,24 @@ def test_lookups(spark, base, layouts, code, customer):
     assert as_rows(run_lookup(spark, layouts, code, customer, DAY)) == as_rows(computed(expected))
 
 
+@pytest.mark.parametrize("customer", ["17", "hot", "nobody"])
+def test_lookups_in_a_bucketed_table(spark, base, layouts, customer):
+    expected = base.where(F.col("cust_identifier") == customer)
+    layout = Layout("l_bucket_by")
+    assert as_rows(lookup(spark, layout, customer)) == as_rows(computed(expected))
+    expected = expected.where(F.to_date("tstamp") == F.lit(DAY))
+    assert as_rows(lookup(spark, layout, customer, DAY)) == as_rows(computed(expected))
+
+
+def test_a_bucketed_table_prunes_and_counts_without_a_shuffle(spark, base, layouts):
+    found = lookup(spark, Layout("l_bucket_by"), "17").groupBy().count()
+    found.collect()
+    assert scan_metrics(found)["numOutputRows"] < 40_000 / 4
+    counts = spark.table("l_bucket_by").groupBy("cust_identifier").count()
+    assert "Exchange" not in counts._jdf.queryExecution().executedPlan().toString()
+    assert as_rows(counts) == as_rows(base.groupBy("cust_identifier").count())
+
+
 def test_lookup_needs_a_filter(spark, layouts):
     with pytest.raises(ValueError):
         lookup(spark, layouts.date_plain)
@@ -74,14 +94,14 @@ def test_lookup_needs_a_filter(spark, layouts):
 
 def test_layouts_keep_every_row(spark, base, layouts):
     wanted = as_rows(base)
-    for layout in (layouts.date_clustered, layouts.bucketed, layouts.date_plain):
-        assert as_rows(spark.table(layout.table).select(*base.columns)) == wanted
+    for table in ("l_date", "l_bucket", "l_plain", "l_bucket_by"):
+        assert as_rows(spark.table(table).select(*base.columns)) == wanted
 
 
 def test_a_hot_key_is_spread_over_tasks(spark, layouts):
     """No task may write more than about its share, hot day, customer or copies or not."""
-    for layout in (layouts.date_clustered, layouts.bucketed):
-        per_file = spark.table(layout.table).groupBy("_metadata.file_name").count().collect()
+    for table in ("l_date", "l_bucket", "l_bucket_by"):
+        per_file = spark.table(table).groupBy("_metadata.file_name").count().collect()
         # All files of one task share the part number at the start of the name.
         per_task = {}
         for r in per_file:
