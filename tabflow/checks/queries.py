@@ -476,7 +476,8 @@ for _function in (credit.credit_score, credit.credit_score_name, credit.credit_s
 def stream_append(spark, sf_dir):
     table, path = _fresh_table(spark, "stream_append")
     schema = rel.table(spark, sf_dir, "lineitem").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
+    # A pattern, as the table may be one file or a folder of files.
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/lineitem.parquet*")
     rows = stream.select("l_orderkey", "l_linenumber", "l_shipdate", "l_tax")
     append_stream(rows, path, path + "-checkpoint", table, drain=True).awaitTermination()
     return spark.table(table)
