@@ -43,7 +43,7 @@ from ..plans.layouts import (
 )
 from ..plans.routing import REJECTS, Target, route_counts
 from ..plans.synthetic import replicate_day_job
-from ..session import fresh_path, fix_time_settings
+from ..session import fresh_path, apply_settings
 from ..sinks.files import publish_messages, write_lines, write_ndjson
 from ..sinks.tables import append_table
 from ..sources.lines import read_lines, read_ndjson
@@ -91,7 +91,7 @@ def _fresh_table(spark: SparkSession, name: str) -> tuple[str, str]:
 def scan_table(spark, sf_dir):
     name = rel.once(spark, sf_dir, "orders table", lambda: _fresh_table(spark, "orders")[0])
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{sf_dir}/orders.parquet'")
-    return read_table(fix_time_settings(spark), name)
+    return read_table(apply_settings(spark), name)
 
 
 @query("scan_text")
@@ -370,7 +370,7 @@ def layout_date_plain(spark, sf_dir):
 
 
 def _lookup(code: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _zoneless(run_lookup(fix_time_settings(spark), rel.layouts(spark, sf_dir), code, CUSTOMER, DAY))
+    return _zoneless(run_lookup(apply_settings(spark), rel.layouts(spark, sf_dir), code, CUSTOMER, DAY))
 
 
 for _code in LOOKUP_CODES:
@@ -385,18 +385,18 @@ def lookup_bucket_by(spark, sf_dir):
         return Layout(table)
 
     layout = rel.once(spark, sf_dir, "bucketed events", make)
-    return _zoneless(lookup(fix_time_settings(spark), layout, CUSTOMER, DAY))
+    return _zoneless(lookup(apply_settings(spark), layout, CUSTOMER, DAY))
 
 
 @query("layout_report")
 def layout_comparison(spark, sf_dir):
-    return layout_report(fix_time_settings(spark), rel.layouts(spark, sf_dir))
+    return layout_report(apply_settings(spark), rel.layouts(spark, sf_dir))
 
 
 @query("layout_matches")
 def layout_matches(spark, sf_dir):
     """Rows found by the lookups of a report, which must not depend on the layout."""
-    log = run_lookups(fix_time_settings(spark), rel.layouts(spark, sf_dir), hasher=portable_hash)
+    log = run_lookups(apply_settings(spark), rel.layouts(spark, sf_dir), hasher=portable_hash)
     return log.groupBy(query_code(F.col("job_id")).alias("job_group")).agg(
         F.count("*").alias("num_exec"), F.sum("rows_matched").alias("rows_matched")
     )
