@@ -235,6 +235,9 @@ ORACLES: dict[str, str] = {
     "window_count_stream":
         "SELECT time_bucket(INTERVAL 60 SECOND, ts) AS window_start, event_type AS country_name, "
         "count(*) AS num_cc_card FROM events GROUP BY 1, 2",
+    "window_count_accounts":
+        f"SELECT time_bucket(INTERVAL 60 SECOND, date_record_created) AS window_start, "
+        f"country_code AS country_name, count(*) AS num_cc_card FROM ({ACCOUNTS}) GROUP BY 1, 2",
     "latest_date": f"WITH demo AS ({DEMO_LINEITEM}) SELECT max(tstamp::DATE) AS latest_date FROM demo",
     "job_history_summary": f"""
         WITH jobs AS ({JOB_LOG}), runs AS (

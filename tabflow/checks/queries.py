@@ -52,7 +52,7 @@ from ..sources.registry import read_registry, registry_schemas
 from ..sources.tables import read_table
 from ..streaming.ingest import append_stream, ingest_accounts, parse_accounts, tap_keys
 from ..streaming.router import route_stream
-from ..streaming.windows import window_counts
+from ..streaming.windows import count_accounts_stream, window_counts
 from . import relations as rel
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -519,3 +519,14 @@ def window_count_stream(spark, sf_dir):
     counts = window_counts(stream, "ts", key="event_type")
     append_stream(counts, path, path + "-checkpoint", drain=True).awaitTermination()
     return _zoneless(spark.read.schema(counts.schema).parquet(path), "window_start")
+
+
+@query("window_count_accounts")
+def window_count_accounts(spark, sf_dir):
+    """The whole way from message to counts; the record's time stands in for the publish time."""
+    messages = message_stream(spark, rel.closed_account_messages(spark, sf_dir))
+    published = F.get_json_object("value", "$.date_record_created").cast("timestamp")
+    table, path = _fresh_table(spark, "window_accounts")
+    count_accounts_stream(messages.withColumn("timestamp", published), path, path + "-checkpoint",
+                          table=table, drain=True).awaitTermination()
+    return _zoneless(spark.table(table), "window_start")

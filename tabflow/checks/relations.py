@@ -147,6 +147,18 @@ def account_messages(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, sf_dir, "account messages", make)
 
 
+def closed_account_messages(spark: SparkSession, sf_dir: str) -> str:
+    """Account messages and one of the far future, which closes the windows of the others."""
+    def make() -> str:
+        path = fresh_path(spark, "closed-account-messages")
+        rows = accounts(spark, sf_dir)
+        last = rows.limit(1).withColumn("date_record_created", F.lit("2100-01-01 00:00:00"))
+        publish_messages(rows.unionAll(last), path, fmt="text")
+        return path
+
+    return once(spark, sf_dir, "closed account messages", make)
+
+
 def event_messages(spark: SparkSession, sf_dir: str) -> str:
     def make() -> str:
         path = fresh_path(spark, "event-messages")

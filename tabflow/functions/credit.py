@@ -16,14 +16,14 @@ from .hashing import Hasher, draw, stable_hash
 
 @dataclass(frozen=True)
 class ScoreType:
-    name: str = "FICO Score 8"
-    providers: tuple[str, ...] = ("Equifax", "Experian", "TransUnion")
-    low: int = 300
-    high: int = 850
+    name: str
+    providers: tuple[str, ...]
+    low: int
+    high: int
 
 
 # Score types with their providers and inclusive ranges.
-FICO8 = ScoreType()
+FICO8 = ScoreType("FICO Score 8", ("Equifax", "Experian", "TransUnion"), 300, 850)
 FICO5 = ScoreType("Equifax Beacon 5.0", ("Equifax",), 334, 818)
 FICO2 = ScoreType("Experian/Fair Isaac Risk Model V2SM", ("Experian",), 320, 844)
 FICO4 = ScoreType("TransUnion FICO Risk Score, Classic 04", ("TransUnion",), 309, 839)

@@ -8,12 +8,11 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import date_of
 from ..functions.hashing import Hasher, stable_hash
 from ..functions.text import query_code
 from ..operators.sample import first_values, pick_values
 from .job_history import JOB_LOG_DDL, job_history_summary
-from .layouts import LOOKUP_CODES, Layouts, run_lookup
+from .layouts import DATE, LOOKUP_CODES, Layouts, run_lookup
 
 PROJECT = "layouts"
 RUN_DDL = JOB_LOG_DDL + ", rows_matched bigint, rows_read bigint, files_read bigint"
@@ -58,10 +57,13 @@ def _measure(spark: SparkSession, layouts: Layouts, code: str, customer, day) ->
 def run_lookups(
     spark: SparkSession, layouts: Layouts, runs: int = 10, hasher: Hasher = stable_hash
 ) -> DataFrame:
-    """``runs`` parameter values for each of the nine lookups; a job log with scan counters."""
+    """``runs`` parameter values for each of the nine lookups; a job log with scan counters.
+
+    Empties the session's cache first: a cached table would be no measure of its layout.
+    """
     base = spark.table(layouts.date_clustered.table)
     keys = first_values(base, F.col("cust_identifier"), "cust_identifier", runs)
-    days = first_values(base, date_of(F.col("tstamp")), "day", runs)
+    days = first_values(base, F.col(DATE), "day", runs)
     customers = [r[0] for r in pick_values(keys, "cust_identifier", runs, "customer", hasher).collect()]
     dates = [r[0] for r in pick_values(days, "day", runs, "day", hasher).collect()]
     spark.catalog.clearCache()

@@ -33,7 +33,8 @@ def cluster_by_range(df: DataFrame, partition: str, cluster: str, tasks: int | N
     """Tasks of neighbouring (partition, cluster) ranges, sorted within.
 
     The range bounds come from a sample, at the price of one more pass over the
-    input. ``tasks`` defaults to the shuffle setting, merged by AQE where small.
+    input: store an input that is costly to compute before. ``tasks`` defaults to the
+    shuffle setting, merged by AQE where small.
     """
     keys = [partition, cluster, _SPREAD]
     spread = df.withColumn(_SPREAD, F.spark_partition_id())

@@ -8,7 +8,3 @@ from pyspark.sql import DataFrame, SparkSession
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     """A whole catalog table; Catalyst drops the columns nobody selects."""
     return spark.table(name)
-
-
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,13 +32,16 @@ def append_stream(
     return writer.toTable(table) if table else writer.start()
 
 
-def tag_accounts(messages: DataFrame) -> DataFrame:
-    """Account rows from JSON payloads: all 14 keys needed, further keys dropped."""
-    return tag_json(messages, ACCOUNT_SCHEMA, require_keys=True, allow_extra_keys=True)
+def tag_accounts(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Account rows from JSON payloads: all 14 keys needed, further keys dropped.
+
+    ``keep`` names message columns to carry along, such as the publish time.
+    """
+    return tag_json(messages, ACCOUNT_SCHEMA, require_keys=True, allow_extra_keys=True, keep=keep)
 
 
-def parse_accounts(messages: DataFrame) -> DataFrame:
-    return accept_all(tag_accounts(messages))
+def parse_accounts(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return accept_all(tag_accounts(messages, keep))
 
 
 def batch_load_id(batch: DataFrame, batch_id: int) -> str:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.counts import count_per_window
+from .ingest import append_stream, parse_accounts
 
 
 def window_counts(accounts: DataFrame, ts: str, lateness: str = "0 seconds",
@@ -18,6 +19,15 @@ def window_counts(accounts: DataFrame, ts: str, lateness: str = "0 seconds",
     return count_per_window(accounts.withWatermark(ts, lateness), ts, key, width)
 
 
+def count_accounts_stream(
+    messages: DataFrame, path: str, checkpoint: str, ts: str = "timestamp", lateness: str = "0 seconds",
+    table: str | None = None, drain: bool = False,
+) -> StreamingQuery:
+    """Account messages counted per country and minute of their publish time, appended to a table."""
+    counts = window_counts(parse_accounts(messages, keep=[ts]), ts, lateness)
+    return append_stream(counts, path, checkpoint, table, drain)
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Rows dropped behind the watermark in the progress the query still remembers.
 
