@@ -26,6 +26,11 @@ class Target:
     schemas: dict[str, T.StructType]
     prefix: str = ""
 
+    def __post_init__(self) -> None:
+        tables = [self.table(name) for name in [*self.schemas, REJECTS]]
+        if len(set(tables)) < len(tables):
+            raise ValueError("two registry names stand for the same table")
+
     def table(self, name: str) -> str:
         """The catalog name: a registry name may hold characters an identifier may not."""
         return self.prefix + re.sub(r"\W", "_", name)

@@ -114,6 +114,22 @@ def test_route_strict_writes_nothing_on_an_unknown_table(spark, tmp_path):
         route_messages(messages(spark, UNPARSED), target, "l0", str(tmp_path / "stage"))
 
 
+@pytest.mark.parametrize("names", [("a.b", "a_b"), ("_rejects",), ("a", ".rejects")])
+def test_targets_must_not_share_a_table(names):
+    with pytest.raises(ValueError):
+        Target("/x", {name: SCHEMAS["p:d.one"] for name in names})
+
+
+def test_a_hot_table_is_many_tasks(spark, tmp_path):
+    """All messages but one belong to one table: its load must not be one task."""
+    target = Target(str(tmp_path), SCHEMAS, prefix="hot_")
+    lines = spark.range(0, 8000, 1, 8).selectExpr(f"if(id = 5, '{TWO}', '{ONE}') AS value")
+    assert route_messages(lines, target, "l0", str(tmp_path / "stage")) == ["p:d.one", "p:d.two"]
+    hot = spark.table(target.table("p:d.one"))
+    sizes = [r["count"] for r in hot.groupBy("_metadata.file_name").count().collect()]
+    assert sum(sizes) == 7999 and len(sizes) == 8 and max(sizes) == 1000
+
+
 def test_route_permissive_and_repeat(spark, tmp_path):
     target = Target(str(tmp_path), SCHEMAS, prefix="some_")
     batch = messages(spark, ONE, ONE, TWO, UNKNOWN, NAMELESS, UNPARSED, "broken")
