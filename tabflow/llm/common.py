@@ -58,3 +58,9 @@ def texts(column: pa.Array) -> Iterator[str]:
 def in_bucket(column: str, modulus: int):
     """crc32 of the column as text, modulo ``modulus``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+def row_key(id_col: str, text_col: str):
+    """16 bytes that stand for an id and its text; rows that agree in both share it."""
+    whole = F.concat_ws("\x00", F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.coalesce(F.col(text_col), F.lit("")))
+    return F.unhex(F.md5(whole))

@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tabflow.llm.common import table
+from tabflow.llm.golay_simhash import simhash_groups
 from tabflow.llm.piece_agenda import encode_decode
 from tabflow.llm.token_count import count_tokens
 
@@ -24,12 +25,17 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), vocabulary(BYTE_VOCABULARY))
 
 
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), vocabulary(PIECE_VOCABULARY))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
+    "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op9_sentencepiece": op9_sentencepiece,
 }
 
