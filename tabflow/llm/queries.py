@@ -7,9 +7,12 @@ from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tabflow.llm.bestfit_pack import pack_documents
 from tabflow.llm.common import table
 from tabflow.llm.golay_simhash import simhash_groups
+from tabflow.llm.line_windows import LINE_SQL, drop_repeated_lines
 from tabflow.llm.piece_agenda import encode_decode
 from tabflow.llm.token_count import count_tokens
 
@@ -25,6 +28,16 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), vocabulary(BYTE_VOCABULARY))
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(op2_token_counts(spark, sf_dir))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = drop_repeated_lines(table(spark, sf_dir, "documents"), window=3)
+    text = F.coalesce("text", F.lit(""))
+    return left.select("doc_id", "n_lines", "n_removed", F.sha2(text.cast("binary"), 256).alias("kept_sha256"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
@@ -35,8 +48,12 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
+    "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_line_dedup": op4_line_dedup,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op9_sentencepiece": op9_sentencepiece,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_line_dedup": LINE_SQL,
+}
