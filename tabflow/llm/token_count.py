@@ -10,6 +10,7 @@ and runs of white space. Special strings inside a text are one token each.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,7 +25,13 @@ PRE_TOKENS = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
-KEPT_WORDS = 400_000  # merged pre-tokens a worker remembers; beyond it merges anew
+# The same classes spelt out for texts below U+0180, which the standard library matches faster.
+_L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-ſ", "0-9²³¹¼-¾", "\t-\r \x85\xa0"
+LATIN_PRE_TOKENS = (
+    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
+)
+BEYOND_LATIN = "[^\x00-ſ]"
+KEPT_WORDS = 1_000_000  # merged pre-tokens a worker remembers; beyond it merges anew
 KEPT_LENGTH = 64
 
 
@@ -35,6 +42,20 @@ def byte_letters() -> list[str]:
     return [chr(b if b in prints else next(spare)) for b in range(256)]
 
 
+def merged_length(symbols: list[str], ranks: dict[tuple[str, str], int]) -> int:
+    """How many symbols are left of a word; short ones need no agenda."""
+    if len(symbols) > KEPT_LENGTH:
+        return len(merge_adjacent(symbols, lambda a, b: ranks.get((a, b))))
+    never = len(ranks)
+    while len(symbols) > 1:
+        offers = [ranks.get(pair, never) for pair in zip(symbols, symbols[1:])]
+        if (least := min(offers)) == never:
+            break
+        at = offers.index(least)
+        symbols[at:at + 2] = [symbols[at] + symbols[at + 1]]
+    return len(symbols)
+
+
 class _Counts(dict):
     """Tokens of each pre-token; one not yet known is merged."""
 
@@ -44,7 +65,7 @@ class _Counts(dict):
 
     def __missing__(self, word: str) -> int:
         symbols = [self.letters[b] for b in word.encode()]
-        n = len(merge_adjacent(symbols, lambda a, b: self.ranks.get((a, b))))
+        n = merged_length(symbols, self.ranks)
         if len(self) < KEPT_WORDS and len(word) <= KEPT_LENGTH:
             self[word] = n
         return n
@@ -64,7 +85,7 @@ class TokenCounter:
         pairs = (tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"])
         self.ranks = {pair: rank for rank, pair in enumerate(pairs)}
         special = sorted((t["content"] for t in added), key=len, reverse=True)
-        self.special = "|".join(map(regex.escape, special))
+        self.special = "|".join(map(re.escape, special))
         self.whole = self._prove(model["vocab"])
         self._counts: _Counts | None = None
 
@@ -83,18 +104,18 @@ class TokenCounter:
         return whole
 
     def __getstate__(self):
-        return self.__dict__ | {"_counts": None}
+        return {k: v for k, v in self.__dict__.items() if k in ("ranks", "special", "whole")} | {"_counts": None}
 
     def count(self, text: str) -> int:
         if self._counts is None:
             self._counts = _Counts(self.whole, self.ranks)
-            self._find = regex.compile(PRE_TOKENS).findall
-            self._split = regex.compile(self.special) if self.special else None
+            self._beyond = re.compile(BEYOND_LATIN).search
+            self._latin, self._any = re.compile(LATIN_PRE_TOKENS).findall, regex.compile(PRE_TOKENS).findall
+            self._split = re.compile(self.special).split if self.special else lambda text: [text]
         known = self._counts.__getitem__
-        if self._split is None:
-            return sum(map(known, self._find(text)))
-        parts = self._split.split(text)
-        return len(parts) - 1 + sum(sum(map(known, self._find(part))) for part in parts)
+        find = self._any if self._beyond(text) else self._latin
+        parts = self._split(text)
+        return len(parts) - 1 + sum(sum(map(known, find(part))) for part in parts)
 
 
 def count_tokens(docs: DataFrame, vocabulary: bytes, id_col: str = "doc_id", text_col: str = "text",
