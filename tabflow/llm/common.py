@@ -64,3 +64,47 @@ def row_key(id_col: str, text_col: str):
     """16 bytes that stand for an id and its text; rows that agree in both share it."""
     whole = F.concat_ws("\x00", F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.coalesce(F.col(text_col), F.lit("")))
     return F.unhex(F.md5(whole))
+
+
+SPACES = np.zeros(256, bool)
+SPACES[[9, 10, 11, 12, 13, 32]] = True
+_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
+_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+def word_spans(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first byte, byte after the last, text) of every word between ASCII white space."""
+    letter = ~SPACES[data]
+    cut = np.zeros(len(data) + 1, bool)
+    cut[starts] = True
+    begin = np.flatnonzero(letter & (cut[:-1] | np.r_[True, ~letter[:-1]]))
+    end = np.flatnonzero(letter & (cut[1:] | np.r_[~letter[1:], True])) + 1
+    return begin, end, np.searchsorted(starts, begin, "right") - 1
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """Spreads 64-bit values evenly."""
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
+def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes of each span, the same wherever they stand."""
+    def powers(base: int) -> np.ndarray:
+        out = np.full(len(data) + 1, base, np.uint64)
+        out[0] = 1
+        return np.cumprod(out)
+
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(_BASE)[:-1], out=total[1:])
+    return mixed((total[end] - total[begin]) * powers(_BASE_INVERSE)[begin] + (end - begin).astype(np.uint64))
+
+
+def by_bytes(starts: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of at most ``most`` bytes, or of one longer text."""
+    lo = 0
+    while lo < len(starts) - 1:
+        hi = max(lo + 1, int(np.searchsorted(starts, starts[lo] + most, "right")) - 1)
+        yield lo, hi
+        lo = hi
