@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabflow.llm.merging import merge_adjacent
+from tabflow.llm.merging import NEVER, merge_adjacent
 
 # The contractions and character classes of the byte-level pre-tokenizer.
 PRE_TOKENS = (
@@ -42,20 +42,6 @@ def byte_letters() -> list[str]:
     return [chr(b if b in prints else next(spare)) for b in range(256)]
 
 
-def merged_length(symbols: list[str], ranks: dict[tuple[str, str], int]) -> int:
-    """How many symbols are left of a word; short ones need no agenda."""
-    if len(symbols) > KEPT_LENGTH:
-        return len(merge_adjacent(symbols, lambda a, b: ranks.get((a, b))))
-    never = len(ranks)
-    while len(symbols) > 1:
-        offers = [ranks.get(pair, never) for pair in zip(symbols, symbols[1:])]
-        if (least := min(offers)) == never:
-            break
-        at = offers.index(least)
-        symbols[at:at + 2] = [symbols[at] + symbols[at + 1]]
-    return len(symbols)
-
-
 class _Counts(dict):
     """Tokens of each pre-token; one not yet known is merged."""
 
@@ -65,7 +51,7 @@ class _Counts(dict):
 
     def __missing__(self, word: str) -> int:
         symbols = [self.letters[b] for b in word.encode()]
-        n = merged_length(symbols, self.ranks)
+        n = len(merge_adjacent(symbols, lambda a, b: self.ranks.get((a, b), NEVER)))
         if len(self) < KEPT_WORDS and len(word) <= KEPT_LENGTH:
             self[word] = n
         return n
@@ -96,7 +82,7 @@ class TokenCounter:
         for token in vocab:
             if not all(c in byte_of for c in token):
                 continue
-            if len(merge_adjacent(list(token), lambda a, b: self.ranks.get((a, b)))) == 1:
+            if len(merge_adjacent(list(token), lambda a, b: self.ranks.get((a, b), NEVER))) == 1:
                 try:
                     whole.add(bytes(byte_of[c] for c in token).decode())
                 except UnicodeDecodeError:
