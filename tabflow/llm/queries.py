@@ -9,11 +9,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabflow.llm import gru_langid, quality_mil
 from tabflow.llm.bestfit_pack import pack_documents
-from tabflow.llm.common import table
+from tabflow.llm.common import in_bucket, table
 from tabflow.llm.golay_simhash import simhash_groups
 from tabflow.llm.line_windows import LINE_SQL, drop_repeated_lines
 from tabflow.llm.piece_agenda import encode_decode
+from tabflow.llm.scaled_sketch import edited_likeness
 from tabflow.llm.token_count import count_tokens
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -24,6 +26,13 @@ def vocabulary(name: str) -> bytes:
     return Path(public_tokenizers.path(name)).read_bytes()
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_mil.learn(docs, table(spark, sf_dir, "labels"), folds=5, held=0)
+    scored = quality_mil.score_quality(docs, model, threshold=0.3)
+    return scored.select("doc_id", (in_bucket("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), vocabulary(BYTE_VOCABULARY))
 
@@ -42,16 +51,29 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_likeness(table(spark, sf_dir, "documents"))
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), vocabulary(PIECE_VOCABULARY))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = gru_langid.identify(docs, gru_langid.learn(docs, folds=3, held=1))
+    return found.select("doc_id", (in_bucket("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "agreement")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_token_counts": op2_token_counts,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_line_dedup": op4_line_dedup,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op8_document_fingerprints": op8_document_fingerprints,
     "op9_sentencepiece": op9_sentencepiece,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLES: dict[str, str] = {
