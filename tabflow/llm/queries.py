@@ -15,6 +15,7 @@ from tabflow.llm.common import in_bucket, table
 from tabflow.llm.golay_simhash import simhash_groups
 from tabflow.llm.line_windows import LINE_SQL, drop_repeated_lines
 from tabflow.llm.piece_agenda import encode_decode
+from tabflow.llm.run_length_index import repeated_bytes
 from tabflow.llm.scaled_sketch import edited_likeness
 from tabflow.llm.token_count import count_tokens
 
@@ -51,6 +52,10 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes(table(spark, sf_dir, "documents"), length=50)
+
+
 def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_likeness(table(spark, sf_dir, "documents"))
 
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_line_dedup": op4_line_dedup,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_document_fingerprints": op8_document_fingerprints,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_language_id": op10_language_id,
