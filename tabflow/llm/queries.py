@@ -15,6 +15,7 @@ from tabflow.llm.common import in_bucket, table
 from tabflow.llm.golay_simhash import simhash_groups
 from tabflow.llm.line_windows import LINE_SQL, drop_repeated_lines
 from tabflow.llm.piece_agenda import encode_decode
+from tabflow.llm.pivot_index import near_vectors
 from tabflow.llm.run_length_index import repeated_bytes
 from tabflow.llm.scaled_sketch import edited_likeness
 from tabflow.llm.token_count import count_tokens
@@ -48,6 +49,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_lines", "n_removed", F.sha2(text.cast("binary"), 256).alias("kept_sha256"))
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), least=0.93)
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_line_dedup": op4_line_dedup,
+    "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_document_fingerprints": op8_document_fingerprints,
