@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
-from functools import partial
+from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import credit
 from ..functions.dates import date_of, elapsed_ms
-from ..functions.hashing import bucket_of, portable_hash
+from ..functions.hashing import portable_hash
 from ..functions.schema import (
     ACCOUNT_SCHEMA,
     COUNT_SCHEMA,
@@ -21,18 +21,18 @@ from ..functions.schema import (
 from ..functions.text import decode_utf8, encode_utf8, query_code, to_json_line
 from ..operators.accounts import account_columns
 from ..operators.counts import count_lines, count_per_country, count_per_window, latest_date
-from ..operators.parse import accept_all, tag_json
+from ..operators.parse import accept_all, parse_object, tag_json
 from ..operators.registry_join import table_name, unknown_messages, with_registry
 from ..operators.replicate import shift_replicate
 from ..operators.sample import first_values, pick_values, sample_rows
 from ..plans.ingest import count_accounts_job, load_csv_job, load_tables_job
 from ..plans.job_history import job_history_summary
-from ..plans.layout_report import layout_report, run_lookups
+from ..plans.layout_report import layout_report, lookup_matches
 from ..plans.layouts import (
-    BUCKET,
     LOOKUP_CODES,
     Layout,
     computed,
+    count_by_customer,
     lookup,
     run_lookup,
     with_bucket,
@@ -45,14 +45,14 @@ from ..plans.routing import REJECTS, Target, route_counts
 from ..plans.synthetic import replicate_day_job
 from ..session import fresh_path, apply_settings
 from ..sinks.files import publish_messages, write_lines, write_ndjson
-from ..sinks.tables import append_table
+from ..sinks.tables import append_table, fold_days, read_loads
 from ..sources.lines import read_lines, read_ndjson
 from ..sources.messages import message_stream
-from ..sources.registry import read_registry, registry_schemas
+from ..sources.registry import read_registry
 from ..sources.tables import read_table
-from ..streaming.ingest import append_stream, ingest_accounts, parse_accounts, tap_keys
+from ..streaming.ingest import append_stream, ingest_accounts, ingest_and_count, parse_accounts, tap_keys
 from ..streaming.router import route_stream
-from ..streaming.windows import count_accounts_stream, window_counts
+from ..streaming.windows import count_accounts_stream, count_windows_stream, fold_windows, window_counts
 from . import relations as rel
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +85,16 @@ def _fresh_table(spark: SparkSession, name: str) -> tuple[str, str]:
     return path.rpartition("/")[2].replace("-", "_"), path
 
 
+def _part_of(value) -> Column:
+    """A message of the table the registry does not list, as that table's columns."""
+    return F.from_json(value, "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double")
+
+
+def _side_by_side(parts: list[DataFrame]) -> DataFrame:
+    """All columns of all parts; a part has NULL in the others' columns."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 # Scans
 
 @query("scan_table")
@@ -102,8 +112,8 @@ def scan_text(spark, sf_dir):
 @query("scan_csv_positional")
 def scan_csv_positional(spark, sf_dir):
     table, path = _fresh_table(spark, "scenario")
-    load_csv_job(spark, rel.scenario_lines(spark, sf_dir), table, path)
-    return spark.table(table)
+    load_csv_job(spark, rel.scenario_lines(spark, sf_dir), table, "run-1", path)
+    return read_loads(spark, table)
 
 
 @query("scan_ndjson")
@@ -121,17 +131,16 @@ def scan_ndjson(spark, sf_dir):
 
 @query("stream_source")
 def stream_source(spark, sf_dir):
-    path = fresh_path(spark, "stream-source")
-    stream = message_stream(spark, rel.event_messages(spark, sf_dir))
-    fields = schema_from_text("event_id:INT64, user_id:INT64, event_type:STRING, props:STRING")
-    rows = accept_all(tag_json(stream, fields, allow_extra_keys=True))
-    append_stream(rows, path, path + "-checkpoint", drain=True).awaitTermination()
-    return spark.read.schema(fields).parquet(path)
+    table, path = _fresh_table(spark, "stream_source")
+    stream = message_stream(spark, rel.event_messages(spark, sf_dir), maxFilesPerTrigger="1")
+    fields = schema_from_text("event_id:INT64, ts:DATETIME, user_id:INT64, event_type:STRING, value:FLOAT64, props:STRING")
+    append_stream(accept_all(tag_json(stream, fields)), table, path, path + "-checkpoint", drain=True).awaitTermination()
+    return read_loads(spark, table)
 
 
 @query("registry_lookup")
 def registry_lookup(spark, sf_dir):
-    messages = read_lines(spark, rel.routed_messages(spark, sf_dir))
+    messages = parse_object(read_lines(spark, rel.routed_messages(spark, sf_dir)))
     registry = read_registry(spark, rel.registry_path(spark, sf_dir))
     joined = with_registry(messages.select(table_name().alias("tablename"), "value"), registry)
     return joined.groupBy("tablename").agg(
@@ -141,12 +150,10 @@ def registry_lookup(spark, sf_dir):
 
 @query("unknown_table_rejects")
 def unknown_table_rejects(spark, sf_dir):
-    messages = read_lines(spark, rel.routed_messages(spark, sf_dir))
+    messages = parse_object(read_lines(spark, rel.routed_messages(spark, sf_dir)))
     registry = read_registry(spark, rel.registry_path(spark, sf_dir))
     unknown = unknown_messages(messages.select(table_name().alias("tablename"), "value"), registry)
-    return unknown.select(
-        "tablename", F.get_json_object("value", "$.p_partkey").cast("bigint").alias("p_partkey")
-    )
+    return unknown.select("tablename", _part_of(F.col("value")).alias("p")).select("tablename", "p.*")
 
 
 # Table sinks and routed loads
@@ -167,54 +174,40 @@ def append_table_by_name(spark, sf_dir):
 @query("multi_table_load")
 def multi_table_load(spark, sf_dir):
     root = fresh_path(spark, "loaded")
-    entries = load_tables_job(spark, rel.load_config(spark, sf_dir), table_path=root)
-    result = None
-    for entry in entries:
-        df = spark.table(entry.target)
-        key, name, amount = {
-            "customer": ("c_custkey", "c_name", "c_acctbal"),
-            "supplier": ("s_suppkey", "s_name", "s_acctbal"),
-            "orders": ("o_orderkey", "o_orderpriority", "o_totalprice"),
-        }[entry.target.rpartition("_")[2]]
-        part = df.select(F.lit(entry.target.rpartition("_")[2]).alias("target"),
-                         F.col(key).alias("row_key"), F.col(name).alias("row_name"),
-                         F.col(amount).alias("amount"))
-        result = part if result is None else result.unionAll(part)
-    return result
+    config = rel.load_config(spark, sf_dir)
+    for _ in range(2):  # a rerun of the same run adds nothing
+        entries = load_tables_job(spark, config, "run-1", table_path=root)
+    parts = [read_loads(spark, e.target).withColumn("target", F.lit(e.target.rpartition("_")[2])) for e in entries]
+    return _side_by_side(parts)
 
 
 @query("route_by_table")
 def route_by_table(spark, sf_dir):
     root = fresh_path(spark, "routed")
-    schemas = registry_schemas(read_registry(spark, rel.registry_path(spark, sf_dir)))
-    target = Target(root, schemas, prefix=root[-12:].join(("t_", "_")))
+    registry = read_registry(spark, rel.registry_path(spark, sf_dir))
+    target = Target(root, registry, prefix=root[-12:].join(("t_", "_")))
     messages = message_stream(spark, rel.routed_messages(spark, sf_dir))
     route_stream(messages, target, f"{root}/checkpoint", f"{root}/stage",
                  mode="permissive", drain=True).awaitTermination()
-    columns = {
-        "shop:sales.region": ("r_regionkey", "r_name", None),
-        "shop:sales.nation": ("n_nationkey", "n_name", None),
-        "shop:sales.supplier": ("s_suppkey", "s_name", "s_acctbal"),
-        "shop:sales.customer": ("c_custkey", "c_name", "c_acctbal"),
-        "shop:sales.orders": ("o_orderkey", "o_orderpriority", "o_totalprice"),
-    }
-    result = target.read(spark, REJECTS).select(
-        F.lit("rejects").alias("tablename"),
-        F.get_json_object("value", "$.p_partkey").cast("bigint").alias("row_key"),
-        F.col("reject_reason").alias("row_name"),
-        F.lit(None).cast("double").alias("amount"),
-    )
-    for name, (key, text, amount) in columns.items():
-        result = result.unionAll(target.read(spark, name).select(
-            "tablename", F.col(key), F.col(text),
-            F.col(amount) if amount else F.lit(None).cast("double"),
-        ))
-    return result
+    rejects = target.read(spark, REJECTS).select("reject_reason", _part_of(F.col("value")).alias("p"))
+    return _side_by_side([target.read(spark, name) for name in rel.ROUTED] + [rejects.select("reject_reason", "p.*")])
 
 
 @query("route_counts")
 def route_counts_by_table(spark, sf_dir):
-    return route_counts(read_lines(spark, rel.routed_messages(spark, sf_dir)), list(rel.ROUTED))
+    registry = read_registry(spark, rel.registry_path(spark, sf_dir))
+    return route_counts(read_lines(spark, rel.routed_messages(spark, sf_dir)), registry)
+
+
+@query("damaged_messages")
+def damaged_messages(spark, sf_dir):
+    """Messages of which every fifth isn't UTF-8: good rows and rejects of a permissive stream."""
+    table, path = _fresh_table(spark, "damaged")
+    messages = message_stream(spark, rel.damaged_messages(spark, sf_dir), maxFilesPerTrigger="1")
+    ingest_accounts(messages, table, path, path + "-checkpoint", "permissive", drain=True).awaitTermination()
+    emp_id = F.regexp_extract("value", r'"emp_id":"(\w+)"', 1)
+    rejects = read_loads(spark, f"{table}_rejects").select(emp_id.alias("emp_id"), "reject_reason")
+    return _side_by_side([read_loads(spark, table), rejects])
 
 
 # File and topic sinks
@@ -267,9 +260,8 @@ def utf8_roundtrip(spark, sf_dir):
 @query("json_roundtrip")
 def json_roundtrip(spark, sf_dir):
     events = rel.table(spark, sf_dir, "events")
-    lines = events.select(to_json_line("event_id", "ts", "user_id", "event_type", "value", "props").alias("line"))
-    parsed = lines.select(F.from_json("line", events.schema, {"mode": "FAILFAST"}).alias("row"))
-    return parsed.select("row.event_id", "row.user_id", "row.event_type", "row.value", "row.props")
+    lines = events.select(to_json_line("event_id", "ts", "user_id", "event_type", "value", "props").alias("value"))
+    return accept_all(tag_json(lines, events.schema))
 
 
 @query("computed_column")
@@ -279,8 +271,7 @@ def computed_column(spark, sf_dir):
 
 @query("bucket_column")
 def bucket_column(spark, sf_dir):
-    bucketed = with_bucket(rel.demo_lineitem(spark, sf_dir), 4000, portable_hash)
-    return bucketed.select(BUCKET, "cust_identifier", "tstamp", "country_code", "attr1", "attr4")
+    return with_bucket(rel.demo_lineitem(spark, sf_dir), 4000, portable_hash)
 
 
 @query("extract_date")
@@ -297,7 +288,7 @@ def elapsed_milliseconds(spark, sf_dir):
 
 @query("job_group")
 def job_group(spark, sf_dir):
-    return rel.job_log(spark, sf_dir).select("job_id", query_code(F.col("job_id")).alias("job_group"))
+    return rel.job_log(spark, sf_dir).select("job_id", query_code(F.col("job_id"), rel.JOB_PREFIX).alias("job_group"))
 
 
 # Counts
@@ -312,8 +303,8 @@ def count_per_country_table(spark, sf_dir):
     source, source_path = _fresh_table(spark, "accounts")
     target, target_path = _fresh_table(spark, "counts")
     append_table(rel.accounts(spark, sf_dir), source, ACCOUNT_SCHEMA, source_path)
-    count_accounts_job(spark, source, target, target_path)
-    return spark.table(target).select(*COUNT_SCHEMA.names)
+    count_accounts_job(spark, source, target, "run-1", target_path)
+    return read_loads(spark, target)
 
 
 @query("format_count")
@@ -334,7 +325,7 @@ def latest_partition_date(spark, sf_dir):
 
 @query("job_history_summary")
 def job_history_by_code(spark, sf_dir):
-    return job_history_summary(rel.job_log(spark, sf_dir), HISTORY_START, HISTORY_END, "shop")
+    return job_history_summary(rel.job_log(spark, sf_dir), HISTORY_START, HISTORY_END, "shop", rel.JOB_PREFIX)
 
 
 # Layouts and lookups
@@ -349,10 +340,8 @@ def layout_date_cust(spark, sf_dir):
 @query("layout_bucket_ts")
 def layout_bucket_ts(spark, sf_dir):
     table, path = _fresh_table(spark, "layout_bucket")
-    write_bucketed(rel.demo_events(spark, sf_dir), table, path, rel.BUCKETS)
-    # Which bucket a row is in depends on the hash; that it is the right one is checked here.
-    expected = F.col(BUCKET) == bucket_of(F.col("cust_identifier"), rel.BUCKETS)
-    return _zoneless(spark.table(table).withColumn("in_bucket", expected).drop(BUCKET))
+    write_bucketed(rel.demo_events(spark, sf_dir), table, path, rel.BUCKETS, hasher=portable_hash)
+    return _zoneless(spark.table(table))
 
 
 @query("layout_bucket_by")
@@ -362,6 +351,11 @@ def layout_bucket_by(spark, sf_dir):
     return _zoneless(spark.table(table))
 
 
+@query("count_by_customer")
+def customer_counts(spark, sf_dir):
+    return count_by_customer(spark, rel.bucketed_table(spark, sf_dir))
+
+
 @query("layout_date_plain")
 def layout_date_plain(spark, sf_dir):
     table, path = _fresh_table(spark, "layout_plain")
@@ -379,27 +373,22 @@ for _code in LOOKUP_CODES:
 
 @query("lookup_bucket_by")
 def lookup_bucket_by(spark, sf_dir):
-    def make():
-        table, path = _fresh_table(spark, "demo_bucket_by")
-        write_bucket_by(rel.demo_events(spark, sf_dir), table, path, rel.BUCKETS)
-        return Layout(table)
-
-    layout = rel.once(spark, sf_dir, "bucketed events", make)
+    layout = Layout(rel.bucketed_table(spark, sf_dir))
     return _zoneless(lookup(apply_settings(spark), layout, CUSTOMER, DAY))
 
 
 @query("layout_report")
 def layout_comparison(spark, sf_dir):
-    return layout_report(apply_settings(spark), rel.layouts(spark, sf_dir))
+    """The columns of the report that don't depend on the machine."""
+    report = layout_report(apply_settings(spark), rel.layouts(spark, sf_dir), hasher=portable_hash)
+    timed = (F.col("avg_millisecond_per_run") > 0) & (F.col("files_read") > 0)
+    return report.select("job_group", "num_exec", "rows_matched", timed.alias("timed"))
 
 
 @query("layout_matches")
 def layout_matches(spark, sf_dir):
     """Rows found by the lookups of a report, which must not depend on the layout."""
-    log = run_lookups(apply_settings(spark), rel.layouts(spark, sf_dir), hasher=portable_hash)
-    return log.groupBy(query_code(F.col("job_id")).alias("job_group")).agg(
-        F.count("*").alias("num_exec"), F.sum("rows_matched").alias("rows_matched")
-    )
+    return lookup_matches(apply_settings(spark), rel.layouts(spark, sf_dir), hasher=portable_hash)
 
 
 @query("param_keys")
@@ -424,13 +413,20 @@ def param_pick(spark, sf_dir):
 def sample_rows_by_hash(spark, sf_dir):
     rows = rel.demo_lineitem(spark, sf_dir)
     key = [F.col("cust_identifier"), F.col("attr4"), F.col("attr2")]
-    kept = sample_rows(rows, SAMPLE_RATE, key, seed=1, hasher=portable_hash)
-    return kept.select("cust_identifier", "tstamp", "attr4", "attr2")
+    return sample_rows(rows, SAMPLE_RATE, key, seed=1, hasher=portable_hash)
 
 
 @query("sample_rows_rand")
 def sample_rows_rand(spark, sf_dir):
-    return sample_rows(rel.demo_lineitem(spark, sf_dir), SAMPLE_RATE, seed=1)
+    """Random rows differ between machines: their share is within six standard deviations, and all are of the table."""
+    rows = rel.demo_lineitem(spark, sf_dir)
+    key = ["cust_identifier", "tstamp", "attr4", "attr2"]
+    marked = rows.select(*key, F.lit(0).alias("kept")).unionAll(
+        sample_rows(rows, SAMPLE_RATE, seed=1).select(*key, F.lit(1).alias("kept")))
+    per_row = marked.groupBy(*key).agg(F.sum("kept").alias("kept"), F.count_if(F.col("kept") == 0).alias("n"))
+    total = per_row.agg(F.sum("kept").alias("kept"), F.sum("n").alias("n"), F.count_if(F.col("kept") > F.col("n")).alias("strange"))
+    off = F.abs(F.col("kept") - F.col("n") * SAMPLE_RATE) <= 6 * F.sqrt(F.col("n") * SAMPLE_RATE * (1 - SAMPLE_RATE))
+    return total.select(off.alias("share_as_asked"), (F.col("strange") == 0).alias("all_from_table"), F.col("n").alias("n_rows"))
 
 
 @query("shift_replicate")
@@ -475,58 +471,65 @@ for _function in (credit.credit_score, credit.credit_score_name, credit.credit_s
 @query("stream_append")
 def stream_append(spark, sf_dir):
     table, path = _fresh_table(spark, "stream_append")
-    schema = rel.table(spark, sf_dir, "lineitem").schema
-    # A pattern, as the table may be one file or a folder of files.
-    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/lineitem.parquet*")
-    rows = stream.select("l_orderkey", "l_linenumber", "l_shipdate", "l_tax")
-    append_stream(rows, path, path + "-checkpoint", table, drain=True).awaitTermination()
-    return spark.table(table)
+    source = rel.in_files(spark, sf_dir, "lineitem")
+    stream = spark.readStream.schema(rel.table(spark, sf_dir, "lineitem").schema).option("maxFilesPerTrigger", 2).parquet(source)
+    append_stream(stream, table, path, path + "-checkpoint", drain=True).awaitTermination()
+    fold_days(spark, table, date(9999, 1, 1), path)
+    return read_loads(spark, table)
 
 
 @query("stream_parse_append")
 def stream_parse_append(spark, sf_dir):
     table, path = _fresh_table(spark, "stream_accounts")
-    messages = message_stream(spark, rel.account_messages(spark, sf_dir))
+    messages = message_stream(spark, rel.account_messages(spark, sf_dir), maxFilesPerTrigger="1")
     ingest_accounts(messages, table, path, path + "-checkpoint", drain=True).awaitTermination()
-    return spark.table(table)
+    return read_loads(spark, table)
 
 
 @query("console_tap")
 def console_tap(spark, sf_dir):
-    path = fresh_path(spark, "tap")
-    messages = message_stream(spark, rel.account_messages(spark, sf_dir))
-    stream = tap_keys(parse_accounts(messages), path, drain=True)
-    stream.awaitTermination()
-    seen = sum(progress.numInputRows for progress in stream.recentProgress)
-    return spark.range(1).select(F.lit(seen).cast("bigint").alias("elements"))
+    table, path = _fresh_table(spark, "tap")
+    messages = message_stream(spark, rel.account_messages(spark, sf_dir), maxFilesPerTrigger="1")
+    tap_keys(parse_accounts(messages), table, path, path + "-checkpoint", drain=True).awaitTermination()
+    return read_loads(spark, table).groupBy("country_code", "ones").agg(F.sum("n").alias("n"))
 
 
 @query("window_count_stream")
 def window_count_stream(spark, sf_dir):
-    """Events in time order, then one event of the far future that closes their windows."""
-    def make():
-        path = fresh_path(spark, "ordered-events")
-        events = rel.table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp"), "event_type")
-        ordered = events.repartitionByRange(4, "ts").sortWithinPartitions("ts")
-        ordered.write.parquet(path)
-        last = events.select(F.lit("2100-01-01").cast("timestamp").alias("ts"), F.lit("end").alias("event_type"))
-        last.limit(1).coalesce(1).write.mode("append").parquet(path)
-        return path
+    """Events in no order, one file per micro-batch; then the batches' counts are folded."""
+    table, path = _fresh_table(spark, "window_counts")
+    stream = spark.readStream.schema(rel.table(spark, sf_dir, "events").schema).option("maxFilesPerTrigger", 1).parquet(
+        rel.in_files(spark, sf_dir, "events"))
+    rows = stream.withColumn("ts", F.col("ts").cast("timestamp"))
+    count_windows_stream(rows, table, path, path + "-checkpoint", "ts", "event_type", drain=True).awaitTermination()
+    fold_windows(spark, table, date(9999, 1, 1), path)
+    return _zoneless(window_counts(spark, table), "window_start")
+
 
-    source = rel.once(spark, sf_dir, "ordered events", make)
-    path = fresh_path(spark, "window-counts")
-    stream = spark.readStream.schema("ts timestamp, event_type string").parquet(source)
-    counts = window_counts(stream, "ts", key="event_type")
-    append_stream(counts, path, path + "-checkpoint", drain=True).awaitTermination()
-    return _zoneless(spark.read.schema(counts.schema).parquet(path), "window_start")
+def _published(messages: DataFrame) -> DataFrame:
+    """The record's time stands in for the publish time."""
+    return messages.withColumn("timestamp", F.get_json_object("value", "$.date_record_created").cast("timestamp"))
 
 
 @query("window_count_accounts")
 def window_count_accounts(spark, sf_dir):
-    """The whole way from message to counts; the record's time stands in for the publish time."""
-    messages = message_stream(spark, rel.closed_account_messages(spark, sf_dir))
-    published = F.get_json_object("value", "$.date_record_created").cast("timestamp")
+    """The whole way from message to counts, in no order of time, one file per micro-batch."""
+    messages = message_stream(spark, rel.account_messages(spark, sf_dir), maxFilesPerTrigger="1")
     table, path = _fresh_table(spark, "window_accounts")
-    count_accounts_stream(messages.withColumn("timestamp", published), path, path + "-checkpoint",
-                          table=table, drain=True).awaitTermination()
-    return _zoneless(spark.table(table), "window_start")
+    count_accounts_stream(_published(messages), table, path, path + "-checkpoint", drain=True).awaitTermination()
+    return _zoneless(window_counts(spark, table), "window_start")
+
+
+@query("stream_two_outputs")
+def stream_two_outputs(spark, sf_dir):
+    """One parse, two outputs: the account rows, and the text lines of their window counts, added up."""
+    messages = message_stream(spark, rel.account_messages(spark, sf_dir), maxFilesPerTrigger="1")
+    table, path = _fresh_table(spark, "two_outputs")
+    ingest_and_count(_published(messages), table, path, path + "-lines", path + "-checkpoint", drain=True).awaitTermination()
+    line = F.regexp_extract
+    text = r"^(.{19}) (.*): (\d+)$"
+    lines = read_lines(spark, path + "-lines/*").select(
+        line("value", text, 1).cast("timestamp_ntz").alias("window_start"), line("value", text, 2).alias("country_name"),
+        line("value", text, 3).cast("bigint").alias("n"))
+    counts = lines.groupBy("window_start", "country_name").agg(F.sum("n").alias("num_cc_card"))
+    return _side_by_side([read_loads(spark, table).drop("timestamp"), counts])

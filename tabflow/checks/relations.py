@@ -17,6 +17,7 @@ from ..functions.text import to_json_line
 from ..plans.layouts import (
     Layout,
     Layouts,
+    write_bucket_by,
     write_bucketed,
     write_date_clustered,
     write_date_plain,
@@ -25,6 +26,8 @@ from ..session import fresh_path, apply_settings
 from ..sinks.files import publish_messages, write_lines, write_ndjson
 
 BUCKETS = 16
+FILES = 4
+JOB_PREFIX = "cpperf"
 ACCOUNT_COLUMNS = [
     "name", "address", "country_code", "city", "bank_iban", "company", "credit_card",
     "credit_card_provider", "credit_card_expires", "date_record_created", "employement", "emp_id",
@@ -126,7 +129,7 @@ def job_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("event_id")
     micros = F.floor(F.col("value") * 1000).cast("bigint")
     return table(spark, sf_dir, "events").select(
-        F.concat(F.lit("cpperf_"), F.col("event_type"), F.lit("_"), n).alias("job_id"),
+        F.concat(F.lit(JOB_PREFIX + "_"), F.col("event_type"), F.lit("_"), n).alias("job_id"),
         F.col("ts").alias("creation_time"),
         F.col("ts").alias("start_time"),
         F.when(n % 13 != 0, F.timestamp_add("MICROSECOND", micros, F.col("ts"))).alias("end_time"),
@@ -138,31 +141,55 @@ def job_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def account_messages(spark: SparkSession, sf_dir: str) -> str:
-    """A folder of account messages, one JSON object per line."""
+    """A folder of account messages, one JSON object per line, in files of no order."""
     def make() -> str:
         path = fresh_path(spark, "account-messages")
-        publish_messages(accounts(spark, sf_dir), path, fmt="text")
+        publish_messages(accounts(spark, sf_dir).repartition(FILES), path, fmt="text")
         return path
 
     return once(spark, sf_dir, "account messages", make)
 
 
-def closed_account_messages(spark: SparkSession, sf_dir: str) -> str:
-    """Account messages and one of the far future, which closes the windows of the others."""
+def damaged_messages(spark: SparkSession, sf_dir: str) -> str:
+    """Account messages; every fifth has a further key whose text is not UTF-8."""
     def make() -> str:
-        path = fresh_path(spark, "closed-account-messages")
+        path = fresh_path(spark, "damaged-messages")
         rows = accounts(spark, sf_dir)
-        last = rows.limit(1).withColumn("date_record_created", F.lit("2100-01-01 00:00:00"))
-        publish_messages(rows.unionAll(last), path, fmt="text")
+        line = to_json_line(*ACCOUNT_COLUMNS).alias("line")
+        lines = rows.select(line, F.expr("int(substring(phone_number, 5)) % 5 = 0").alias("fifth"))
+        damaged = F.concat(F.lit('{"note":"'), F.lit(bytearray(b"\xff")).cast("string"), F.lit('",'), F.expr("substring(line, 2)"))
+        value = F.when(F.col("fifth"), damaged).otherwise(F.col("line"))
+        write_lines(lines.repartition(FILES), value, path)
         return path
 
-    return once(spark, sf_dir, "closed account messages", make)
+    return once(spark, sf_dir, "damaged messages", make)
+
+
+def in_files(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """A given table in several files whose rows are in no order."""
+    def make() -> str:
+        path = fresh_path(spark, f"{name}-files")
+        table(spark, sf_dir, name).repartition(FILES).write.parquet(path)
+        return path
+
+    return once(spark, sf_dir, f"{name} in files", make)
+
+
+def bucketed_table(spark: SparkSession, sf_dir: str) -> str:
+    """The ``events`` lookup table in Spark's own buckets."""
+    def make() -> str:
+        path = fresh_path(spark, "demo-bucket-by")
+        name = path.rpartition("/")[2].replace("-", "_")
+        write_bucket_by(demo_events(spark, sf_dir), name, path, BUCKETS)
+        return name
+
+    return once(spark, sf_dir, "bucketed events", make)
 
 
 def event_messages(spark: SparkSession, sf_dir: str) -> str:
     def make() -> str:
         path = fresh_path(spark, "event-messages")
-        publish_messages(table(spark, sf_dir, "events"), path, fmt="text")
+        publish_messages(table(spark, sf_dir, "events").repartition(FILES), path, fmt="text")
         return path
 
     return once(spark, sf_dir, "event messages", make)

@@ -24,34 +24,56 @@ def to_type(raw: str, kind: T.DataType) -> str:
     return raw if isinstance(kind, T.StringType) else f"try_cast({raw} AS {kind.simpleString()})"
 
 
-def fails_cast(raw: str, kind: T.DataType) -> str:
-    """True where a value is present but is not a ``kind``."""
-    if isinstance(kind, T.StringType):
+def _keeps(raw: str, kind: T.DataType, source: T.DataType) -> str | None:
+    """True where the cast value says the same as ``raw``; None if every successful cast does."""
+    cast = to_type(raw, kind)
+    if isinstance(source, T.StringType):
+        if isinstance(kind, T.DateType):  # a time behind the date would be lost
+            return f"coalesce(try_cast({raw} AS timestamp_ntz) = CAST({cast} AS timestamp_ntz), true)"
+        return None
+    # Whatever comes back by the opposite cast has not lost anything.
+    return f"coalesce(try_cast({cast} AS {source.simpleString()}) = {raw}, false)"
+
+
+def fails_cast(raw: str, kind: T.DataType, source: T.DataType = T.StringType()) -> str:
+    """True where a value is present but is not a ``kind``, or only with a loss."""
+    if isinstance(kind, T.StringType) or kind == source:
         return "false"
-    return f"({raw} IS NOT NULL AND {to_type(raw, kind)} IS NULL)"
+    failure = f"{to_type(raw, kind)} IS NULL"
+    if kept := _keeps(raw, kind, source):
+        failure = f"({failure} OR NOT {kept})"
+    return f"({raw} IS NOT NULL AND {failure})"
 
 
-def checked_cast(raw: str, kind: T.DataType, name: str) -> str:
-    """The cast value; a value of another type fails the job instead of becoming NULL."""
+def checked_cast(raw: str, kind: T.DataType, name: str, source: T.DataType = T.StringType()) -> str:
+    """The cast value; a value that is none of the type, or would lose something, fails the job."""
     message = f"concat({literal(f'column {name}: not a {kind.simpleString()}: ')}, CAST({raw} AS STRING))"
-    return f"CASE WHEN {fails_cast(raw, kind)} THEN raise_error({message}) ELSE {to_type(raw, kind)} END"
+    return f"CASE WHEN {fails_cast(raw, kind, source)} THEN raise_error({message}) ELSE {to_type(raw, kind)} END"
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Match columns to ``schema`` by name: cast, fill absent ones with NULL, refuse extra ones."""
-    extra = [name for name in df.columns if name not in schema.names]
-    if extra:
+    """Match columns to ``schema`` by name: cast without loss, fill absent ones with NULL, refuse extra ones.
+
+    Names match as the session compares them, by default in any case.
+    """
+    exact = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    fold = (lambda name: name) if exact else str.lower
+    present = {fold(f.name): f for f in df.schema.fields}
+    if len(present) < len(df.columns):
+        raise ValueError(f"columns of one name: {df.columns}")
+    wanted = {fold(name) for name in schema.names}
+    if extra := [f.name for name, f in present.items() if name not in wanted]:
         raise ValueError(f"columns not in the target schema: {extra}")
-    present = {f.name: f.dataType for f in df.schema.fields}
 
     def column(field: T.StructField) -> str:
         kind = field.dataType.simpleString()
-        if field.name not in present:
+        found = present.get(fold(field.name))
+        if found is None:
             return f"CAST(NULL AS {kind})"
-        if present[field.name] == field.dataType:
-            return quoted(field.name)
+        if found.dataType == field.dataType:
+            return quoted(found.name)
         if isinstance(field.dataType, T.StringType):
-            return f"CAST({quoted(field.name)} AS STRING)"
-        return checked_cast(quoted(field.name), field.dataType, field.name)
+            return f"CAST({quoted(found.name)} AS STRING)"
+        return checked_cast(quoted(found.name), field.dataType, field.name, found.dataType)
 
     return df.selectExpr(*[f"{column(f)} AS {quoted(f.name)}" for f in schema.fields])

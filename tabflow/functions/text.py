@@ -16,22 +16,27 @@ def encode_utf8(text: Column) -> Column:
     return F.encode(text, "UTF-8")
 
 
-def decode_payload(df: DataFrame, value: str = "value") -> DataFrame:
-    """A message frame with ``value`` as text, whatever the transport delivers."""
+def unchecked_payload(df: DataFrame, value: str = "value") -> DataFrame:
+    """A message frame with ``value`` as text, whatever the transport delivers.
+
+    The bytes stay as they came; the parsers reject a row that is not UTF-8.
+    """
     if isinstance(df.schema[value].dataType, T.BinaryType):
-        return df.withColumn(value, decode_utf8(F.col(value)))
+        return df.withColumn(value, F.col(value).cast("string"))
     return df
 
 
 def to_json_line(*columns: Column | str) -> Column:
     """One JSON object per row. NULL columns stay as keys, a strict reader asks for them."""
-    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    micros = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
+    options = {"ignoreNullFields": "false", "timestampNTZFormat": micros, "timestampFormat": micros + "XXX"}
+    return F.to_json(F.struct(*columns), options)
 
 
 def key_count_line(key: Column, count: Column) -> Column:
     return F.format_string("%s: %d", key, count)
 
 
-def query_code(job_id: Column) -> Column:
-    """Characters 8-11 of a job id: the query code after the ``cpperf_`` prefix."""
-    return F.substring(job_id, 8, 4)
+def query_code(job_id: Column, prefix: str, size: int = 4) -> Column:
+    """The query code: the ``size`` characters behind ``prefix`` and its separator."""
+    return F.substring(job_id, len(prefix) + 2, size)

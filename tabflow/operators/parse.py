@@ -18,7 +18,7 @@ from ..functions.coerce import fails_cast, literal, quoted, to_type
 from ..functions.schema import schema_from_text
 
 # Added columns of a tagged frame; a target table may well have a column "value".
-SOURCE, REASON = "_source", "_reject_reason"
+SOURCE, REASON, OBJECT = "_source", "_reject_reason", "_object"
 REJECT_SCHEMA = schema_from_text("value:STRING, reject_reason:STRING")
 
 # Options also keep the optimizer from splitting one parse into a parse per field.
@@ -42,6 +42,7 @@ def _tag(df: DataFrame, raw: dict[str, str], schema: T.StructType, reason: str,
         for f in schema.fields if not isinstance(f.dataType, T.StringType)
     )
     reasons = f"coalesce({reason}, CASE {wrong} END)" if wrong else reason
+    reasons = f"CASE WHEN NOT is_valid_utf8({quoted(value)}) THEN 'not UTF-8' ELSE {reasons} END"
     items = [(name, quoted(name)) for name in keep]
     items += [(f.name, to_type(raw[f.name], f.dataType)) for f in schema.fields]
     items += [(SOURCE, quoted(value)), (REASON, reasons)]
@@ -102,6 +103,39 @@ def tag_json(
     return _tag(parsed, raw, schema, f"CASE {' '.join(cases)} END", keep, value)
 
 
+def parse_object(df: DataFrame, keep: Sequence[str] = (), value: str = "value") -> DataFrame:
+    """The JSON object of every row as a map of texts in ``_object``, NULL if it is malformed.
+
+    The one parse of a message whose schema depends on what it holds; see ``tag_object``. The
+    last of repeated keys counts.
+    """
+    carried = [quoted(name) for name in dict.fromkeys([*keep, value])]
+    source, end = quoted(value), literal(_END)
+    mark = literal("," + json.dumps({_END: _END}) + "]")
+    objects = (f"CASE WHEN is_valid_utf8({source}) THEN from_json(concat('[', {source}, {mark}), "
+               f"'array<map<string, string>>', {_JSON_OPTIONS}) END AS _objects")
+    last = ("map_from_entries(transform(array_distinct(map_keys(_first)), k -> struct(k, "
+            "element_at(filter(map_entries(_first), e -> e.key = k), -1).value)))")
+    parsed = df.selectExpr(*carried, objects).selectExpr(
+        *carried, f"CASE WHEN size(_objects) = 2 AND try_element_at(get(_objects, 1), {end}) = {end} "
+        "THEN get(_objects, 0) END AS _first")
+    row = ", ".join(f"{literal(name.strip('`'))}, {name}" for name in carried)
+    # One-row unnesting keeps later filters above the parse.
+    return parsed.selectExpr(
+        f"inline(array(named_struct({row}, {literal(OBJECT)}, CASE WHEN size(array_distinct(map_keys(_first))) "
+        f"< size(_first) THEN {last} ELSE _first END)))")
+
+
+def tag_object(df: DataFrame, schema: T.StructType, *, keep: Sequence[str] = (), value: str = "value") -> DataFrame:
+    """Rows of ``parse_object`` as the columns of ``schema``; keys outside the schema reject a row."""
+    raw = {name: f"try_element_at({OBJECT}, {literal(name)})" for name in schema.names}
+    expected = "array(" + ", ".join(map(literal, schema.names)) + ")"
+    extra = f"array_except(map_keys({OBJECT}), {expected})"
+    reason = (f"CASE WHEN {OBJECT} IS NULL THEN 'malformed' WHEN size({extra}) > 0 "
+              f"THEN concat('unknown ', array_join({extra}, ',')) END")
+    return _tag(df, raw, schema, reason, keep, value)
+
+
 def tag_csv(
     df: DataFrame, schema: T.StructType, *, keep: Sequence[str] = (), value: str = "value"
 ) -> DataFrame:

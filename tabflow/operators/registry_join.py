@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .parse import OBJECT
 
-def table_name(value: str = "value", key: str = "tablename") -> Column:
-    """The table name inside a JSON message; NULL if there is none."""
-    return F.get_json_object(value, f"$.{key}")
+
+def table_name(key: str = "tablename") -> Column:
+    """The table name of a parsed message (``parse_object``); NULL if there is none."""
+    return F.try_element_at(F.col(OBJECT), F.lit(key))
 
 
 def with_registry(messages: DataFrame, registry: DataFrame) -> DataFrame:
@@ -21,13 +23,6 @@ def with_registry(messages: DataFrame, registry: DataFrame) -> DataFrame:
     return messages.join(registry, "tablename", "left")
 
 
-def require_known(joined: DataFrame) -> DataFrame:
-    """Fail on the first message whose table the registry does not list."""
-    failure = F.raise_error(F.concat(F.lit("unknown table: "),
-                                     F.coalesce("tablename", F.lit("(none)"))))
-    return joined.where(F.when(F.col("schema").isNotNull(), F.lit(True)).otherwise(failure))
-
-
 def unknown_messages(messages: DataFrame, registry: DataFrame) -> DataFrame:
     """Messages without a registry entry, those without a table name included."""
     return messages.join(registry, "tablename", "left_anti")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.schema import COUNT_SCHEMA, SCENARIO_SCHEMA
 from ..operators.counts import count_per_country
 from ..operators.parse import REASON, REJECT_SCHEMA, accept_all, bad_rows, good_rows
-from ..sinks.tables import append_table
+from ..sinks.tables import append_load
 from ..sources.lines import read_csv_positional, read_ndjson
 from ..sources.registry import LoadEntry, read_load_config, read_schema_file
 from ..sources.tables import read_table
@@ -59,48 +59,49 @@ def append_checked(
     return rejected
 
 
-def append_parsed(tagged: DataFrame, table: str, schema, path: str | None, mode: str) -> int:
-    """``append_checked`` to a table, rejects to ``<table>_rejects``."""
+def append_parsed(tagged: DataFrame, table: str, schema, path: str | None, mode: str, load_id: str) -> int:
+    """``append_checked`` to a table as one load, rejects to ``<table>_rejects``."""
     beside = f"{path}_rejects" if path else None
     return append_checked(
         tagged,
-        lambda rows: append_table(rows, table, schema, path),
-        lambda rows: append_table(rows, f"{table}_rejects", REJECT_SCHEMA, beside),
+        lambda rows: append_load(rows, table, load_id, schema, path),
+        lambda rows: append_load(rows, f"{table}_rejects", load_id, REJECT_SCHEMA, beside),
         mode,
     )
 
 
-def count_accounts_job(spark: SparkSession, accounts: str, counts: str, path: str | None = None) -> None:
-    """Append the number of accounts per country of one table to another."""
-    append_table(count_per_country(read_table(spark, accounts)), counts, COUNT_SCHEMA, path)
+def count_accounts_job(spark: SparkSession, accounts: str, counts: str, run_id: str, path: str | None = None) -> None:
+    """Append the number of accounts per country of one table to another; repeating a run changes nothing."""
+    append_load(count_per_country(read_table(spark, accounts)), counts, run_id, COUNT_SCHEMA, path)
 
 
-def load_csv_job(spark: SparkSession, source: str, table: str, path: str | None = None,
+def load_csv_job(spark: SparkSession, source: str, table: str, run_id: str, path: str | None = None,
                  mode: str = "strict") -> int:
     """Append a positional CSV of scenario rows to a table; the number of rejected lines."""
     tagged = read_csv_positional(spark, source, SCENARIO_SCHEMA)
-    return append_parsed(tagged, table, SCENARIO_SCHEMA, path, mode)
+    return append_parsed(tagged, table, SCENARIO_SCHEMA, path, mode, run_id)
 
 
-def load_tables_job(spark: SparkSession, config: str, mode: str = "strict", parallel: int = 8,
+def load_tables_job(spark: SparkSession, config: str, run_id: str, mode: str = "strict", parallel: int = 8,
                     table_path: str | None = None) -> list[LoadEntry]:
     """Append every file of a load configuration to its table, with its own schema.
 
     The loads are independent Spark jobs, started from a few threads so that a small
     one does not wait for a large one (``spark.scheduler.mode=FAIR`` shares the
     cores). Loads of one target follow each other, since two jobs must not write to one
-    folder at once. All loads run to their end; then the first failure is raised.
+    folder at once. All loads run to their end; then the first failure is raised. Run the job again
+    with the same ``run_id`` after mending it: what had succeeded is replaced, not doubled.
     """
     entries = read_load_config(spark, config)
-    by_target: dict[str, list[LoadEntry]] = {}
-    for entry in entries:
-        by_target.setdefault(entry.target, []).append(entry)
+    by_target: dict[str, list[tuple[int, LoadEntry]]] = {}
+    for position, entry in enumerate(entries):
+        by_target.setdefault(entry.target, []).append((position, entry))
 
     def load(target: str) -> None:
         path = f"{table_path}/{target}" if table_path else None
-        for entry in by_target[target]:
+        for position, entry in by_target[target]:
             schema = read_schema_file(spark, entry.schema_uri)
-            append_parsed(read_ndjson(spark, entry.source, schema), target, schema, path, mode)
+            append_parsed(read_ndjson(spark, entry.source, schema), target, schema, path, mode, f"{run_id}_{position}")
 
     run_all(spark, load, list(by_target), parallel)
     return entries

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import elapsed_ms
@@ -16,12 +16,31 @@ JOB_LOG_DDL = (
 )
 
 
+def event_log_reads(spark: SparkSession, path: str) -> DataFrame:
+    """Bytes and rows the scans of every described job have read, from Spark's own event log.
+
+    ``path`` names the uncompressed log files (``spark.eventLog.dir``), also of an application
+    that still runs; ``job_id`` is the job's description (``setJobDescription``).
+    """
+    lines = spark.read.text(path)
+    started = lines.where(F.col("value").startswith('{"Event":"SparkListenerJobStart"')).select(
+        F.from_json("value", "`Stage IDs` array<int>, Properties map<string, string>").alias("e"))
+    stages = started.select(F.try_element_at("e.Properties", F.lit("spark.job.description")).alias("job_id"),
+                            F.explode("e.Stage IDs").alias("stage")).where("job_id IS NOT NULL")
+    metrics = "`Input Metrics`: struct<`Bytes Read`: bigint, `Records Read`: bigint>"
+    ended = lines.where(F.col("value").startswith('{"Event":"SparkListenerTaskEnd"')).select(
+        F.from_json("value", f"`Stage ID` int, `Task Metrics` struct<{metrics}>").alias("e"))
+    tasks = ended.select(F.col("e.Stage ID").alias("stage"), "e.Task Metrics.Input Metrics.*")
+    return stages.join(tasks, "stage").groupBy("job_id").agg(
+        F.sum("Bytes Read").alias("bytes_read"), F.sum("Records Read").alias("rows_read"))
+
+
 def _whole_mb(bytes_column: str) -> Column:
     return F.ceil(F.avg(bytes_column) / 1024 / 1024).cast("double")
 
 
 def job_runs(jobs: DataFrame, start: datetime, end: datetime, project: str,
-             prefix: str = "cpperf") -> DataFrame:
+             prefix: str) -> DataFrame:
     """Query jobs of one project created and ended between ``start`` and ``end``, both included."""
     return jobs.where(
         F.col("creation_time").between(F.lit(start), F.lit(end))
@@ -30,7 +49,7 @@ def job_runs(jobs: DataFrame, start: datetime, end: datetime, project: str,
         & F.col("job_id").startswith(prefix)
         & (F.col("project_id") == project)
     ).select(
-        query_code(F.col("job_id")).alias("job_group"),
+        query_code(F.col("job_id"), prefix).alias("job_group"),
         "total_bytes_processed",
         "total_bytes_billed",
         elapsed_ms(F.col("start_time"), F.col("end_time")).alias("elapsed_millisecond"),
@@ -38,7 +57,7 @@ def job_runs(jobs: DataFrame, start: datetime, end: datetime, project: str,
 
 
 def job_history_summary(jobs: DataFrame, start: datetime, end: datetime, project: str,
-                        prefix: str = "cpperf") -> DataFrame:
+                        prefix: str) -> DataFrame:
     """Runs, mean MB processed and billed and mean milliseconds per code, rounded up."""
     return (
         job_runs(jobs, start, end, project, prefix)

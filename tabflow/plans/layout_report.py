@@ -3,87 +3,99 @@
 from __future__ import annotations
 
 import uuid
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.hashing import Hasher, stable_hash
+from ..functions.dates import date_of
+from ..functions.hashing import Hasher, draw, stable_hash
 from ..functions.text import query_code
-from ..operators.sample import first_values, pick_values
-from .job_history import JOB_LOG_DDL, job_history_summary
+from ..operators.sample import first_values
+from .job_history import JOB_LOG_DDL, event_log_reads, job_history_summary
 from .layouts import DATE, LOOKUP_CODES, Layouts, run_lookup
 
-PROJECT = "layouts"
-RUN_DDL = JOB_LOG_DDL + ", rows_matched bigint, rows_read bigint, files_read bigint"
-
-
-def scan_metrics(executed: DataFrame) -> dict[str, int]:
-    """Files, bytes and rows the scans of an executed query took, from its plan's SQL metrics."""
-    totals = {"numFiles": 0, "filesSize": 0, "numOutputRows": 0}
-    pending = [executed._jdf.queryExecution().executedPlan()]
-    while pending:
-        node = pending.pop()
-        name = node.nodeName()
-        if name == "AdaptiveSparkPlan":
-            pending.append(node.executedPlan())
-            continue
-        if name.endswith("QueryStage"):
-            pending.append(node.plan())
-            continue
-        if name.startswith("Scan parquet"):
-            for key in totals:
-                metric = node.metrics().get(key)
-                totals[key] += metric.get().value() if metric.isDefined() else 0
-        children = node.children().iterator()
-        while children.hasNext():
-            pending.append(children.next())
-    return totals
+PROJECT, PREFIX = "layouts", "lookup"
+RUN_DDL = JOB_LOG_DDL + ", rows_matched bigint, files_read bigint"
+
+
+def parameters(
+    spark: SparkSession, layouts: Layouts, runs: int = 10, hasher: Hasher = stable_hash
+) -> list[tuple[str, str | None, date | None]]:
+    """(case, customer, day) of every run: the first ``runs`` customers, the first days, and ``runs`` pairs of
+    both, drawn with replacement."""
+    base = spark.table(layouts.date_clustered.table)
+    customers = [r[0] for r in first_values(base, F.col("cust_identifier"), "cust_identifier", runs).collect()]
+    days = [r[0] for r in first_values(base, F.col(DATE), "day", runs).collect()]
+    if not customers or not days:
+        return []
+    run = F.col("id")
+    pairs = spark.range(runs).select(draw(run, "customer", len(customers), hasher), draw(run, "day", len(days), hasher)).collect()
+    return [*(("c1", c, None) for c in customers), *(("c2", None, d) for d in days),
+            *(("c3", customers[i], days[j]) for i, j in pairs)]
+
+
+def lookup_matches(
+    spark: SparkSession, layouts: Layouts, runs: int = 10, hasher: Hasher = stable_hash
+) -> DataFrame:
+    """Rows the lookups of a report find, per query code: each layout is joined with the parameters, once per case."""
+    wanted = spark.createDataFrame(parameters(spark, layouts, runs, hasher), "case_code string, customer string, day date")
+    counts = None
+    for part, layout in zip(("q1", "q2", "q3"), (layouts.date_clustered, layouts.bucketed, layouts.date_plain)):
+        rows = spark.table(layout.table)
+        day = F.col(DATE) if layout.by_date else date_of(F.col("tstamp"))
+        of_customer, of_day = F.col("cust_identifier") == F.col("customer"), day == F.col("day")
+        for case, condition in (("c1", of_customer), ("c2", of_day), ("c3", of_customer & of_day)):
+            found = rows.join(wanted.where(F.col("case_code") == case), condition)
+            found = found.select(F.lit(case + part).alias("job_group"), F.lit(1).alias("found"))
+            counts = found if counts is None else counts.unionAll(found)
+    matched = counts.groupBy("job_group").agg(F.sum("found").alias("rows_matched"))
+    parts = F.explode(F.array(*[F.lit(p) for p in ("q1", "q2", "q3")]))
+    runs_of = wanted.groupBy("case_code").agg(F.count("*").alias("num_exec")).select(
+        F.col("case_code"), parts.alias("part"), "num_exec").select(F.concat("case_code", "part").alias("job_group"), "num_exec")
+    return runs_of.join(matched, "job_group", "left").select("job_group", "num_exec", F.coalesce("rows_matched", F.lit(0)).alias("rows_matched"))
 
 
 def _measure(spark: SparkSession, layouts: Layouts, code: str, customer, day) -> tuple:
     """One run as a job-log row. The aggregate reads every output column, but returns one row."""
     rows = run_lookup(spark, layouts, code, customer, day)
     total = rows.selectExpr("count(*) AS n", "bit_xor(xxhash64(*)) AS checksum")
+    job_id = f"{PREFIX}_{code}_{uuid.uuid4().hex}"
+    spark.sparkContext.setJobDescription(job_id)
     start = datetime.now(timezone.utc).replace(tzinfo=None)
     matched = total.collect()[0]["n"]
     end = datetime.now(timezone.utc).replace(tzinfo=None)
-    read = scan_metrics(total)
-    job_id = f"cpperf_{code}_{uuid.uuid4().hex}"
-    return (job_id, start, start, end, read["filesSize"], read["filesSize"], "QUERY", PROJECT,
-            matched, read["numOutputRows"], read["numFiles"])
+    spark.sparkContext.setJobDescription(None)
+    return job_id, start, start, end, None, None, "QUERY", PROJECT, matched, len(rows.inputFiles())
 
 
 def run_lookups(
     spark: SparkSession, layouts: Layouts, runs: int = 10, hasher: Hasher = stable_hash
 ) -> DataFrame:
-    """``runs`` parameter values for each of the nine lookups; a job log with scan counters.
+    """The nine lookups with ``runs`` parameters each: a job log with the rows found and the files opened.
 
-    Empties the session's cache first: a cached table would be no measure of its layout.
+    Bytes and rows read come from Spark's event log where the session writes one, uncompressed;
+    else they are NULL.
     """
-    base = spark.table(layouts.date_clustered.table)
-    keys = first_values(base, F.col("cust_identifier"), "cust_identifier", runs)
-    days = first_values(base, F.col(DATE), "day", runs)
-    customers = [r[0] for r in pick_values(keys, "cust_identifier", runs, "customer", hasher).collect()]
-    dates = [r[0] for r in pick_values(days, "day", runs, "day", hasher).collect()]
-    spark.catalog.clearCache()
-    log = []
-    for customer in customers:
-        log += [_measure(spark, layouts, c, customer, None) for c in LOOKUP_CODES if c[:2] == "c1"]
-    for day in dates:
-        log += [_measure(spark, layouts, c, None, day) for c in LOOKUP_CODES if c[:2] == "c2"]
-    for customer, day in zip(customers, dates):
-        log += [_measure(spark, layouts, c, customer, day) for c in LOOKUP_CODES if c[:2] == "c3"]
-    return spark.createDataFrame(log, RUN_DDL)
-
-
-def layout_report(spark: SparkSession, layouts: Layouts, runs: int = 10) -> DataFrame:
+    log = [_measure(spark, layouts, case + part, customer, day)
+           for case, customer, day in parameters(spark, layouts, runs, hasher) for part in ("q1", "q2", "q3")]
+    jobs = spark.createDataFrame(log, RUN_DDL)
+    conf = spark.sparkContext.getConf()
+    if conf.get("spark.eventLog.enabled", "false") == "true" and conf.get("spark.eventLog.compress", "true") == "false":
+        reads = event_log_reads(spark, f"{conf.get('spark.eventLog.dir')}/*{spark.sparkContext.applicationId}*")
+    else:
+        reads = spark.createDataFrame([], "job_id string, bytes_read bigint, rows_read bigint")
+    measured = jobs.join(reads, "job_id", "left")
+    return measured.withColumns({"total_bytes_processed": F.col("bytes_read"), "total_bytes_billed": F.col("bytes_read")}).drop("bytes_read")
+
+
+def layout_report(spark: SparkSession, layouts: Layouts, runs: int = 10, hasher: Hasher = stable_hash) -> DataFrame:
     """The job-history summary of the runs, with rows and files per code."""
-    log = run_lookups(spark, layouts, runs)
-    reads = log.groupBy(query_code(F.col("job_id")).alias("job_group")).agg(
+    log = run_lookups(spark, layouts, runs, hasher)
+    reads = log.groupBy(query_code(F.col("job_id"), PREFIX).alias("job_group")).agg(
         F.sum("rows_matched").alias("rows_matched"),
         F.sum("rows_read").alias("rows_read"),
         F.sum("files_read").alias("files_read"),
     )
-    summary = job_history_summary(log, datetime(1970, 1, 1), datetime(9999, 1, 1), PROJECT)
+    summary = job_history_summary(log, datetime(1970, 1, 1), datetime(9999, 1, 1), PROJECT, PREFIX)
     return summary.join(reads, "job_group").orderBy("job_group")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import date_of
 from ..functions.hashing import Hasher, bucket_of, stable_hash
+from ..sources.tables import table_folder
 
 DATE = "tstamp_date"
 BUCKET = "cust_identifier_bucket"
@@ -58,21 +59,22 @@ def write_date_clustered(df: DataFrame, table: str, path: str | None = None,
 
 
 def write_bucketed(df: DataFrame, table: str, path: str | None = None, buckets: int = 4000,
-                   tasks: int | None = None) -> None:
+                   tasks: int | None = None, hasher: Hasher = stable_hash) -> None:
     """Customer-bucket partitions, clustered by time.
 
     4000 buckets suit a large table; choose fewer where a bucket would fall below a file.
     """
-    _save(cluster_by_range(with_bucket(df, buckets), BUCKET, "tstamp", tasks), table, path, BUCKET)
+    _save(cluster_by_range(with_bucket(df, buckets, hasher), BUCKET, "tstamp", tasks), table, path, BUCKET)
 
 
 def write_bucket_by(df: DataFrame, table: str, path: str | None = None, buckets: int = 4000,
                     tasks: int | None = None) -> None:
     """Customer buckets as Spark's own bucketed table, sorted by time.
 
-    Lookups by customer prune buckets without a predicate on a bucket column, and
-    joins and counts by customer need no shuffle. Rows are brought together by the
-    hash Spark buckets with, so a task writes few files and a hot bucket has several.
+    Lookups by customer prune buckets without a predicate on a bucket column. Rows are brought
+    together by the hash Spark buckets with, so a task writes few files and a hot bucket has
+    several. A read as a bucketed table is one task per bucket, a hot one too: for whole-table work
+    such as counts by customer read it with ``split_scan``.
     """
     bucket = F.pmod(F.hash("cust_identifier"), F.lit(buckets))
     ranged = cluster_by_range(df.withColumn(BUCKET, bucket), BUCKET, "tstamp", tasks).drop(BUCKET)
@@ -83,6 +85,16 @@ def write_bucket_by(df: DataFrame, table: str, path: str | None = None, buckets:
     writer.saveAsTable(table)
 
 
+def split_scan(spark: SparkSession, table: str) -> DataFrame:
+    """A bucketed table's files as plain Parquet: large ones are split, whatever bucket they are in."""
+    return spark.read.schema(spark.table(table).schema).parquet(table_folder(spark, table))
+
+
+def count_by_customer(spark: SparkSession, table: str) -> DataFrame:
+    """Rows per customer: partial counts over a split scan, then a shuffle of one row per customer and task."""
+    return split_scan(spark, table).groupBy("cust_identifier").agg(F.count("*").alias("n_rows"))
+
+
 def write_date_plain(df: DataFrame, table: str, path: str | None = None) -> None:
     """Date partitions without clustering; AQE cuts a large date into several files."""
     _save(with_date(df).hint("rebalance", F.col(DATE)), table, path, DATE)

@@ -10,9 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.parse import REJECT_SCHEMA, bad_rows, tag_json
+from ..functions.coerce import quoted
+from ..operators.parse import OBJECT, REJECT_SCHEMA, bad_rows, parse_object, tag_object
 from ..operators.registry_join import table_name
+from ..session import remove_path
 from ..sinks.tables import append_load, read_loads
+from ..sources.registry import registry_schemas
 from .ingest import append_checked, run_all
 
 REJECTS = "_rejects"
@@ -23,36 +26,38 @@ class Target:
     """Where routed tables live: one catalog table per registry name, files below ``root``."""
 
     root: str
-    schemas: dict[str, T.StructType]
+    registry: DataFrame
     prefix: str = ""
 
-    def __post_init__(self) -> None:
-        tables = [self.table(name) for name in [*self.schemas, REJECTS]]
-        if len(set(tables)) < len(tables):
-            raise ValueError("two registry names stand for the same table")
-
     def table(self, name: str) -> str:
         """The catalog name: a registry name may hold characters an identifier may not."""
         return self.prefix + re.sub(r"\W", "_", name)
 
-    def append(self, df: DataFrame, name: str, load_id: str) -> None:
-        schema = REJECT_SCHEMA if name == REJECTS else self.schemas[name]
-        table = self.table(name)
-        append_load(df, table, load_id, schema, f"{self.root}/t_{table}")
+    def path(self, name: str) -> str:
+        return f"{self.root}/t_{self.table(name)}"
+
+    def append(self, df: DataFrame, name: str, schema: T.StructType, load_id: str) -> None:
+        append_load(df, self.table(name), load_id, schema, self.path(name))
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
         return read_loads(spark, self.table(name))
 
+    def check(self, names: list[str]) -> None:
+        tables = [self.table(name) for name in [*names, REJECTS]]
+        if len(set(tables)) < len(tables):
+            raise ValueError("two registry names stand for the same table")
+
 
-def tag_route(messages: DataFrame, tables: list[str]) -> DataFrame:
-    """``value`` with its ``route``: the table name, or ``_rejects`` for an unknown one."""
-    named = messages.select("value", table_name().alias("route"))
-    known = F.col("route").isin(tables)
-    return named.withColumn("route", F.when(known, F.col("route")).otherwise(F.lit(REJECTS)))
+def tag_route(messages: DataFrame, registry: DataFrame) -> DataFrame:
+    """``value``, its parsed object and its ``route``: the table named there, or ``_rejects`` for an unknown one."""
+    named = parse_object(messages).withColumn("route", table_name())
+    known = registry.select(F.col("tablename").alias("_known")).distinct()
+    found = named.join(known, F.col("route") == F.col("_known"), "left")
+    return found.select("value", OBJECT, F.coalesce("_known", F.lit(REJECTS)).alias("route"))
 
 
-def route_counts(messages: DataFrame, tables: list[str]) -> DataFrame:
-    return tag_route(messages, tables).groupBy("route").agg(F.count("*").alias("n_messages"))
+def route_counts(messages: DataFrame, registry: DataFrame) -> DataFrame:
+    return tag_route(messages, registry).groupBy("route").agg(F.count("*").alias("n_messages"))
 
 
 def route_messages(
@@ -65,43 +70,48 @@ def route_messages(
 ) -> list[str]:
     """Append messages to the tables they name; returns the tables written.
 
-    The input is read once and written, split by table, to ``stage``; each table
-    then parses its own part only. (Filtering the input once per table would read
-    it as often as there are tables.) A table holding most of the messages is
-    still many files, so many tasks. Repeating a load replaces what it wrote.
-    ``stage`` holds one load at a time and is overwritten by the next.
+    A message is parsed once, into a map; its table name and its values come from that map.
+    The maps are written to a folder of the load below ``stage``, gathered by table, a table that holds most
+    of them in many files, and every table reads its own part. So there are about as many files as
+    tables and tasks together, and the input isn't read once per table. The folder goes when all is
+    written; repeating a load replaces what it wrote.
 
     ``strict`` fails before any table is written if a table name is unknown.
     ``permissive`` appends such messages and unparsable ones to the rejects.
     """
-    spark = messages.sparkSession
-    split = tag_route(messages, list(target.schemas))
-    split.write.mode("overwrite").partitionBy("route").parquet(stage)
-    staged = spark.read.schema("value string, route string").parquet(stage)
-    # At most one row per registered table, plus the rejects.
-    routes = {row["route"] for row in staged.select("route").distinct().collect()}
-    if mode == "strict" and REJECTS in routes:
-        raise ValueError("messages without a known table name; see " + stage)
-
-    def tagged(table: str) -> DataFrame:
-        return tag_json(staged.where(F.col("route") == table), target.schemas[table])
+    spark, folder = messages.sparkSession, f"{stage}/{load_id}"
+    split = tag_route(messages, target.registry).hint("rebalance", F.col("route"))
+    split.write.mode("overwrite").partitionBy("route").parquet(folder)
+    staged = spark.read.schema(f"value string, {quoted(OBJECT)} map<string, string>, route string").parquet(folder)
+    # At most one row per table the load has messages for, plus the rejects.
+    routes = staged.select(F.col("route").alias("tablename")).distinct()
+    schemas = registry_schemas(target.registry, routes)
+    target.check(list(schemas))
+    unnamed = staged.where(F.col("route") == REJECTS)
+    some_unnamed = not unnamed.isEmpty()
+    if mode == "strict" and some_unnamed:
+        raise ValueError("messages without a known table name; see " + folder)
+
+    def tagged(name: str) -> DataFrame:
+        return tag_object(staged.where(F.col("route") == name), schemas[name])
 
     rejected: dict[str, int] = {}
 
-    def load(table: str) -> None:
+    def load(name: str) -> None:
         def append(rows: DataFrame) -> None:
-            target.append(rows, table, load_id)
+            target.append(rows, name, schemas[name], load_id)
 
         # Rejects of all tables go to one table, so they are written together below.
-        rejected[table] = append_checked(tagged(table), append, lambda rows: None, mode)
+        rejected[name] = append_checked(tagged(name), append, lambda rows: None, mode)
 
-    tables = sorted(routes - {REJECTS})
+    tables = sorted(schemas)
     run_all(spark, load, tables, parallel)
-    parts = [bad_rows(tagged(table)) for table in tables if rejected[table]]
-    if REJECTS in routes:
-        reason = F.concat(F.lit("unknown table "), F.coalesce(table_name(), F.lit("(none)")))
-        unnamed = staged.where(F.col("route") == REJECTS)
+    parts = [bad_rows(tagged(name)) for name in tables if rejected[name]]
+    if some_unnamed:
+        unknown = F.concat(F.lit("unknown table "), F.coalesce(table_name(), F.lit("(none)")))
+        reason = F.when(F.is_valid_utf8("value"), unknown).otherwise("not UTF-8")
         parts.append(unnamed.select("value", reason.alias("reject_reason")))
     if parts:
-        target.append(reduce(DataFrame.unionAll, parts), REJECTS, load_id)
+        target.append(reduce(DataFrame.unionAll, parts), REJECTS, REJECT_SCHEMA, load_id)
+    remove_path(spark, folder)
     return tables

@@ -48,15 +48,16 @@ def replicate_day_job(
     key: list[Column] | None = None,
     seed: int | None = None,
     hasher: Hasher = stable_hash,
+    tasks: int | None = None,
 ) -> None:
     """Grow a date-clustered table: append copies of ``day`` to the days after it.
 
     Reads that day's partition only. All copies are one append, clustered like the
-    rest of the table, so a copy of a large day is many files.
+    rest of the table, so a copy of a large day is many files (``tasks``, as for the layouts).
     """
     if not layout.by_date:
         raise ValueError("the table must be partitioned by date")
     source = layout.pruned(spark, None, day).drop(DATE)
     copies = shift_replicate(source, day, iterations, rate, key=key, seed=seed, hasher=hasher)
-    clustered = cluster_by_range(with_date(copies), DATE, "cust_identifier")
+    clustered = cluster_by_range(with_date(copies), DATE, "cust_identifier", tasks)
     clustered.write.mode("append").partitionBy(DATE).saveAsTable(layout.table)

@@ -59,15 +59,15 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
+    """The folder every executor can reach, as named by ``spark.checkpoint.dir``, which is taken at its word.
 
     Only a local master may fall back to a temporary folder; on a cluster a
     machine-local path would be lost with its executor, so that is an error.
     """
+    context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
@@ -78,3 +78,10 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that nothing has used yet."""
     return os.path.join(shared_dir(spark), "tabflow", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder with its files, in any file system Spark can write; nothing if it is absent."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

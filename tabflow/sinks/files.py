@@ -12,6 +12,11 @@ def write_lines(df: DataFrame, line: Column, path: str) -> None:
     df.select(line.alias("value")).write.mode("append").option("lineSep", "\n").text(path)
 
 
+def write_load_lines(df: DataFrame, line: Column, path: str, load_id: str) -> None:
+    """The text lines of one load in a folder of its own, which a repeat overwrites; read them with ``<path>/*``."""
+    df.select(line.alias("value")).write.mode("overwrite").option("lineSep", "\n").text(f"{path}/load_id={load_id}")
+
+
 def write_ndjson(df: DataFrame, path: str) -> None:
     """One JSON object per line, every column as a key."""
     df.write.mode("append").option("ignoreNullFields", "false").json(path)

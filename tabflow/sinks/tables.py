@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 import re
+import uuid
+from collections.abc import Callable
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.coerce import conform
+from ..functions.coerce import conform, literal, quoted
+from ..session import remove_path
 
-LOAD_ID = "load_id"
+LOAD_DAY, LOAD_ID = "load_day", "load_id"
+_FOLDED = "folded"
 
 
 def create_if_needed(
@@ -17,13 +23,13 @@ def create_if_needed(
     table: str,
     schema: T.StructType,
     path: str | None = None,
-    partition: str | None = None,
+    partitions: tuple[str, ...] = (),
 ) -> None:
     """An empty Parquet table with the declared columns, unless the table exists."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     ddl = f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet"
-    if partition:
-        ddl += f" PARTITIONED BY (`{partition}`)"
+    if partitions:
+        ddl += f" PARTITIONED BY ({', '.join(map(quoted, partitions))})"
     if path:
         ddl += " LOCATION '" + path.replace("'", "\\'") + "'"
     spark.sql(ddl)
@@ -37,31 +43,113 @@ def append_table(
     conform(df, schema).write.mode("append").saveAsTable(table)
 
 
+def _loads(spark: SparkSession, table: str, load_id: str | None = None) -> list[tuple[str, str]]:
+    """(day, load) of the table's partitions; a folded day has one, so they stay few."""
+    spec = f" PARTITION ({LOAD_ID} = {literal(load_id)})" if load_id else ""
+    rows = spark.sql(f"SHOW PARTITIONS {table}{spec}").collect()
+    return [tuple(part.split("=", 1)[1] for part in r[0].split("/")) for r in rows]
+
+
+def _properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
+def _series(load_id: str) -> tuple[str, int]:
+    """A stream's loads are its id and a rising number; any other load is a series of its own."""
+    name, _, number = load_id.rpartition("-")
+    return (name, int(number)) if name and number.isdigit() and len(number) < 19 else (load_id, 0)
+
+
 def append_load(
     df: DataFrame, table: str, load_id: str, schema: T.StructType, path: str | None = None
 ) -> None:
     """Append one load to a table so that repeating the load changes nothing.
 
-    The rows fill the table's ``load_id`` partition of that load, which a repeat
-    overwrites.
+    The rows fill the partition of that load below the day of its first attempt, and a repeat
+    overwrites them, on whatever day it comes. ``fold_days`` gathers the loads of finished days;
+    a load that has been folded is final, and repeating it does nothing.
     """
-    if not re.fullmatch(r"[\w-]+", load_id):
+    if not re.fullmatch(r"[\w-]+", load_id) or load_id.startswith(_FOLDED):
         raise ValueError(f"not a load id: {load_id!r}")
     spark = df.sparkSession
-    stored = T.StructType([*schema.fields, T.StructField(LOAD_ID, T.StringType())])
-    create_if_needed(spark, table, stored, path, partition=LOAD_ID)
+    stored = T.StructType([*schema.fields, T.StructField(LOAD_DAY, T.StringType()), T.StructField(LOAD_ID, T.StringType())])
+    create_if_needed(spark, table, stored, path, (LOAD_DAY, LOAD_ID))
+    name, number = _series(load_id)
+    if number <= int(_properties(spark, table).get(f"{_FOLDED}.{name}", "-1")):
+        return
+    earlier = _loads(spark, table, load_id)
+    day = earlier[0][0] if earlier else datetime.now(timezone.utc).date().isoformat()
     spark.sql(
-        f"INSERT OVERWRITE TABLE {table} PARTITION ({LOAD_ID} = '{load_id}') BY NAME "
+        f"INSERT OVERWRITE TABLE {table} PARTITION ({LOAD_DAY} = '{day}', {LOAD_ID} = '{load_id}') BY NAME "
         "SELECT * FROM {rows}",
         rows=conform(df, schema),
     )
 
 
-def read_loads(spark: SparkSession, table: str) -> DataFrame:
-    """All loads of a table, without the load column.
+def read_loads(spark: SparkSession, table: str, load_id: str | None = None) -> DataFrame:
+    """All loads of a table, or one, without the load columns.
 
     A stream writes in a session of its own, so the files this session remembers
-    may be out of date.
+    may be out of date. While a day is being folded, its loads don't count besides the fold.
+    """
+    spark.catalog.refreshTable(table)
+    rows = spark.table(table)
+    if load_id is not None:
+        rows = rows.where(F.col(LOAD_ID) == load_id)
+    for day, fold in _unfinished(spark, table):
+        rows = rows.where((F.col(LOAD_DAY) != day) | (F.col(LOAD_ID) == fold))
+    return rows.drop(LOAD_DAY, LOAD_ID)
+
+
+def _unfinished(spark: SparkSession, table: str) -> list[tuple[str, str]]:
+    """Folds that are written but whose loads may still be there."""
+    begun = {k.split(".", 1)[1]: v for k, v in _properties(spark, table).items() if k.startswith("folding.")}
+    return [(day, fold) for day, fold in begun.items() if (day, fold) in _loads(spark, table, fold)]
+
+
+def fold_days(
+    spark: SparkSession, table: str, before: date, path: str | None = None,
+    combine: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> list[str]:
+    """Gather the loads of every day before ``before`` into one partition a day; the days folded.
+
+    A table that a stream fills every minute has 1,440 partitions for the running day and one for each
+    day folded. ``combine`` may shrink a day's rows, such as adding up partial counts. Run it from
+    one place at a time, for days whose streams have moved on. If it is interrupted, the next run goes on:
+    a fold counts as soon as it is written as a whole, and before that its loads do. ``path`` is the table's
+    folder, whose files of folded loads are then removed.
     """
+    rows = spark.table(table)
+    columns = [c for c in rows.columns if c not in (LOAD_DAY, LOAD_ID)]
+    days: dict[str, list[str]] = {}
+    for day, load_id in _loads(spark, table):
+        days.setdefault(day, []).append(load_id)
+    done = []
+    for day, load_ids in sorted(days.items()):
+        written = dict(_unfinished(spark, table)).get(day)
+        if day >= before.isoformat() or (len(load_ids) == 1 and load_ids[0].startswith(_FOLDED)):
+            continue
+        fold = written or f"{_FOLDED}-{uuid.uuid4().hex[:12]}"
+        loads = [i for i in load_ids if i != fold]
+        if not written:
+            spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('folding.{day}' = '{fold}')")
+            part = combine(rows.where((F.col(LOAD_DAY) == day) & F.col(LOAD_ID).isin(loads)).select(*columns))
+            spark.sql(f"INSERT INTO {table} PARTITION ({LOAD_DAY} = '{day}', {LOAD_ID} = '{fold}') BY NAME SELECT * FROM {{part}}",
+                      part=part.hint("rebalance"))
+        last: dict[str, int] = {}
+        for load_id in loads:
+            if not load_id.startswith(_FOLDED):
+                name, number = _series(load_id)
+                last[name] = max(number, last.get(name, -1))
+        marks = _properties(spark, table)
+        final = {k: max(n, int(marks.get(f"{_FOLDED}.{k}", "-1"))) for k, n in last.items()}
+        if final:
+            spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES (" + ", ".join(f"'{_FOLDED}.{k}' = '{n}'" for k, n in final.items()) + ")")
+        for load_id in loads:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({LOAD_DAY} = '{day}', {LOAD_ID} = '{load_id}')")
+            if path:
+                remove_path(spark, f"{path}/{LOAD_DAY}={day}/{LOAD_ID}={load_id}")
+        spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('folding.{day}')")
+        done.append(day)
     spark.catalog.refreshTable(table)
-    return spark.table(table).drop(LOAD_ID)
+    return done

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ..functions.text import decode_payload
+from ..functions.text import unchecked_payload
 
 
 def message_stream(spark: SparkSession, location: str, fmt: str = "text", **options: str) -> DataFrame:
     """Payloads of a topic as text, column ``value``; Kafka adds ``timestamp``.
 
+    Bytes are passed on as they are, so that the parsers can reject damaged ones.
+
     ``fmt="kafka"`` subscribes to the topic ``location`` and needs the connector
     on the class path. Pass ``minPartitions`` there: it cuts a topic partition that
     holds most of the messages into several tasks. ``fmt="text"`` watches a folder
@@ -20,6 +21,5 @@ def message_stream(spark: SparkSession, location: str, fmt: str = "text", **opti
     reader = spark.readStream.options(**options)
     if fmt == "kafka":
         topic = reader.format("kafka").option("subscribe", location).load()
-        return decode_payload(topic.select("value", "timestamp"))
-    lines = reader.format("text").schema("value string").option("lineSep", "\n").load(location)
-    return decode_payload(lines.select(F.encode("value", "UTF-8").alias("value")))
+        return unchecked_payload(topic.select("value", "timestamp"))
+    return reader.format("text").schema("value string").option("lineSep", "\n").load(location)

@@ -1,6 +1,6 @@
-"""Small driver-side inputs: schema registries, job configurations, schema files.
+"""Schema registries, job configurations and schema files.
 
-Each is read with a bound; past the bound the job stops instead of filling the driver.
+What reaches the driver is one configuration, or the schemas of the tables a load has rows for.
 """
 
 from __future__ import annotations
@@ -19,10 +19,6 @@ REGISTRY_DDL = (
 )
 CONFIG_DDL = "tablelist array<struct<sourcefile: string, targettable: string, schemauri: string>>"
 
-MAX_TABLES = 10_000
-MAX_SMALL_FILE_BYTES = 4 * 1024 * 1024
-
-
 @dataclass(frozen=True)
 class LoadEntry:
     source: str
@@ -35,38 +31,21 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(REGISTRY_DDL).json(path, mode="FAILFAST")
 
 
-def registry_fields(registry: DataFrame) -> DataFrame:
-    """The registry as a column catalogue, one row per table and field."""
-    return registry.select("tablename", F.posexplode("schema.fields").alias("position", "field")).select(
-        "tablename", "position", "field.name", "field.type", "field.mode"
-    )
-
-
-def registry_schemas(registry: DataFrame, max_tables: int = MAX_TABLES) -> dict[str, T.StructType]:
-    """``{table name: schema}`` on the driver; every name may occur once."""
-    rows = registry.limit(max_tables + 1).collect()
-    if len(rows) > max_tables:
-        raise ValueError(f"the registry lists more than {max_tables} tables")
+def registry_schemas(registry: DataFrame, names: DataFrame | None = None) -> dict[str, T.StructType]:
+    """``{table name: schema}`` of all tables, or of those in ``names`` (column tablename); each may be listed once."""
+    wanted = registry if names is None else registry.join(names.select("tablename").distinct(), "tablename", "left_semi")
+    rows = wanted.collect()
     schemas = {row["tablename"]: schema_from_fields(row["schema"]["fields"]) for row in rows}
     if len(schemas) < len(rows):
         raise ValueError("the registry lists a table twice")
     return schemas
 
 
-def read_small_file(spark: SparkSession, path: str, max_bytes: int = MAX_SMALL_FILE_BYTES) -> str:
-    """The text of one small file, from any file system Spark can read."""
-    files = (
-        spark.read.format("binaryFile")
-        .load(path)
-        .where(F.col("length") > 0)
-        .select("length", F.when(F.col("length") <= max_bytes, F.col("content")).alias("content"))
-        .limit(2)
-        .collect()
-    )
+def read_small_file(spark: SparkSession, path: str) -> str:
+    """The text of one file, from any file system Spark can read."""
+    files = spark.read.format("binaryFile").load(path).where(F.col("length") > 0).select("content").limit(2).collect()
     if len(files) != 1:
         raise ValueError(f"expected one non-empty file at {path}")
-    if files[0]["content"] is None:
-        raise ValueError(f"{path} has {files[0]['length']} bytes, more than {max_bytes}")
     return bytes(files[0]["content"]).decode("utf-8")
 
 
@@ -75,16 +54,13 @@ def read_schema_file(spark: SparkSession, path: str) -> T.StructType:
     return schema_from_text(read_small_file(spark, path).strip())
 
 
-def read_load_config(spark: SparkSession, path: str, max_tables: int = MAX_TABLES) -> list[LoadEntry]:
+def read_load_config(spark: SparkSession, path: str) -> list[LoadEntry]:
     """The ``tablelist`` of a load configuration, in order."""
     entries = (
         spark.read.schema(CONFIG_DDL)
         .json(path, multiLine=True, mode="FAILFAST")
         .select(F.explode("tablelist").alias("entry"))
         .select("entry.*")
-        .limit(max_tables + 1)
         .collect()
     )
-    if len(entries) > max_tables:
-        raise ValueError(f"the configuration lists more than {max_tables} tables")
     return [LoadEntry(e["sourcefile"], e["targettable"], e["schemauri"]) for e in entries]

@@ -1,35 +1,52 @@
-"""Message stream to one table, and the key tap."""
+"""Message streams to tables, the key tap, and one stream to two outputs.
+
+Every job writes a micro-batch as one load of a table (``append_load``): a batch that is repeated after a
+failure replaces its own rows, and ``fold_days`` gathers the batches of finished days. Strict and permissive
+jobs write tables of the same form.
+"""
 
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.schema import ACCOUNT_SCHEMA
+from ..functions.schema import ACCOUNT_SCHEMA, schema_from_text
+from ..operators.counts import count_per_window
 from ..operators.parse import REJECT_SCHEMA, accept_all, tag_json
 from ..plans.ingest import append_checked
-from ..sinks.tables import append_load
+from ..sinks.files import write_load_lines
+from ..sinks.tables import append_load, read_loads
 
 log = logging.getLogger("tabflow.tap")
+TAP_SCHEMA = schema_from_text("country_code:STRING, ones:INT64, n:INT64")
+
 
+def batch_load_id(batch: DataFrame, batch_id: int) -> str:
+    """The same for a repeated batch; differs between queries with different checkpoints."""
+    query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not query_id:
+        raise RuntimeError("not inside a streaming query: its id is missing")
+    return f"{query_id}-{batch_id}"
 
-def append_stream(
-    rows: DataFrame, path: str, checkpoint: str, table: str | None = None, drain: bool = False
+
+def run_batches(
+    rows: DataFrame, work: Callable[[DataFrame, str], None], checkpoint: str, drain: bool = False
 ) -> StreamingQuery:
-    """Append a stream to a Parquet folder, optionally registered as a table.
+    """Call ``work`` with every micro-batch and its load id; ``drain`` stops when the present input is used up."""
+    writer = rows.writeStream.foreachBatch(lambda batch, n: work(batch, batch_load_id(batch, n)))
+    writer = writer.option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if drain else writer).start()
 
-    The file sink commits each micro-batch once, also after a restart from the
-    checkpoint. ``drain`` stops when the present input is used up.
-    """
-    writer = rows.writeStream.format("parquet").outputMode("append")
-    writer = writer.option("checkpointLocation", checkpoint).option("path", path)
-    if drain:
-        writer = writer.trigger(availableNow=True)
-    return writer.toTable(table) if table else writer.start()
+
+def append_stream(rows: DataFrame, table: str, path: str, checkpoint: str, drain: bool = False) -> StreamingQuery:
+    """Append a stream to a table; read it with ``read_loads``."""
+    schema = rows.schema
+    return run_batches(rows, lambda batch, load_id: append_load(batch, table, load_id, schema, path), checkpoint, drain)
 
 
 def tag_accounts(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -44,26 +61,14 @@ def parse_accounts(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return accept_all(tag_accounts(messages, keep))
 
 
-def batch_load_id(batch: DataFrame, batch_id: int) -> str:
-    """The same for a repeated batch; differs between queries with different checkpoints."""
-    query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-    return f"{query_id}-{batch_id}"
-
-
 def ingest_accounts(
     messages: DataFrame, table: str, path: str, checkpoint: str, mode: str = "strict", drain: bool = False
 ) -> StreamingQuery:
     """Append account messages to a table.
 
-    ``strict`` stops the query at a bad message. ``permissive`` appends those to
-    ``<table>_rejects``; both tables then have a ``load_id`` partition per batch, so
-    that a repeated batch replaces its own rows.
+    ``strict`` stops the query at a bad message, ``permissive`` appends those to ``<table>_rejects``.
     """
-    if mode == "strict":
-        return append_stream(parse_accounts(messages), path, checkpoint, table, drain)
-
-    def load(batch: DataFrame, batch_id: int) -> None:
-        load_id = batch_load_id(batch, batch_id)
+    def load(batch: DataFrame, load_id: str) -> None:
         append_checked(
             tag_accounts(batch),
             lambda rows: append_load(rows, table, load_id, ACCOUNT_SCHEMA, path),
@@ -71,26 +76,39 @@ def ingest_accounts(
             mode,
         )
 
-    writer = messages.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
-    if drain:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
+    return run_batches(messages, load, checkpoint, drain)
 
 
-def tap_keys(accounts: DataFrame, checkpoint: str, shown: int = 20, drain: bool = False) -> StreamingQuery:
-    """Log the (country, 1) pairs of each micro-batch; writes nothing.
+def ingest_and_count(
+    messages: DataFrame, table: str, path: str, lines_path: str, checkpoint: str, ts: str = "timestamp",
+    drain: bool = False,
+) -> StreamingQuery:
+    """One stream, two outputs: the account rows as a table, and their counts per window and country as text lines.
 
-    Equal pairs are one line with their number, at most ``shown`` lines a batch:
-    the driver's log must not grow with the stream.
+    A batch is parsed once; its counts are taken from the rows just written. A line is
+    ``window country: count`` and counts the batch's rows, so the lines of one window add up.
     """
-    pairs = accounts.select("country_code", F.lit(1).alias("ones"))
+    schema = T.StructType([*ACCOUNT_SCHEMA.fields, messages.schema[ts]])
 
-    def show(batch: DataFrame, batch_id: int) -> None:
-        equal = batch.groupBy("country_code", "ones").agg(F.count("*").alias("n"))
-        for row in equal.orderBy(F.desc("n"), "country_code").limit(shown).collect():
-            log.info("batch %d element: (%s, %d) x %d", batch_id, row["country_code"], row["ones"], row["n"])
+    def load(batch: DataFrame, load_id: str) -> None:
+        append_load(parse_accounts(batch, keep=[ts]), table, load_id, schema, path)
+        counts = count_per_window(read_loads(batch.sparkSession, table, load_id), ts)
+        start = F.date_format("window_start", "yyyy-MM-dd HH:mm:ss")
+        line = F.format_string("%s %s: %d", start, "country_name", "num_cc_card")
+        write_load_lines(counts, line, lines_path, load_id)
+
+    return run_batches(messages, load, checkpoint, drain)
+
+
+def tap_keys(accounts: DataFrame, table: str, path: str, checkpoint: str, drain: bool = False) -> StreamingQuery:
+    """Record the (country, 1) pairs of each micro-batch with their numbers, and log one line a batch.
+
+    Every element counts; equal pairs of a batch are one row of ``table``.
+    """
+    def record(batch: DataFrame, load_id: str) -> None:
+        pairs = batch.select("country_code", F.lit(1).cast("bigint").alias("ones"))
+        append_load(pairs.groupBy("country_code", "ones").agg(F.count("*").alias("n")), table, load_id, TAP_SCHEMA, path)
+        seen = read_loads(batch.sparkSession, table, load_id).agg(F.count("*").alias("keys"), F.sum("n").alias("n")).first()
+        log.info("load %s: %d elements of %d pairs", load_id, seen["n"] or 0, seen["keys"])
 
-    writer = pairs.writeStream.foreachBatch(show).option("checkpointLocation", checkpoint)
-    if drain:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
+    return run_batches(accounts, record, checkpoint, drain)

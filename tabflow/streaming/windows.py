@@ -1,41 +1,53 @@
-"""Tumbling-window counts of a stream."""
+"""Tumbling-window counts of a stream.
+
+Each micro-batch appends its own counts, and readers add them up. There is no watermark: no row is ever
+late, whatever the order in which it comes, and the stream keeps no state. ``fold_windows``
+adds up the counts of finished days for good.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.schema import schema_from_text
 from ..operators.counts import count_per_window
-from .ingest import append_stream, parse_accounts
+from ..sinks.tables import append_load, fold_days, read_loads
+from .ingest import parse_accounts, run_batches
 
+WINDOW_SCHEMA = schema_from_text("window_start:TIMESTAMP, country_name:STRING, num_cc_card:INT64")
 
-def window_counts(accounts: DataFrame, ts: str, lateness: str = "0 seconds",
-                  key: str = "country_code", width: str = "60 seconds") -> DataFrame:
-    """Counts that are final once the newest event is ``lateness`` past the window's end.
 
-    Later rows of that window are dropped; ``late_rows`` tells how many.
-    ``ts`` must be a TIMESTAMP, a watermark is not defined on TIMESTAMP_NTZ.
-    """
-    return count_per_window(accounts.withWatermark(ts, lateness), ts, key, width)
+def count_windows_stream(
+    rows: DataFrame, table: str, path: str, checkpoint: str, ts: str, key: str = "country_code",
+    width: str = "60 seconds", drain: bool = False,
+) -> StreamingQuery:
+    """Append the counts per key and window of every micro-batch to a table; read it with ``window_counts``."""
+    def count(batch: DataFrame, load_id: str) -> None:
+        append_load(count_per_window(batch, ts, key, width), table, load_id, WINDOW_SCHEMA, path)
+
+    return run_batches(rows, count, checkpoint, drain)
 
 
 def count_accounts_stream(
-    messages: DataFrame, path: str, checkpoint: str, ts: str = "timestamp", lateness: str = "0 seconds",
-    table: str | None = None, drain: bool = False,
+    messages: DataFrame, table: str, path: str, checkpoint: str, ts: str = "timestamp", drain: bool = False
 ) -> StreamingQuery:
-    """Account messages counted per country and minute of their publish time, appended to a table."""
-    counts = window_counts(parse_accounts(messages, keep=[ts]), ts, lateness)
-    return append_stream(counts, path, checkpoint, table, drain)
-
-
-def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped behind the watermark in the progress the query still remembers.
-
-    Spark drops after the partial count: late events of one key and window in one
-    task are one row.
-    """
-    return sum(
-        operator.numRowsDroppedByWatermark
-        for progress in query.recentProgress
-        for operator in progress.stateOperators
-    )
+    """Account messages counted per country and minute of their publish time."""
+    return count_windows_stream(parse_accounts(messages, keep=[ts]), table, path, checkpoint, ts, drain=drain)
+
+
+def _added_up(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("window_start", "country_name").agg(F.sum("num_cc_card").alias("num_cc_card"))
+
+
+def window_counts(spark: SparkSession, table: str) -> DataFrame:
+    """The counts of all batches so far, one row per window and key."""
+    return _added_up(read_loads(spark, table))
+
+
+def fold_windows(spark: SparkSession, table: str, before: date, path: str | None = None) -> list[str]:
+    """Add up the counts written before a day; see ``fold_days``."""
+    return fold_days(spark, table, before, path, _added_up)

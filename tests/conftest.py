@@ -19,6 +19,10 @@ def spark(tmp_path_factory):
             "spark.driver.memory": "6g",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+            "spark.eventLog.enabled": "true",
+            "spark.eventLog.dir": str(tmp_path_factory.mktemp("events")),
+            "spark.eventLog.compress": "false",
+            "spark.eventLog.rolling.enabled": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )

@@ -6,17 +6,21 @@ import logging
 
 import pytest
 from pyspark.errors import PySparkException, StreamingQueryException
+from pyspark.sql import functions as F
 
 from tabflow.functions.schema import ACCOUNT_SCHEMA, schema_from_text
-from tabflow.operators.registry_join import require_known, table_name, unknown_messages, with_registry
+from tabflow.operators.parse import parse_object
+from tabflow.operators.registry_join import table_name, unknown_messages, with_registry
 from tabflow.plans.ingest import count_accounts_job, load_csv_job, load_tables_job
 from tabflow.plans.routing import REJECTS, Target, route_messages
 from tabflow.session import fresh_path, shared_dir
 from tabflow.sinks.tables import append_table, read_loads
+from tabflow.sources.lines import read_lines
 from tabflow.sources.messages import message_stream
-from tabflow.streaming.ingest import append_stream, ingest_accounts, parse_accounts, tap_keys
+from tabflow.sources.registry import read_registry
+from tabflow.streaming.ingest import TAP_SCHEMA, batch_load_id, ingest_accounts, ingest_and_count, parse_accounts, tap_keys
 from tabflow.streaming.router import route_stream
-from tabflow.streaming.windows import late_rows, window_counts
+from tabflow.streaming.windows import count_windows_stream, fold_windows, window_counts
 
 SCHEMAS = {
     "p:d.one": schema_from_text("tablename:STRING, n:INT64"),
@@ -29,6 +33,17 @@ NAMELESS = '{"n": 1}'
 UNPARSED = '{"tablename": "p:d.one", "n": 1, "more": 2}'
 
 
+@pytest.fixture(scope="module")
+def registry(spark, tmp_path_factory):
+    kinds = {"string": "STRING", "bigint": "INT64", "double": "FLOAT64"}
+    path = tmp_path_factory.mktemp("registry") / "tables.json"
+    path.write_text("".join(
+        json.dumps({"tablename": name, "schema": {"fields": [
+            {"name": f.name, "type": kinds[f.dataType.simpleString()], "mode": "NULLABLE"} for f in schema]}}) + "\n"
+        for name, schema in SCHEMAS.items()))
+    return read_registry(spark, str(path))
+
+
 def messages(spark, *lines):
     return spark.createDataFrame([(line,) for line in lines], "value string")
 
@@ -47,20 +62,20 @@ def test_shared_dir_is_the_configured_one(spark):
 def test_count_job_appends(spark, tmp_path):
     rows = spark.createDataFrame([("BE",), ("BE",), ("FR",)], "country_code string")
     append_table(rows, "job_accounts", ACCOUNT_SCHEMA, str(tmp_path / "a"))
-    for _ in range(2):
-        count_accounts_job(spark, "job_accounts", "job_counts", str(tmp_path / "c"))
-    assert sorted(map(tuple, spark.table("job_counts").collect())) == [("BE", 2)] * 2 + [("FR", 1)] * 2
+    for run in ("r1", "r2", "r2"):
+        count_accounts_job(spark, "job_accounts", "job_counts", run, str(tmp_path / "c"))
+    assert sorted(map(tuple, read_loads(spark, "job_counts").collect())) == [("BE", 2)] * 2 + [("FR", 1)] * 2
 
 
 def test_csv_job_modes(spark, tmp_path):
     (tmp_path / "in.csv").write_text("J1,1,0.5,1\nJ2,x,1,1\n")
     with pytest.raises(PySparkException):
-        load_csv_job(spark, str(tmp_path / "in.csv"), "csv_strict", str(tmp_path / "s"))
+        load_csv_job(spark, str(tmp_path / "in.csv"), "csv_strict", "r", str(tmp_path / "s"))
     with pytest.raises(ValueError):
-        load_csv_job(spark, str(tmp_path / "in.csv"), "csv_odd", str(tmp_path / "o"), mode="lenient")
-    assert load_csv_job(spark, str(tmp_path / "in.csv"), "csv_some", str(tmp_path / "p"), mode="permissive") == 1
-    assert [tuple(r) for r in spark.table("csv_some_rejects").collect()] == [("J2,x,1,1", "bad value in scenarioid")]
-    assert [tuple(r) for r in spark.table("csv_some").collect()] == [("J1", 1, 0.5, 1.0)]
+        load_csv_job(spark, str(tmp_path / "in.csv"), "csv_odd", "r", str(tmp_path / "o"), mode="lenient")
+    assert load_csv_job(spark, str(tmp_path / "in.csv"), "csv_some", "r", str(tmp_path / "p"), mode="permissive") == 1
+    assert [tuple(r) for r in read_loads(spark, "csv_some_rejects").collect()] == [("J2,x,1,1", "bad value in scenarioid")]
+    assert [tuple(r) for r in read_loads(spark, "csv_some").collect()] == [("J1", 1, 0.5, 1.0)]
 
 
 def test_multi_load_appends_and_reports_failures(spark, tmp_path):
@@ -76,9 +91,14 @@ def test_multi_load_appends_and_reports_failures(spark, tmp_path):
     config = tmp_path / "config.json"
     config.write_text(json.dumps({"tablelist": [entry("b", "multi_b"), entry("a", "multi_a"), entry("a", "multi_a")]}))
     with pytest.raises(PySparkException):
-        load_tables_job(spark, str(config), table_path=str(tmp_path))
+        load_tables_job(spark, str(config), "run", table_path=str(tmp_path))
     # The failure of one load does not stop the others; the same target twice is two appends.
-    assert sorted(r["n"] for r in spark.table("multi_a").collect()) == [1, 1, 2, 2]
+    assert sorted(r["n"] for r in read_loads(spark, "multi_a").collect()) == [1, 1, 2, 2]
+    (tmp_path / "b.json").write_text('{"s": "x"}\n{"s": "y"}\n')
+    for _ in range(2):  # a rerun adds what had failed and doubles nothing
+        load_tables_job(spark, str(config), "run", table_path=str(tmp_path))
+        assert sorted(r["n"] for r in read_loads(spark, "multi_a").collect()) == [1, 1, 2, 2]
+        assert sorted(r["s"] for r in read_loads(spark, "multi_b").collect()) == ["x", "y"]
 
 
 def test_rejects_are_found_without_a_report(spark, tmp_path, monkeypatch):
@@ -87,25 +107,18 @@ def test_rejects_are_found_without_a_report(spark, tmp_path, monkeypatch):
 
     monkeypatch.setattr(ingest, "_rejected", lambda seen, patience: None)
     (tmp_path / "in.csv").write_text("J1,1,0.5,1\nJ2,x,1,1\n")
-    assert load_csv_job(spark, str(tmp_path / "in.csv"), "csv_lost", str(tmp_path / "l"), mode="permissive") == 1
+    assert load_csv_job(spark, str(tmp_path / "in.csv"), "csv_lost", "r", str(tmp_path / "l"), mode="permissive") == 1
     assert spark.table("csv_lost_rejects").count() == 1
 
 
-def test_registry_join(spark, tmp_path):
-    (tmp_path / "r.json").write_text(json.dumps({"tablename": "p:d.one", "schema": {"fields": []}}))
-    from tabflow.sources.registry import read_registry
-
-    registry = read_registry(spark, str(tmp_path / "r.json"))
-    rows = messages(spark, ONE, TWO, NAMELESS).select(table_name().alias("tablename"), "value")
+def test_registry_join(spark, registry):
+    rows = parse_object(messages(spark, ONE, UNKNOWN, NAMELESS)).select(table_name().alias("tablename"), "value")
     assert with_registry(rows, registry).where("schema IS NULL").count() == 2
-    assert {r["tablename"] for r in unknown_messages(rows, registry).collect()} == {"p:d.two", None}
-    assert require_known(with_registry(rows.limit(1), registry)).count() == 1
-    with pytest.raises(PySparkException, match="unknown table"):
-        require_known(with_registry(rows, registry)).collect()
+    assert {r["tablename"] for r in unknown_messages(rows, registry).collect()} == {"p:d.three", None}
 
 
-def test_route_strict_writes_nothing_on_an_unknown_table(spark, tmp_path):
-    target = Target(str(tmp_path), SCHEMAS, prefix="strict_")
+def test_route_strict_writes_nothing_on_an_unknown_table(spark, tmp_path, registry):
+    target = Target(str(tmp_path), registry, prefix="strict_")
     for bad in (UNKNOWN, NAMELESS):
         with pytest.raises(ValueError):
             route_messages(messages(spark, ONE, bad), target, "l0", str(tmp_path / "stage"))
@@ -115,23 +128,39 @@ def test_route_strict_writes_nothing_on_an_unknown_table(spark, tmp_path):
 
 
 @pytest.mark.parametrize("names", [("a.b", "a_b"), ("_rejects",), ("a", ".rejects")])
-def test_targets_must_not_share_a_table(names):
+def test_targets_must_not_share_a_table(registry, names):
     with pytest.raises(ValueError):
-        Target("/x", {name: SCHEMAS["p:d.one"] for name in names})
+        Target("/x", registry).check(list(names))
+
+
+def test_a_hot_table_is_many_tasks(spark, tmp_path, registry, monkeypatch):
+    """All messages but one belong to one table: its load must not be one task, and the stage few files."""
+    from tabflow.plans import routing
 
+    staged = []
+    monkeypatch.setattr(routing, "remove_path", lambda session, folder: staged.append(folder))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "40k")
+    try:
+        target = Target(str(tmp_path), registry, prefix="hot_")
+        lines = spark.range(0, 80_000, 1, 16).selectExpr(
+            f"if(id = 5, '{TWO}', concat('{{\"tablename\": \"p:d.one\", \"n\": \"', id, '\"}}')) AS value")
+        assert route_messages(lines, target, "l0", str(tmp_path / "stage")) == ["p:d.one", "p:d.two"]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = list((tmp_path / "stage" / "l0").glob("*/part-*"))
+    assert staged == [str(tmp_path / "stage" / "l0")] and 4 <= len(files) <= 2 + 32
+    hot = read_loads(spark, target.table("p:d.one"))
+    sizes = [r["count"] for r in spark.table(target.table("p:d.one")).groupBy("_metadata.file_name").count().collect()]
+    assert hot.select("n").distinct().count() == sum(sizes) == 79_999 and max(sizes) < 40_000
 
-def test_a_hot_table_is_many_tasks(spark, tmp_path):
-    """All messages but one belong to one table: its load must not be one task."""
-    target = Target(str(tmp_path), SCHEMAS, prefix="hot_")
-    lines = spark.range(0, 8000, 1, 8).selectExpr(f"if(id = 5, '{TWO}', '{ONE}') AS value")
-    assert route_messages(lines, target, "l0", str(tmp_path / "stage")) == ["p:d.one", "p:d.two"]
-    hot = spark.table(target.table("p:d.one"))
-    sizes = [r["count"] for r in hot.groupBy("_metadata.file_name").count().collect()]
-    assert sum(sizes) == 7999 and len(sizes) == 8 and max(sizes) == 1000
 
+def test_a_stage_goes_when_its_load_is_written(spark, tmp_path, registry):
+    route_messages(messages(spark, ONE, TWO), Target(str(tmp_path), registry, prefix="gone_"), "l0", str(tmp_path / "stage"))
+    assert not (tmp_path / "stage" / "l0").exists()
 
-def test_route_permissive_and_repeat(spark, tmp_path):
-    target = Target(str(tmp_path), SCHEMAS, prefix="some_")
+
+def test_route_permissive_and_repeat(spark, tmp_path, registry):
+    target = Target(str(tmp_path), registry, prefix="some_")
     batch = messages(spark, ONE, ONE, TWO, UNKNOWN, NAMELESS, UNPARSED, "broken")
     for _ in range(2):
         written = route_messages(batch, target, "l0", str(tmp_path / "stage"), mode="permissive")
@@ -143,10 +172,10 @@ def test_route_permissive_and_repeat(spark, tmp_path):
     assert reasons == ["unknown more", "unknown table (none)", "unknown table (none)", "unknown table p:d.three"]
 
 
-def test_route_stream_restart(spark, tmp_path):
+def test_route_stream_restart(spark, tmp_path, registry):
     source = tmp_path / "in"
     source.mkdir()
-    target = Target(str(tmp_path / "out"), SCHEMAS, prefix="routed_")
+    target = Target(str(tmp_path / "out"), registry, prefix="routed_")
 
     def drain():
         route_stream(message_stream(spark, str(source)), target, str(tmp_path / "checkpoint"),
@@ -169,7 +198,7 @@ def test_ingest_stream_restart(spark, tmp_path, mode):
     def drain():
         ingest_accounts(message_stream(spark, str(source)), table, str(tmp_path / "rows"),
                         str(tmp_path / "checkpoint"), mode, drain=True).awaitTermination()
-        return spark.table(table).count()
+        return read_loads(spark, table).count()
 
     (source / "1.txt").write_text("\n".join(account(n) for n in range(5)) + "\n")
     assert drain() == 5
@@ -189,8 +218,8 @@ def test_ingest_stream_modes(spark, tmp_path):
                         drain=True).awaitTermination()
     ingest_accounts(message_stream(spark, str(source)), "ingest_b", str(tmp_path / "b"), str(tmp_path / "cb"),
                     mode="permissive", drain=True).awaitTermination()
-    assert [r["credit_card"] for r in spark.table("ingest_b").collect()] == [4001]
-    assert [(r["value"], r["reject_reason"]) for r in spark.table("ingest_b_rejects").collect()] == [
+    assert [r["credit_card"] for r in read_loads(spark, "ingest_b").collect()] == [4001]
+    assert [(r["value"], r["reject_reason"]) for r in read_loads(spark, "ingest_b_rejects").collect()] == [
         (bad, "bad value in credit_card")
     ]
 
@@ -220,11 +249,11 @@ def test_a_repeated_batch_changes_nothing(spark, tmp_path, mode):
         assert mode == "strict" or read_loads(spark, f"{table}_rejects").count() == 1
 
 
-def test_a_repeated_routed_batch_changes_nothing(spark, tmp_path):
+def test_a_repeated_routed_batch_changes_nothing(spark, tmp_path, registry):
     source = tmp_path / "in"
     source.mkdir()
     (source / "1.txt").write_text("\n".join([ONE, TWO, UNKNOWN, UNPARSED]) + "\n")
-    target, checkpoint = Target(str(tmp_path / "out"), SCHEMAS, prefix="again_"), tmp_path / "checkpoint"
+    target, checkpoint = Target(str(tmp_path / "out"), registry, prefix="again_"), tmp_path / "checkpoint"
     for _ in range(2):
         route_stream(message_stream(spark, str(source)), target, str(checkpoint), str(tmp_path / "stage"),
                      mode="permissive", drain=True).awaitTermination()
@@ -232,33 +261,68 @@ def test_a_repeated_routed_batch_changes_nothing(spark, tmp_path):
         assert [target.read(spark, name).count() for name in ("p:d.one", "p:d.two", REJECTS)] == [1, 1, 2]
 
 
-def test_tap_logs_and_writes_nothing(spark, tmp_path, caplog):
+def test_a_table_may_change_its_mode(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
-    (source / "1.txt").write_text("\n".join([account(1), account(2), account(3, country_code="FR")]) + "\n")
+    for n, mode in enumerate(("strict", "permissive", "strict")):
+        (source / f"{n}.txt").write_text(account(n) + "\n" + ("broken\n" if mode == "permissive" else ""))
+        ingest_accounts(message_stream(spark, str(source)), "switched", str(tmp_path / "rows"), str(tmp_path / "checkpoint"),
+                        mode, drain=True).awaitTermination()
+    assert read_loads(spark, "switched").count() == 3 and read_loads(spark, "switched_rejects").count() == 1
+
+
+def test_a_batch_needs_its_query(spark):
+    with pytest.raises(RuntimeError):
+        batch_load_id(spark.range(1), 0)
+
+
+def test_tap_records_every_element(spark, tmp_path, caplog):
+    """More micro-batches than a query remembers progress of."""
+    source = tmp_path / "in"
+    source.mkdir()
+    for n in range(104):
+        (source / f"{n}.txt").write_text(account(n) + "\n" + account(n, country_code=f"C{n % 30}") + "\n")
     with caplog.at_level(logging.INFO, logger="tabflow.tap"):
-        tap_keys(parse_accounts(message_stream(spark, str(source))), str(tmp_path / "c"), drain=True).awaitTermination()
-    text = [r.getMessage() for r in caplog.records]
-    assert any("(BE, 1) x 2" in t for t in text) and any("(FR, 1) x 1" in t for t in text)
-    assert sorted(p.name for p in tmp_path.iterdir()) == ["c", "in"]
+        stream = message_stream(spark, str(source), maxFilesPerTrigger="1")
+        tap_keys(parse_accounts(stream), "tapped", str(tmp_path / "t"), str(tmp_path / "c"), drain=True).awaitTermination()
+    rows = read_loads(spark, "tapped")
+    assert rows.schema == TAP_SCHEMA
+    seen = {r["country_code"]: r["n"] for r in rows.groupBy("country_code").agg(F.sum("n").alias("n")).collect()}
+    assert seen == {"BE": 104} | {f"C{i}": 4 if i < 14 else 3 for i in range(30)}
+    assert len([r for r in caplog.records if "2 elements of 2 pairs" in r.getMessage()]) == 104
 
 
-def test_window_stream_drops_late_rows(spark, tmp_path):
+def test_windows_in_no_order(spark, tmp_path):
+    """Rows far behind others count as well, over several batches, a repeated one and a fold."""
     at = datetime.datetime
     source = tmp_path / "in"
     source.mkdir()
-    path, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    path, checkpoint = str(tmp_path / "out"), tmp_path / "checkpoint"
 
-    def drain(name, *rows, lateness="0 seconds"):
+    def drain(name, *rows):
         (source / name).write_text("".join(f"{ts:%Y-%m-%d %H:%M:%S},{country}\n" for ts, country in rows))
-        lines = spark.readStream.schema("ts timestamp, country_code string").csv(str(source))
-        query = append_stream(window_counts(lines, "ts", lateness), path, checkpoint, drain=True)
-        query.awaitTermination()
-        return late_rows(query)
-
-    assert drain("1.csv", (at(2024, 1, 1, 0, 0, 5), "BE"), (at(2024, 1, 1, 0, 0, 50), "BE"),
-                 (at(2024, 1, 1, 0, 5), "BE")) == 0
-    assert drain("2.csv", (at(2024, 1, 1, 0, 0, 30), "BE"), (at(2024, 1, 1, 0, 9), "FR")) == 1
-    rows = spark.read.parquet(path)
-    got = {(r["window_start"].minute, r["country_name"], r["num_cc_card"]) for r in rows.collect()}
-    assert got == {(0, "BE", 2), (5, "BE", 1)}
+        lines = spark.readStream.schema("ts timestamp, country_code string").option("maxFilesPerTrigger", 1).csv(str(source))
+        count_windows_stream(lines, "unordered", path, str(checkpoint), "ts", drain=True).awaitTermination()
+        return {(r["window_start"].minute, r["country_name"], r["num_cc_card"]) for r in window_counts(spark, "unordered").collect()}
+
+    drain("1.csv", (at(2024, 1, 1, 0, 9), "FR"), (at(2024, 1, 1, 0, 0, 50), "BE"))
+    drain("2.csv", (at(2024, 1, 1, 0, 0, 30), "BE"), (at(2024, 1, 1, 0, 5), "BE"))
+    _forget_last_commit(checkpoint)
+    want = {(9, "FR", 1), (0, "BE", 3), (5, "BE", 1)}
+    assert drain("3.csv", (at(2024, 1, 1, 0, 0, 1), "BE")) == want
+    assert len(fold_windows(spark, "unordered", datetime.date(9999, 1, 1), path)) == 1
+    assert read_loads(spark, "unordered").count() == 3
+    assert drain("4.csv", (at(2024, 1, 1, 0, 9, 9), "FR")) == {(9, "FR", 2), (0, "BE", 3), (5, "BE", 1)}
+
+
+def test_one_stream_two_outputs(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "1.txt").write_text("\n".join([account(1), account(2), account(3, country_code="FR")]) + "\n")
+    lines = message_stream(spark, str(source)).withColumn("timestamp", F.lit("2024-01-01 00:01:30").cast("timestamp"))
+    for _ in range(2):
+        ingest_and_count(lines, "both", str(tmp_path / "rows"), str(tmp_path / "lines"), str(tmp_path / "c"), drain=True).awaitTermination()
+        _forget_last_commit(tmp_path / "c")
+    assert read_loads(spark, "both").count() == 3
+    assert sorted(r["value"] for r in read_lines(spark, str(tmp_path / "lines" / "*")).collect()) == [
+        "2024-01-01 00:01:00 BE: 2", "2024-01-01 00:01:00 FR: 1"]

@@ -6,7 +6,7 @@ import random
 import pytest
 
 from tabflow.functions.schema import schema_from_text
-from tabflow.operators.parse import REASON, tag_csv, tag_json
+from tabflow.operators.parse import REASON, parse_object, tag_csv, tag_json, tag_object
 
 NAMES = ["a", "b", "c"]
 SCHEMA = schema_from_text("a:STRING, b:STRING, c:STRING")
@@ -85,6 +85,26 @@ def test_like_json_loads(spark, require_keys, allow_extra_keys):
     assert not wrong
 
 
+def test_objects_like_json_loads(spark):
+    """The parse of routed messages, and the rows made of it."""
+    texts = _lines()
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, value string")
+    rows = {r["i"]: r for r in tag_object(parse_object(df, keep=["i"]), SCHEMA, keep=["i"]).collect()}
+    assert len(rows) == len(texts)
+    wrong = []
+    for i, text in enumerate(texts):
+        wanted, row = _loads(text), rows[i]
+        if wanted is None:
+            ok = row[REASON] == "malformed"
+        elif set(wanted) - set(NAMES):
+            ok = row[REASON] == "unknown " + ",".join(n for n in wanted if n not in NAMES)
+        else:
+            ok = row[REASON] is None and all(_same(wanted.get(n), row[n]) for n in NAMES)
+        if not ok:
+            wrong.append((text, row[REASON]))
+    assert not wrong
+
+
 def test_csv_like_split(spark):
     rnd = random.Random(5)
     texts = ["".join(rnd.choice(',,,ab"\' \t1☃') for _ in range(rnd.randint(0, 12))) for _ in range(3000)]

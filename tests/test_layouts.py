@@ -5,20 +5,23 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tabflow.operators.counts import count_lines, count_per_country, count_per_window, latest_date
-from tabflow.plans.job_history import JOB_LOG_DDL, job_history_summary
-from tabflow.plans.layout_report import layout_report, run_lookups, scan_metrics
+from tabflow.plans.job_history import JOB_LOG_DDL, event_log_reads, job_history_summary
+from tabflow.plans.layout_report import layout_report, lookup_matches, parameters, run_lookups
 from tabflow.plans.layouts import (
     LOOKUP_CODES,
     Layout,
     Layouts,
     computed,
+    count_by_customer,
     lookup,
+    split_scan,
     run_lookup,
     write_bucket_by,
     write_bucketed,
     write_date_clustered,
     write_date_plain,
 )
+from tabflow.functions.text import query_code
 
 DAY = datetime.date(2024, 1, 2)
 
@@ -78,13 +81,23 @@ def test_lookups_in_a_bucketed_table(spark, base, layouts, customer):
     assert as_rows(lookup(spark, layout, customer, DAY)) == as_rows(computed(expected))
 
 
-def test_a_bucketed_table_prunes_and_counts_without_a_shuffle(spark, base, layouts):
-    found = lookup(spark, Layout("l_bucket_by"), "17").groupBy().count()
-    found.collect()
-    assert scan_metrics(found)["numOutputRows"] < 40_000 / 4
-    counts = spark.table("l_bucket_by").groupBy("cust_identifier").count()
-    assert "Exchange" not in counts._jdf.queryExecution().executedPlan().toString()
+def test_a_bucketed_table_prunes_and_splits_a_hot_customer(spark, base, layouts):
+    spark.sparkContext.setJobDescription("bucket lookup")
+    lookup(spark, Layout("l_bucket_by"), "17").groupBy().count().collect()
+    spark.sparkContext.setJobDescription(None)
+    log = f"{spark.conf.get('spark.eventLog.dir')}/*{spark.sparkContext.applicationId}*"
+    read = event_log_reads(spark, log).where("job_id = 'bucket lookup'").collect()
+    assert read[0]["rows_read"] < 40_000 / 4
+    counts = count_by_customer(spark, "l_bucket_by")
     assert as_rows(counts) == as_rows(base.groupBy("cust_identifier").count())
+    # Most rows are one customer's, so of one bucket; they are read by more tasks than there are buckets.
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert split_scan(spark, "l_bucket_by").rdd.getNumPartitions() > 8
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
 def test_lookup_needs_a_filter(spark, layouts):
@@ -123,16 +136,25 @@ def test_clustering_narrows_files(spark, layouts):
 def test_report(spark, base, layouts):
     log = run_lookups(spark, layouts, runs=2).cache()
     assert log.count() == 18
-    matched = {r["code"]: r["n"] for r in log.groupBy(F.substring("job_id", 8, 4).alias("code"))
-               .agg(F.sum("rows_matched").alias("n")).collect()}
+    code = query_code(F.col("job_id"), "lookup").alias("code")
+    matched = {r["code"]: r["n"] for r in log.groupBy(code).agg(F.sum("rows_matched").alias("n")).collect()}
     for case in ("c1", "c2", "c3"):
         assert len({matched[case + part] for part in ("q1", "q2", "q3")}) == 1
+    assert {r["job_group"]: (r["num_exec"], r["rows_matched"]) for r in lookup_matches(spark, layouts, runs=2).collect()} == {
+        c: (2, n) for c, n in matched.items()}
     report = {r["job_group"]: r for r in layout_report(spark, layouts, runs=2).collect()}
     assert sorted(report) == list(LOOKUP_CODES)
     assert all(r["num_exec"] == 2 for r in report.values())
-    # Each layout reads less for the filter it is partitioned by.
+    # Each layout reads less for the filter it is partitioned by; the session writes an event log.
     assert report["c1q2"]["rows_read"] < report["c1q3"]["rows_read"]
     assert report["c2q1"]["files_read"] < report["c2q2"]["files_read"]
+    assert all(r["avg_mb_processed_per_run"] >= 1 for r in report.values())
+
+
+def test_pairs_are_drawn_with_replacement(spark, layouts):
+    drawn = parameters(spark, layouts, runs=40)
+    days = {d for case, _, d in drawn if case == "c2"}
+    assert len(days) < 40 and sum(case == "c3" for case, _, _ in drawn) == 40
 
 
 def test_overflow_fails(spark):
@@ -163,10 +185,15 @@ def test_job_history_edges(spark):
         job("Xpperf_c1q1_i"),
         job("cpperf_c2q1_j"),
     ], JOB_LOG_DDL)
-    rows = [tuple(r) for r in job_history_summary(jobs, start, end, "p").collect()]
+    rows = [tuple(r) for r in job_history_summary(jobs, start, end, "p", "cpperf").collect()]
     assert rows == [("c1q1", 3, 2.0, 1.0, 1.0), ("c2q1", 1, 1.0, 1.0, 0.0)]
 
 
+def test_the_query_code_follows_the_prefix(spark):
+    ids = spark.createDataFrame([("cpperf_c1q1_a", "look_c2q3_b")], "a string, b string")
+    assert tuple(ids.select(query_code(F.col("a"), "cpperf"), query_code(F.col("b"), "look")).collect()[0]) == ("c1q1", "c2q3")
+
+
 def test_counts(spark):
     rows = spark.createDataFrame([("BE",), ("BE",), ("FR",), (None,)], "country_code string")
     counts = count_per_country(rows)

@@ -7,8 +7,9 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tabflow.functions.schema import ACCOUNT_SCHEMA, SCENARIO_SCHEMA, schema_from_text
-from tabflow.functions.text import decode_payload, to_json_line
-from tabflow.operators.parse import REASON, accept_all, bad_rows, good_rows, tag_csv, tag_json
+from tabflow.functions.text import decode_utf8, to_json_line, unchecked_payload
+from tabflow.operators.parse import REASON, accept_all, bad_rows, good_rows, parse_object, tag_csv, tag_json, tag_object
+from tabflow.operators.registry_join import table_name
 from tabflow.sources.lines import read_csv_positional, read_lines, read_ndjson
 
 ACCOUNT = {name: f"{name} text" for name in ACCOUNT_SCHEMA.names} | {
@@ -137,11 +138,43 @@ def test_file_readers(spark, tmp_path):
     assert sorted(r["n"] for r in rows.collect()) == [1, 2]
 
 
-def test_malformed_utf8_fails(spark):
+BROKEN = b'{"n": "1", "s": "a\xff\xfeb"}'
+
+
+def test_malformed_utf8_fails(spark, tmp_path):
     good = spark.createDataFrame([(bytearray("é".encode()),)], "value binary")
-    assert decode_payload(good).collect()[0]["value"] == "é"
+    assert unchecked_payload(good).collect()[0]["value"] == "é"
+    payload = spark.createDataFrame([(bytearray(BROKEN),), (bytearray(b'{"n": 2, "s": "ok"}'),)], "value binary")
     with pytest.raises(PySparkException):
-        decode_payload(spark.createDataFrame([(bytearray(b"\xff\xfe{"),)], "value binary")).collect()
+        payload.select(decode_utf8(F.col("value"))).collect()
+    schema = schema_from_text("n:INT64, s:STRING")
+    (tmp_path / "a.json").write_bytes(BROKEN + b'\n{"n": 2, "s": "ok"}\n')
+    (tmp_path / "a.csv").write_bytes(b"J1,1,0.5,1\nJ\xff,2,0.5,1\n")
+    for tagged in (tag_json(unchecked_payload(payload), schema), read_ndjson(spark, str(tmp_path / "a.json"), schema)):
+        assert [tuple(r) for r in good_rows(tagged).collect()] == [(2, "ok")]
+        rejects = bad_rows(tagged).select(F.col("value").cast("binary"), "reject_reason").collect()
+        assert [(bytes(r[0]), r[1]) for r in rejects] == [(BROKEN, "not UTF-8")]
+        with pytest.raises(PySparkException, match="not UTF-8"):
+            accept_all(tagged).collect()
+    assert good_rows(read_csv_positional(spark, str(tmp_path / "a.csv"), SCENARIO_SCHEMA)).count() == 1
+    with pytest.raises(PySparkException):
+        read_lines(spark, str(tmp_path / "a.csv")).collect()
+    assert good_rows(tag_object(parse_object(unchecked_payload(payload)), schema)).count() == 1
+
+
+def test_dates_keep_no_time(spark):
+    schema = schema_from_text("d:DATE")
+    texts = ['{"d": "2024-01-02"}', '{"d": "2024-01-02 00:00:00"}', '{"d": "2024-01-02 10:00:00"}', '{"d": "2024-13-02"}']
+    assert reasons(tag_json(lines(spark, *texts), schema)) == [None, None, "bad value in d", "bad value in d"]
+
+
+def test_a_repeated_key_is_routed_and_stored_alike(spark):
+    row = '{"tablename": "p:d.one", "n": 1, "tablename": "p:d.two", "n": 2}'
+    schema = schema_from_text("tablename:STRING, n:INT64")
+    parsed = parse_object(lines(spark, row))
+    assert parsed.select(table_name()).collect()[0][0] == "p:d.two"
+    assert [tuple(r) for r in accept_all(tag_object(parsed, schema)).collect()] == [("p:d.two", 2)]
+    assert [tuple(r) for r in accept_all(tag_json(lines(spark, row), schema)).collect()] == [("p:d.two", 2)]
 
 
 def test_json_line_keeps_null_keys(spark):

@@ -1,7 +1,9 @@
+import datetime
 import json
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabflow.functions.coerce import conform
@@ -11,13 +13,13 @@ from tabflow.functions.schema import (
     schema_from_text,
     schema_to_text,
 )
-from tabflow.sinks.tables import append_load, append_table, create_if_needed, read_loads
+from tabflow.sinks import tables
+from tabflow.sinks.tables import append_load, append_table, create_if_needed, fold_days, read_loads
 from tabflow.sources.registry import (
     read_load_config,
     read_registry,
     read_schema_file,
     read_small_file,
-    registry_fields,
     registry_schemas,
 )
 
@@ -64,11 +66,8 @@ def test_registry(spark, tmp_path):
         "p:d.one": schema_from_text("tablename:STRING, n:INT64"),
         "p:d.two": schema_from_text("x:FLOAT64"),
     }
-    fields = {(r["tablename"], r["position"], r["name"], r["type"]) for r in registry_fields(registry).collect()}
-    assert fields == {("p:d.one", 0, "tablename", "STRING"), ("p:d.one", 1, "n", "INT64"),
-                      ("p:d.two", 0, "x", "FLOAT64")}
-    with pytest.raises(ValueError):
-        registry_schemas(registry, max_tables=1)
+    one = spark.createDataFrame([("p:d.two",), ("p:d.two",), ("other",), (None,)], "tablename string")
+    assert list(registry_schemas(registry, one)) == ["p:d.two"]
     with pytest.raises(ValueError):
         registry_schemas(registry.unionAll(registry))
 
@@ -85,7 +84,7 @@ def test_config_and_schema_files(spark, tmp_path):
     schema = _write(tmp_path / "a.txt", "a:STRING, b:INT64\n")
     assert read_schema_file(spark, schema) == schema_from_text("a:STRING, b:INT64")
     with pytest.raises(ValueError):
-        read_small_file(spark, schema, max_bytes=3)
+        read_small_file(spark, str(tmp_path / "*.*"))
 
 
 def test_append_matches_by_name(spark, tmp_path):
@@ -106,6 +105,19 @@ def test_append_refuses_bad_values_and_columns(spark, tmp_path):
             conform(spark.createDataFrame([(text,)], "a string"), schema).collect()
 
 
+def test_casts_lose_nothing(spark):
+    at = datetime.datetime(2024, 1, 2, 3, 4)
+    good = spark.createDataFrame([(2.0, 3, at.replace(hour=0, minute=0), at.date(), 5)], "a double, b long, c timestamp_ntz, d date, E int")
+    kept = conform(good, schema_from_text("a:INT64, b:FLOAT64, c:DATE, d:DATETIME, e:INT64")).collect()[0]
+    assert tuple(kept) == (2, 3.0, at.date(), datetime.datetime(2024, 1, 2), 5)
+    for value, kind, wanted in ((1.7, "double", "INT64"), (float("nan"), "double", "INT64"), (2**53 + 1, "long", "FLOAT64"),
+                                (at, "timestamp_ntz", "DATE"), (1e30, "double", "INT64"), ("2024-01-02 10:00", "string", "DATE")):
+        with pytest.raises(PySparkException):
+            conform(spark.createDataFrame([(value,)], f"a {kind}"), schema_from_text(f"a:{wanted}")).collect()
+    with pytest.raises(ValueError):
+        conform(spark.createDataFrame([(1,)], "b long"), schema_from_text("a:INT64"))
+
+
 def test_create_if_needed_keeps_an_existing_table(spark, tmp_path):
     schema = schema_from_text("a:INT64")
     path = str(tmp_path / "kept")
@@ -124,3 +136,34 @@ def test_repeated_load_changes_nothing(spark, tmp_path):
     assert sorted(map(tuple, read_loads(spark, "loads").collect())) == [(1, "x"), (1, "x"), (2, "y")]
     with pytest.raises(ValueError):
         append_load(rows, "loads", "x' OR '1", schema, path)
+
+
+def test_folded_days(spark, tmp_path, monkeypatch):
+    """Finished days become one partition each; a repeat of a folded load does nothing, an interrupted fold goes on."""
+    schema, path, table = schema_from_text("a:INT64"), str(tmp_path / "t"), "folded"
+    rows = lambda n: spark.createDataFrame([(n,)], "a long")
+    for n in range(6):
+        append_load(rows(n), table, f"q-{n}", schema, path)
+    append_load(rows(100), table, "batch_load", schema, path)
+    assert fold_days(spark, table, datetime.date(2000, 1, 1), path) == []
+    dropped = []
+
+    def fail(session, folder):
+        dropped.append(folder)
+        raise OSError("lost")
+
+    monkeypatch.setattr(tables, "remove_path", fail)
+    with pytest.raises(OSError):
+        fold_days(spark, table, datetime.date(9999, 1, 1), path)
+    want = [0, 1, 2, 3, 4, 5, 100]
+    assert sorted(r["a"] for r in read_loads(spark, table).collect()) == want
+    monkeypatch.undo()
+    assert len(fold_days(spark, table, datetime.date(9999, 1, 1), path)) == 1
+    assert spark.sql(f"SHOW PARTITIONS {table}").count() == 1
+    append_load(rows(3), table, "q-3", schema, path)
+    append_load(rows(100), table, "batch_load", schema, path)
+    assert sorted(r["a"] for r in read_loads(spark, table).collect()) == want
+    append_load(rows(6), table, "q-6", schema, path)
+    assert len(fold_days(spark, table, datetime.date(9999, 1, 1), path, lambda df: df.groupBy().agg(F.sum("a").alias("a")))) == 1
+    assert [r["a"] for r in read_loads(spark, table).collect()] == [sum(want) + 6]
+    assert spark.sql(f"SHOW PARTITIONS {table}").count() == 1
