@@ -43,7 +43,7 @@ from ..plans.layouts import (
 )
 from ..plans.routing import REJECTS, Target, route_counts
 from ..plans.synthetic import replicate_day_job
-from ..session import fresh_path, apply_settings
+from ..session import fresh_path, own_session
 from ..sinks.files import publish_messages, write_lines, write_ndjson
 from ..sinks.tables import append_table, fold_days, read_loads
 from ..sources.lines import read_lines, read_ndjson
@@ -68,7 +68,8 @@ TODAY = date(2024, 1, 15)
 
 def query(key: str) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
-        QUERIES[key] = function
+        # A query needs settings that the caller's session shall not get.
+        QUERIES[key] = lambda spark, sf_dir: function(own_session(spark), sf_dir)
         return function
 
     return register
@@ -101,7 +102,7 @@ def _side_by_side(parts: list[DataFrame]) -> DataFrame:
 def scan_table(spark, sf_dir):
     name = rel.once(spark, sf_dir, "orders table", lambda: _fresh_table(spark, "orders")[0])
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{sf_dir}/orders.parquet'")
-    return read_table(apply_settings(spark), name)
+    return read_table(spark, name)
 
 
 @query("scan_text")
@@ -364,23 +365,23 @@ def layout_date_plain(spark, sf_dir):
 
 
 def _lookup(code: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _zoneless(run_lookup(apply_settings(spark), rel.layouts(spark, sf_dir), code, CUSTOMER, DAY))
+    return _zoneless(run_lookup(spark, rel.layouts(spark, sf_dir), code, CUSTOMER, DAY))
 
 
 for _code in LOOKUP_CODES:
-    QUERIES[f"lookup_{_code}"] = partial(_lookup, _code)
+    query(f"lookup_{_code}")(partial(_lookup, _code))
 
 
 @query("lookup_bucket_by")
 def lookup_bucket_by(spark, sf_dir):
     layout = Layout(rel.bucketed_table(spark, sf_dir))
-    return _zoneless(lookup(apply_settings(spark), layout, CUSTOMER, DAY))
+    return _zoneless(lookup(spark, layout, CUSTOMER, DAY))
 
 
 @query("layout_report")
 def layout_comparison(spark, sf_dir):
     """The columns of the report that don't depend on the machine."""
-    report = layout_report(apply_settings(spark), rel.layouts(spark, sf_dir), hasher=portable_hash)
+    report = layout_report(spark, rel.layouts(spark, sf_dir), hasher=portable_hash)
     timed = (F.col("avg_millisecond_per_run") > 0) & (F.col("files_read") > 0)
     return report.select("job_group", "num_exec", "rows_matched", timed.alias("timed"))
 
@@ -388,7 +389,7 @@ def layout_comparison(spark, sf_dir):
 @query("layout_matches")
 def layout_matches(spark, sf_dir):
     """Rows found by the lookups of a report, which must not depend on the layout."""
-    return lookup_matches(apply_settings(spark), rel.layouts(spark, sf_dir), hasher=portable_hash)
+    return lookup_matches(spark, rel.layouts(spark, sf_dir), hasher=portable_hash)
 
 
 @query("param_keys")
@@ -463,7 +464,7 @@ def _credit(function, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 for _function in (credit.credit_score, credit.credit_score_name, credit.credit_score_provider,
                   credit.credit_score_full):
-    QUERIES[_function.__name__] = partial(_credit, _function)
+    query(_function.__name__)(partial(_credit, _function))
 
 
 # Streams

@@ -22,7 +22,7 @@ from ..plans.layouts import (
     write_date_clustered,
     write_date_plain,
 )
-from ..session import fresh_path, apply_settings
+from ..session import fresh_path
 from ..sinks.files import publish_messages, write_lines, write_ndjson
 
 BUCKETS = 16
@@ -62,7 +62,7 @@ def once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], object]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return apply_settings(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:

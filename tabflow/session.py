@@ -51,11 +51,17 @@ def build_session(master: str | None = None, app: str = "tabflow", **conf: str)
     return builder.getOrCreate()
 
 
-def apply_settings(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session that was built elsewhere."""
-    for key, value in RUNTIME_SETTINGS.items():
-        spark.conf.set(key, value)
-    return spark
+def own_session(spark: SparkSession) -> SparkSession:
+    """A session with the runtime settings beside one that was built elsewhere, whose settings stay as they are.
+
+    Both share the application, the catalog and the cached data. The settings the
+    given session has at this moment are taken over.
+    """
+    own = spark.newSession()
+    for key, value in [*spark.conf.getAll.items(), *RUNTIME_SETTINGS.items()]:
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    return own
 
 
 def shared_dir(spark: SparkSession) -> str:
