@@ -17,11 +17,11 @@ from tabflow.llm.common import row_key, spare_name
 def _windows(lines: Column, size: int) -> Column:
     """(position, hash) of every window that has something else than white space."""
     start = F.sequence(F.lit(0), F.size(lines) - size)
-    cut = lambda i: F.concat_ws("\n", F.slice(lines, i + 1, size))
-    every = F.transform(start, lambda i: F.struct(
-        i.alias("at"), F.unhex(F.md5(cut(i))).alias("hash"), F.length(F.trim(F.translate(cut(i), "\t\r\n", "   "))).alias("n")))
-    kind = "array<struct<at:int,hash:binary,n:int>>"
-    return F.when(F.size(lines) >= size, F.filter(every, lambda w: w["n"] > 0)).otherwise(F.array().cast(kind))
+    told = lambda line: line.rlike("[^ \t\r\n]")
+    some = F.filter(start, lambda i: F.exists(F.slice(lines, i + 1, size), told))
+    every = F.transform(some, lambda i: F.struct(
+        i.alias("at"), F.unhex(F.md5(F.concat_ws("\n", F.slice(lines, i + 1, size)))).alias("hash")))
+    return F.when(F.size(lines) >= size, every).otherwise(F.array().cast("array<struct<at:int,hash:binary>>"))
 
 
 def drop_repeated_lines(docs: DataFrame, window: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
