@@ -89,16 +89,32 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """base**0, base**1, ... modulo 2**64; up to some millions of them are kept."""
+    known = _POWERS.get(base)
+    if known is None or len(known) < n:
+        known = np.full(max(n, 1 << 16), base, np.uint64)
+        known[0] = 1
+        np.cumprod(known, out=known)
+        if n <= 1 << 22:
+            _POWERS[base] = known
+    return known[:n]
+
+
 def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit hash of the bytes of each span, the same wherever they stand."""
-    def powers(base: int) -> np.ndarray:
-        out = np.full(len(data) + 1, base, np.uint64)
-        out[0] = 1
-        return np.cumprod(out)
-
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(_BASE)[:-1], out=total[1:])
-    return mixed((total[end] - total[begin]) * powers(_BASE_INVERSE)[begin] + (end - begin).astype(np.uint64))
+    np.add(data, np.uint64(1), out=total[1:], dtype=np.uint64)
+    total[1:] *= _powers(_BASE, len(data))
+    np.cumsum(total, out=total)
+    sums = total[end]
+    sums -= total[begin]
+    sums *= _powers(_BASE_INVERSE, len(data) + 1)[begin]
+    sums += (end - begin).astype(np.uint64)
+    return mixed(sums)
 
 
 def by_bytes(starts: np.ndarray, most: int) -> Iterator[tuple[int, int]]:

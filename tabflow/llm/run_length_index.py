@@ -32,7 +32,8 @@ from tabflow.llm.common import mixed, spare_name, span_hashes, utf8
 
 LENGTH = 50
 GRAM = 16
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
+BUCKET_BYTES = 1 << 20  # of text to a bucket, so that an index is sorted as plain numbers
 HOT_PIECES = 200_000  # anchors with more are dealt window by window
 PIECE_WINDOWS = 40
 CHUNK = 1 << 15
@@ -45,13 +46,14 @@ def window_keys(data: np.ndarray, length: int = LENGTH) -> np.ndarray:
     if n <= 0:
         return np.empty(0, np.uint64)
     buffer = np.r_[data, np.zeros(8, np.uint8)]
-    words = np.ndarray(len(data) + 1, "<u8", buffer, strides=(1,))
+    words = np.ndarray(len(data) + 1, "<u8", buffer, strides=(1,))  # the eight bytes from every place on
     out = np.empty(n, np.uint64)
     for lo in range(0, n, CHUNK):
         hi = min(n, lo + CHUNK)
         grams = hi - lo + span - 1
-        h = words[lo:lo + grams] * np.uint64(0x9E3779B97F4A7C15)
-        h += words[lo + 8:lo + 8 + grams] * np.uint64(0xC2B2AE3D27D4EB4F)
+        near = words[lo:lo + grams + 8].copy()
+        h = near[:grams] * np.uint64(0x9E3779B97F4A7C15)
+        h += near[8:8 + grams] * np.uint64(0xC2B2AE3D27D4EB4F)
         h ^= h >> np.uint64(32)
         h *= np.uint64(0xD6E8FEB86659FD93)
         h ^= h >> np.uint64(29)
@@ -144,9 +146,13 @@ class Block:
         h = span_hashes(self.data, self.place, self.place + self.size + self.length - 1)
         key = np.concatenate([self.key[whole], h[len(whole):]])
         bucket = self._bucket(key)
-        order = np.lexsort((self.size, h, key, bucket))
-        b, k, g, s = bucket[order], key[order], h[order], self.size[order]
-        new = np.r_[True, (b[1:] != b[:-1]) | (k[1:] != k[:-1]) | (g[1:] != g[:-1]) | (s[1:] != s[:-1])] if len(order) else np.empty(0, bool)
+        # One number to sort by: the bucket, then what tells the piece.
+        bits = self.buckets.bit_length()
+        tell = mixed(mixed(key) + h + self.size.astype(np.uint64)) >> np.uint64(bits)
+        tell |= bucket.astype(np.uint64) << np.uint64(64 - bits)
+        order = np.argsort(tell)
+        sorted_ = tell[order]
+        new = np.r_[True, sorted_[1:] != sorted_[:-1]] if len(order) else np.empty(0, bool)
         self.kind = np.empty(len(order), np.int64)  # the distinct piece of every piece
         self.kind[order] = np.cumsum(new) - 1
         head = order[new]
@@ -178,54 +184,63 @@ class Block:
 
 @dataclass
 class RunLengthIndex:
-    """The compressed transform of pieces: for each run of one byte before the sorted suffixes its first row, where
-    stepping back leads from there, its last row and the text position sampled there."""
+    """The compressed transform of pieces, a run for each stretch of one byte before the sorted suffixes."""
 
-    run_start: np.ndarray
-    run_back: np.ndarray
-    run_end: np.ndarray
-    sample: np.ndarray
+    run_of: np.ndarray  # by row: its run (a rank structure over the run starts)
+    step: np.ndarray  # by run: how far stepping back moves its rows
+    run_end: np.ndarray  # its last row
+    sample: np.ndarray  # the text position sampled there
     shared: np.ndarray  # by row: the number of its group of suffixes with the same first bytes
 
     @staticmethod
     def build(data: np.ndarray, starts: np.ndarray, length: int) -> RunLengthIndex:
-        """Sorts the suffixes of all pieces by prefix doubling; a piece's end comes before every byte, and ends by order."""
+        """Sorts the suffixes of all pieces by prefix doubling; a piece's end comes before every byte, and ends by order.
+
+        As long as two ranks and a position fit into 64 bits, that is up to two million bytes, a round is a sort of plain numbers.
+        """
         n_pieces, sizes = len(starts) - 1, np.diff(starts)
-        text = np.zeros(len(data) + n_pieces + 8, np.int64)  # with an end behind every piece
-        body = spread(starts[:-1] + np.arange(n_pieces), sizes)
-        text[body] = data.astype(np.int64) + 1
-        n = len(data) + n_pieces
+        present = np.flatnonzero(np.bincount(data, minlength=256))
+        code = np.zeros(256, np.uint64)
+        code[present] = np.arange(1, len(present) + 1)
+        n, width = len(data) + n_pieces, int(len(present)).bit_length()
+        place_bits = int(n).bit_length()
+        text = np.zeros(n + 64, np.uint64)  # with an end behind every piece
+        text[spread(starts[:-1] + np.arange(n_pieces), sizes)] = code[data]
         end = np.repeat(starts[1:] + np.arange(n_pieces), sizes + 1)
         left = end - np.arange(n)  # bytes of the suffix
-        depth = 7
-        rank = np.zeros(n, np.int64)
+        depth = min(8, (63 - place_bits) // width)
+        key = np.zeros(n, np.uint64)
         for k in range(depth):
-            rank = rank << 9 | np.where(left > k, text[k:k + n], 0)
-        order, rank = _ranked(rank)
-        groups = None
+            key <<= np.uint64(width)
+            key |= text[k:k + n]
+        short = np.flatnonzero(left < depth)  # nothing behind a piece's end counts
+        beyond = ((depth - left[short]) * width).astype(np.uint64)
+        key[short] = key[short] >> beyond << beyond
+        order, rank = _ranked(key, place_bits, depth * width)
+        prefix = None
         while True:
-            if groups is None and 2 * depth > length:
-                both = rank * (n + 1) + _behind(rank, left, length - depth)
-                ordered = both[order] if depth == length else np.sort(both)
-                groups = both, ordered
-            if depth > left.max() + 1 or rank.max() == n - 1:
-                break
-            order, rank = _ranked(rank * (n + 1) + _behind(rank, left, depth))
+            if prefix is None and 2 * depth >= length:
+                prefix = rank * np.uint64(n + 1) + _behind(rank, left, length - depth)
+            if depth > left.max(initial=0) or int(rank.max(initial=0)) == n - 1:
+                if prefix is not None:
+                    break
+            order, rank = _ranked(rank * np.uint64(n + 1) + _behind(rank, left, depth), place_bits, 2 * place_bits)
             depth *= 2
         # Suffixes that are equal to their ends are in the order of their pieces.
-        by_prefix = groups[0][order]
-        shared = np.cumsum(np.r_[0, by_prefix[1:] != by_prefix[:-1]]) if n else np.empty(0, np.int64)
+        by_prefix = prefix[order]
+        shared = np.cumsum(np.r_[0, by_prefix[1:] != by_prefix[:-1]])
         before = np.where(order > 0, text[order - 1], 0)
-        first = np.flatnonzero(np.r_[True, before[1:] != before[:-1]])
+        new = np.r_[True, before[1:] != before[:-1]]
+        first = np.flatnonzero(new)
         sizes_of = np.diff(np.r_[first, n])
         by_byte = np.argsort(before[first], kind="stable")
         back = np.empty(len(first), np.int64)
         back[by_byte] = np.cumsum(sizes_of[by_byte]) - sizes_of[by_byte]
         last = first + sizes_of - 1
-        return RunLengthIndex(first, back, last, order[last], shared)
+        return RunLengthIndex(np.cumsum(new, dtype=np.int32) - np.int32(1), back - first, last, order[last], shared)
 
     def stream(self, starts: np.ndarray, length: int) -> np.ndarray:
-        """For every window of every piece, in order, the group of its 50 bytes.
+        """For every window of every piece, in order, the group of its ``length`` bytes.
 
         All pieces step back from their ends at once. Where a row is the end of a run, its
         sampled position must be that of the step: this proves the walk.
@@ -237,34 +252,38 @@ class RunLengthIndex:
         by_size = np.argsort(-sizes, kind="stable")
         row, position = by_size.copy(), (starts[1:] + np.arange(n_pieces))[by_size]
         size, slot = sizes[by_size], slot[by_size]
+        run = self.run_of[row]
         for step in range(1, int(sizes.max(initial=0)) + 1):
             live = int(np.searchsorted(-size, -step, "right"))  # pieces of at least ``step`` bytes
-            row, position = row[:live], position[:live] - 1
-            run = np.searchsorted(self.run_start, row, "right") - 1
-            row = self.run_back[run] + row - self.run_start[run]
+            row = row[:live] + self.step[run[:live]]
+            run = self.run_of[row]
             if step >= length:
                 out[slot[:live] + size[:live] - step] = self.shared[row]
-                run = np.searchsorted(self.run_start, row, "right") - 1
-                at_end = self.run_end[run] == row
-                if not np.array_equal(self.sample[run[at_end]], position[at_end]):
+                at_end = np.flatnonzero(self.run_end[run] == row)
+                if not np.array_equal(self.sample[run[at_end]], position[at_end] - step):
                     raise ValueError("the run-length index has lost its place")
         return out
 
 
 def _behind(rank: np.ndarray, left: np.ndarray, by: int) -> np.ndarray:
     """1 + the rank ``by`` places further on, 0 beyond the end of the piece."""
-    further = np.zeros(len(rank), np.int64)
+    further = np.zeros(len(rank), np.uint64)
     if by < len(rank):
-        further[:len(rank) - by] = rank[by:] + 1
-    return np.where(left >= by, further, 0)
+        further[:len(rank) - by] = rank[by:] + np.uint64(1)
+    further[left < by] = 0
+    return further
 
 
-def _ranked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _ranked(key: np.ndarray, place_bits: int, key_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """(positions by key and then place, rank of each position; equal keys share a rank)."""
-    order = np.argsort(key, kind="stable")
-    sorted_ = key[order]
-    rank = np.empty(len(key), np.int64)
-    rank[order] = np.cumsum(np.r_[0, sorted_[1:] != sorted_[:-1]]) if len(key) else 0
+    if key_bits + place_bits <= 64:
+        packed = np.sort(key << np.uint64(place_bits) | np.arange(len(key), dtype=np.uint64))
+        order, sorted_ = (packed & np.uint64((1 << place_bits) - 1)).astype(np.int64), packed >> np.uint64(place_bits)
+    else:
+        order = np.argsort(key, kind="stable")
+        sorted_ = key[order]
+    rank = np.empty(len(key), np.uint64)
+    rank[order] = np.cumsum(np.r_[False, sorted_[1:] != sorted_[:-1]], dtype=np.uint64)
     return order, rank
 
 
@@ -288,8 +307,10 @@ def _answer(table: pa.Table, length: int) -> pa.Table:
     starts = np.r_[0, np.cumsum(size + length - 1)]
     # Blocks have many pieces in common: only distinct ones are indexed.
     h = span_hashes(chars, starts[:-1], starts[1:])
-    order = np.lexsort((size, h))
-    new = np.r_[True, (h[order][1:] != h[order][:-1]) | (size[order][1:] != size[order][:-1])] if len(order) else np.empty(0, bool)
+    tell = mixed(h + size.astype(np.uint64))
+    order = np.argsort(tell)
+    sorted_ = tell[order]
+    new = np.r_[True, sorted_[1:] != sorted_[:-1]] if len(order) else np.empty(0, bool)
     kind = np.empty(len(order), np.int64)
     kind[order] = np.cumsum(new) - 1
     head = order[new]
@@ -332,13 +353,13 @@ def _mark(table: pa.Table, hot: int) -> pa.Table:
 def _cut(docs: DataFrame, length: int, hot: int, id_col: str, text_col: str, keep_text: bool) -> DataFrame:
     block = spare_name(docs, "_block")
     size = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
-    n = max(1, -(-size // BLOCK_BYTES))
+    n, buckets = max(1, -(-size // BLOCK_BYTES)), max(1, -(-size // BUCKET_BYTES))
     # The text takes part, so that rows with one id don't all meet in one block.
     dealt = docs.withColumn(block, F.pmod(F.xxhash64(id_col, text_col), F.lit(n)).cast("int"))
     columns = [f for f in docs.schema.fields if f.name not in ("n_bytes", "n_removed", "n_spans", "kept_sha256")]
 
     def tell(table: pa.Table) -> pa.Table:
-        found = [*Block(table, id_col, text_col, n, length).anchors()]
+        found = [*Block(table, id_col, text_col, buckets, length).anchors()]
         return pa.table({
             "block": pa.array([table[block][0].as_py()] * len(found), pa.int32()), "bucket": pa.array([b for b, _, _ in found], pa.int32()),
             "keys": pa.array([k.tobytes() for _, k, _ in found], pa.binary()), "told": pa.array([t.tobytes() for _, _, t in found], pa.binary())})
@@ -347,7 +368,7 @@ def _cut(docs: DataFrame, length: int, hot: int, id_col: str, text_col: str, kee
         told = dict(zip(codes["bucket"].to_pylist(), codes["codes"].to_pylist()))
         rows = []
         if table.num_rows and told:
-            mine = Block(table, id_col, text_col, n, length)
+            mine = Block(table, id_col, text_col, buckets, length)
             mine.shared(told)
             rows = [(codes["block"][0].as_py(), b, told.pop(b, None), c, w, o) for b, c, w, o in mine.parcels()]
             # A bucket all of whose marked anchors are hot still has its codes to pass on.
@@ -359,7 +380,7 @@ def _cut(docs: DataFrame, length: int, hot: int, id_col: str, text_col: str, kee
     def remove(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             raise ValueError("answers for a block without texts")
-        mine = Block(table, id_col, text_col, n, length)
+        mine = Block(table, id_col, text_col, buckets, length)
         gone = np.zeros(len(mine.data), bool)
         if answers.num_rows:
             answers = answers.sort_by("bucket")

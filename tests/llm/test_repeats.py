@@ -99,7 +99,7 @@ def test_index_groups_equal_windows(length):
     strings = [p[i:i + length] for p in parts for i in range(len(p) - length + 1)]
     pairs = set(zip(group.tolist(), strings))
     assert len(group) == len(strings) and len(pairs) == len(set(strings)) == len(set(group.tolist()))
-    assert len(index.run_start) < len(data) + len(parts)
+    assert len(index.run_end) < len(data) + len(parts)
 
 
 def test_query(spark, sf_dir):
