@@ -20,6 +20,7 @@ from tabflow.llm.common import checkpointed
 CAPACITIES = (512, 1024, 2048, 4096)
 SEQUENCE_COST = 64  # what a sequence costs besides its tokens, in tokens
 SHARD_TOKENS = 2_000_000
+ITEM_WEIGHT = 64  # what an item counts besides its tokens when shards are made
 
 
 def pack(lengths: Iterable[int], capacities: tuple[int, ...] = CAPACITIES,
@@ -59,7 +60,7 @@ def pack_documents(lengths: DataFrame, capacities: tuple[int, ...] = CAPACITIES,
     fail. Repeated rows are packed as often as they occur, null ids too; other
     columns are not read. Rows of one id and length are counted before the shuffle and
     dealt out again by their number, so a hot id is spread over all shards. The shards
-    grow in number, not in size, with the tokens; each loses at most the room of its last
+    grow in number, not in size, with the tokens and rows; each loses at most the room of its last
     few sequences. Ties are settled by id, start and copy, so the result is the same in
     every run.
     """
@@ -67,7 +68,8 @@ def pack_documents(lengths: DataFrame, capacities: tuple[int, ...] = CAPACITIES,
     n = F.coalesce(F.col(length_col).cast("bigint"), F.lit(0)).alias("n")
     # Lengths may be dear to compute, and three plans read them.
     counted = checkpointed(lengths.select(F.col(id_col).cast("bigint").alias("id"), n).groupBy("id", "n").count())
-    total = counted.agg(F.sum(F.col("n") * F.col("count"))).first()[0] or 0
+    # An item has a weight of its own, so that a shard is bounded even if all lengths are 0.
+    total = counted.agg(F.sum((F.col("n") + ITEM_WEIGHT) * F.col("count"))).first()[0] or 0
     shards = max(1, -(-total // shard_tokens))
     copies = counted.select("id", "n", F.explode(F.sequence(F.lit(1).cast("bigint"), "count")).alias("copy"))
     whole = F.floor(F.col("n") / largest) * largest
