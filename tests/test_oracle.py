@@ -1,5 +1,10 @@
 """Every registered query against its SQL oracle, on the smallest data set."""
 
+import os
+import shutil
+import subprocess
+import sys
+
 import pytest
 
 import __spark_entry__
@@ -33,3 +38,14 @@ def test_every_oracle_has_a_query():
 def test_entry(spark):
     rows = entry(spark).collect()
     assert rows and sum(r["num_cc_card"] for r in rows) == 150
+
+
+def test_the_text_subpackage_may_be_absent(tmp_path):
+    """The entry module works without the subpackage; other missing modules are still errors."""
+    root = os.path.dirname(os.path.abspath(__spark_entry__.__file__))
+    shutil.copytree(f"{root}/tabflow", tmp_path / "tabflow", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; assert set(e.queries()) == set(e.oracle_sql()); print(len(e.queries()))"
+    ran = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, env=os.environ | {"PYTHONPATH": ""})
+    assert ran.returncode == 0, ran.stderr
+    assert int(ran.stdout) == len(QUERIES)
