@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -161,12 +162,14 @@ class Block:
         np.minimum.at(self.owner, self.kind, self.ids[self.doc])
 
     def parcels(self) -> Iterator[tuple[int, bytes, bytes, bytes]]:
-        """(bucket, bytes of its distinct pieces, their windows, their least ids)."""
+        """(bucket, bytes of its distinct pieces, their windows, their least ids), all compressed."""
+        pack = zstandard.ZstdCompressor(level=1).compress
         first = np.flatnonzero(np.r_[True, self.kind_bucket[1:] != self.kind_bucket[:-1]]) if len(self.kind_bucket) else []
         for lo, hi in zip(first, np.r_[first[1:], len(self.kind_bucket)]):
             lo, hi = int(lo), int(hi)
             chars = self.data[spread(self.kind_place[lo:hi], self.kind_size[lo:hi] + self.length - 1)]
-            yield int(self.kind_bucket[lo]), chars.tobytes(), self.kind_size[lo:hi].astype(np.uint8).tobytes(), self.owner[lo:hi].tobytes()
+            windows, owner = self.kind_size[lo:hi].astype(np.uint8), self.owner[lo:hi]
+            yield int(self.kind_bucket[lo]), pack(chars.tobytes()), pack(windows.tobytes()), pack(owner.tobytes())
 
     def removed(self, least: np.ndarray) -> np.ndarray:
         """Which bytes go, if ``least`` has the least id of every window of the distinct pieces, in their order."""
@@ -300,9 +303,11 @@ def least_ids(data: np.ndarray, starts: np.ndarray, owner: np.ndarray, length: i
 
 def _answer(table: pa.Table, length: int) -> pa.Table:
     """A bucket's answers to the blocks: the least ids of their windows, as places of change and values."""
-    sizes = [np.frombuffer(x.as_py(), np.uint8).astype(np.int64) for x in table["windows"]]
-    chars = np.frombuffer(b"".join(x.as_py() for x in table["chars"]), np.uint8)
-    owner = np.frombuffer(b"".join(x.as_py() for x in table["owner"]), np.int64)
+    unpack = zstandard.ZstdDecompressor().decompress
+    parts = lambda name: [unpack(x) if x else b"" for x in table[name].to_pylist()]
+    sizes = [np.frombuffer(x, np.uint8).astype(np.int64) for x in parts("windows")]
+    chars = np.frombuffer(b"".join(parts("chars")), np.uint8)
+    owner = np.frombuffer(b"".join(parts("owner")), np.int64)
     size = np.concatenate(sizes) if sizes else np.empty(0, np.int64)
     starts = np.r_[0, np.cumsum(size + length - 1)]
     # Blocks have many pieces in common: only distinct ones are indexed.
