@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tabflow.llm.common import by_bytes, in_bucket, texts, utf8
+from tabflow.llm.common import by_bytes, in_bucket, least_hashed, texts, utf8
 
 WINDOW = 96
 STATES = 8
@@ -178,19 +178,11 @@ def learn(docs: DataFrame, folds: int = 3, held: int = 1, sample: int = SAMPLE_D
     known = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     known = known.where(F.col("id").isNotNull() & F.col("lang").isNotNull() & (F.octet_length("text") > 0) & (in_bucket("id", folds) != held))
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = []
-            for value in texts(batch.column(2)):
-                data = value.encode()
-                last = max(0, len(data) - WINDOW)
-                at = sorted({last * i // max(1, SAMPLE_WINDOWS - 1) for i in range(SAMPLE_WINDOWS)})
-                parts.append([data[a:a + WINDOW] for a in at])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(parts, pa.list_(pa.binary()))], names=["h", "lang", "w"])
-
-    # The texts are cut down to windows before the sort, of which each task hands on ``sample`` rows at most.
-    keyed = known.select(F.xxhash64("id").alias("h"), "lang", "text")
-    rows = keyed.mapInArrow(cut, "h bigint, lang string, w array<binary>").orderBy("h", "lang", "w").limit(sample).collect()
+    # Only the windows of the sample leave the tasks, not its texts.
+    data, last = F.col("text").cast("binary"), F.greatest(F.octet_length("text") - WINDOW, F.lit(0))
+    begins = [F.floor(last * i / max(1, SAMPLE_WINDOWS - 1)).cast("int") + 1 for i in range(SAMPLE_WINDOWS)]
+    cut = F.array_distinct(F.array(*[F.substring(data, at, F.lit(WINDOW)) for at in begins]))
+    rows = least_hashed(known.select("id", "lang", cut.alias("w")), "id", sample, "lang", "w").collect()
     if not rows:
         return None
     languages = sorted({r.lang for r in rows})

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tabflow.llm.common import by_bytes, in_bucket, spare_name, span_hashes, utf8, word_spans
+from tabflow.llm.common import by_bytes, in_bucket, least_hashed, spare_name, span_hashes, utf8, word_spans
 
 PASSAGE_WORDS = 64
 BYTE_KINDS = 160  # ASCII one by one, then the other bytes four at a time
@@ -144,7 +144,7 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, sam
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).where(
         F.col("id").isNotNull() & F.col("y").isin(0, 1) & (in_bucket("id", folds) != held))
-    few = known.groupBy("id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("id"), "id").limit(sample)
+    few = least_hashed(known.groupBy("id").agg(F.max("y").alias("y")), "id", sample)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where(
         F.octet_length("text") <= SAMPLE_BYTES)
     # ``few`` has at most ``sample`` rows of two numbers, whatever the size of the tables.
