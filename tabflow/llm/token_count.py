@@ -31,7 +31,7 @@ LATIN_PRE_TOKENS = (
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
 )
 BEYOND_LATIN = "[^\x00-ſ]"
-KEPT_WORDS = 1_000_000  # merged pre-tokens a worker remembers; beyond it merges anew
+KEPT_WORDS = 700_000  # merged pre-tokens a worker remembers; beyond it merges anew
 KEPT_LENGTH = 64
 
 
