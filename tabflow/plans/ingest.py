@@ -19,14 +19,15 @@ from ..sources.registry import LoadEntry, read_load_config, read_schema_file
 from ..sources.tables import read_table
 
 Item = TypeVar("Item")
-Append = Callable[[DataFrame], None]
+Append = Callable[[DataFrame], bool]  # False if the load is final and was skipped, see ``append_load``
 
 
-def append_checked(tagged: DataFrame, append: Append, append_rejects: Append, mode: str) -> int:
+def append_checked(tagged: DataFrame, append: Append, append_rejects: Callable[[DataFrame], object], mode: str) -> int:
     """Append the good rows of a tagged frame; the number of rejected ones.
 
     ``strict`` fails on the first bad row. ``permissive`` counts the bad rows while
-    the good ones are written, and reads the input again only if there are any.
+    the good ones are written, and reads the input again only if there are any. If the
+    good rows were skipped, it counts the bad ones by themselves: those may still have to be written.
     """
     if mode == "strict":
         append(accept_all(tagged))
@@ -34,8 +35,8 @@ def append_checked(tagged: DataFrame, append: Append, append_rejects: Append, mo
     if mode != "permissive":
         raise ValueError(f"mode must be strict or permissive, not {mode!r}")
     seen = Observation()
-    append(good_rows(tagged.observe(seen, F.count_if(F.col(REASON).isNotNull()).alias("rejected"))))
-    rejected = seen.get["rejected"]
+    written = append(good_rows(tagged.observe(seen, F.count_if(F.col(REASON).isNotNull()).alias("rejected"))))
+    rejected = seen.get["rejected"] if written else bad_rows(tagged).count()
     if rejected:
         append_rejects(bad_rows(tagged))
     return rejected

@@ -36,8 +36,8 @@ class Target:
     def path(self, name: str) -> str:
         return f"{self.root}/t_{self.table(name)}"
 
-    def append(self, df: DataFrame, name: str, schema: T.StructType, load_id: str) -> None:
-        append_load(df, self.table(name), load_id, schema, self.path(name))
+    def append(self, df: DataFrame, name: str, schema: T.StructType, load_id: str) -> bool:
+        return append_load(df, self.table(name), load_id, schema, self.path(name))
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
         return read_loads(spark, self.table(name))
@@ -98,8 +98,8 @@ def route_messages(
     rejected: dict[str, int] = {}
 
     def load(name: str) -> None:
-        def append(rows: DataFrame) -> None:
-            target.append(rows, name, schemas[name], load_id)
+        def append(rows: DataFrame) -> bool:
+            return target.append(rows, name, schemas[name], load_id)
 
         # Rejects of all tables go to one table, so they are written together below.
         rejected[name] = append_checked(tagged(name), append, lambda rows: None, mode)

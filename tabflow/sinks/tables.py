@@ -15,7 +15,8 @@ from ..functions.coerce import conform, literal, quoted
 from ..session import remove_path
 
 LOAD_DAY, LOAD_ID = "load_day", "load_id"
-_FOLDED = "folded"
+_FOLDED, _FOLDED_LOAD, _STREAM = "folded", "folded_load", "stream"
+QUERY_ID = "sql.streaming.queryId"  # set by Spark in the threads of a streaming query
 
 
 def create_if_needed(
@@ -54,36 +55,48 @@ def _properties(spark: SparkSession, table: str) -> dict[str, str]:
     return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
 
 
-def _series(load_id: str) -> tuple[str, int]:
-    """A stream's loads are its id and a rising number; any other load is a series of its own."""
+def _number(load_id: str, marks: dict[str, str]) -> tuple[str, int] | None:
+    """The stream and batch number of a load, if the table is marked as written by that stream; else None."""
     name, _, number = load_id.rpartition("-")
-    return (name, int(number)) if name and number.isdigit() and len(number) < 19 else (load_id, 0)
+    return (name, int(number)) if f"{_STREAM}.{name}" in marks and re.fullmatch("[0-9]{1,18}", number) else None
+
+
+def _is_folded(load_id: str, marks: dict[str, str]) -> bool:
+    """A stream's batches rise, so all up to the highest folded one are final; other loads are known by their ids."""
+    made = _number(load_id, marks)
+    return f"{_FOLDED_LOAD}.{load_id}" in marks or (made is not None and made[1] <= int(marks.get(f"{_FOLDED}.{made[0]}", "-1")))
 
 
 def append_load(
     df: DataFrame, table: str, load_id: str, schema: T.StructType, path: str | None = None
-) -> None:
-    """Append one load to a table so that repeating the load changes nothing.
+) -> bool:
+    """Append one load to a table so that repeating the load changes nothing; whether it was written.
 
     The rows fill the partition of that load below the day of its first attempt, and a repeat
     overwrites them, on whatever day it comes. ``fold_days`` gathers the loads of finished days;
-    a load that has been folded is final, and repeating it does nothing.
+    a load that has been folded is final: repeating it skips it, ``df`` isn't run, and the result is False. Any
+    other load is written, whatever its id, also if loads with greater ids have been folded.
     """
     if not re.fullmatch(r"[\w-]+", load_id) or load_id.startswith(_FOLDED):
         raise ValueError(f"not a load id: {load_id!r}")
     spark = df.sparkSession
     stored = T.StructType([*schema.fields, T.StructField(LOAD_DAY, T.StringType()), T.StructField(LOAD_ID, T.StringType())])
     create_if_needed(spark, table, stored, path, (LOAD_DAY, LOAD_ID))
-    name, number = _series(load_id)
-    if number <= int(_properties(spark, table).get(f"{_FOLDED}.{name}", "-1")):
-        return
+    marks = _properties(spark, table)
+    query = spark.sparkContext.getLocalProperty(QUERY_ID)
+    if query and load_id.startswith(f"{query}-") and f"{_STREAM}.{query}" not in marks:
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_STREAM}.{query}' = 'true')")
+        marks[f"{_STREAM}.{query}"] = "true"
     earlier = _loads(spark, table, load_id)
+    if _is_folded(load_id, marks) or (earlier and earlier[0][0] in dict(_unfinished(spark, table))):
+        return False
     day = earlier[0][0] if earlier else datetime.now(timezone.utc).date().isoformat()
     spark.sql(
         f"INSERT OVERWRITE TABLE {table} PARTITION ({LOAD_DAY} = '{day}', {LOAD_ID} = '{load_id}') BY NAME "
         "SELECT * FROM {rows}",
         rows=conform(df, schema),
     )
+    return True
 
 
 def read_loads(spark: SparkSession, table: str, load_id: str | None = None) -> DataFrame:
@@ -136,15 +149,17 @@ def fold_days(
             part = combine(rows.where((F.col(LOAD_DAY) == day) & F.col(LOAD_ID).isin(loads)).select(*columns))
             spark.sql(f"INSERT INTO {table} PARTITION ({LOAD_DAY} = '{day}', {LOAD_ID} = '{fold}') BY NAME SELECT * FROM {{part}}",
                       part=part.hint("rebalance"))
-        last: dict[str, int] = {}
-        for load_id in loads:
-            if not load_id.startswith(_FOLDED):
-                name, number = _series(load_id)
-                last[name] = max(number, last.get(name, -1))
         marks = _properties(spark, table)
-        final = {k: max(n, int(marks.get(f"{_FOLDED}.{k}", "-1"))) for k, n in last.items()}
+        final: dict[str, int] = {}
+        for load_id in loads:
+            made = _number(load_id, marks)
+            if made:
+                key = f"{_FOLDED}.{made[0]}"
+                final[key] = max(made[1], final.get(key, -1), int(marks.get(key, "-1")))
+            elif not load_id.startswith(_FOLDED):
+                final[f"{_FOLDED_LOAD}.{load_id}"] = 1
         if final:
-            spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES (" + ", ".join(f"'{_FOLDED}.{k}' = '{n}'" for k, n in final.items()) + ")")
+            spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES (" + ", ".join(f"'{k}' = '{n}'" for k, n in final.items()) + ")")
         for load_id in loads:
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({LOAD_DAY} = '{day}', {LOAD_ID} = '{load_id}')")
             if path:

@@ -20,7 +20,7 @@ from ..operators.counts import count_per_window
 from ..operators.parse import REJECT_SCHEMA, accept_all, tag_json
 from ..plans.ingest import append_checked
 from ..sinks.files import write_load_lines
-from ..sinks.tables import append_load, read_loads
+from ..sinks.tables import QUERY_ID, append_load, read_loads
 
 log = logging.getLogger("tabflow.tap")
 TAP_SCHEMA = schema_from_text("country_code:STRING, ones:INT64, n:INT64")
@@ -28,7 +28,7 @@ TAP_SCHEMA = schema_from_text("country_code:STRING, ones:INT64, n:INT64")
 
 def batch_load_id(batch: DataFrame, batch_id: int) -> str:
     """The same for a repeated batch; differs between queries with different checkpoints."""
-    query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    query_id = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
     if not query_id:
         raise RuntimeError("not inside a streaming query: its id is missing")
     return f"{query_id}-{batch_id}"
@@ -85,14 +85,16 @@ def ingest_and_count(
 ) -> StreamingQuery:
     """One stream, two outputs: the account rows as a table, and their counts per window and country as text lines.
 
-    A batch is parsed once; its counts are taken from the rows just written. A line is
+    A batch is parsed once; its counts are taken from the rows just written, or from the batch
+    if those are folded already. A line is
     ``window country: count`` and counts the batch's rows, so the lines of one window add up.
     """
     schema = T.StructType([*ACCOUNT_SCHEMA.fields, messages.schema[ts]])
 
     def load(batch: DataFrame, load_id: str) -> None:
-        append_load(parse_accounts(batch, keep=[ts]), table, load_id, schema, path)
-        counts = count_per_window(read_loads(batch.sparkSession, table, load_id), ts)
+        rows = parse_accounts(batch, keep=[ts])
+        written = append_load(rows, table, load_id, schema, path)
+        counts = count_per_window(read_loads(batch.sparkSession, table, load_id) if written else rows, ts)
         start = F.date_format("window_start", "yyyy-MM-dd HH:mm:ss")
         line = F.format_string("%s %s: %d", start, "country_name", "num_cc_card")
         write_load_lines(counts, line, lines_path, load_id)
@@ -107,8 +109,9 @@ def tap_keys(accounts: DataFrame, table: str, path: str, checkpoint: str, drain:
     """
     def record(batch: DataFrame, load_id: str) -> None:
         pairs = batch.select("country_code", F.lit(1).cast("bigint").alias("ones"))
-        append_load(pairs.groupBy("country_code", "ones").agg(F.count("*").alias("n")), table, load_id, TAP_SCHEMA, path)
-        seen = read_loads(batch.sparkSession, table, load_id).agg(F.count("*").alias("keys"), F.sum("n").alias("n")).first()
+        numbers = pairs.groupBy("country_code", "ones").agg(F.count("*").alias("n"))
+        written = append_load(numbers, table, load_id, TAP_SCHEMA, path)
+        seen = (read_loads(batch.sparkSession, table, load_id) if written else numbers).agg(F.count("*").alias("keys"), F.sum("n").alias("n")).first()
         log.info("load %s: %d elements of %d pairs", load_id, seen["n"] or 0, seen["keys"])
 
     return run_batches(accounts, record, checkpoint, drain)

@@ -14,7 +14,7 @@ from tabflow.operators.registry_join import table_name, unknown_messages, with_r
 from tabflow.plans.ingest import count_accounts_job, load_csv_job, load_tables_job
 from tabflow.plans.routing import REJECTS, Target, route_messages
 from tabflow.session import fresh_path, shared_dir
-from tabflow.sinks.tables import append_table, read_loads
+from tabflow.sinks.tables import append_table, fold_days, read_loads
 from tabflow.sources.lines import read_lines
 from tabflow.sources.messages import message_stream
 from tabflow.sources.registry import read_registry
@@ -328,3 +328,66 @@ def test_one_stream_two_outputs(spark, tmp_path):
     assert read_loads(spark, "both").count() == 3
     assert sorted(r["value"] for r in read_lines(spark, str(tmp_path / "lines" / "*")).collect()) == [
         "2024-01-01 00:01:00 BE: 2", "2024-01-01 00:01:00 FR: 1"]
+
+
+LATER = datetime.date(9999, 1, 1)
+
+
+def test_a_late_csv_run_is_loaded(spark, tmp_path):
+    """A lower run after a fold is a load like any other; a folded run is neither doubled nor waited for."""
+    (tmp_path / "in.csv").write_text("J1,1,0.5,1\nJ2,x,1,1\n")
+
+    def run(run_id):
+        return load_csv_job(spark, str(tmp_path / "in.csv"), "csv_late", run_id, str(tmp_path / "l"), mode="permissive")
+
+    assert run("2024-01-15") == 1
+    fold_days(spark, "csv_late", LATER, str(tmp_path / "l"))
+    assert run("2024-01-10") == 1 and run("2024-01-15") == 1
+    assert read_loads(spark, "csv_late").count() == 2 and read_loads(spark, "csv_late_rejects").count() == 2
+
+
+def test_a_batch_repeated_after_its_fold(spark, tmp_path, caplog):
+    """The rows are final, the rejects and lines that a crash had kept back are written, and the log tells the batch."""
+    source, checkpoint = tmp_path / "in", {k: tmp_path / f"c_{k}" for k in ("both", "some", "keys")}
+    source.mkdir()
+    (source / "1.txt").write_text(account(1) + "\n" + account(2) + "\n")
+    path = lambda name: str(tmp_path / name)
+
+    def run():
+        lines = message_stream(spark, str(source))
+        stamped = lines.withColumn("timestamp", F.lit("2024-01-01 00:01:30").cast("timestamp"))
+        ingest_and_count(stamped, "late_both", path("both"), path("lines"), path("c_both"), drain=True).awaitTermination()
+        tap_keys(parse_accounts(lines), "late_keys", path("keys"), path("c_keys"), drain=True).awaitTermination()
+
+    def permissive():
+        bad = message_stream(spark, str(source)).unionByName(message_stream(spark, str(source)).withColumn("value", F.lit("broken")))
+        ingest_accounts(bad, "late_some", path("some"), path("c_some"), mode="permissive", drain=True).awaitTermination()
+
+    run()
+    permissive()
+    spark.sql("DROP TABLE late_some_rejects")
+    for name in ("both", "some", "keys"):
+        assert len(fold_days(spark, f"late_{name}", LATER, path(name))) == 1
+        _forget_last_commit(checkpoint[name])
+    with caplog.at_level(logging.INFO, logger="tabflow.tap"):
+        run()
+    permissive()
+    assert [r["value"] for r in read_lines(spark, path("lines") + "/*").collect()] == ["2024-01-01 00:01:00 BE: 2"]
+    assert read_loads(spark, "late_both").count() == 2 and [r["n"] for r in read_loads(spark, "late_keys").collect()] == [2]
+    assert "2 elements of 1 pairs" in caplog.text
+    assert read_loads(spark, "late_some").count() == 2 and read_loads(spark, "late_some_rejects").count() == 2
+
+
+def test_folded_batches_take_one_mark(spark, tmp_path, registry):
+    """Also where the tables of a batch are written from threads."""
+    source = tmp_path / "in"
+    source.mkdir()
+    for n in range(3):
+        (source / f"{n}.txt").write_text(ONE + "\n")
+    target = Target(str(tmp_path / "out"), registry, prefix="marked_")
+    stream = message_stream(spark, str(source), maxFilesPerTrigger="1")
+    route_stream(stream, target, str(tmp_path / "c"), str(tmp_path / "stage"), drain=True).awaitTermination()
+    table = target.table("p:d.one")
+    fold_days(spark, table, LATER, target.path("p:d.one"))
+    marks = [(r["key"], r["value"]) for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect() if r["key"].startswith("folded")]
+    assert [value for _, value in marks] == ["2"] and target.read(spark, "p:d.one").count() == 3

@@ -167,3 +167,41 @@ def test_folded_days(spark, tmp_path, monkeypatch):
     assert len(fold_days(spark, table, datetime.date(9999, 1, 1), path, lambda df: df.groupBy().agg(F.sum("a").alias("a")))) == 1
     assert [r["a"] for r in read_loads(spark, table).collect()] == [sum(want) + 6]
     assert spark.sql(f"SHOW PARTITIONS {table}").count() == 1
+
+
+def test_a_late_load_is_written_after_a_fold(spark, tmp_path):
+    """A first load counts, however its id compares with folded ones; only the folded ids themselves are skipped."""
+    schema, path, table = schema_from_text("a:INT64"), str(tmp_path / "t"), "late"
+    rows = lambda n: spark.createDataFrame([(n,)], "a long")
+    assert append_load(rows(1), table, "2024-01-15", schema, path) and append_load(rows(2), table, "run-7", schema, path)
+    assert len(fold_days(spark, table, datetime.date(9999, 1, 1), path)) == 1
+    assert append_load(rows(3), table, "2024-01-10", schema, path) and append_load(rows(4), table, "run-3", schema, path)
+    assert append_load(rows(5), table, "run-07", schema, path)
+    assert not append_load(rows(6), table, "2024-01-15", schema, path) and not append_load(rows(7), table, "run-7", schema, path)
+    for _ in range(2):
+        assert sorted(r["a"] for r in read_loads(spark, table).collect()) == [1, 2, 3, 4, 5]
+        fold_days(spark, table, datetime.date(9999, 1, 1), path)
+    assert not append_load(rows(8), table, "run-3", schema, path)
+
+
+def test_a_load_in_an_unfinished_fold_is_skipped(spark, tmp_path):
+    schema, path, table = schema_from_text("a:INT64"), str(tmp_path / "t"), "half_folded"
+    rows = spark.createDataFrame([(1,)], "a long")
+    append_load(rows, table, "q-1", schema, path)
+
+    class Interrupted:
+        """The fold is written, its loads not yet marked."""
+
+        def __getattr__(self, name):
+            return getattr(spark, name)
+
+        def sql(self, text, **frames):
+            if "SET TBLPROPERTIES ('folded" in text:
+                raise OSError("lost")
+            return spark.sql(text, **frames)
+
+    with pytest.raises(OSError):
+        fold_days(Interrupted(), table, datetime.date(9999, 1, 1), path)
+    assert append_load(rows, table, "q-1", schema, path) is False
+    assert len(fold_days(spark, table, datetime.date(9999, 1, 1), path)) == 1
+    assert [r["a"] for r in read_loads(spark, table).collect()] == [1]
