@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabflow.session import shared_dir
 
@@ -66,17 +68,40 @@ def row_key(id_col: str, text_col: str):
     return F.unhex(F.md5(whole))
 
 
-def least_hashed(rows: DataFrame, key: str, size: int, *ties: str) -> DataFrame:
-    """At most ``size`` rows: those of the least hash of ``key``, then by ``ties``.
+def value_counts(rows: DataFrame, column: str, most: int) -> dict:
+    """The numbers of rows of the values of a column; of more than ``most`` values those of the most frequent."""
+    counts = rows.groupBy(column).agg(F.count("*").alias("n")).orderBy(F.desc("n"), column).limit(most)
+    return {r[0]: r[1] for r in counts.collect()}
 
-    A bound on the hash first leaves about one and a half times as many rows over all tasks, so that not every
-    task hands on ``size`` rows of its own.
+
+def fair_share(counts: dict, size: int) -> int:
+    """The number of rows a value may have at most, so that all values together have ``size``, or all their rows."""
+    left, share = size, 0
+    for i, n in enumerate(sorted(counts.values())):
+        share = -(-left // (len(counts) - i))
+        if n >= share:
+            return share
+        left, share = left - n, n
+    return share
+
+
+def least_hashed(rows: DataFrame, key: str, size: int, by: str, counts: dict, *columns: Column) -> DataFrame:
+    """``key``, ``by`` and ``columns`` of at most ``size`` rows: of every value of ``by`` in ``counts`` its ``fair_share``
+    of rows, those of the least hash of ``key``, then by ``columns``.
+
+    A bound on the hash for each value comes first, six deviations above its share, so that few rows are ranked. ``counts``
+    has at most ``size`` values and is broadcast.
     """
+    share = fair_share(counts, size)
+    bound = share + 6 * math.ceil(share ** 0.5) + 20
     hashed = F.pmod(F.xxhash64(key), F.lit(1 << 40))
-    n = rows.count()
-    if n > 2 * size:
-        rows = rows.where(hashed < (1 << 40) * 3 * size // (2 * n))
-    return rows.orderBy(hashed, key, *ties).limit(size)
+    limits = [(value, (1 << 40) * min(n, bound) // n) for value, n in counts.items()]
+    kind = T.StructType([T.StructField("_by", rows.schema[by].dataType), T.StructField("_limit", T.LongType())])
+    near = rows.join(F.broadcast(rows.sparkSession.createDataFrame(limits, kind)), F.col(by) == F.col("_by")).where(hashed < F.col("_limit"))
+    drawn = near.select(key, by, *columns)
+    order = [hashed, F.col(key), *[F.col(c) for c in drawn.columns[2:]]]
+    ranked = drawn.withColumn("_rank", F.row_number().over(Window.partitionBy(by).orderBy(*order)))
+    return ranked.orderBy("_rank", *order, by).limit(size).drop("_rank")
 
 
 SPACES = np.zeros(256, bool)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tabflow.llm.common import by_bytes, in_bucket, least_hashed, texts, utf8
+from tabflow.llm.common import by_bytes, in_bucket, least_hashed, texts, utf8, value_counts
 
 WINDOW = 96
 STATES = 8
@@ -170,7 +170,9 @@ def train(chars: np.ndarray, counts: np.ndarray, y: np.ndarray, languages: list[
 
 def learn(docs: DataFrame, folds: int = 3, held: int = 1, sample: int = SAMPLE_DOCS, id_col: str = "doc_id",
           text_col: str = "text", lang_col: str = "lang") -> GruModel | None:
-    """A model from at most ``sample`` documents outside the held-out fold, those of the least hash of their id.
+    """A model from at most ``sample`` documents outside the held-out fold, spread over the languages: of each all, or
+    its share, those of the least hash of their id. So a language is learnt however rare it is; only of more than
+    ``sample`` languages the less frequent are left out.
 
     Null languages, null ids and texts without a byte are passed over; None if nothing is left. At most
     ``SAMPLE_WINDOWS`` windows of each document of the sample reach the driver.
@@ -182,9 +184,10 @@ def learn(docs: DataFrame, folds: int = 3, held: int = 1, sample: int = SAMPLE_D
     data, last = F.col("text").cast("binary"), F.greatest(F.octet_length("text") - WINDOW, F.lit(0))
     begins = [F.floor(last * i / max(1, SAMPLE_WINDOWS - 1)).cast("int") + 1 for i in range(SAMPLE_WINDOWS)]
     cut = F.array_distinct(F.array(*[F.substring(data, at, F.lit(WINDOW)) for at in begins]))
-    rows = least_hashed(known.select("id", "lang", cut.alias("w")), "id", sample, "lang", "w").collect()
-    if not rows:
+    counts = value_counts(known, "lang", sample)
+    if not counts:
         return None
+    rows = least_hashed(known, "id", sample, "lang", counts, cut.alias("w")).collect()
     languages = sorted({r.lang for r in rows})
     parts = [(bytes(p), languages.index(r.lang)) for r in rows for p in r.w]
     starts = np.r_[0, np.cumsum([len(p) for p, _ in parts])]

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tabflow.llm.common import by_bytes, in_bucket, least_hashed, spare_name, span_hashes, utf8, word_spans
+from tabflow.llm.common import by_bytes, fair_share, in_bucket, least_hashed, spare_name, span_hashes, utf8, value_counts, word_spans
 
 PASSAGE_WORDS = 64
 BYTE_KINDS = 160  # ASCII one by one, then the other bytes four at a time
@@ -136,15 +136,19 @@ def train(x: np.ndarray, text: np.ndarray, y: np.ndarray, epochs: int = 40, batc
 
 def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, sample: int = SAMPLE_DOCS,
           id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> AttentionModel | None:
-    """A model from at most ``sample`` labelled documents outside the held-out fold, those of the least hash of
-    their id. Labels other than 0 and 1, null ids and texts beyond ``SAMPLE_BYTES`` are passed over; of several labels
+    """A model from at most ``sample`` labelled documents outside the held-out fold, of each label all, or its share,
+    those of the least hash of their id. The scores are those of the labels' own frequencies. Labels other than 0 and 1, null ids and texts beyond ``SAMPLE_BYTES`` are passed over; of several labels
     or texts of one id the greatest counts. None if there is nothing to learn from.
 
     What reaches the driver is the features of the sample, which is bounded.
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).where(
         F.col("id").isNotNull() & F.col("y").isin(0, 1) & (in_bucket("id", folds) != held))
-    few = least_hashed(known.groupBy("id").agg(F.max("y").alias("y")), "id", sample)
+    known = known.groupBy("id").agg(F.max("y").alias("y"))
+    counts = value_counts(known, "y", 2)
+    if not counts:
+        return None
+    few = least_hashed(known, "id", sample, "y", counts)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where(
         F.octet_length("text") <= SAMPLE_BYTES)
     # ``few`` has at most ``sample`` rows of two numbers, whatever the size of the tables.
@@ -164,7 +168,11 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, sam
         return None
     parts = [np.frombuffer(x, np.float32).reshape(-1, FEATURES) for x, _ in rows]
     text = np.repeat(np.arange(len(rows)), [len(p) for p in parts])
-    return train(np.concatenate(parts), text, np.array([y for _, y in rows], np.float64))
+    model = train(np.concatenate(parts), text, np.array([y for _, y in rows], np.float64))
+    # A label that was thinned out counts as often as it occurs.
+    thinned = {int(y): np.log(max(1, n / fair_share(counts, sample))) for y, n in counts.items()}
+    model.weights["out0"] = np.float32(model.weights["out0"] + thinned.get(1, 0) - thinned.get(0, 0))
+    return model
 
 
 def score_quality(docs: DataFrame, model: AttentionModel | None, threshold: float = 0.3, id_col: str = "doc_id",

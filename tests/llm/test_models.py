@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 
 from tabflow.llm import gru_langid, quality_mil
-from tabflow.llm.common import utf8
+from tabflow.llm.common import fair_share, utf8
 from tabflow.llm.queries import QUERIES
 
 
@@ -131,3 +131,25 @@ def test_labels_are_never_inputs(spark, sf_dir):
     model = gru_langid.learn(docs)
     assert sorted(gru_langid.identify(docs, model).collect()) == sorted(gru_langid.identify(bare, model).collect())
     assert model.languages == ["de", "en", "es", "fr"]
+
+
+def test_fair_share():
+    assert [fair_share(c, 10) for c in ({}, {"a": 3}, {"a": 30}, {"a": 30, "b": 2}, {"a": 4, "b": 50, "c": 1, "d": 9})] == [0, 3, 10, 8, 3]
+
+
+def test_a_rare_language_is_learnt(spark):
+    """However few its rows, and beside any number of others, it is in the sample and can be predicted."""
+    rows = [(i, "the cat sat on the mat", "en") for i in range(4000)] + [(-i, "ζω και βλέπω", "el") for i in range(1, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = gru_langid.learn(docs, sample=40)
+    assert model.languages == ["el", "en"]
+    found = {r.lang_pred for r in gru_langid.identify(docs.where("doc_id < 0"), model).collect()}
+    assert found == {"el"}
+
+
+def test_a_rare_label_is_learnt(spark):
+    rows = [(i, f"plain words of number {i}") for i in range(3000)] + [(-i, f"!!!! $$$$ #### {i} ;;;; ~~~~") for i in range(1, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "int(doc_id >= 0) quality")
+    scored = quality_mil.score_quality(docs, quality_mil.learn(docs, labels, sample=40)).collect()
+    assert max(r.score for r in scored if r.doc_id < 0) < min(r.score for r in scored if r.doc_id >= 0)
