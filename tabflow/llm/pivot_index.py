@@ -1,15 +1,17 @@
 """Near copies among vectors by a pivot-permutation index.
 
-Reference points (pivots) are drawn at random from a fixed seed. A vector is described by its eight
-nearest pivots; near vectors have most of them in common. Each two of a vector's pivots name an inverted
+Reference points (pivots) are drawn at random from a fixed seed. A vector is described by its eight to twelve
+nearest pivots, the more the more pivots there are; near vectors have most of them in common. Each two of a vector's pivots name an inverted
 list, so that vectors on one list share two pivots at least; the lists of one label are
 searched in pairs, shared pivots are counted, and a pair is verified by its cosine on one list only,
 that of its two lowest shared pivots. As pivots are random directions, the
-chance to miss a pair depends on its cosine alone: at 0.93 it is about one in a thousand.
+chance to miss a pair depends on its cosine and the number of pivots alone: at 0.93 it is about
+one in a thousand or less for any number of them.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 from tabflow.llm.common import checkpointed
 from tabflow.llm.components import components, forest
 
-NEAREST = 8
+NEAREST = 8  # of the fewest pivots
 FEWEST_PIVOTS, MOST_PIVOTS = 256, 4096
 LIST_ROWS = 2048  # longer lists are searched in blocks of about so many
 PAIRS_AT_ONCE = 1 << 16
@@ -43,10 +45,16 @@ def matrix(column: pa.Array) -> np.ndarray:
     return out / np.linalg.norm(out, axis=1, keepdims=True)
 
 
+def nearest(count: int) -> int:
+    """How many of ``count`` pivots describe a vector: one more for each doubling, which keeps the chance to miss a pair."""
+    return NEAREST + max(0, math.ceil(math.log2(count / FEWEST_PIVOTS)))
+
+
 def describe(vectors: np.ndarray, count: int) -> np.ndarray:
     """The numbers of the nearest pivots of every vector, ascending."""
     near = vectors @ pivots(count, vectors.shape[1]).T
-    return np.sort(np.argpartition(-near, NEAREST, axis=1)[:, :NEAREST], axis=1)
+    most = nearest(count)
+    return np.sort(np.argpartition(-near, most, axis=1)[:, :most], axis=1)
 
 
 def list_links(table: dict[str, np.ndarray], most_pivots: int, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -112,11 +120,11 @@ def near_vectors(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_id"
         for batch in batches:
             column = batch.column(2)
             sizes = np.diff(column.offsets.to_numpy())
-            near = np.zeros((len(sizes), NEAREST), np.int64)
+            near = np.zeros((len(sizes), nearest(count)), np.int64)
             for d in np.unique(sizes):
                 rows = np.flatnonzero(sizes == d)
                 near[rows] = describe(matrix(column.take(pa.array(rows))), count)
-            lists = np.stack([near[:, i] * count + near[:, j] for i, j in combinations(range(NEAREST), 2)], axis=1)
+            lists = np.stack([near[:, i] * count + near[:, j] for i, j in combinations(range(nearest(count)), 2)], axis=1)
             flat = lambda m: pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1, dtype=np.int32) * m.shape[1]), pa.array(m.ravel()))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sizes.astype(np.int32)), flat(near), flat(lists)],
                                              names=["id", "label", "vector", "copies", "size", "near", "lists"])
@@ -151,7 +159,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_id"
 
     def found(rows: pa.Table) -> pa.RecordBatch:
         table = {c: rows[c].to_numpy() for c in (*keys, "low", "high", "part", "id", "copies")}
-        table["near"] = rows["near"].combine_chunks().flatten().to_numpy().reshape(-1, NEAREST)
+        table["near"] = rows["near"].combine_chunks().flatten().to_numpy().reshape(-1, nearest(count))
         table["vector"] = matrix(rows["vector"].combine_chunks())
         u, v, row, weight = list_links(table, count, least)
         none = np.zeros(len(u), bool), np.ones(len(row), bool)

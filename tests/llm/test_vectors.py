@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from tabflow.llm.pivot_index import near_vectors
+from tabflow.llm.pivot_index import describe, near_vectors
 from tabflow.llm.queries import QUERIES
 
 SCHEMA = "vec_id long, embedding array<float>, label int, near int"
@@ -77,3 +77,21 @@ def test_recall(spark, folder):
             assert found[i].n_links <= n
             wanted, seen = wanted + n, seen + found[i].n_links
     assert seen >= 0.99 * wanted
+
+
+@pytest.mark.parametrize("count", [256, 1024, 4096])
+def test_recall_holds_for_any_number_of_pivots(count):
+    rng = np.random.default_rng(5)
+    x, y = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in rng.normal(size=(2, 4000, 64)))
+    y -= (y * x).sum(axis=1, keepdims=True) * x
+    y = 0.93 * x + np.sqrt(1 - 0.93 ** 2) * y / np.linalg.norm(y, axis=1, keepdims=True)
+    shared = (describe(x, count)[:, :, None] == describe(y, count)[:, None, :]).any(axis=2).sum(axis=1)
+    assert (shared >= 2).mean() > 0.998
+
+
+def test_links_are_found_with_more_pivots(spark, monkeypatch):
+    monkeypatch.setattr("tabflow.llm.pivot_index.FEWEST_PIVOTS", 1024)
+    rows = made_up(7)
+    want, links = plain(rows)
+    got = near_vectors(spark.createDataFrame([(*r, 0) for r in rows], SCHEMA)).collect()
+    assert links > 300 and sum(r.n_links for r in got) >= 0.99 * sum(n for _, n, _ in want)
