@@ -29,6 +29,7 @@ SEED = 42
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 GENERATOR = 0xC75  # fixed value: x^11+x^10+x^6+x^5+x^4+x^2+1, of the Golay code
 PAIRS_AT_ONCE = 1 << 20
+LIST_ROWS = 1 << 15  # longer sides of a key are searched in blocks of about so many
 
 
 def fingerprint(text: str, shingle: int = 3) -> int:
@@ -111,7 +112,7 @@ def _hot_links(left: np.ndarray, right: np.ndarray, most: int) -> tuple[np.ndarr
 
 
 def bucket_links(key: np.ndarray, side: np.ndarray, prints: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links between fingerprints of different sides under one key, as a forest; sorted by key and side."""
+    """Links between fingerprints of different sides under one key (or group), as a forest; sorted by key and side."""
     start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     size = np.diff(np.r_[start, len(key)])
     lefts = np.add.reduceat((side == 0).astype(np.int64), start)
@@ -153,6 +154,24 @@ def _marked(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFr
     return checkpointed(source.mapInArrow(run, "id bigint, k binary, fp bigint"))
 
 
+def deal_keys(keyed: DataFrame, list_rows: int = LIST_ROWS) -> DataFrame:
+    """(group, side, fp) of keyed fingerprints: a group is a key, or two blocks of a key's sides.
+
+    Every two fingerprints of different sides of a key meet in one group. A side longer than
+    ``list_rows`` is cut into blocks by hash, and each block meets each of the other side by itself, so that no task gathers a key.
+    """
+    blocks = lambda side: F.greatest(F.lit(1), F.ceil(F.count_if(F.col("side") == side) / list_rows)).cast("int")
+    # At most one row per ``list_rows`` keyed ones; stored, so that Spark knows how few.
+    long = checkpointed(keyed.groupBy("key").agg(blocks(0).alias("lefts"), blocks(1).alias("rights")).where("lefts > 1 OR rights > 1"))
+    both = keyed.join(long, "key", "left").withColumns({"lefts": F.coalesce("lefts", F.lit(1)), "rights": F.coalesce("rights", F.lit(1))})
+    left = F.col("side") == 0
+    both = both.withColumn("own", F.pmod(F.xxhash64("fp", F.lit(1)), F.when(left, F.col("lefts")).otherwise(F.col("rights"))))
+    both = both.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.when(left, F.col("rights")).otherwise(F.col("lefts")) - F.lit(1).cast("bigint"))))
+    # A key has 26 bits, a block 18.
+    part = F.when(left, F.shiftleft("own", 18) + F.col("other")).otherwise(F.shiftleft("other", 18) + F.col("own"))
+    return both.select((F.shiftleft("key", 36) + part).alias("group"), "side", "fp")
+
+
 def _groups(marked: DataFrame, most: int) -> DataFrame:
     """(fp, root, component): the least fingerprint and the least id reachable from each fingerprint."""
     prints = marked.groupBy("fp").agg(F.min("id").alias("least"))
@@ -174,7 +193,7 @@ def _groups(marked: DataFrame, most: int) -> DataFrame:
         for batch in batches:
             now = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
             rest = [np.concatenate(c) for c in zip(rest, now)] if rest else now
-            cut = int(np.searchsorted(rest[0], rest[0][-1])) if len(rest[0]) else 0  # the last key may go on
+            cut = int(np.searchsorted(rest[0], rest[0][-1])) if len(rest[0]) else 0  # the last group may go on
             if cut:
                 yield found([c[:cut] for c in rest])
                 rest = [c[cut:] for c in rest]
@@ -182,7 +201,7 @@ def _groups(marked: DataFrame, most: int) -> DataFrame:
             yield found(rest)
 
     keyed = prints.select("fp").mapInArrow(keys, "key bigint, side tinyint, fp bigint")
-    dealt = keyed.repartition("key").sortWithinPartitions("key", "side")
+    dealt = deal_keys(keyed).repartition("group").sortWithinPartitions("group", "side")
     roots_of = components(dealt.mapInArrow(links, "u bigint, v bigint"))
     joined = prints.join(roots_of.withColumnRenamed("node", "fp"), "fp", "left")
     rooted = joined.select("fp", F.coalesce("root", "fp").alias("root"), "least")

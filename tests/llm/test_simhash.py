@@ -1,7 +1,7 @@
 import numpy as np
 import xxhash
 
-from tabflow.llm.golay_simhash import bucket_links, drop_near_copies, fingerprint, golay_keys, near_codewords, simhash_groups
+from tabflow.llm.golay_simhash import bucket_links, deal_keys, drop_near_copies, fingerprint, golay_keys, near_codewords, simhash_groups
 from tabflow.llm.components import components
 from tabflow.llm.queries import QUERIES
 
@@ -107,3 +107,23 @@ def test_query(spark, sf_dir):
     prints, least, _ = plain_groups(rows)
     found = {r.doc_id: (r.fingerprint, r.component_id) for r in QUERIES["op6_simhash_near_dedup"](spark, sf_dir).collect()}
     assert found == {d: (f"{prints[i]:016x}", least[i]) for i, (d, _) in enumerate(rows)}
+
+
+def test_hot_keys_are_dealt(spark):
+    """No group has more than about two blocks, and every two fingerprints of a key's sides meet exactly once."""
+    rows = [(5, s, f) for s in (0, 1) for f in range(400)] + [(6, 0, f) for f in range(300)] + [(6, 1, 7), (7, 0, 1), (7, 1, 2), (3 << 24, 1, -4)]
+    dealt = deal_keys(spark.createDataFrame(rows, "key long, side byte, fp long"), 50).collect()
+    groups = {}
+    for r in dealt:
+        groups.setdefault(r.group, ([], []))[r.side].append(r.fp)
+    assert max(len(l) + len(r) for l, r in groups.values()) < 200
+    met = sorted((g >> 36, a, b) for g, (l, r) in groups.items() for a in l for b in r)
+    assert met == sorted([(5, a, b) for a in range(400) for b in range(400)] + [(6, a, 7) for a in range(300)] + [(7, 1, 2)])
+
+
+def test_dealt_keys_give_the_same_groups(spark, monkeypatch):
+    monkeypatch.setattr("tabflow.llm.golay_simhash.deal_keys", lambda keyed: deal_keys(keyed, 3))
+    rows = [(i, " ".join(f"w{j}" if j != i % 40 else f"x{i}" for j in range(120))) for i in range(60)]
+    prints, least, _ = plain_groups(rows)
+    found = simhash_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(set(least.values())) < len(set(prints)) and {r.doc_id: r.component_id for r in found} == least
