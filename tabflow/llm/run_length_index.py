@@ -6,10 +6,10 @@ with one anchor form a piece of some 67 bytes. Texts are dealt to blocks, anchor
 
 1. every block tells every bucket its anchors; buckets answer which lie in several documents;
 2. blocks send the distinct pieces of those, with the least id that has each;
-3. every bucket builds the run-length compressed Burrows-Wheeler transform of its pieces, with
-   the text positions at the run ends sampled, and streams the pieces through it. Each step
-   gives the matching statistics of a position, capped at 50: the rows that share its
-   50 bytes, and so the least id that has them;
+3. every bucket sorts the suffixes of its pieces, which puts the positions that share their
+   50 bytes into one group, and builds the runs of the Burrows-Wheeler transform, with the text
+   positions at the run ends sampled. The pieces walk back through it and read their groups, and so the least
+   id that has them; the samples prove the walk. No match length is computed, and the groups have an entry per row;
 4. blocks mark the windows with a lesser id than the document's, merge and remove them.
 
 So copies, hot lines and repeated passages reach a bucket once per block. An anchor with very
