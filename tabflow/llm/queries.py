@@ -14,6 +14,7 @@ from tabflow.llm.bestfit_pack import pack_documents
 from tabflow.llm.common import in_bucket, table
 from tabflow.llm.golay_simhash import simhash_groups
 from tabflow.llm.line_windows import LINE_SQL, drop_repeated_lines
+from tabflow.llm.lpt_shards import shard_documents
 from tabflow.llm.piece_agenda import encode_decode
 from tabflow.llm.pivot_index import near_vectors
 from tabflow.llm.run_length_index import repeated_bytes
@@ -75,6 +76,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (in_bucket("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "agreement")
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shard_documents(table(spark, sf_dir, "documents"), shards=8)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_token_counts": op2_token_counts,
@@ -86,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_document_fingerprints": op8_document_fingerprints,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_language_id": op10_language_id,
+    "op11_sharding": op11_sharding,
 }
 
 ORACLES: dict[str, str] = {
