@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tabflow.llm import gru_langid, quality_mil
 from tabflow.llm.bestfit_pack import pack_documents
+from tabflow.llm.collocations import COLLOCATION_SQL, collocations
 from tabflow.llm.common import in_bucket, table
 from tabflow.llm.golay_simhash import simhash_groups
 from tabflow.llm.line_windows import LINE_SQL, drop_repeated_lines
@@ -81,6 +82,10 @@ def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"), least=30, top=2000, covered=80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_token_counts": op2_token_counts,
@@ -93,8 +98,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sentencepiece": op9_sentencepiece,
     "op10_language_id": op10_language_id,
     "op11_sharding": op11_sharding,
+    "op12_phrase_collocations": op12_phrase_collocations,
 }
 
 ORACLES: dict[str, str] = {
     "op4_line_dedup": LINE_SQL,
+    "op12_phrase_collocations": COLLOCATION_SQL,
 }
