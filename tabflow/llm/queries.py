@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabflow.llm import gru_langid, quality_mil
+from tabflow.llm.anchor_tree import NEGATIVE_SQL, hard_negatives
 from tabflow.llm.bestfit_pack import pack_documents
 from tabflow.llm.collocations import COLLOCATION_SQL, collocations
 from tabflow.llm.common import in_bucket, table
@@ -86,6 +87,14 @@ def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"), least=30, top=2000, covered=80)
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256))
+    rows = table(spark, sf_dir, "embeddings").where(finite).select("vec_id", label.alias("label"), whole.alias("vector"))
+    return hard_negatives(rows, every=50, positives=5, negatives=3, low=50, high=95)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_token_counts": op2_token_counts,
@@ -99,9 +108,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
     "op11_sharding": op11_sharding,
     "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLES: dict[str, str] = {
     "op4_line_dedup": LINE_SQL,
     "op12_phrase_collocations": COLLOCATION_SQL,
+    "op13_hard_negatives": NEGATIVE_SQL,
 }
