@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.coerce import fails_cast, literal, quoted, to_type
+from ..functions.coerce import fails_cast, literal, quoted, real_keeps, to_type
 from ..functions.schema import schema_from_text
 
 # Added columns of a tagged frame; a target table may well have a column "value".
@@ -25,22 +25,41 @@ REJECT_SCHEMA = schema_from_text("value:STRING, reject_reason:STRING")
 _JSON_OPTIONS = (
     "map('mode', 'PERMISSIVE', 'allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"
 )
+# The JSON parser hands on a number with a point or an exponent by way of a double. Up to 15 digits that says the same; a row
+# with a longer one, or an exponent, has its numbers looked at as they were written.
+_LONG_NUMBER = r"[:,\[]\s*-?(?=[\d.]*[.eE])([\d.]{17,}|[\d.]+[eE][+-]?\d+)"
+_NUMBER = r"-?\d+(\.\d+)?([eE][+-]?\d+)?"
+_NESTED = r"^[\[{]"
+_NUMBERS = "_numbers"
 # Text of the array element that shows where the source text ends.
 _END = "end of row"
 
 
+def _numbers(value: str) -> str:
+    """The numbers of a JSON text as they were written, if one of them may not have come through; else NULL."""
+    return f"CASE WHEN {quoted(value)} RLIKE {literal(_LONG_NUMBER)} THEN regexp_extract_all({quoted(value)}, {literal(_NUMBER)}, 0) END AS {_NUMBERS}"
+
+
+def _changed(raw: str) -> str:
+    """True where a text has come from one of ``_numbers`` that a double doesn't hold."""
+    alike = f"try_cast(t AS DOUBLE) = try_cast({raw} AS DOUBLE) OR {raw} IN ('\"Infinity\"', '\"-Infinity\"') OR {raw} RLIKE {literal(_NESTED)}"
+    return f"({_NUMBERS} IS NOT NULL AND exists({_NUMBERS}, t -> t <> {raw} AND NOT {real_keeps('t')} AND ({alike})))"
+
+
 def _tag(df: DataFrame, raw: dict[str, str], schema: T.StructType, reason: str,
-         keep: Sequence[str], value: str) -> DataFrame:
-    """Cast the raw columns and attach the reject reason.
+         keep: Sequence[str], value: str, numbers: bool = False) -> DataFrame:
+    """Cast the raw columns and attach the reject reason; ``numbers`` says that ``df`` has the numbers of its JSON text.
 
     The row is built as a one-element array and unnested: a filter on its columns
     then stays above the parse. Without that step the optimizer copies the parse
     into the filter and every row is parsed twice.
     """
-    wrong = " ".join(
-        f"WHEN {fails_cast(raw[f.name], f.dataType)} THEN {literal('bad value in ' + f.name)}"
-        for f in schema.fields if not isinstance(f.dataType, T.StringType)
-    )
+    def fails(field: T.StructField) -> list[str]:
+        text = isinstance(field.dataType, T.StringType)
+        found = [] if text else [fails_cast(raw[field.name], field.dataType)]
+        return found + ([_changed(raw[field.name])] if numbers and (text or isinstance(field.dataType, T.DoubleType)) else [])
+
+    wrong = " ".join(f"WHEN {' OR '.join(terms)} THEN {literal('bad value in ' + f.name)}" for f in schema.fields if (terms := fails(f)))
     reasons = f"coalesce({reason}, CASE {wrong} END)" if wrong else reason
     reasons = f"CASE WHEN NOT is_valid_utf8({quoted(value)}) THEN 'not UTF-8' ELSE {reasons} END"
     items = [(name, quoted(name)) for name in keep]
@@ -78,7 +97,7 @@ def tag_json(
     objects = (f"from_json(concat('[', {source}, {literal(f',{mark}]')}), "
                f"{literal(f'array<struct<{as_text}>>')}, {_JSON_OPTIONS}) AS _objects")
     keys = [] if allow_extra_keys else [f"json_object_keys({source}) AS _keys"]
-    parsed = df.selectExpr(*carried, objects, *keys).selectExpr(
+    parsed = df.selectExpr(*carried, objects, *keys, _numbers(value)).selectExpr(
         "*",
         f"CASE WHEN size(_objects) = 2 AND get(_objects, 1).{quoted(first)} = {literal(_END)} "
         "THEN get(_objects, 0) END AS _row",
@@ -100,7 +119,7 @@ def tag_json(
         extra = f"array_except({found}, {expected})"
         cases.append(f"WHEN size({found}) != {values} AND size({extra}) > 0 "
                      f"THEN concat('unknown ', array_join({extra}, ','))")
-    return _tag(parsed, raw, schema, f"CASE {' '.join(cases)} END", keep, value)
+    return _tag(parsed, raw, schema, f"CASE {' '.join(cases)} END", keep, value, numbers=True)
 
 
 def parse_object(df: DataFrame, keep: Sequence[str] = (), value: str = "value") -> DataFrame:
@@ -133,7 +152,7 @@ def tag_object(df: DataFrame, schema: T.StructType, *, keep: Sequence[str] = (),
     extra = f"array_except(map_keys({OBJECT}), {expected})"
     reason = (f"CASE WHEN {OBJECT} IS NULL THEN 'malformed' WHEN size({extra}) > 0 "
               f"THEN concat('unknown ', array_join({extra}, ',')) END")
-    return _tag(df, raw, schema, reason, keep, value)
+    return _tag(df.selectExpr("*", _numbers(value)), raw, schema, reason, keep, value, numbers=True)
 
 
 def tag_csv(

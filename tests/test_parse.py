@@ -180,3 +180,72 @@ def test_a_repeated_key_is_routed_and_stored_alike(spark):
 def test_json_line_keeps_null_keys(spark):
     df = spark.range(1).select(F.lit(None).cast("string").alias("a"), F.col("id").alias("b"))
     assert df.select(to_json_line("*")).collect()[0][0] == '{"a":null,"b":0}'
+
+
+# Literals by type: those that a value is made of, and those that a cast would change, fill in or make depend on the day.
+GOOD_LITERALS = {
+    "INT64": {"7": 7, "-7": -7, "+7": 7, "007": 7, "9223372036854775807": 2**63 - 1, "-9223372036854775808": -(2**63)},
+    "FLOAT64": {"1": 1.0, "-0.5": -0.5, "+.5": 0.5, "1.": 1.0, "1e3": 1000.0, "1E-3": 0.001, "0.1": 0.1, "9007199254740992": 2.0**53,
+                "0.30000000000000004": 0.30000000000000004, "0.10000000000000001": 0.1, "1.7976931348623157E308": 1.7976931348623157e308,
+                "1152921504606846976": 2.0**60, "-9223372036854775808": -(2.0**63), "0.000": 0.0, "0e5": 0.0, "100000000000000000000": 1e20,
+                "12345678901234.567": 12345678901234.567, "2e23": 2e23, "1.5000000000000000000000": 1.5, "-Infinity": float("-inf")},
+    "DATE": {"2024-01-02": datetime.date(2024, 1, 2), "2024-1-2": datetime.date(2024, 1, 2), "2024-01-02 00:00:00": datetime.date(2024, 1, 2)},
+    "DATETIME": {"2024-01-02 03:04:05": datetime.datetime(2024, 1, 2, 3, 4, 5), "2024-01-02T03:04:05.123456": datetime.datetime(2024, 1, 2, 3, 4, 5, 123456),
+                 "2024-01-02 03:04:05.120000000": datetime.datetime(2024, 1, 2, 3, 4, 5, 120000), "2024-01-02": datetime.datetime(2024, 1, 2)},
+    "TIMESTAMP": {"2024-01-02 03:04:05": datetime.datetime(2024, 1, 2, 3, 4, 5), "2024-01-02T03:04:05Z": datetime.datetime(2024, 1, 2, 3, 4, 5),
+                  "2024-01-02 03:04:05+02:00": datetime.datetime(2024, 1, 2, 1, 4, 5), "2024-01-02 03:04:05.5 UTC": datetime.datetime(2024, 1, 2, 3, 4, 5, 500000)},
+}
+BAD_LITERALS = {
+    "INT64": ["", " 7", "7 ", "7\n", "1.0", "1e3", "1_000", "0x10", "9223372036854775808", "1L", "x", "--1"],
+    "FLOAT64": ["", "9007199254740993", "9007199254740993.0", "9.007199254740993E15", "1e400", "-1e400", "1e-400", "1d", "1f", "0x1p3", "1.5\n", "1,5", "e5", ".",
+                "3.14159265358979323846", "4.94e-324", "1 000", " 1", "1.23456789012345678901", "36893488147419103233"],
+    "DATE": ["2024", "2024-02", "2024-02-30", "2024-01-02 10:00:00", "12:30", "02.01.2024", "2024-01-02Z", "0000-01-01", "today", "2024-01-02 00:00:00.001"],
+    "DATETIME": ["2024", "2024-02", "2024-01-01 00:00:00+05:00", "2024-01-01 00:00:00Z", "2024-01-01 00:00:00.1234567", "12:30", "2024-01-01 10", "2024-01-01 10:20",
+                 "2024-01-01 25:00:00", "now", "2024-01-01 00:00:00 Europe/Rome", "2024-13-01 00:00:00"],
+    "TIMESTAMP": ["12:30", "12:30:00", "T12:30:00", "2024", "2024-02", "2024-01-01 00:00:00.1234567Z", "2024-03-31 02:30:00 Europe/Rome", "2024-01-01 10:20", "epoch"],
+}
+
+
+@pytest.mark.parametrize("kind", sorted(GOOD_LITERALS))
+def test_a_literal_says_what_the_value_says(spark, kind):
+    """In CSV, JSON and routed messages alike: good literals give their value, others a reason."""
+    schema = schema_from_text(f"i:INT64, v:{kind}")
+    cases = [*GOOD_LITERALS[kind].items(), *((text, None) for text in BAD_LITERALS[kind])]
+    good = len(GOOD_LITERALS[kind])
+
+    def held(tagged, left_out=()):
+        rows = {r["i"]: r for r in tagged.select("i", REASON, F.when(F.col(REASON).isNull(), F.col("v")).alias("v")).collect()}
+        wrong = []
+        for i, (text, value) in enumerate(cases):
+            if text in left_out:
+                continue
+            row = rows[i]
+            if (row[REASON], row["v"]) != (None, value) if i < good else row[REASON] != "bad value in v":
+                wrong.append((text, row["v"], row[REASON]))
+        assert not wrong
+
+    commas = [text for text, _ in cases if "," in text]
+    held(tag_csv(lines(spark, *[f"{i},{text}" for i, (text, _) in enumerate(cases)]), schema), commas)
+    objects = lines(spark, *[json.dumps({"i": i, "v": text}) for i, (text, _) in enumerate(cases)])
+    held(tag_json(objects, schema))
+    held(tag_object(parse_object(objects), schema))
+
+
+def test_json_numbers_keep_their_digits(spark):
+    """A number that a double doesn't hold is a reject, also for a column of texts and inside a nested value."""
+    schema = schema_from_text("s:STRING")
+    good = ['{"s": 9007199254740993}', '{"s": "9007199254740993.0"}', '{"s": "1e400"}', '{"s": [1.5, 2e3]}', '{"s": "\\"Infinity\\""}', '{"s": 12345678.123456789}',
+            '{"s": "[3.14159265358979323846]"}']
+    bad = ['{"s": 9007199254740993.0}', '{"s": 1e400}', '{"s": {"k": [1, 3.14159265358979323846]}}', '{"s": -1e-400}']
+    for parse in (lambda df: tag_json(df, schema), lambda df: tag_object(parse_object(df), schema)):
+        assert reasons(parse(lines(spark, *good))) == [None] * 6 + ["bad value in s"]  # no telling a quoted list from a nested one
+        assert reasons(parse(lines(spark, *bad))) == ["bad value in s"] * 4
+        assert [r["s"] for r in accept_all(parse(lines(spark, *good[:3]))).collect()] == ["9007199254740993", "9007199254740993.0", "1e400"]
+    schema = schema_from_text("x:FLOAT64")
+    good = lines(spark, '{"x": 0.1}', '{"x": 1e3}', '{"x": 9007199254740992}', '{"x": -2.50}')
+    bad = lines(spark, '{"x": 9007199254740993}', '{"x": 1e400}', '{"x": 9007199254740993.0}', '{"x": 3.14159265358979323846}')
+    for parse in (lambda df: tag_json(df, schema), lambda df: tag_object(parse_object(df), schema)):
+        assert [r["x"] for r in accept_all(parse(good)).collect()] == [0.1, 1000.0, 2.0**53, -2.5]
+        assert reasons(parse(bad)) == ["bad value in x"] * 4
+        with pytest.raises(PySparkException, match="bad value in x"):
+            accept_all(parse(bad)).collect()
