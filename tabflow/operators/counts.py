@@ -25,7 +25,7 @@ def count_lines(counts: DataFrame) -> DataFrame:
 def count_per_window(
     accounts: DataFrame, ts: str, key: str = "country_code", width: str = "60 seconds"
 ) -> DataFrame:
-    """Counts per key and tumbling, epoch-aligned window; works on a stream with a watermark."""
+    """Counts per key and tumbling, epoch-aligned window."""
     return (
         accounts.groupBy(F.window(ts, width).alias("w"), F.col(key).alias("country_name"))
         .agg(F.count("*").alias("num_cc_card"))

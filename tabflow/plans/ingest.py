@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections import Counter
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
@@ -73,18 +75,23 @@ def load_tables_job(spark: SparkSession, config: str, run_id: str, mode: str = "
     one does not wait for a large one (``spark.scheduler.mode=FAIR`` shares the
     cores). Loads of one target follow each other, since two jobs must not write to one
     folder at once. All loads run to their end; then the first failure is raised. Run the job again
-    with the same ``run_id`` after mending it: what had succeeded is replaced, not doubled.
+    with the same ``run_id`` after mending it: what had succeeded is replaced, not doubled, wherever its entry now stands. A
+    load is known by its source and target, and by how often the two came before.
     """
     entries = read_load_config(spark, config)
-    by_target: dict[str, list[tuple[int, LoadEntry]]] = {}
-    for position, entry in enumerate(entries):
-        by_target.setdefault(entry.target, []).append((position, entry))
+    by_target: dict[str, list[tuple[str, LoadEntry]]] = {}
+    seen: Counter[tuple[str, str]] = Counter()
+    for entry in entries:
+        pair = (entry.source, entry.target)
+        digest = hashlib.sha256("\n".join(pair).encode()).hexdigest()[:24]
+        by_target.setdefault(entry.target, []).append((f"{run_id}_{digest}_{seen[pair]}", entry))
+        seen[pair] += 1
 
     def load(target: str) -> None:
         path = f"{table_path}/{target}" if table_path else None
-        for position, entry in by_target[target]:
+        for load_id, entry in by_target[target]:
             schema = read_schema_file(spark, entry.schema_uri)
-            append_parsed(read_ndjson(spark, entry.source, schema), target, schema, path, mode, f"{run_id}_{position}")
+            append_parsed(read_ndjson(spark, entry.source, schema), target, schema, path, mode, load_id)
 
     run_all(spark, load, list(by_target), parallel)
     return entries

@@ -18,6 +18,10 @@ RUNTIME_SETTINGS = {
     # The JVM never compiles a method of more than 8000 bytes of byte code. Wide rows
     # fused into one stage reach that; as separate operators they run up to twice as fast.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # State of final windows: on executor disk, and only its changes go to the checkpoint.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
@@ -34,11 +38,6 @@ def build_session(master: str | None = None, app: str = "tabflow", **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-        # Window state may outgrow the heap; RocksDB keeps it on executor disk
-        # and writes only changes to the checkpoint.
-        "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.scheduler.mode": "FAIR",
         "spark.ui.enabled": "false",
     }

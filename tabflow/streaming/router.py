@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.routing import Target, route_messages
-from .ingest import run_batches
+from .ingest import Load, run_batches
 
 
 def route_stream(
@@ -19,7 +19,7 @@ def route_stream(
     id (kept in the checkpoint) and the batch number, so a repeat overwrites its
     own rows, and a query with a new checkpoint never touches older loads.
     """
-    def route(batch: DataFrame, load_id: str) -> None:
-        route_messages(batch, target, load_id, stage, mode)
+    def route(batch: DataFrame, load: Load) -> None:
+        route_messages(batch, target, load.id, stage, mode, repeated=load.repeated)
 
     return run_batches(messages, route, checkpoint, drain)

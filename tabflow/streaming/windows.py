@@ -1,24 +1,31 @@
-"""Tumbling-window counts of a stream.
+"""Tumbling-window counts of a stream, in two forms.
 
-Each micro-batch appends its own counts, and readers add them up. There is no watermark: no row is ever
+``count_windows_stream``, the default, appends the counts of each micro-batch, and readers add them up. There is no watermark: no row is ever
 late, whatever the order in which it comes, and the stream keeps no state. ``fold_windows``
 adds up the counts of finished days for good.
+
+``final_windows_stream`` emits each window once, when the watermark has passed its end. Rows that come for a window that is closed
+are counted beside the windows and not lost. The open windows are the state, one number per window and key.
 """
 
 from __future__ import annotations
 
-from datetime import date
+from collections.abc import Iterator
+from datetime import date, datetime, timezone
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..functions.schema import schema_from_text
 from ..operators.counts import count_per_window
-from ..sinks.tables import append_load, fold_days, read_loads
-from .ingest import parse_accounts, run_batches
+from ..sinks.tables import create_loads, fold_days, read_loads
+from .ingest import Load, parse_accounts, run_batches
 
 WINDOW_SCHEMA = schema_from_text("window_start:TIMESTAMP, country_name:STRING, num_cc_card:INT64")
+LATE = "late"  # partition column of a table of final windows: "true" for counts of late rows
 
 
 def count_windows_stream(
@@ -26,8 +33,8 @@ def count_windows_stream(
     width: str = "60 seconds", drain: bool = False,
 ) -> StreamingQuery:
     """Append the counts per key and window of every micro-batch to a table; read it with ``window_counts``."""
-    def count(batch: DataFrame, load_id: str) -> None:
-        append_load(count_per_window(batch, ts, key, width), table, load_id, WINDOW_SCHEMA, path)
+    def count(batch: DataFrame, load: Load) -> None:
+        load.append(count_per_window(batch, ts, key, width), table, WINDOW_SCHEMA, path)
 
     return run_batches(rows, count, checkpoint, drain)
 
@@ -51,3 +58,80 @@ def window_counts(spark: SparkSession, table: str) -> DataFrame:
 def fold_windows(spark: SparkSession, table: str, before: date, path: str | None = None) -> list[str]:
     """Add up the counts written before a day; see ``fold_days``."""
     return fold_days(spark, table, before, path, _added_up)
+
+
+def _partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts per window and key of some rows, so that a hot window isn't shuffled row by row."""
+    for batch in batches:
+        counts = pa.Table.from_batches([batch]).group_by(["start", "key"]).aggregate([([], "count_all")])
+        yield from counts.rename_columns(["start", "key", "n"]).to_batches()
+
+
+class WindowCounter(StatefulProcessor):
+    """One window and key: a count until the watermark reaches the window's end; then the window, and what comes after it."""
+
+    OUTPUT = "window_start timestamp, country_name string, num_cc_card bigint, late string"
+
+    def __init__(self, width: int) -> None:
+        self.width = width
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.count = handle.getValueState("count", "n bigint")
+
+    def _row(self, key: tuple, n: int, late: bool) -> pd.DataFrame:
+        start = datetime.fromtimestamp(key[0] // 1_000_000, timezone.utc).replace(tzinfo=None)
+        return pd.DataFrame({"window_start": [start], "country_name": [key[1]], "num_cc_card": [n], "late": [str(late).lower()]})
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802,N803
+        n = int(sum(part["n"].sum() for part in rows))
+        end = key[0] // 1000 + self.width * 1000
+        if self.count.exists():
+            # A timer that is due fires after the rows of its batch.
+            self.count.update((int(self.count.get()[0]) + n,))
+        elif end <= timerValues.getCurrentWatermarkInMs():
+            yield self._row(key, n, True)
+        else:
+            self.count.update((n,))
+            self.handle.registerTimer(end)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802,N803
+        yield self._row(key, int(self.count.get()[0]), False)
+        self.count.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def final_windows_stream(
+    rows: DataFrame, table: str, path: str, checkpoint: str, ts: str, key: str = "country_code",
+    width: int = 60, delay: str = "0 seconds", drain: bool = False,
+) -> StreamingQuery:
+    """Append every window of ``width`` seconds once, when event time has passed its end by ``delay``.
+
+    Read the windows with ``final_windows`` and the rows that came too late with ``late_counts``; together they are all rows,
+    but those of windows still open. Needs the RocksDB state store (``session.RUNTIME_SETTINGS``).
+    """
+    micros = F.unix_micros(ts)
+    # The start is a number, so that Spark doesn't drop late rows before they are counted.
+    timed = rows.withWatermark(ts, delay).where(F.col(ts).isNotNull()).select(
+        (micros - F.pmod(micros, F.lit(width * 1_000_000))).alias("start"), F.col(key).cast("string").alias("key"))
+    partial = timed.mapInArrow(_partial_counts, "start bigint, key string, n bigint")
+    counted = partial.groupBy("start", "key").transformWithStateInPandas(
+        statefulProcessor=WindowCounter(width), outputStructType=WindowCounter.OUTPUT, outputMode="Append", timeMode="EventTime")
+
+    def write(batch: DataFrame, load: Load) -> None:
+        load.append(batch, table, WINDOW_SCHEMA, path, LATE)
+
+    create_loads(rows.sparkSession, table, WINDOW_SCHEMA, path, LATE)
+    return run_batches(counted, write, checkpoint, drain)
+
+
+def final_windows(spark: SparkSession, table: str) -> DataFrame:
+    """The windows that are closed, one row per window and key."""
+    return read_loads(spark, table).where(F.col(LATE) == "false").drop(LATE)
+
+
+def late_counts(spark: SparkSession, table: str) -> DataFrame:
+    """The rows that came for closed windows, one row per window and key."""
+    return _added_up(read_loads(spark, table).where(F.col(LATE) == "true"))

@@ -1,8 +1,10 @@
 """Batch jobs and streams end to end, restarts included."""
 
 import datetime
+import glob
 import json
 import logging
+import time
 
 import pytest
 from pyspark.errors import PySparkException, StreamingQueryException
@@ -20,7 +22,7 @@ from tabflow.sources.messages import message_stream
 from tabflow.sources.registry import read_registry
 from tabflow.streaming.ingest import TAP_SCHEMA, batch_load_id, ingest_accounts, ingest_and_count, parse_accounts, tap_keys
 from tabflow.streaming.router import route_stream
-from tabflow.streaming.windows import count_windows_stream, fold_windows, window_counts
+from tabflow.streaming.windows import count_windows_stream, final_windows, final_windows_stream, fold_windows, late_counts, window_counts
 
 SCHEMAS = {
     "p:d.one": schema_from_text("tablename:STRING, n:INT64"),
@@ -124,9 +126,9 @@ def test_route_strict_writes_nothing_on_an_unknown_table(spark, tmp_path, regist
     for bad in (UNKNOWN, NAMELESS):
         with pytest.raises(ValueError):
             route_messages(messages(spark, ONE, bad), target, "l0", str(tmp_path / "stage"))
-    assert not spark.catalog.tableExists(target.table("p:d.one"))
-    with pytest.raises(PySparkException):
-        route_messages(messages(spark, UNPARSED), target, "l0", str(tmp_path / "stage"))
+    with pytest.raises(ValueError, match="unknown more"):
+        route_messages(messages(spark, TWO, TWO, UNPARSED), target, "l0", str(tmp_path / "stage"))
+    assert not spark.catalog.tableExists(target.table("p:d.one")) and not spark.catalog.tableExists(target.table("p:d.two"))
 
 
 @pytest.mark.parametrize("names", [("a.b", "a_b"), ("_rejects",), ("a", ".rejects")])
@@ -151,8 +153,9 @@ def test_a_hot_table_is_many_tasks(spark, tmp_path, registry, monkeypatch):
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     files = list((tmp_path / "stage" / "l0").glob("*/part-*"))
     assert staged == [str(tmp_path / "stage" / "l0")] and 4 <= len(files) <= 2 + 32
-    hot = read_loads(spark, target.table("p:d.one"))
-    sizes = [r["count"] for r in spark.table(target.table("p:d.one")).groupBy("_metadata.file_name").count().collect()]
+    hot = target.read(spark, "p:d.one")
+    store = spark.table(target.store(SCHEMAS["p:d.one"]))
+    sizes = [r["count"] for r in store.groupBy("_metadata.file_name").count().collect()]
     assert hot.select("n").distinct().count() == sum(sizes) == 79_999 and max(sizes) < 40_000
 
 
@@ -378,16 +381,101 @@ def test_a_batch_repeated_after_its_fold(spark, tmp_path, caplog):
     assert read_loads(spark, "late_some").count() == 2 and read_loads(spark, "late_some_rejects").count() == 2
 
 
-def test_folded_batches_take_one_mark(spark, tmp_path, registry):
-    """Also where the tables of a batch are written from threads."""
+def test_routed_loads_are_folded(spark, tmp_path, registry):
+    """All tables of a schema at once; a repeated batch is skipped, and the views read the folded rows."""
     source = tmp_path / "in"
     source.mkdir()
     for n in range(3):
         (source / f"{n}.txt").write_text(ONE + "\n")
-    target = Target(str(tmp_path / "out"), registry, prefix="marked_")
-    stream = message_stream(spark, str(source), maxFilesPerTrigger="1")
-    route_stream(stream, target, str(tmp_path / "c"), str(tmp_path / "stage"), drain=True).awaitTermination()
-    table = target.table("p:d.one")
-    fold_days(spark, table, LATER, target.path("p:d.one"))
-    marks = [(r["key"], r["value"]) for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect() if r["key"].startswith("folded")]
-    assert [value for _, value in marks] == ["2"] and target.read(spark, "p:d.one").count() == 3
+    target, checkpoint = Target(str(tmp_path / "out"), registry, prefix="folded_"), tmp_path / "c"
+
+    def drain():
+        stream = message_stream(spark, str(source), maxFilesPerTrigger="1")
+        route_stream(stream, target, str(checkpoint), str(tmp_path / "stage"), drain=True).awaitTermination()
+        return target.read(spark, "p:d.one").count()
+
+    assert drain() == 3
+    assert len(target.fold(spark, SCHEMAS["p:d.one"], LATER)) == 1
+    _forget_last_commit(checkpoint)
+    assert drain() == 3
+    (source / "3.txt").write_text(ONE + "\n")
+    assert drain() == 4
+    assert spark.sql(f"SHOW PARTITIONS {target.store(SCHEMAS['p:d.one'])}").count() == 1
+
+
+def _jobs_of(spark, work):
+    """The number of Spark jobs that ``work`` starts: those that carry its group."""
+    before = set(_job_ids(spark))
+    work()
+    time.sleep(0.5)  # the listener that keeps the log runs behind
+    return len(set(_job_ids(spark)) - before)
+
+
+def _job_ids(spark):
+    """The jobs of this application, from the test session's event log."""
+    for path in glob.glob(f"{spark.conf.get('spark.eventLog.dir')}/*{spark.sparkContext.applicationId}*"):
+        for line in open(path):
+            if line.startswith('{"Event":"SparkListenerJobStart"') and line.endswith("}\n"):
+                yield json.loads(line)["Job ID"]
+
+
+def test_jobs_do_not_grow_with_the_tables(spark, tmp_path):
+    """Two hundred tables of two schemas take as many jobs as two tables."""
+    names = [f"many.t{i}" for i in range(200)]
+    fields = lambda i: [{"name": "tablename", "type": "STRING", "mode": "NULLABLE"}, {"name": f"n{i % 2}", "type": "INT64", "mode": "NULLABLE"}]
+    (tmp_path / "many.json").write_text("".join(json.dumps({"tablename": n, "schema": {"fields": fields(i)}}) + "\n" for i, n in enumerate(names)))
+    registry = read_registry(spark, str(tmp_path / "many.json"))
+    target = Target(str(tmp_path / "out"), registry, prefix="many_")
+
+    def batch(count):
+        return messages(spark, *[json.dumps({"tablename": n, f"n{i % 2}": i + k}) for i, n in enumerate(names[:count]) for k in range(2)])
+
+    few = _jobs_of(spark, lambda: route_messages(batch(2), target, "l0", str(tmp_path / "stage"), mode="permissive"))
+    many = _jobs_of(spark, lambda: route_messages(batch(200), target, "l1", str(tmp_path / "stage"), mode="permissive"))
+    assert 0 < many <= few + 4
+    assert sorted(r["n1"] for r in target.read(spark, "many.t199").collect()) == [199, 200]
+    assert sorted(r["n0"] for r in target.read(spark, "many.t0").collect()) == [0, 0, 1, 1]
+
+
+def test_an_entry_in_front_doubles_nothing(spark, tmp_path):
+    """A rerun of a mended configuration: loads are known by their entries, not by their places."""
+    for name in "ab":
+        (tmp_path / f"{name}.json").write_text('{"n": 1}\n{"n": 2}\n')
+    (tmp_path / "n.txt").write_text("n:INT64")
+    entry = lambda name, target: {"sourcefile": str(tmp_path / f"{name}.json"), "targettable": target, "schemauri": str(tmp_path / "n.txt")}
+    config = tmp_path / "config.json"
+    first = [entry("a", "front_a"), entry("a", "front_a")]
+    for entries in (first, first, [entry("b", "front_a"), *first], [*first[::-1], entry("b", "front_a"), entry("b", "front_b")]):
+        config.write_text(json.dumps({"tablelist": entries}))
+        load_tables_job(spark, str(config), "run-1", table_path=str(tmp_path))
+    assert read_loads(spark, "front_a").count() == 6 and read_loads(spark, "front_b").count() == 2
+
+
+def test_final_windows(spark, tmp_path):
+    """Each window once, late rows beside them, over restarts and a repeated batch."""
+    at = datetime.datetime
+    source = tmp_path / "in"
+    source.mkdir()
+    path, checkpoint = str(tmp_path / "out"), tmp_path / "checkpoint"
+
+    def drain(name, *rows):
+        (source / name).write_text("".join(f"{ts:%Y-%m-%d %H:%M:%S},{country or ''}\n" for ts, country in rows))
+        lines = spark.readStream.schema("ts timestamp, country_code string").option("maxFilesPerTrigger", 1).csv(str(source))
+        final_windows_stream(lines, "final", path, str(checkpoint), "ts", delay="2 minutes", drain=True).awaitTermination()
+        told = lambda df: sorted(((r["window_start"].minute, r["country_name"] or "", r["num_cc_card"]) for r in df.collect()))
+        return told(final_windows(spark, "final")), told(late_counts(spark, "final"))
+
+    minute = lambda m, s=0: at(2024, 1, 1, 0, m, s)
+    assert drain("1.csv", (minute(0, 5), "BE"), (minute(0, 59), "BE"), (minute(2), "FR"), (minute(1), None)) == ([], [])
+    # Event time reaches minute 4, so the windows up to minute 2 are closed.
+    closed, late = drain("2.csv", (minute(4), "BE"), (minute(0, 30), "BE"), (minute(1, 30), None))
+    assert (closed, late) == ([(0, "BE", 3), (1, "", 2)], [])
+    closed, late = drain("3.csv", (minute(0, 1), "BE"), (minute(0, 2), "BE"), (minute(1, 1), "FR"), (minute(2, 59), "FR"), (minute(9), "FR"))
+    assert late == [(0, "BE", 2), (1, "FR", 1)]
+    want = [(0, "BE", 3), (1, "", 2), (2, "FR", 2), (4, "BE", 1)]
+    assert closed == want
+    _forget_last_commit(checkpoint)
+    closed, late = drain("4.csv", (minute(9, 9), "FR"))
+    assert (closed, late) == (want, [(0, "BE", 2), (1, "FR", 1)])
+    assert len(fold_days(spark, "final", LATER, path)) == 1
+    assert drain("5.csv", (minute(20), "FR")) == ([*want, (9, "FR", 2)], [(0, "BE", 2), (1, "FR", 1)])

@@ -14,7 +14,7 @@ from tabflow.functions.schema import (
     schema_to_text,
 )
 from tabflow.sinks import tables
-from tabflow.sinks.tables import append_load, append_table, create_if_needed, fold_days, read_loads
+from tabflow.sinks.tables import append_load, append_table, create_if_needed, days_table, fold_days, read_loads
 from tabflow.sources.registry import (
     read_load_config,
     read_registry,
@@ -138,8 +138,15 @@ def test_repeated_load_changes_nothing(spark, tmp_path):
         append_load(rows, "loads", "x' OR '1", schema, path)
 
 
+LATER = datetime.date(9999, 1, 1)
+
+
+def values(spark, table):
+    return sorted(r["a"] for r in read_loads(spark, table).collect())
+
+
 def test_folded_days(spark, tmp_path, monkeypatch):
-    """Finished days become one partition each; a repeat of a folded load does nothing, an interrupted fold goes on."""
+    """Finished days become one partition each of a second table; a repeat of a folded load does nothing, an interrupted fold goes on."""
     schema, path, table = schema_from_text("a:INT64"), str(tmp_path / "t"), "folded"
     rows = lambda n: spark.createDataFrame([(n,)], "a long")
     for n in range(6):
@@ -154,19 +161,24 @@ def test_folded_days(spark, tmp_path, monkeypatch):
 
     monkeypatch.setattr(tables, "remove_path", fail)
     with pytest.raises(OSError):
-        fold_days(spark, table, datetime.date(9999, 1, 1), path)
+        fold_days(spark, table, LATER, path)
     want = [0, 1, 2, 3, 4, 5, 100]
-    assert sorted(r["a"] for r in read_loads(spark, table).collect()) == want
+    assert values(spark, table) == want
     monkeypatch.undo()
-    assert len(fold_days(spark, table, datetime.date(9999, 1, 1), path)) == 1
-    assert spark.sql(f"SHOW PARTITIONS {table}").count() == 1
-    append_load(rows(3), table, "q-3", schema, path)
-    append_load(rows(100), table, "batch_load", schema, path)
-    assert sorted(r["a"] for r in read_loads(spark, table).collect()) == want
-    append_load(rows(6), table, "q-6", schema, path)
-    assert len(fold_days(spark, table, datetime.date(9999, 1, 1), path, lambda df: df.groupBy().agg(F.sum("a").alias("a")))) == 1
-    assert [r["a"] for r in read_loads(spark, table).collect()] == [sum(want) + 6]
-    assert spark.sql(f"SHOW PARTITIONS {table}").count() == 1
+    assert not append_load(rows(3), table, "q-3", schema, path)
+    assert len(fold_days(spark, table, LATER, path)) == 1
+    assert spark.sql(f"SHOW PARTITIONS {table}").count() == 0
+    assert spark.sql(f"SHOW PARTITIONS {days_table(table)}").count() == 1
+    assert not append_load(rows(3), table, "q-3", schema, path) and not append_load(rows(100), table, "batch_load", schema, path)
+    assert values(spark, table) == want
+    assert append_load(rows(6), table, "q-6", schema, path)
+    assert values(spark, table) == [0, 1, 2, 3, 4, 5, 6, 100]
+    # A day that was folded may be folded again; each fold adds up its own loads.
+    assert len(fold_days(spark, table, LATER, path, lambda df: df.groupBy().agg((F.sum("a") * 10).alias("a")))) == 1
+    assert values(spark, table) == [0, 1, 2, 3, 4, 5, 60, 100]
+    assert fold_days(spark, table, LATER, path) == []
+    properties = {r["key"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    assert not [k for k in properties if "fold" in k or "stream" in k]
 
 
 def test_a_late_load_is_written_after_a_fold(spark, tmp_path):
@@ -174,34 +186,34 @@ def test_a_late_load_is_written_after_a_fold(spark, tmp_path):
     schema, path, table = schema_from_text("a:INT64"), str(tmp_path / "t"), "late"
     rows = lambda n: spark.createDataFrame([(n,)], "a long")
     assert append_load(rows(1), table, "2024-01-15", schema, path) and append_load(rows(2), table, "run-7", schema, path)
-    assert len(fold_days(spark, table, datetime.date(9999, 1, 1), path)) == 1
+    assert len(fold_days(spark, table, LATER, path)) == 1
     assert append_load(rows(3), table, "2024-01-10", schema, path) and append_load(rows(4), table, "run-3", schema, path)
     assert append_load(rows(5), table, "run-07", schema, path)
     assert not append_load(rows(6), table, "2024-01-15", schema, path) and not append_load(rows(7), table, "run-7", schema, path)
     for _ in range(2):
-        assert sorted(r["a"] for r in read_loads(spark, table).collect()) == [1, 2, 3, 4, 5]
-        fold_days(spark, table, datetime.date(9999, 1, 1), path)
+        assert values(spark, table) == [1, 2, 3, 4, 5]
+        fold_days(spark, table, LATER, path)
     assert not append_load(rows(8), table, "run-3", schema, path)
 
 
-def test_a_load_in_an_unfinished_fold_is_skipped(spark, tmp_path):
-    schema, path, table = schema_from_text("a:INT64"), str(tmp_path / "t"), "half_folded"
-    rows = spark.createDataFrame([(1,)], "a long")
+def test_rows_without_values_survive_a_fold(spark, tmp_path):
+    schema, path, table = schema_from_text("a:INT64, b:STRING"), str(tmp_path / "t"), "blank_rows"
+    rows = spark.createDataFrame([(None, None), (None, None), (1, None)], "a long, b string")
     append_load(rows, table, "q-1", schema, path)
+    fold_days(spark, table, LATER, path)
+    assert sorted(map(tuple, read_loads(spark, table).collect()), key=repr) == [(1, None), (None, None), (None, None)]
 
-    class Interrupted:
-        """The fold is written, its loads not yet marked."""
 
-        def __getattr__(self, name):
-            return getattr(spark, name)
-
-        def sql(self, text, **frames):
-            if "SET TBLPROPERTIES ('folded" in text:
-                raise OSError("lost")
-            return spark.sql(text, **frames)
-
-    with pytest.raises(OSError):
-        fold_days(Interrupted(), table, datetime.date(9999, 1, 1), path)
-    assert append_load(rows, table, "q-1", schema, path) is False
-    assert len(fold_days(spark, table, datetime.date(9999, 1, 1), path)) == 1
-    assert [r["a"] for r in read_loads(spark, table).collect()] == [1]
+def test_a_fold_keeps_a_further_partition(spark, tmp_path):
+    schema, path, table = schema_from_text("a:INT64"), str(tmp_path / "t"), "within"
+    for n in range(3):
+        rows = spark.createDataFrame([(n, "x"), (n + 10, "y=/ 1")], "a long, side string")
+        append_load(rows, table, f"q-{n}", schema, path, within="side")
+        append_load(rows, table, f"q-{n}", schema, path, within="side")
+    want = sorted((n + add, side) for n in range(3) for add, side in ((0, "x"), (10, "y=/ 1")))
+    for _ in range(2):
+        assert sorted((r["a"], r["side"]) for r in read_loads(spark, table).collect()) == want
+        assert len(fold_days(spark, table, LATER, path)) in (0, 1)
+        assert spark.sql(f"SHOW PARTITIONS {table}").count() == 0
+    plan = read_loads(spark, table).where("side = 'x'")._jdf.queryExecution().executedPlan().toString()
+    assert "side" in plan.split("PartitionFilters: [")[1].split("]")[0]
