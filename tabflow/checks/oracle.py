@@ -79,7 +79,7 @@ FROM events
 """
 
 JOB_LOG = """
-SELECT concat('cpperf_', event_type, '_', event_id) AS job_id, ts AS creation_time, ts AS start_time,
+SELECT concat('report_', event_type, '_', event_id) AS job_id, ts AS creation_time, ts AS start_time,
        CASE WHEN event_id % 13 <> 0
             THEN ts + to_microseconds(floor(value * 1000)::BIGINT) END AS end_time,
        event_id * 1000 AS total_bytes_processed,
@@ -177,6 +177,31 @@ def _columns(name: str) -> str:
     return ", ".join(f"{column}::BIGINT AS {column}" if kind == "INT64" else column for column, kind in items)
 
 
+# Partition i holds values from bound i up to the next; what lies outside is in partition 0.
+_RANGE = "CASE " + " ".join(
+    f"WHEN attr1 >= {low} AND attr1 < {high} THEN {i}" for i, (low, high) in enumerate(zip(q.BOUNDARIES, q.BOUNDARIES[1:]), 1)) + " ELSE 0 END"
+
+_PARAMETERS = f"""
+    WITH demo AS ({DEMO_EVENTS}),
+    keys AS (SELECT k, row_number() OVER (ORDER BY k) - 1 AS i FROM (SELECT DISTINCT cust_identifier AS k FROM demo) ORDER BY k LIMIT 10),
+    days AS (SELECT d, row_number() OVER (ORDER BY d) - 1 AS i FROM (SELECT DISTINCT tstamp::DATE AS d FROM demo) ORDER BY d LIMIT 10),
+    parameters(case_code, customer, day) AS (
+      SELECT 'c1', k, NULL::DATE FROM keys UNION ALL SELECT 'c2', NULL, d FROM days UNION ALL
+      SELECT 'c3', k, d FROM range(10) runs(r)
+      JOIN keys ON keys.i = {_draw('r', 'customer', '(SELECT count(*) FROM keys)')}
+      JOIN days ON days.i = {_draw('r', 'day', '(SELECT count(*) FROM days)')})"""
+
+_ON = {"c1": "cust_identifier = customer", "c2": "tstamp::DATE = day", "c3": "cust_identifier = customer AND tstamp::DATE = day"}
+
+# The rows of the partitions a lookup names; where it names none, all.
+_BUCKET_OF = f"{_hash('{}')} % {BUCKETS}"
+_ROWS_AT_MOST = f"""{_PARAMETERS}
+    SELECT case_code || part AS job_group, CAST(sum(n) AS BIGINT) AS rows_at_most FROM (
+      SELECT case_code, part, (SELECT count(*) FROM demo WHERE
+             CASE WHEN part = 'q2' AND customer IS NOT NULL THEN {_BUCKET_OF.format('cust_identifier')} = {_BUCKET_OF.format('customer')}
+                  WHEN part <> 'q2' AND day IS NOT NULL THEN tstamp::DATE = day ELSE true END) AS n
+      FROM parameters, (VALUES ('q1'), ('q2'), ('q3')) parts(part)) GROUP BY 1"""
+
 _MATCHES = f"""
     WITH demo AS ({DEMO_EVENTS}),
     keys AS (SELECT k, row_number() OVER (ORDER BY k) - 1 AS i FROM (SELECT DISTINCT cust_identifier AS k FROM demo) ORDER BY k LIMIT 10),
@@ -269,7 +294,7 @@ ORACLES: dict[str, str] = {
           FROM jobs
           WHERE creation_time BETWEEN TIMESTAMP '{q.HISTORY_START}' AND TIMESTAMP '{q.HISTORY_END}'
             AND end_time BETWEEN TIMESTAMP '{q.HISTORY_START}' AND TIMESTAMP '{q.HISTORY_END}'
-            AND job_type = 'QUERY' AND job_id LIKE 'cpperf%' AND project_id = 'shop')
+            AND job_type = 'QUERY' AND job_id LIKE 'report%' AND project_id = 'shop')
         SELECT job_group, count(*) AS num_exec,
                ceil(avg(total_bytes_processed) / 1024 / 1024) AS avg_mb_processed_per_run,
                ceil(avg(total_bytes_billed) / 1024 / 1024) AS avg_mb_billed_per_run,
@@ -282,7 +307,27 @@ ORACLES: dict[str, str] = {
     "layout_date_plain": f"SELECT *, tstamp::DATE AS tstamp_date FROM ({DEMO_EVENTS})",
     **{f"lookup_{case}{part}": _lookup(where) for case, where in _BY_CASE.items() for part in ("q1", "q2", "q3")},
     "layout_matches": _MATCHES,
-    "layout_report": f"SELECT *, true AS timed FROM ({_MATCHES})",
+    "layout_report": f"SELECT *, true AS within FROM ({_MATCHES}) JOIN ({_ROWS_AT_MOST}) USING (job_group)",
+    **{f"lookup_many_{case}": f"{_PARAMETERS} SELECT case_code || part AS job_group, customer, day, cust_identifier, tstamp, "
+       f"attr1 + attr2 - attr3 AS some_random_calc FROM demo JOIN parameters ON {on}, (VALUES ('q1'), ('q2'), ('q3')) parts(part) "
+       f"WHERE case_code = '{case}'" for case, on in _ON.items()},
+    "layout_ranges": f"SELECT *, {_RANGE} AS attr1_range FROM ({DEMO_LINEITEM})",
+    "lookup_ranges": f"""
+        SELECT CAST(low AS BIGINT) AS low, CAST(high AS BIGINT) AS high, attr4, attr2, attr1, CAST({_RANGE} AS INTEGER) AS attr1_range
+        FROM ({DEMO_LINEITEM}) JOIN (VALUES {', '.join(map(str, q.RANGES))}) asked(low, high) ON attr1 BETWEEN low AND high""",
+    "latest_partition": f"SELECT max(tstamp::DATE) AS latest_date FROM ({DEMO_EVENTS})",
+    "typed_literals": """
+        WITH o AS (SELECT *, o_orderkey % 20 AS k FROM orders)
+        SELECT o_orderkey AS key, CASE k WHEN 10 THEN 9007199254740992 WHEN 14 THEN 1000 ELSE o_totalprice END AS amount,
+               CASE WHEN k = 12 THEN o_orderdate + INTERVAL 123456 MICROSECONDS ELSE o_orderdate END AS ordered,
+               CASE WHEN k = 13 THEN o_orderdate - INTERVAL 2 HOURS ELSE o_orderdate END AS seen, o_orderdate::DATE AS day
+        FROM o WHERE k NOT BETWEEN 1 AND 9 AND k NOT IN (16, 17)
+        UNION ALL BY NAME
+        SELECT o_orderkey AS key, 'bad value in ' || CASE WHEN k <= 4 OR k = 16 THEN 'amount' WHEN k <= 7 THEN 'ordered' WHEN k = 8 THEN 'seen' ELSE 'day' END
+               AS reject_reason FROM o WHERE k BETWEEN 1 AND 9 OR k IN (16, 17)""",
+    "window_count_final":
+        "SELECT time_bucket(INTERVAL 60 SECOND, ts) AS window_start, event_type AS country_name, "
+        "count(*) AS num_cc_card, true AS at_most_once FROM events GROUP BY 1, 2",
     "count_by_customer": "SELECT user_id::VARCHAR AS cust_identifier, count(*) AS n_rows FROM events GROUP BY 1",
     "sample_rows_rand": "SELECT true AS share_as_asked, true AS all_from_table, count(*) AS n_rows FROM lineitem",
     "damaged_messages": f"""

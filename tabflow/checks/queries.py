@@ -25,34 +25,46 @@ from ..operators.parse import accept_all, parse_object, tag_json
 from ..operators.registry_join import table_name, unknown_messages, with_registry
 from ..operators.replicate import shift_replicate
 from ..operators.sample import first_values, pick_values, sample_rows
-from ..plans.ingest import count_accounts_job, load_csv_job, load_tables_job
+from ..plans.ingest import append_parsed, count_accounts_job, load_csv_job, load_tables_job
 from ..plans.job_history import job_history_summary
-from ..plans.layout_report import layout_report, lookup_matches
+from ..plans.layout_report import PARAMETER_DDL, layout_report, lookup_matches, parameters
 from ..plans.layouts import (
     LOOKUP_CODES,
     Layout,
     computed,
     count_by_customer,
     lookup,
+    lookup_many,
+    lookup_range,
     run_lookup,
     with_bucket,
     write_bucket_by,
     write_bucketed,
     write_date_clustered,
     write_date_plain,
+    write_parameters,
+    write_ranges,
 )
 from ..plans.routing import REJECTS, Target, route_counts
 from ..plans.synthetic import replicate_day_job
 from ..session import fresh_path, own_session
 from ..sinks.files import publish_messages, write_lines, write_ndjson
 from ..sinks.tables import append_table, fold_days, read_loads
-from ..sources.lines import read_lines, read_ndjson
+from ..sources.lines import read_csv_positional, read_lines, read_ndjson
 from ..sources.messages import message_stream
 from ..sources.registry import read_registry
 from ..sources.tables import read_table
 from ..streaming.ingest import append_stream, ingest_accounts, ingest_and_count, parse_accounts, tap_keys
 from ..streaming.router import route_stream
-from ..streaming.windows import count_accounts_stream, count_windows_stream, fold_windows, window_counts
+from ..streaming.windows import (
+    count_accounts_stream,
+    count_windows_stream,
+    final_windows,
+    final_windows_stream,
+    fold_windows,
+    late_counts,
+    window_counts,
+)
 from . import relations as rel
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +76,8 @@ REPLICATE_DAY, ITERATIONS, RATE = date(1997, 10, 31), 5, 0.4
 SAMPLE_RATE = 0.3
 HISTORY_START, HISTORY_END = datetime(2024, 1, 3), datetime(2024, 1, 27, 12, 30)
 TODAY = date(2024, 1, 15)
+BOUNDARIES = (5, 10, 20, 35, 45)  # of a quantity from 1 to 50
+RANGES = ((3, 3), (10, 10), (36, 44), (45, 45), (19, 20), (50, 50))  # below, on, between and above the boundaries
 
 
 def query(key: str) -> Callable[[Query], Query]:
@@ -117,6 +131,17 @@ def scan_csv_positional(spark, sf_dir):
     return read_loads(spark, table)
 
 
+@query("typed_literals")
+def typed_literals(spark, sf_dir):
+    """Lines with literals that a cast would change: rejects, each with its reason, beside the good rows."""
+    table, path = _fresh_table(spark, "literals")
+    tagged = read_csv_positional(spark, rel.literal_lines(spark, sf_dir), rel.LITERAL_SCHEMA)
+    append_parsed(tagged, table, rel.LITERAL_SCHEMA, path, "permissive", "run-1")
+    key = F.split("value", ",")[0].cast("bigint")
+    rejects = read_loads(spark, f"{table}_rejects").select(key.alias("key"), "reject_reason")
+    return _side_by_side([_zoneless(read_loads(spark, table), "seen"), rejects])
+
+
 @query("scan_ndjson")
 def scan_ndjson(spark, sf_dir):
     schema = schema_from_text(rel.ROUTED["shop:sales.orders"].split(", ", 1)[1])
@@ -324,6 +349,13 @@ def latest_partition_date(spark, sf_dir):
     return latest_date(rel.demo_lineitem(spark, sf_dir), F.col("tstamp"))
 
 
+@query("latest_partition")
+def latest_partition(spark, sf_dir):
+    """From the partitions of a stored layout: nothing but one row of the latest is read."""
+    day = rel.layouts(spark, sf_dir).date_clustered.latest_date(spark)
+    return spark.createDataFrame([(day,)], "latest_date date")
+
+
 @query("job_history_summary")
 def job_history_by_code(spark, sf_dir):
     return job_history_summary(rel.job_log(spark, sf_dir), HISTORY_START, HISTORY_END, "shop", rel.JOB_PREFIX)
@@ -378,12 +410,52 @@ def lookup_bucket_by(spark, sf_dir):
     return _zoneless(lookup(spark, layout, CUSTOMER, DAY))
 
 
+def _lookup_many(case: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lookups of a case on every layout, one pruned job for each."""
+    layouts = rel.layouts(spark, sf_dir)
+
+    def make() -> str:
+        path = fresh_path(spark, "lookup-parameters")
+        write_parameters(spark.createDataFrame(parameters(spark, layouts, hasher=portable_hash), PARAMETER_DDL), path)
+        return path
+
+    wanted = spark.read.parquet(rel.once(spark, sf_dir, "lookup parameters", make))
+    parts = (("q1", layouts.date_clustered), ("q2", layouts.bucketed), ("q3", layouts.date_plain))
+    found = [lookup_many(spark, layout, wanted, case).select(F.lit(case + part).alias("job_group"), "*") for part, layout in parts]
+    return _zoneless(reduce(DataFrame.unionByName, found))
+
+
+for _case in ("c1", "c2", "c3"):
+    query(f"lookup_many_{_case}")(partial(_lookup_many, _case))
+
+
+def _ranges_table(spark: SparkSession, sf_dir: str) -> str:
+    table, path = _fresh_table(spark, "ranges")
+    write_ranges(rel.demo_lineitem(spark, sf_dir), table, "attr1", BOUNDARIES, path)
+    return table
+
+
+@query("layout_ranges")
+def layout_ranges(spark, sf_dir):
+    return spark.table(_ranges_table(spark, sf_dir))
+
+
+@query("lookup_ranges")
+def lookup_ranges(spark, sf_dir):
+    table = rel.once(spark, sf_dir, "ranges", lambda: _ranges_table(spark, sf_dir))
+    found = [lookup_range(spark, table, "attr1", BOUNDARIES, low, high).select(
+        F.lit(low).cast("bigint").alias("low"), F.lit(high).cast("bigint").alias("high"), "attr4", "attr2", "attr1", "attr1_range")
+        for low, high in RANGES]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query("layout_report")
 def layout_comparison(spark, sf_dir):
-    """The columns of the report that don't depend on the machine."""
+    """The columns of the report that don't depend on the machine, and whether the measured ones lie where they must."""
     report = layout_report(spark, rel.layouts(spark, sf_dir), hasher=portable_hash)
+    within = F.col("rows_read").between(F.col("rows_matched"), F.col("rows_at_most")) & (F.col("avg_mb_processed_per_run") >= 1)
     timed = (F.col("avg_millisecond_per_run") > 0) & (F.col("files_read") > 0)
-    return report.select("job_group", "num_exec", "rows_matched", timed.alias("timed"))
+    return report.select("job_group", "num_exec", "rows_matched", "rows_at_most", (within & timed).alias("within"))
 
 
 @query("layout_matches")
@@ -507,6 +579,21 @@ def window_count_stream(spark, sf_dir):
     return _zoneless(window_counts(spark, table), "window_start")
 
 
+@query("window_count_final")
+def window_count_final(spark, sf_dir):
+    """Events in no order, over five micro-batches and two restarts: windows that are emitted once, and what came late for them."""
+    table, path = _fresh_table(spark, "final_windows")
+    schema = rel.table(spark, sf_dir, "events").schema
+    for part in rel.halves_of_events(spark, sf_dir):
+        part.write.mode("append").parquet(path + "-in")
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path + "-in")
+        rows = stream.withColumn("ts", F.col("ts").cast("timestamp"))
+        final_windows_stream(rows, table, path, path + "-checkpoint", "ts", "event_type", delay="5 days", drain=True).awaitTermination()
+    both = final_windows(spark, table).withColumn("final", F.lit(1)).unionByName(late_counts(spark, table).withColumn("final", F.lit(0)))
+    counts = both.groupBy("window_start", "country_name").agg(F.sum("num_cc_card").alias("num_cc_card"), (F.sum("final") <= 1).alias("at_most_once"))
+    return _zoneless(counts, "window_start")
+
+
 def _published(messages: DataFrame) -> DataFrame:
     """The record's time stands in for the publish time."""
     return messages.withColumn("timestamp", F.get_json_object("value", "$.date_record_created").cast("timestamp"))

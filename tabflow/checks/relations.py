@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.hashing import portable_hash
 from ..functions.schema import schema_from_text, schema_to_text
 from ..functions.text import to_json_line
 from ..plans.layouts import (
@@ -27,7 +28,8 @@ from ..sinks.files import publish_messages, write_lines, write_ndjson
 
 BUCKETS = 16
 FILES = 4
-JOB_PREFIX = "cpperf"
+PAGE_ROWS = 200  # a day of the test tables is a few thousand rows
+JOB_PREFIX = "report"
 ACCOUNT_COLUMNS = [
     "name", "address", "country_code", "city", "bank_iban", "company", "credit_card",
     "credit_card_provider", "credit_card_expires", "date_record_created", "employement", "emp_id",
@@ -175,6 +177,14 @@ def in_files(spark: SparkSession, sf_dir: str, name: str) -> str:
     return once(spark, sf_dir, f"{name} in files", make)
 
 
+def halves_of_events(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The events in two halves of no order, and one event of the far future, which closes their windows."""
+    events = table(spark, sf_dir, "events")
+    odd = F.xxhash64("event_id") % 2 != 0
+    last = events.limit(1).withColumn("ts", F.lit("2100-01-01 00:00:00").cast("timestamp_ntz"))
+    return [events.where(~odd).repartition(FILES // 2), events.where(odd).repartition(FILES // 2), last]
+
+
 def bucketed_table(spark: SparkSession, sf_dir: str) -> str:
     """The ``events`` lookup table in Spark's own buckets."""
     def make() -> str:
@@ -264,6 +274,33 @@ def scenario_lines(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, sf_dir, "scenarios", make)
 
 
+LITERAL_SCHEMA = schema_from_text("key:INT64, amount:FLOAT64, ordered:DATETIME, seen:TIMESTAMP, day:DATE")
+
+
+def literal_lines(spark: SparkSession, sf_dir: str) -> str:
+    """CSV lines from ``orders``; of every twenty, some have a literal that would change by a cast, some an unusual good one."""
+    def make() -> str:
+        path = fresh_path(spark, "literals")
+        key = F.col("o_orderkey")
+        at = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+        fields = {"key": key.cast("string"), "amount": F.col("o_totalprice").cast("string"), "ordered": at, "seen": at,
+                  "day": F.date_format("o_orderdate", "yyyy-MM-dd")}
+        others = {
+            1: ("amount", F.lit("9007199254740993")), 2: ("amount", F.lit("1e400")), 3: ("amount", F.lit("1d")),
+            4: ("amount", F.lit("0x1p3")), 5: ("ordered", F.concat(at, F.lit("+05:00"))), 6: ("ordered", F.concat(at, F.lit(".1234567"))),
+            7: ("ordered", F.date_format("o_orderdate", "yyyy")), 8: ("seen", F.lit("12:30")), 9: ("day", F.date_format("o_orderdate", "yyyy-MM")),
+            10: ("amount", F.lit("9007199254740992")), 11: ("seen", F.concat(at, F.lit("Z"))), 12: ("ordered", F.concat(at, F.lit(".123456000"))),
+            13: ("seen", F.concat(at, F.lit("+02:00"))), 14: ("amount", F.lit("1e3")), 15: ("day", F.date_format("o_orderdate", "yyyy-M-d")),
+            16: ("amount", F.lit("1.23456789012345678901")), 17: ("day", F.concat_ws(" ", fields["day"], F.lit("10:00:00"))),
+        }
+        for k, (name, text) in others.items():
+            fields[name] = F.when(key % 20 == k, text).otherwise(fields[name])
+        write_lines(table(spark, sf_dir, "orders"), F.concat_ws(",", *fields.values()), path)
+        return path
+
+    return once(spark, sf_dir, "literals", make)
+
+
 def document_lines(spark: SparkSession, sf_dir: str) -> str:
     """The whole texts of ``documents`` as line files."""
     def make() -> str:
@@ -282,12 +319,12 @@ def layouts(spark: SparkSession, sf_dir: str) -> Layouts:
         base = demo_events(spark, sf_dir)
         result = Layouts(
             Layout(f"demo_date_{tag}", by_date=True),
-            Layout(f"demo_bucket_{tag}", buckets=BUCKETS),
+            Layout(f"demo_bucket_{tag}", buckets=BUCKETS, hasher=portable_hash),
             Layout(f"demo_plain_{tag}", by_date=True),
         )
-        write_date_clustered(base, result.date_clustered.table, f"{root}/date")
-        write_bucketed(base, result.bucketed.table, f"{root}/bucket", BUCKETS)
-        write_date_plain(base, result.date_plain.table, f"{root}/plain")
+        write_date_clustered(base, result.date_clustered.table, f"{root}/date", page_rows=PAGE_ROWS)
+        write_bucketed(base, result.bucketed.table, f"{root}/bucket", BUCKETS, hasher=portable_hash, page_rows=PAGE_ROWS)
+        write_date_plain(base, result.date_plain.table, f"{root}/plain", page_rows=PAGE_ROWS)
         return result
 
     return once(spark, sf_dir, "layouts", make)

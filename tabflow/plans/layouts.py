@@ -8,6 +8,7 @@ number is the last range column, so that even copies of one row spread out.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -16,15 +17,25 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import date_of
 from ..functions.hashing import Hasher, bucket_of, stable_hash
+from ..functions.ranges import Number, partitions_of, range_partition
 from ..sources.tables import table_folder
 
 DATE = "tstamp_date"
 BUCKET = "cust_identifier_bucket"
 _SPREAD = "_spread"
+PAGE_ROWS = 20_000  # the Parquet writer's own default
 
 
-def _save(df: DataFrame, table: str, path: str | None, partition: str) -> None:
-    writer = df.write.format("parquet").mode("errorifexists").partitionBy(partition)
+def _save(df: DataFrame, table: str, path: str | None, partition: str, page_rows: int = PAGE_ROWS) -> None:
+    """Write a layout whose lookups by customer skip row groups and pages.
+
+    A row group has a bloom filter of its customers, of the least size that serves (one that holds a dictionary
+    of all its customers needs none). Pages hold at most ``page_rows`` rows: where rows are sorted by customer, the page index leads to the few
+    pages that hold one. Small pages read less and store a little more.
+    """
+    options = {"parquet.bloom.filter.enabled#cust_identifier": "true", "parquet.bloom.filter.adaptive.enabled": "true",
+               "parquet.page.row.count.limit": str(page_rows)}
+    writer = df.write.format("parquet").mode("errorifexists").options(**options).partitionBy(partition)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(table)
@@ -53,18 +64,37 @@ def with_bucket(df: DataFrame, buckets: int, hasher: Hasher = stable_hash) -> Da
 
 
 def write_date_clustered(df: DataFrame, table: str, path: str | None = None,
-                         tasks: int | None = None) -> None:
+                         tasks: int | None = None, page_rows: int = PAGE_ROWS) -> None:
     """Date partitions, clustered by customer."""
-    _save(cluster_by_range(with_date(df), DATE, "cust_identifier", tasks), table, path, DATE)
+    _save(cluster_by_range(with_date(df), DATE, "cust_identifier", tasks), table, path, DATE, page_rows)
 
 
 def write_bucketed(df: DataFrame, table: str, path: str | None = None, buckets: int = 4000,
-                   tasks: int | None = None, hasher: Hasher = stable_hash) -> None:
+                   tasks: int | None = None, hasher: Hasher = stable_hash, page_rows: int = PAGE_ROWS) -> None:
     """Customer-bucket partitions, clustered by time.
 
     4000 buckets suit a large table; choose fewer where a bucket would fall below a file.
     """
-    _save(cluster_by_range(with_bucket(df, buckets, hasher), BUCKET, "tstamp", tasks), table, path, BUCKET)
+    _save(cluster_by_range(with_bucket(df, buckets, hasher), BUCKET, "tstamp", tasks), table, path, BUCKET, page_rows)
+
+
+def range_column(column: str) -> str:
+    return f"{column}_range"
+
+
+def write_ranges(df: DataFrame, table: str, column: str, boundaries: Sequence[Number], path: str | None = None,
+                 cluster: str = "tstamp", tasks: int | None = None, page_rows: int = PAGE_ROWS) -> None:
+    """Partitions between the boundaries of a column, clustered by another; what lies outside, and NULL, is one more partition."""
+    ranged = df.withColumn(range_column(column), range_partition(F.col(column), boundaries))
+    _save(cluster_by_range(ranged, range_column(column), cluster, tasks), table, path, range_column(column), page_rows)
+
+
+def lookup_range(spark: SparkSession, table: str, column: str, boundaries: Sequence[Number],
+                 low: Number | None = None, high: Number | None = None) -> DataFrame:
+    """Rows with a value from ``low`` to ``high``, both included, of a table by ``write_ranges``, from the partitions that can hold them."""
+    rows = spark.table(table).where(F.col(range_column(column)).isin(partitions_of(boundaries, low, high)))
+    rows = rows if low is None else rows.where(F.col(column) >= low)
+    return rows if high is None else rows.where(F.col(column) <= high)
 
 
 def write_bucket_by(df: DataFrame, table: str, path: str | None = None, buckets: int = 4000,
@@ -95,9 +125,9 @@ def count_by_customer(spark: SparkSession, table: str) -> DataFrame:
     return split_scan(spark, table).groupBy("cust_identifier").agg(F.count("*").alias("n_rows"))
 
 
-def write_date_plain(df: DataFrame, table: str, path: str | None = None) -> None:
+def write_date_plain(df: DataFrame, table: str, path: str | None = None, page_rows: int = PAGE_ROWS) -> None:
     """Date partitions without clustering; AQE cuts a large date into several files."""
-    _save(with_date(df).hint("rebalance", F.col(DATE)), table, path, DATE)
+    _save(with_date(df).hint("rebalance", F.col(DATE)), table, path, DATE, page_rows)
 
 
 @dataclass(frozen=True)
@@ -107,6 +137,7 @@ class Layout:
     table: str
     by_date: bool = False
     buckets: int | None = None
+    hasher: Hasher = stable_hash
 
     def pruned(self, spark: SparkSession, customer: str | None, day: date | None) -> DataFrame:
         """The table cut to the partitions that can hold the wanted rows."""
@@ -114,9 +145,18 @@ class Layout:
         if self.by_date and day is not None:
             df = df.where(F.col(DATE) == F.lit(day))
         if self.buckets and customer is not None:
-            df = df.where(F.col(BUCKET) == bucket_of(F.lit(customer), self.buckets))
+            df = df.where(F.col(BUCKET) == bucket_of(F.lit(customer), self.buckets, self.hasher))
         return df
 
+    def latest_date(self, spark: SparkSession) -> date | None:
+        """The latest date with a row, from the partition list; one row of a partition is read to see that it has any."""
+        if not self.by_date:
+            raise ValueError("the table must be partitioned by date")
+        spark.catalog.refreshTable(self.table)
+        listed = [r[0].partition("=")[2] for r in spark.sql(f"SHOW PARTITIONS {self.table}").collect()]
+        days = sorted((date.fromisoformat(d) for d in listed if d != "__HIVE_DEFAULT_PARTITION__"), reverse=True)
+        return next((day for day in days if not self.pruned(spark, None, day).isEmpty()), None)
+
 
 @dataclass(frozen=True)
 class Layouts:
@@ -154,6 +194,35 @@ def lookup(spark: SparkSession, layout: Layout, customer: str | None = None,
     )
 
 
+def write_parameters(parameters: DataFrame, path: str) -> DataFrame:
+    """A stored list of lookups: case_code (c1, c2 or c3), customer, day.
+
+    Stored, so that Spark filters it by case at run time and prunes the partitions of a table it is joined with by what is left.
+    """
+    parameters.select("case_code", "customer", "day").coalesce(1).write.parquet(path)
+    return parameters.sparkSession.read.parquet(path)
+
+
+def lookup_many(spark: SparkSession, layout: Layout, parameters: DataFrame, case: str) -> DataFrame:
+    """All lookups of a case in one job: their customer and day, and the rows found, once for each lookup that finds them.
+
+    The lookups' dates and buckets prune the partitions (dynamic partition pruning), as one lookup's do.
+    """
+    rows = spark.table(layout.table)
+    wanted = parameters.where(F.col("case_code") == case)
+    terms = []
+    if case in ("c1", "c3"):
+        terms.append(F.col("cust_identifier") == F.col("customer"))
+        if layout.buckets:
+            wanted = wanted.withColumn("_bucket", bucket_of(F.col("customer"), layout.buckets, layout.hasher))
+            terms.append(F.col(BUCKET) == F.col("_bucket"))
+    if case in ("c2", "c3"):
+        terms.append((F.col(DATE) if layout.by_date else date_of(F.col("tstamp"))) == F.col("day"))
+    if not terms:
+        raise ValueError(f"case must be c1, c2 or c3, not {case!r}")
+    return rows.join(wanted, terms).select("customer", "day", "cust_identifier", "tstamp", some_random_calc())
+
+
 def run_lookup(spark: SparkSession, layouts: Layouts, code: str, customer: str | None = None,
                day: date | None = None) -> DataFrame:
     """One of the nine lookups by its code: case 1 customer, 2 date, 3 both."""

@@ -41,7 +41,7 @@ def test_entry(spark):
 
 
 def test_the_text_subpackage_may_be_absent(tmp_path):
-    """The entry module works without the subpackage; other missing modules are still errors."""
+    """The entry module works without the subpackage."""
     root = os.path.dirname(os.path.abspath(__spark_entry__.__file__))
     shutil.copytree(f"{root}/tabflow", tmp_path / "tabflow", ignore=shutil.ignore_patterns("llm", "__pycache__"))
     shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
@@ -49,3 +49,12 @@ def test_the_text_subpackage_may_be_absent(tmp_path):
     ran = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, env=os.environ | {"PYTHONPATH": ""})
     assert ran.returncode == 0, ran.stderr
     assert int(ran.stdout) == len(QUERIES)
+
+
+def test_a_package_of_the_text_part_may_be_absent(tmp_path):
+    root = os.path.dirname(os.path.abspath(__spark_entry__.__file__))
+    code = ("import sys; sys.modules['sentencepiece'] = None; import __spark_entry__ as e; "
+            "assert 'pipeline' not in e.queries(); print(len(e.queries()))")
+    ran = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True)
+    assert ran.returncode == 0, ran.stderr
+    assert int(ran.stdout) == len(QUERIES) and "sentencepiece" in ran.stderr
