@@ -1,8 +1,8 @@
 """Collocations of two to four words, by top-order marginalisation.
 
 Only the longest windows are counted: every word with the three that lead on from it, padded where its piece of
-text ends. Whatever is shorter is a sum of them. The windows are dealt by their first three words, so
-those of three words are summed where they are, and Spark's ROLLUP sums the prefixes of two and one from these.
+text ends. Whatever is shorter is a sum of them. The windows are dealt by their first words and sorted, so that a task sums those of
+three words and what it has of each pair; these sums are written, and Spark's ROLLUP adds up pairs and single words from them.
 
 What makes the windows small is a codebook of the most frequent words: three words are one 63-bit number. Words that
 occur too seldom to be part of a candidate pad the window like the end of a piece. If there are more frequent words than the
@@ -19,13 +19,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabflow.llm.common import by_bytes, checkpointed, utf8, word_spans
+from tabflow.session import fresh_path, remove_path
 
 LONGEST = 4  # three words fit one number beside the fourth
 CODE_BITS = 21
 PAD, SPELLED = 0, (1 << CODE_BITS) - 1
+SAID = ["spelled", "last_spelled"]
 MOST_CODES = 1_000_000  # words in the codebook, which is broadcast: some 20 MB
-BATCH_BYTES = 4 << 20
-FLUSH = 1 << 20  # windows that are counted together before they leave a task
+BATCH_BYTES = 8 << 20
+FLUSH = 1 << 22  # windows that are counted together before they leave a task
+SPREAD = 8  # tasks that share the windows of a pair of words
 BLOCK_ROWS = 100_000  # candidates ranked in one task
 
 # Lower case for A-Z; every mark that ends a piece becomes a line break.
@@ -60,8 +63,12 @@ def _by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, list[tu
                 continue
             spelled = words.array.dictionary_encode()
             distinct = spelled.dictionary.to_pylist()
-            pair, which = np.unique(lang[lo:hi][words.text].astype(np.int64) * len(distinct) + spelled.indices.to_numpy(), return_inverse=True)
-            yield words, [(names[p // len(distinct)], distinct[p % len(distinct)]) for p in pair.tolist()], which
+            here, used = np.unique(lang[lo:hi], return_inverse=True)
+            pair = used[words.text] * len(distinct) + spelled.indices.to_numpy()
+            present = np.zeros(len(here) * len(distinct), bool)
+            present[pair] = True
+            pairs = [(names[here[p // len(distinct)]], distinct[p % len(distinct)]) for p in np.flatnonzero(present).tolist()]
+            yield words, pairs, (np.cumsum(present) - 1)[pair]
 
 
 def _vocabulary(source: DataFrame, least: int) -> DataFrame:
@@ -101,11 +108,13 @@ def _lead(codes: np.ndarray, goes_on: np.ndarray) -> list[np.ndarray]:
 
 
 def _windows(source: DataFrame, blob, name: str, complete: bool) -> DataFrame:
-    """key (three codes), spelled (of these, after the language), last (the fourth code), last_spelled and n of windows."""
-    def emit(key, last, n, spelled=None, last_spelled=None) -> pa.RecordBatch:
-        blank = pa.array([""] * len(key), pa.string())
-        return pa.RecordBatch.from_arrays([pa.array(key), spelled or blank, pa.array(last.astype(np.int32)), last_spelled or blank, pa.array(n)],
-                                          names=["key", "spelled", "last", "last_spelled", "n"])
+    """key (three codes), last (the fourth code) and n of windows; unless the codebook is ``complete``, also the words spelled out
+    among the three, after the language, and the fourth."""
+    def emit(key, last, n, *said: list[str]) -> pa.RecordBatch:
+        columns = [pa.array(key), pa.array(last.astype(np.int32)), pa.array(n)]
+        if not complete:
+            columns += [pa.array(s, pa.string()) for s in said or [[""] * len(key)] * 2]
+        return pa.RecordBatch.from_arrays(columns, names=["key", "last", "n", *SAID][:len(columns)])
 
     def counted(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         key, last = (np.concatenate(c) for c in zip(*parts))
@@ -122,7 +131,7 @@ def _windows(source: DataFrame, blob, name: str, complete: bool) -> DataFrame:
             said.append("\n".join([pairs[which[i]][0].encode().hex(), *own]) if own else "")
             last_said.append(text[i + 3].as_py() if row[3] == SPELLED else "")
         key = (columns[0][at] << 2 * CODE_BITS) | (columns[1][at] << CODE_BITS) | columns[2][at]
-        return emit(key, columns[3][at], np.ones(len(at), np.int64), pa.array(said, pa.string()), pa.array(last_said, pa.string()))
+        return emit(key, columns[3][at], np.ones(len(at), np.int64), said, last_said)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[tuple[np.ndarray, np.ndarray]] = []
@@ -145,37 +154,77 @@ def _windows(source: DataFrame, blob, name: str, complete: bool) -> DataFrame:
         if held:
             yield counted(parts)
 
-    return source.mapInArrow(run, "key bigint, spelled string, last int, last_spelled string, n bigint")
+    return source.mapInArrow(run, "key bigint, last int, n bigint" + ("" if complete else ", spelled string, last_spelled string"))
 
 
-def _marginals(windows: DataFrame, least: int) -> DataFrame:
-    """The windows and all their prefixes that occur ``least`` times, in the columns of ``windows``."""
+def _sums(windows: DataFrame, least: int) -> DataFrame:
+    """Sums of each task's windows, with their ``level``: of four and three words those that occur ``least`` times, of two all
+    (what this task has of them).
+
+    All windows of three first words are in one task, and a pair's windows in eight at most, however many it has.
+    """
+    mask, spelled = (1 << CODE_BITS) - 1, "spelled" in windows.columns
+    third = F.col("key").bitwiseAND(F.lit(mask).cast("bigint"))
+    part = F.pmod(F.xxhash64(third, *(["spelled"] if spelled else [])), F.lit(SPREAD))
+    dealt = windows.repartition(F.shiftrightunsigned("key", CODE_BITS), part)
+    ordered = dealt.sortWithinPartitions(*(["key", "spelled", "last", "last_spelled"] if spelled else ["key", "last"]))
+
+    def starts(*columns: np.ndarray) -> np.ndarray:
+        change = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+        return np.flatnonzero(np.r_[True, change])
+
+    def codes(rows: pa.Table, name: str) -> np.ndarray:
+        return rows[name].combine_chunks().dictionary_encode().indices.to_numpy() if spelled else np.zeros(len(rows), np.int8)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: pa.Table | None = None
+        for batch in batches:
+            now = pa.Table.from_batches([batch])
+            rest = pa.concat_tables([rest, now]).combine_chunks() if rest is not None else now
+            if not rest.num_rows:
+                continue
+            cut = int(starts(rest["key"].to_numpy(), codes(rest, "spelled"))[-1])
+            if cut:
+                yield summed(rest.slice(0, cut))
+                rest = rest.slice(cut)
+        if rest is not None and rest.num_rows:
+            yield summed(rest)
+
+    def summed(rows: pa.Table) -> pa.RecordBatch:
+        key, last, n = (rows[c].to_numpy() for c in ("key", "last", "n"))
+        said = codes(rows, "spelled")
+        four, three, two = starts(key, said, last, codes(rows, "last_spelled")), starts(key, said), starts(key >> CODE_BITS, said)
+        sums = [np.add.reduceat(n, at) for at in (four, three, two)]
+        keep = [(sums[0] >= least) & (last[four] != PAD), (sums[1] >= least) & (key[three] & mask != PAD), np.ones(len(two), bool)]
+        at = np.concatenate([a[k] for a, k in zip((four, three, two), keep)])
+        level = np.repeat([4, 3, 2], [int(k.sum()) for k in keep])
+        texts = rows.select(SAID).take(pa.array(at)).to_pydict() if spelled else {name: [""] * len(at) for name in SAID}
+        last_spelled = [text if four else "" for text, four in zip(texts["last_spelled"], (level == 4).tolist())]
+        return pa.RecordBatch.from_arrays([
+            pa.array(np.where(level == 2, key[at] & ~mask, key[at])), pa.array(texts["spelled"], pa.string()),
+            pa.array(np.where(level == 4, last[at], PAD).astype(np.int32)), pa.array(last_spelled, pa.string()),
+            pa.array(np.concatenate([s[k] for s, k in zip(sums, keep)])), pa.array(level.astype(np.int32))],
+            names=["key", "spelled", "last", "last_spelled", "n", "level"])
+
+    return ordered.mapInArrow(run, "key bigint, spelled string, last int, last_spelled string, n bigint, level int")
+
+
+def _marginals(sums: DataFrame, least: int) -> DataFrame:
+    """The windows and all their prefixes that occur ``least`` times, from the written ``_sums``."""
     mask = F.lit((1 << CODE_BITS) - 1).cast("bigint")
     code = lambda place: F.shiftrightunsigned("key", (2 - place) * CODE_BITS).bitwiseAND(mask)
-    dealt = windows.repartition("key", "spelled")
-    four = dealt.groupBy("key", "spelled", "last", "last_spelled").agg(F.sum("n").alias("n"))
-    three = four.groupBy("key", "spelled").agg(F.sum("n").alias("n"))
 
     def said(places: int) -> Column:
         """The language and the spelled words among the first few."""
         own = sum(((code(i) == SPELLED).cast("int") for i in range(places)), F.lit(0))
         return F.when(own == 0, F.lit("")).otherwise(F.array_join(F.slice(F.split("spelled", "\n"), F.lit(1), own + 1), "\n"))
 
-    prefixes = three.select(code(0).alias("w0"), said(1).alias("s0"), code(1).alias("w1"), said(2).alias("s1"), "n")
-    rolled = windows.sparkSession.sql(
-        "SELECT w0, s0, w1, s1, grouping_id() AS level, sum(n) AS n FROM {prefixes} GROUP BY ROLLUP ((w0, s0), (w1, s1))", prefixes=prefixes)
-    two = rolled.where("w1 IS NOT NULL").where(F.col("w1") != PAD)
-    one = rolled.where("w0 IS NOT NULL AND w1 IS NULL")
-    key = F.shiftleft("w0", 2 * CODE_BITS)
-    none = [F.lit(PAD).alias("last"), F.lit("").alias("last_spelled"), "n"]
-    levels = [four.where(F.col("last") != PAD).select("key", "spelled", "last", "last_spelled", "n"),
-              three.where(code(2) != PAD).select("key", "spelled", *none),
-              two.select(key.bitwiseOR(F.shiftleft("w1", CODE_BITS)).alias("key"), F.col("s1").alias("spelled"), *none),
-              one.select(key.alias("key"), F.col("s0").alias("spelled"), *none)]
-    grams = levels[0]
-    for level in levels[1:]:
-        grams = grams.unionByName(level)
-    return grams.where(F.col("n") >= least)
+    pairs = sums.where("level = 2").select(code(0).alias("w0"), said(1).alias("s0"), code(1).alias("w1"), said(2).alias("s1"), "n")
+    rolled = sums.sparkSession.sql("SELECT w0, s0, w1, s1, sum(n) AS n FROM {pairs} GROUP BY ROLLUP ((w0, s0), (w1, s1))", pairs=pairs)
+    rolled = rolled.where(F.col("w0").isNotNull() & (F.col("n") >= least) & (F.col("w1").isNull() | (F.col("w1") != PAD)))
+    key = F.shiftleft("w0", 2 * CODE_BITS).bitwiseOR(F.shiftleft(F.coalesce("w1", F.lit(PAD).cast("bigint")), CODE_BITS))
+    short = rolled.select(key.alias("key"), F.coalesce("s1", "s0").alias("spelled"), F.lit(PAD).alias("last"), F.lit("").alias("last_spelled"), "n")
+    return sums.where("level > 2").drop("level").unionByName(short)
 
 
 def _spelled_out(grams: DataFrame, blob, name: str) -> DataFrame:
@@ -215,8 +264,12 @@ def phrase_counts(docs: DataFrame, least: int = 30, text_col: str = "text", lang
         out.write_table(book)
     blob = docs.sparkSession.sparkContext.broadcast(sink.getvalue().to_pybytes())
     name = f"{docs.sparkSession.sparkContext.applicationId}-{id(blob)}-{book.num_rows}"
-    grams = _marginals(_windows(source, blob, name, complete), least)
-    return checkpointed(_spelled_out(grams, blob, name)), vocabulary.where("word IS NULL").select("lang", "n")
+    spark = docs.sparkSession
+    path = fresh_path(spark, "window-sums")
+    _sums(_windows(source, blob, name, complete), least).write.parquet(path)
+    grams = checkpointed(_spelled_out(_marginals(spark.read.parquet(path), least), blob, name))
+    remove_path(spark, path)
+    return grams, vocabulary.where("word IS NULL").select("lang", "n")
 
 
 def collocations(docs: DataFrame, least: int = 30, top: int = 2000, covered: int = 80, text_col: str = "text", lang_col: str = "lang",
