@@ -49,7 +49,8 @@ from ..plans.routing import REJECTS, Target, route_counts
 from ..plans.synthetic import replicate_day_job
 from ..session import fresh_path, own_session
 from ..sinks.files import publish_messages, write_lines, write_ndjson
-from ..sinks.tables import append_table, fold_days, read_loads
+from ..sinks.loads import fold_days, read_loads
+from ..sinks.tables import append_table
 from ..sources.lines import read_csv_positional, read_lines, read_ndjson
 from ..sources.messages import message_stream
 from ..sources.registry import read_registry

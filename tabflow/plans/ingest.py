@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.schema import COUNT_SCHEMA, SCENARIO_SCHEMA
 from ..operators.counts import count_per_country
 from ..operators.parse import REASON, REJECT_SCHEMA, accept_all, bad_rows, good_rows
-from ..sinks.tables import append_load
+from ..sinks.loads import append_load
 from ..sources.lines import read_csv_positional, read_ndjson
 from ..sources.registry import LoadEntry, read_load_config, read_schema_file
 from ..sources.tables import read_table

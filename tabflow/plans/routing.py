@@ -19,7 +19,7 @@ from ..functions.coerce import literal, quoted
 from ..operators.parse import OBJECT, REJECT_SCHEMA, bad_rows, good_rows, parse_object, tag_object
 from ..operators.registry_join import table_name
 from ..session import remove_path
-from ..sinks.tables import FOLDED, LOAD_DAY, LOAD_ID, append_load, create_days, create_loads, days_table, fold_days, read_loads
+from ..sinks.loads import FOLDED, LOAD_DAY, LOAD_ID, append_load, create_days, create_loads, days_table, fold_days, read_loads
 from ..sources.registry import registry_schemas
 from .ingest import append_checked, run_all
 

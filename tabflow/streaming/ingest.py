@@ -21,7 +21,7 @@ from ..operators.counts import count_per_window
 from ..operators.parse import REJECT_SCHEMA, accept_all, tag_json
 from ..plans.ingest import append_checked
 from ..sinks.files import write_load_lines
-from ..sinks.tables import append_load, read_loads
+from ..sinks.loads import append_load, read_loads
 
 log = logging.getLogger("tabflow.tap")
 QUERY_ID = "sql.streaming.queryId"  # set by Spark in the threads of a streaming query

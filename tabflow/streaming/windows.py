@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from ..functions.schema import schema_from_text
 from ..operators.counts import count_per_window
-from ..sinks.tables import create_loads, fold_days, read_loads
+from ..sinks.loads import create_loads, fold_days, read_loads
 from .ingest import Load, parse_accounts, run_batches
 
 WINDOW_SCHEMA = schema_from_text("window_start:TIMESTAMP, country_name:STRING, num_cc_card:INT64")

@@ -16,7 +16,8 @@ from tabflow.operators.registry_join import table_name, unknown_messages, with_r
 from tabflow.plans.ingest import count_accounts_job, load_csv_job, load_tables_job
 from tabflow.plans.routing import REJECTS, Target, route_messages
 from tabflow.session import fresh_path, shared_dir
-from tabflow.sinks.tables import append_table, fold_days, read_loads
+from tabflow.sinks.loads import fold_days, read_loads
+from tabflow.sinks.tables import append_table
 from tabflow.sources.lines import read_lines
 from tabflow.sources.messages import message_stream
 from tabflow.sources.registry import read_registry

@@ -13,8 +13,9 @@ from tabflow.functions.schema import (
     schema_from_text,
     schema_to_text,
 )
-from tabflow.sinks import tables
-from tabflow.sinks.tables import append_load, append_table, create_if_needed, days_table, fold_days, read_loads
+from tabflow.sinks import loads
+from tabflow.sinks.loads import append_load, days_table, fold_days, read_loads
+from tabflow.sinks.tables import append_table, create_if_needed
 from tabflow.sources.registry import (
     read_load_config,
     read_registry,
@@ -159,7 +160,7 @@ def test_folded_days(spark, tmp_path, monkeypatch):
         dropped.append(folder)
         raise OSError("lost")
 
-    monkeypatch.setattr(tables, "remove_path", fail)
+    monkeypatch.setattr(loads, "remove_path", fail)
     with pytest.raises(OSError):
         fold_days(spark, table, LATER, path)
     want = [0, 1, 2, 3, 4, 5, 100]
