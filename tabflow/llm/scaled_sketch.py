@@ -25,6 +25,7 @@ FRACTION = 16  # one hash in so many is kept
 BATCH_BYTES = 1 << 20
 RANGE_BYTES = 4 << 20
 MOST_RANGES = 100_000
+PER_RANGE = 16  # ids in the sample for each range
 
 
 def _threshold(fraction: int) -> np.uint64:
@@ -101,12 +102,18 @@ def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return source.mapInArrow(run, StructType([source.schema[0]]).add("fingerprint", "string"))
 
 
-def _bounds(rows: DataFrame, n: int) -> np.ndarray:
-    """Ids that cut the table into about n equal ranges; each is an id of the table and begins a range."""
+def _bounds(rows: DataFrame, n: int, count: int) -> np.ndarray:
+    """Ids that cut the table into about n ranges; each is an id of the table and begins a range.
+
+    They come from a sample by the ids' hash, of some ``PER_RANGE`` ids to a range, and stay whole numbers throughout: a
+    quantile in double precision would round ids beyond 2^53 to ones that the table hasn't got.
+    """
     if n < 2:
         return np.empty(0, np.int64)
-    cuts = rows.where("id IS NOT NULL").approxQuantile("id", [i / n for i in range(1, n)], 0.25 / n)
-    return np.unique(np.array(cuts, np.int64)) if cuts else np.empty(0, np.int64)
+    share = min(1 << 40, (1 << 40) * n * PER_RANGE // max(1, count))
+    sample = rows.where(F.col("id").isNotNull() & (F.pmod(F.xxhash64("id"), F.lit(1 << 40)) < share)).select("id").distinct()
+    ids = np.sort(sample.toArrow()["id"].to_numpy())
+    return np.unique(ids[np.linspace(0, len(ids), n + 1).astype(np.int64)[1:-1]]) if len(ids) else np.empty(0, np.int64)
 
 
 def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -119,12 +126,13 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     near_edited and near_next; other columns are not read.
 
     Rows go to ranges of ids, each range's first row also to the range before it, and every range is read
-    in order: one shuffle, and two texts at a time in memory. At most ``MOST_RANGES`` bounds are kept.
+    in order: one shuffle, and two texts at a time in memory. At most ``MOST_RANGES`` bounds are kept, from some
+    ``PER_RANGE`` times as many ids on the driver. A range whose last row has no successor fails the job, so no row is lost unseen.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    seen = rows.agg(F.sum(F.octet_length("text")).alias("size"), F.min("id").alias("least"),
+    seen = rows.agg(F.sum(F.octet_length("text")).alias("size"), F.count("*").alias("n"), F.min("id").alias("least"),
                     F.min(F.when(F.col("id").isNull(), F.col("text"))).alias("unnamed")).first()
-    bounds = _bounds(rows, min(MOST_RANGES, -(-(seen.size or 0) // RANGE_BYTES)))
+    bounds = _bounds(rows, min(MOST_RANGES, -(-(seen.size or 0) // RANGE_BYTES)), seen.n)
     first = docs.sparkSession.sparkContext.broadcast((bounds, seen.least, seen.unnamed))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,10 +163,17 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             now = list(zip(*(batch.column(i).to_pylist() for i in range(5))))
             pairs = []
             for row in now:
-                if before is not None and before[0] == row[0] and not before[1]:
+                if before is not None and not before[1]:
+                    ended(before, row[0])
                     pairs.append((before, row))
                 before = row
             yield compare(pairs)
+        if before is not None and not before[1]:
+            ended(before, None)
+
+    def ended(row: tuple, place: int | None) -> None:
+        if row[0] != place:
+            raise ValueError(f"the row after id {row[2]} is missing")
 
     def compare(pairs: list[tuple]) -> pa.RecordBatch:
         edits = [(a[3][:len(a[3]) - len(a[3]) // 4] + b[3][:len(a[3]) // 4]).encode() for a, b in pairs]

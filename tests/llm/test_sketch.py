@@ -3,6 +3,8 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
+from pyspark.errors import PySparkException
 
 from tabflow.llm import scaled_sketch
 from tabflow.llm.common import utf8
@@ -42,6 +44,28 @@ def test_neighbours(spark, odd_texts, monkeypatch):
     assert {r.doc_id for r in sketch_documents(df).collect()} == {i for i, _ in rows}
 
 
+@pytest.mark.parametrize("base", [2**60, -(2**62), 2**63 - 600, -(2**63), 0])
+def test_no_row_is_lost_for_any_id(spark, monkeypatch, base):
+    """Ids that doubles can't tell apart, in many ranges."""
+    monkeypatch.setattr(scaled_sketch, "RANGE_BYTES", 300)
+    rows = [(base + i, f"text {i % 7} of row {i} " * (1 + i % 3)) for i in range(500)] + [(base + 250, "same id")] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert found(edited_likeness(df)) == sorted(plain_rows(rows))
+
+
+def test_a_missing_successor_fails(spark, monkeypatch):
+    monkeypatch.setattr(scaled_sketch, "RANGE_BYTES", 300)
+    monkeypatch.setattr(scaled_sketch, "_bounds", lambda rows, n, count: np.array([50, 1001], np.int64))  # 1001 is no id of the table
+    df = spark.createDataFrame([(i, f"text {i}") for i in range(0, 2000, 2)], "doc_id long, text string")
+    with pytest.raises(PySparkException, match="is missing"):
+        edited_likeness(df).collect()
+
+
+def test_one_very_long_text(spark):
+    rows = [(1, "a few words only"), (2, "long words again " * 600_000), (3, None)]
+    assert found(edited_likeness(spark.createDataFrame(rows, "doc_id long, text string"))) == sorted(plain_rows(rows))
+
+
 def test_estimates():
     random.seed(1)
     words = [f"w{random.randint(0, 10**6)}" for _ in range(40_000)]
