@@ -27,7 +27,7 @@ def _windows(lines: Column, size: int) -> Column:
 def drop_repeated_lines(docs: DataFrame, window: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with repeated windows gone from the text, and the columns n_lines, n_removed.
 
-    Columns of these names are replaced, all others stay. A text with fewer lines than a
+    Columns of these names, in any case, are replaced, all others stay. A text with fewer lines than a
     window, null or empty has no window and stays as it is, as do windows of nothing but white
     space. Null ids come before all others. Rows that agree in id and text count as one
     document and are cut alike; the same text under another id loses its windows.
@@ -50,7 +50,7 @@ def drop_repeated_lines(docs: DataFrame, window: int = 3, id_col: str = "doc_id"
     kept = F.array_join(F.transform(stay, lambda i: F.get(F.col(lines), i)), "\n")
     cut = F.col(gone).isNotNull()
     columns = [F.when(cut, kept).otherwise(F.col(text_col)).alias(c) if c == text_col else F.col(c)
-               for c in docs.columns if c not in ("n_lines", "n_removed")]
+               for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
     counts = [F.coalesce(F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines)), F.lit(0)).alias("n_lines"),
               F.coalesce(F.when(cut, F.size(gone)), F.lit(0)).alias("n_removed")]
     return marked.select(*columns, *counts)
