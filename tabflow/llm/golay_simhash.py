@@ -230,7 +230,8 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col:
 def drop_near_copies(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
     """One row of each group of near copies, with its columns: that of the least id (null ids
-    last), then of the least fingerprint and row key. Of repeated rows one stays."""
+    last), then of the least fingerprint and row key. Of rows that agree in id and text the one stays whose other columns
+    come first as JSON text."""
     if max_bits > 3:
         raise ValueError("three Golay segments find at most three differing bits")
     marked = _marked(docs, shingle, id_col, text_col)
@@ -239,4 +240,9 @@ def drop_near_copies(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_co
     kept = ranked.groupBy("root").agg(F.min("r").alias("r")).select(F.col("r.k").alias("_key"))
     key = spare_name(docs, "_key")
     kept = kept.withColumnRenamed("_key", key)
-    return docs.withColumn(key, row_key(id_col, text_col)).join(kept, key, "left_semi").dropDuplicates([key]).drop(key)
+    stay = docs.withColumn(key, row_key(id_col, text_col)).join(kept, key, "left_semi")
+    others = [F.col(c) for c in docs.columns if c not in (id_col, text_col)]
+    if not others:
+        return stay.dropDuplicates([key]).drop(key)
+    first = F.min_by(F.struct(*[F.col(c) for c in docs.columns]), F.to_json(F.struct(*others)))
+    return stay.groupBy(key).agg(first.alias("row")).select("row.*")

@@ -127,3 +127,15 @@ def test_dealt_keys_give_the_same_groups(spark, monkeypatch):
     prints, least, _ = plain_groups(rows)
     found = simhash_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert len(set(least.values())) < len(set(prints)) and {r.doc_id: r.component_id for r in found} == least
+
+
+def test_of_equal_rows_the_same_one_stays(spark):
+    """Rows of one id and text that differ elsewhere: always the same one is kept, however they are dealt."""
+    rows = [(1, "one and the same text", f"source {i}", i) for i in range(50)] + [(2, "quite another text here", None, None)] * 3
+    kept = set()
+    for parts in (1, 4, 7):
+        df = spark.createDataFrame(rows[::-1] if parts == 4 else rows, "doc_id long, text string, source string, n int").repartition(parts)
+        kept.add(tuple(sorted(map(tuple, drop_near_copies(df).collect()))))
+    assert kept == {((1, "one and the same text", "source 0", 0), (2, "quite another text here", None, None))}
+    bare = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, "c d")], "doc_id long, text string")
+    assert drop_near_copies(bare).count() == 2
