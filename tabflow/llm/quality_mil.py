@@ -24,7 +24,7 @@ BYTE_KINDS = 160  # ASCII one by one, then the other bytes four at a time
 FEATURES = BYTE_KINDS + 6
 ENCODED, ATTENTION = 24, 12
 SAMPLE_DOCS = 4000  # labelled documents to learn from
-SAMPLE_BYTES = 1 << 20  # longer texts aren't learnt from
+SAMPLE_PASSAGES = 32  # of a labelled document, spread over it: with SAMPLE_DOCS 85 MB on the driver at most
 BATCH_BYTES = 1 << 20
 
 
@@ -40,13 +40,17 @@ def passage_features(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray,
     total = int(first_passage[-1])
     size = np.bincount(of, minlength=total)
     x = np.zeros((total, FEATURES), np.float32)
-    # A byte belongs to the passage of the last word that begins at or before it.
+    # A byte belongs to the passage of the last word of its text that begins at or before it, before the first word to the first.
     head = np.flatnonzero(np.r_[True, of[1:] != of[:-1]]) if len(of) else np.empty(0, np.int64)
     if len(head):
-        here = np.r_[begin[head], len(data)]
-        where = np.repeat(of[head], np.diff(here))
+        own = text[head]
+        opens, closes = np.r_[True, own[1:] != own[:-1]], np.r_[own[1:] != own[:-1], True]
+        lo = np.where(opens, starts[own], begin[head])
+        hi = np.where(closes, starts[own + 1], np.r_[lo[1:], len(data)])
+        at = np.arange((hi - lo).sum()) - np.repeat(np.cumsum(hi - lo) - hi, hi - lo)
+        where = np.repeat(of[head], hi - lo)
         kind = np.where(data < 128, data, 128 + (data.astype(np.int64) - 128) // 4).astype(np.int64)
-        counts = np.bincount(where * BYTE_KINDS + kind[here[0]:], minlength=total * BYTE_KINDS).reshape(total, BYTE_KINDS)
+        counts = np.bincount(where * BYTE_KINDS + kind[at], minlength=total * BYTE_KINDS).reshape(total, BYTE_KINDS)
         x[:, :BYTE_KINDS] = np.sqrt(counts / np.maximum(1, counts.sum(axis=1, keepdims=True)))
     h = span_hashes(data, begin, end)
     n = np.maximum(1, size)
@@ -63,6 +67,11 @@ def passage_features(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray,
     return x, np.repeat(np.arange(n_texts), passages)
 
 
+def spread_over(n: int, most: int) -> np.ndarray:
+    """All of n places, or ``most`` of them, evenly from the first to the last."""
+    return np.arange(n) if n <= most else np.linspace(0, n - 1, most).round().astype(np.int64)
+
+
 @dataclass
 class AttentionModel:
     centre: np.ndarray
@@ -137,10 +146,10 @@ def train(x: np.ndarray, text: np.ndarray, y: np.ndarray, epochs: int = 40, batc
 def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, sample: int = SAMPLE_DOCS,
           id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> AttentionModel | None:
     """A model from at most ``sample`` labelled documents outside the held-out fold, of each label all, or its share,
-    those of the least hash of their id. The scores are those of the labels' own frequencies. Labels other than 0 and 1, null ids and texts beyond ``SAMPLE_BYTES`` are passed over; of several labels
-    or texts of one id the greatest counts. None if there is nothing to learn from.
-
-    What reaches the driver is the features of the sample, which is bounded.
+    those of the least hash of their id. The scores are those of the labels' own frequencies. Labels other than 0 and 1 and null ids are
+    passed over; of several labels of an id the greatest counts, of several texts the last by bytes. None if nothing is left.
+    What reaches the driver is the features of at most ``SAMPLE_PASSAGES`` passages of each document of the sample, evenly
+    spread from its first to its last, so texts of any length are learnt from.
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).where(
         F.col("id").isNotNull() & F.col("y").isin(0, 1) & (in_bucket("id", folds) != held))
@@ -149,8 +158,7 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, sam
     if not counts:
         return None
     few = least_hashed(known, "id", sample, "y", counts)
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where(
-        F.octet_length("text") <= SAMPLE_BYTES)
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where(F.col("text").isNotNull())
     # ``few`` has at most ``sample`` rows of two numbers, whatever the size of the tables.
     chosen = source.join(F.broadcast(few), "id").groupBy("id", "y").agg(F.max("text").alias("text")).select("y", "text")
 
@@ -159,7 +167,8 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, sam
             data, starts = utf8(batch.column(1))
             for lo, hi in by_bytes(starts, BATCH_BYTES):
                 x, text = passage_features(data[starts[lo]:starts[hi]], starts[lo:hi + 1] - starts[lo])
-                blobs = [x[text == i].tobytes() for i in range(hi - lo)]
+                first = np.searchsorted(text, np.arange(hi - lo + 1))
+                blobs = [x[a + spread_over(b - a, SAMPLE_PASSAGES)].tobytes() for a, b in zip(first[:-1], first[1:])]
                 yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], pa.array(blobs, pa.binary())], names=["y", "x"])
 
     kind = chosen.schema[0].dataType.simpleString()
@@ -182,9 +191,9 @@ def score_quality(docs: DataFrame, model: AttentionModel | None, threshold: floa
     A null text counts as empty; it has one passage of zeros and is scored like any other. Without a
     model every row scores 1.0, so nothing is rejected. Rows are scored one by one, repeated
     ones alike. With ``keep`` all columns of ``docs`` come first instead, and columns
-    named score or predicted are replaced.
+    named score or predicted, in any case, are replaced.
     """
-    columns = [c for c in docs.columns if c not in ("score", "predicted")] if keep else [id_col]
+    columns = [c for c in docs.columns if c.lower() not in ("score", "predicted")] if keep else [id_col]
     source = docs.select(*[F.col(c) for c in columns], F.col(text_col).cast("string").alias(spare_name(docs, "_text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

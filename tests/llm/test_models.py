@@ -1,3 +1,4 @@
+import re
 import zlib
 
 import numpy as np
@@ -61,6 +62,62 @@ def test_recurrent_gradients():
             assert numeric(w, loss, name, at, 1e-2) == pytest.approx(exact[name].flat[at], abs=3e-3)
 
 
+def plain_quality(model, text):
+    """The score of one text, passage by passage and word by word."""
+    data = text.encode()
+    words = [(m.start(), m.group()) for m in re.finditer(rb"[^\t-\r ]+", data)]
+    groups = [words[i:i + 64] for i in range(0, len(words), 64)] or [[]]
+    w, encoded, gate = {k: np.array(v, float) for k, v in model.weights.items()}, [], []
+    for n, group in enumerate(groups):
+        x = np.zeros(quality_mil.FEATURES)
+        if group:
+            lo = group[0][0] if n else 0
+            hi = groups[n + 1][0][0] if n + 1 < len(groups) else len(data)
+            for b in data[lo:hi]:
+                x[b if b < 128 else 128 + (b - 128) // 4] += 1
+            x = np.sqrt(x / (hi - lo))
+            sizes, k = [len(g) for _, g in group], len(group)
+            x[160:] = [sum(a[1] == b[1] for a, b in zip(group, group[1:])) / k, len({g for _, g in group}) / k, np.mean(sizes) / 8, np.std(sizes) / 4, k / 64, np.log1p(k)]
+        z = np.tanh((x - model.centre) / model.scale @ w["encode"] + w["encode0"])
+        encoded.append(z)
+        gate.append((np.tanh(z @ w["v"]) / (1 + np.exp(-(z @ w["u"])))) @ w["a"])
+    share = np.exp(np.array(gate) - max(gate))
+    bag = (share[:, None] / share.sum() * np.array(encoded)).sum(axis=0)
+    return 1 / (1 + np.exp(-(bag @ w["out"] + w["out0"])))
+
+
+def test_quality_scores_are_those_of_a_plain_pass(spark, odd_texts, sf_dir):
+    """Each text by itself, whatever stands beside it in a batch."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = quality_mil.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    texts = [t for t in odd_texts if t is not None] + [r.text for r in docs.limit(40).collect()] + ["   leading", "  \n  ", "trailing   ", " w" * 200]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    got = {r.doc_id: r.score for r in quality_mil.score_quality(df, model).collect()}
+    for i, text in enumerate(texts):
+        assert got[i] == pytest.approx(plain_quality(model, text), abs=2e-4)
+
+
+def test_a_sample_of_long_texts_is_bounded(spark):
+    """Passages of a long text are spread over it; the driver gets no more than its share of each."""
+    texts = [(i, " ".join(f"w{i}{k}" for k in range(30_000)), 0) for i in range(3)] + [(9, "short", 0)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, n int")
+    labels = spark.createDataFrame([(i, i % 2) for i in (0, 1, 2, 9)], "doc_id long, quality int")
+    seen = []
+    train, quality_mil.train = quality_mil.train, lambda x, text, y, **k: seen.append(np.bincount(text)) or train(x, text, y, epochs=1)
+    try:
+        quality_mil.learn(docs, labels, folds=1, held=5)
+    finally:
+        quality_mil.train = train
+    assert sorted(seen[0]) == [1, 32, 32, 32]
+    assert quality_mil.spread_over(1000, 3).tolist() in ([0, 500, 999], [0, 499, 999]) and quality_mil.spread_over(2, 3).tolist() == [0, 1]
+
+
+def test_columns_that_differ_in_case(spark):
+    df = spark.createDataFrame([(1, "a text", 3, 4)], "doc_id long, text string, Score int, PREDICTED int")
+    out = quality_mil.score_quality(df, None, keep=True)
+    assert out.columns == ["doc_id", "text", "score", "predicted"] and out.count() == 1
+
+
 def plain_pool(model, text):
     """Mean probabilities of one text, window by window and byte by byte."""
     data, n = text.encode(), len(text.encode())
@@ -84,6 +141,40 @@ def test_pooling_counts_every_byte_once():
         assert got == pytest.approx(plain_pool(model, text), abs=1e-5)
 
 
+def plain_language(model, text):
+    """Mean probabilities of one text: every window byte by byte through both recurrences, with plain gates."""
+    w = {k: np.array(v, float) for k, v in model.weights.items()}
+    sigmoid = lambda a: 1 / (1 + np.exp(-a))
+    data, n = text.encode(), len(text.encode())
+    total = np.zeros(len(model.languages))
+    for nominal in range(0, n, gru_langid.WINDOW):
+        begin = max(0, min(nominal, n - gru_langid.WINDOW))
+        chunk = data[begin:begin + gru_langid.WINDOW].ljust(gru_langid.WINDOW, b"\0")
+        scores = np.tile(w["o"], (gru_langid.WINDOW, 1))
+        for side in "fb":
+            h = np.zeros(gru_langid.STATES)
+            for t in range(gru_langid.WINDOW) if side == "f" else range(gru_langid.WINDOW - 1, -1, -1):
+                z, r = (sigmoid(w[f"{side}x{g}"][chunk[t]] + h @ w[f"{side}h{g}"]) for g in "zr")
+                new = np.tanh(w[f"{side}xn"][chunk[t]] + r * (h @ w[f"{side}hn"]))
+                h = z * h + (1 - z) * new
+                scores[t] += h @ w[f"{side}o"]
+        p = np.exp(scores - scores.max(axis=1, keepdims=True))
+        p /= p.sum(axis=1, keepdims=True)
+        total += p[nominal - begin:min(n - begin, gru_langid.WINDOW)].sum(axis=0)
+    return total / max(1, n)
+
+
+def test_languages_are_those_of_a_plain_pass(spark, odd_texts, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = gru_langid.learn(docs)
+    texts = [t[:700] for t in odd_texts if t] + [r.text[:900] for r in docs.limit(25).collect()]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    for r in gru_langid.identify(df, model).collect():
+        want = plain_language(model, texts[r.doc_id])
+        if any(c.isalpha() for c in texts[r.doc_id]):
+            assert r.score == pytest.approx(want.max(), abs=2e-4) and want[model.languages.index(r.lang_pred)] > want.max() - 4e-4
+
+
 def test_odd_texts(spark, odd_texts):
     rows = [(i, t, "en" if i % 2 else "de", 1) for i, t in enumerate(odd_texts)] + [(None, "null id", None, 1), (3, "  ", "fr", 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, score int")
