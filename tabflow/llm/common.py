@@ -87,7 +87,7 @@ def fair_share(counts: dict, size: int) -> int:
 
 def least_hashed(rows: DataFrame, key: str, size: int, by: str, counts: dict, *columns: Column) -> DataFrame:
     """``key``, ``by`` and ``columns`` of at most ``size`` rows: of every value of ``by`` in ``counts`` its ``fair_share``
-    of rows, those of the least hash of ``key``, then by ``columns``.
+    of rows, those of the least hash of ``key``, then by ``columns``; of rows that share ``key`` and ``by`` the first.
 
     A bound on the hash for each value comes first, six deviations above its share, so that few rows are ranked. ``counts``
     has at most ``size`` values and is broadcast.
@@ -98,7 +98,10 @@ def least_hashed(rows: DataFrame, key: str, size: int, by: str, counts: dict, *c
     limits = [(value, (1 << 40) * min(n, bound) // n) for value, n in counts.items()]
     kind = T.StructType([T.StructField("_by", rows.schema[by].dataType), T.StructField("_limit", T.LongType())])
     near = rows.join(F.broadcast(rows.sparkSession.createDataFrame(limits, kind)), F.col(by) == F.col("_by")).where(hashed < F.col("_limit"))
-    drawn = near.select(key, by, *columns)
+    # One row of a key collapses before the shuffle, so that a hot key isn't ranked copy by copy.
+    named = near.select(key, by, *columns)
+    first = F.min(F.struct(*named.columns[2:] or [key])).alias("_first")
+    drawn = named.groupBy(key, by).agg(first).select(key, by, *[F.col("_first")[c].alias(c) for c in named.columns[2:]])
     order = [hashed, F.col(key), *[F.col(c) for c in drawn.columns[2:]]]
     ranked = drawn.withColumn("_rank", F.row_number().over(Window.partitionBy(by).orderBy(*order)))
     return ranked.orderBy("_rank", *order, by).limit(size).drop("_rank")
@@ -142,8 +145,23 @@ def _powers(base: int, n: int) -> np.ndarray:
     return known[:n]
 
 
+HASHED_AT_ONCE = 1 << 23  # bytes; sums over more would be many times the size of a long text
+
+
 def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit hash of the bytes of each span, the same wherever they stand."""
+    if len(data) > HASHED_AT_ONCE and len(begin):
+        out = np.empty(len(begin), np.uint64)
+        part = begin // HASHED_AT_ONCE
+        for p in np.unique(part):
+            some = np.flatnonzero(part == p)
+            lo, hi = int(p) * HASHED_AT_ONCE, int(end[some].max())
+            out[some] = _span_hashes(data[lo:hi], begin[some] - lo, end[some] - lo)
+        return out
+    return _span_hashes(data, begin, end)
+
+
+def _span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     total = np.zeros(len(data) + 1, np.uint64)
     np.add(data, np.uint64(1), out=total[1:], dtype=np.uint64)
     total[1:] *= _powers(_BASE, len(data))
