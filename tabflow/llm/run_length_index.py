@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tabflow.llm.common import mixed, spare_name, span_hashes, utf8
+from tabflow.llm.common import checkpointed, mixed, row_key, spare_name, span_hashes, utf8
 
 LENGTH = 50
 GRAM = 16
@@ -37,6 +37,9 @@ BLOCK_BYTES = 2 << 20
 BUCKET_BYTES = 1 << 20  # of text to a bucket, so that an index is sorted as plain numbers
 HOT_PIECES = 200_000  # anchors with more are dealt window by window
 PIECE_WINDOWS = 40
+PIECES_AT_ONCE = 1 << 17  # whose windows are marked together
+ROW_BYTES = 64  # what a row counts besides its text where copies are added up
+RESULTS = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
 CHUNK = 1 << 15
 NO_ID = np.iinfo(np.int64).min  # a null id comes before all others
 
@@ -176,13 +179,15 @@ class Block:
         begin = np.cumsum(self.kind_size) - self.kind_size
         if len(least) != self.kind_size.sum():
             raise ValueError("the buckets have answered other windows than were asked for")
-        seen = least[spread(begin[self.kind], self.size)]
-        gone = seen < np.repeat(self.ids[self.doc], self.size)
-        at = spread(self.place, self.size)[gone]
         edge = np.zeros(len(self.data) + 1, np.int32)
-        np.add.at(edge, at, 1)
-        np.add.at(edge, at + self.length, -1)
-        return np.cumsum(edge[:-1]) > 0
+        for lo in range(0, len(self.place), PIECES_AT_ONCE):
+            some = slice(lo, lo + PIECES_AT_ONCE)
+            size = self.size[some]
+            gone = least[spread(begin[self.kind[some]], size)] < np.repeat(self.ids[self.doc[some]], size)
+            at = spread(self.place[some], size)[gone]
+            np.add.at(edge, at, 1)
+            np.add.at(edge, at + self.length, -1)
+        return np.cumsum(edge[:-1], out=edge[:-1]) > 0
 
 
 @dataclass
@@ -356,12 +361,35 @@ def _mark(table: pa.Table, hot: int) -> pa.Table:
 
 
 def _cut(docs: DataFrame, length: int, hot: int, id_col: str, text_col: str, keep_text: bool) -> DataFrame:
+    """``_cut_once``, where rows that agree in id and text and together exceed a block are cut once and their copies follow."""
+    key = spare_name(docs, "_copy")
+    marked = docs.withColumn(key, row_key(id_col, text_col))
+    size = F.coalesce(F.octet_length(text_col), F.lit(0)) + ROW_BYTES
+    many = marked.groupBy(key).agg(F.count("*").alias("n"), F.sum(size.cast("bigint")).alias("size")).where((F.col("n") > 1) & (F.col("size") > BLOCK_BYTES))
+    many = checkpointed(many.select(key))
+    if many.isEmpty():
+        return _cut_once(docs, length, hot, id_col, text_col, keep_text, [])
+    copies = marked.join(many, key, "left_semi")
+    apart = marked.join(many, key, "left_anti").unionByName(copies.dropDuplicates([key]))
+    cut = checkpointed(_cut_once(apart, length, hot, id_col, text_col, keep_text, [key]))
+    known = cut.join(many, key, "left_semi")
+    own = [c for c in copies.columns if c.lower() not in RESULTS and (keep_text or c in (id_col, key))]
+    if keep_text:
+        left = spare_name(copies, "_left")
+        known = known.select(key, F.when(F.col("n_removed") > 0, F.struct(text_col)).alias(left), *RESULTS)
+        followed = copies.select(*own).join(known, key).withColumn(text_col, F.coalesce(F.col(left)[text_col], F.col(text_col))).drop(left)
+    else:
+        followed = copies.select(*own).join(known.select(key, *RESULTS), key)
+    return cut.join(many, key, "left_anti").unionByName(followed).drop(key)
+
+
+def _cut_once(docs: DataFrame, length: int, hot: int, id_col: str, text_col: str, keep_text: bool, carried: list[str]) -> DataFrame:
     block = spare_name(docs, "_block")
     size = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
     n, buckets = max(1, -(-size // BLOCK_BYTES)), max(1, -(-size // BUCKET_BYTES))
     # The text takes part, so that rows with one id don't all meet in one block.
     dealt = docs.withColumn(block, F.pmod(F.xxhash64(id_col, text_col), F.lit(n)).cast("int"))
-    columns = [f for f in docs.schema.fields if f.name not in ("n_bytes", "n_removed", "n_spans", "kept_sha256")]
+    columns = [f for f in docs.schema.fields if f.name.lower() not in RESULTS and (keep_text or f.name in (id_col, *carried))]
 
     def tell(table: pa.Table) -> pa.Table:
         found = [*Block(table, id_col, text_col, buckets, length).anchors()]
@@ -399,14 +427,15 @@ def _cut(docs: DataFrame, length: int, hot: int, id_col: str, text_col: str, kee
         stay, starts = mine.data[~gone], mine.starts
         begins = gone & ~np.r_[False, gone[:-1]]
         begins[starts[:-1][starts[:-1] < len(gone)]] = gone[starts[:-1][starts[:-1] < len(gone)]]
-        lost, opened = np.r_[0, np.cumsum(gone)], np.r_[0, np.cumsum(begins)]
+        lost = 0
         for lo, hi in zip(starts[:-1].tolist(), starts[1:].tolist()):
-            counts.append(int(lost[hi] - lost[lo]))
-            spans.append(int(opened[hi] - opened[lo]))
-            rest = stay[lo - lost[lo]:hi - lost[hi]].tobytes()
+            counts.append(int(np.count_nonzero(gone[lo:hi])))
+            spans.append(int(np.count_nonzero(begins[lo:hi])))
+            rest = stay[lo - lost:hi - lost - counts[-1]].tobytes()
+            lost += counts[-1]
             shas.append(hashlib.sha256(rest).hexdigest())
             kept.append(rest)
-        out = {f.name: table[f.name] for f in columns if keep_text or f.name == id_col}
+        out = {f.name: table[f.name] for f in columns}
         if keep_text:
             whole = table[text_col].to_pylist()
             out[text_col] = pa.array([w if not c else k.decode(errors="ignore") for w, c, k in zip(whole, counts, kept)], pa.string())
@@ -414,7 +443,7 @@ def _cut(docs: DataFrame, length: int, hot: int, id_col: str, text_col: str, kee
                                "n_spans": pa.array(spans, pa.int64()), "kept_sha256": pa.array(shas, pa.string())})
 
     if not keep_text:
-        dealt = dealt.select(id_col, text_col, block)
+        dealt = dealt.select(id_col, text_col, *carried, block)
     by_block = lambda df, name="block": df.groupBy(df[name])
     told = by_block(dealt, block).applyInArrow(tell, "block int, bucket int, keys binary, told binary")
     codes = told.groupBy("bucket").applyInArrow(lambda t: _mark(t, hot), "block int, bucket int, codes binary")
@@ -422,7 +451,7 @@ def _cut(docs: DataFrame, length: int, hot: int, id_col: str, text_col: str, kee
         send, "block int, bucket int, codes binary, chars binary, windows binary, owner binary")
     answers = sent.groupBy("bucket").applyInArrow(
         lambda t: _answer(t, length), "block int, bucket int, codes binary, total bigint, changes binary, values binary")
-    schema = StructType([f for f in columns if keep_text or f.name == id_col])
+    schema = StructType([*columns])
     for name in ("n_bytes", "n_removed", "n_spans"):
         schema = schema.add(name, "long")
     return by_block(dealt, block).cogroup(by_block(answers)).applyInArrow(remove, schema.add("kept_sha256", "string"))
@@ -433,7 +462,8 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, hot: int = HOT_PIECES,
 
     Removed is every byte covered by a string of ``length`` bytes (32 at least) that also begins in a row with a
     lesser id. Null ids come before all others; rows with one id don't cut each other. A null text
-    counts as empty; shorter texts lose nothing. Repeated rows stay; other columns are not read.
+    counts as empty; shorter texts lose nothing. Repeated rows stay; other columns are not read. Rows that agree in id and
+    text are cut once if together they would exceed a block, so a hot row is not gathered.
     """
     return _cut(docs, length, hot, id_col, text_col, False)
 

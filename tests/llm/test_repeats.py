@@ -73,6 +73,31 @@ def test_texts_left(spark, odd_texts):
     assert drop_repeated_bytes(df.limit(0)).count() == 0 and repeated_bytes(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("block_bytes", [4 << 20, 20_000])
+def test_a_hot_row_is_cut_once(spark, monkeypatch, block_bytes):
+    """Copies of one row beyond a block: the same results, other columns of the copies kept, and no block holds them all."""
+    monkeypatch.setattr(run_length_index, "BLOCK_BYTES", block_bytes)
+    made = []
+    monkeypatch.setattr(run_length_index, "_cut_once", lambda docs, *a, f=run_length_index._cut_once: made.append(docs.count()) or f(docs, *a))
+    rows = made_up(4, 40) + [(3, made_up(4, 40)[7][1] + " and more of the like " * 20)] * 300 + [(None, "no id " * 30)] * 200 + [(5, None)] * 400 + [(5, "")] * 2
+    df = spark.createDataFrame([(i, t, n, "k") for n, (i, t) in enumerate(rows)], "doc_id long, text string, Kept_SHA256 int, _copy string").repartition(3)
+    assert found(repeated_bytes(df)) == sorted(plain_removal(rows))
+    assert made == [len(rows) if block_bytes > 1 << 20 else len(set((i, t or "") for i, t in rows))]
+    out = drop_repeated_bytes(df)
+    assert out.columns == ["doc_id", "text", "_copy", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    got = out.collect()
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == sorted(plain_removal(rows))
+    assert sum(r.text is None for r in got) == 400 and all(r.text is None or hashlib.sha256(r.text.encode()).hexdigest() == r.kept_sha256 for r in got if r.n_removed)
+
+
+def test_a_very_long_text(spark):
+    rng = random.Random(3)
+    line = " ".join(str(rng.random()) for _ in range(200_000))
+    rows = [(1, line[1000:40_000]), (2, line), (3, "short"), (4, "tail" + line[-500:])]
+    got = {r.doc_id: r for r in repeated_bytes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].n_removed == 0 and got[2].n_removed == 39_000 and got[2].n_spans == 1 and got[4].n_removed == 500 and got[3].n_bytes == 5
+
+
 def test_pieces_hold_every_window_once():
     rng = np.random.default_rng(0)
     sizes = [0, 49, 50, 51, 0, 400, 90]
