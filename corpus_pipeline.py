@@ -3,7 +3,7 @@
 Every stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept; all but the
 last return the columns of documents, with the text cut and n_chars counted anew where there is such a column. A
 text that a stage has emptied stays as a document without text. ``run`` writes each stage's
-table to the shared folder and reads it again, so that a lost executor costs a stage at most.
+table to the shared folder and reads it again, so that a lost executor costs a stage at most, and removes the table before it.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from tabflow.llm.line_windows import drop_repeated_lines
 from tabflow.llm.quality_mil import learn, score_quality
 from tabflow.llm.run_length_index import drop_repeated_bytes
 from tabflow.llm.token_count import count_tokens
-from tabflow.session import fresh_path
+from tabflow.session import fresh_path, remove_path
 
 VOCABULARY = "byte_bpe_50k.json"
 ORACLE_SQL = None  # scores, bit distances and packing are beyond SQL; tests/llm holds the stages against plain versions
@@ -69,9 +69,15 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The sequences of the last stage. A stage's table goes as soon as the next one has been written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         path = fresh_path(spark, name.replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
-    return STAGES[-1][1](spark, docs, sf_dir)
+        if before:
+            remove_path(spark, before)
+        before = path
+    packed = STAGES[-1][1](spark, docs, sf_dir)  # rests on the counted lengths, which are a checkpoint
+    remove_path(spark, before)
+    return packed
