@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from tabflow.llm.pivot_index import describe, near_vectors
+from tabflow.llm.pivot_index import Pivots, near_vectors
 from tabflow.llm.queries import QUERIES
 
 SCHEMA = "vec_id long, embedding array<float>, label int, near int"
@@ -79,19 +79,73 @@ def test_recall(spark, folder):
     assert seen >= 0.99 * wanted
 
 
-@pytest.mark.parametrize("count", [256, 1024, 4096])
-def test_recall_holds_for_any_number_of_pivots(count):
-    rng = np.random.default_rng(5)
-    x, y = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in rng.normal(size=(2, 4000, 64)))
-    y -= (y * x).sum(axis=1, keepdims=True) * x
-    y = 0.93 * x + np.sqrt(1 - 0.93 ** 2) * y / np.linalg.norm(y, axis=1, keepdims=True)
-    shared = (describe(x, count)[:, :, None] == describe(y, count)[:, None, :]).any(axis=2).sum(axis=1)
-    assert (shared >= 2).mean() > 0.998
+def sampled(rng, n, d, together):
+    """Unit vectors with the mean cosine ``together``."""
+    rest = rng.normal(size=(n, d))
+    rest[:, 0] = 0
+    rest /= np.linalg.norm(rest, axis=1, keepdims=True)
+    return np.sqrt(together) * np.eye(1, d) + np.sqrt(1 - together) * rest
+
+
+def turned(rng, x, together, cosine):
+    """For every vector another of the same kind at the given cosine."""
+    middle = np.sqrt(together) * np.eye(1, x.shape[1])
+    own = (x - middle) / np.sqrt(1 - together)
+    other = sampled(rng, len(x), x.shape[1], 0)
+    other -= (other * own).sum(axis=1, keepdims=True) * own
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    c = (cosine - together) / (1 - together)
+    return middle + np.sqrt(1 - together) * (c * own + np.sqrt(1 - c * c) * other)
+
+
+def met(pivots, x, y):
+    """Which pairs are verified."""
+    (a, p), (b, q) = pivots.describe(x), pivots.describe(y)
+    same = a[:, :, None] == b[:, None, :]
+    listed = same[:, :pivots.lists, :pivots.lists].any(axis=(1, 2))
+    return listed & (same.sum(axis=(1, 2)) >= pivots.shared) & (np.bitwise_count(p ^ q).sum(axis=1) <= pivots.flips)
+
+
+@pytest.mark.parametrize("dimension", [64, 384])
+@pytest.mark.parametrize("together", [0.0, 0.5, 0.8])
+@pytest.mark.parametrize("count", [1024, 2048, 4096])
+def test_recall_and_cost_for_any_pivots(count, together, dimension):
+    """Pairs at the very bound are found, whether the vectors point everywhere or one way, and few others are compared."""
+    rng = np.random.default_rng(count + dimension)
+    pivots = Pivots.drawn(sampled(rng, count + 512, dimension, together), count, 0.93)
+    x = sampled(rng, 3000, dimension, together)
+    assert met(pivots, x, turned(rng, x, together, 0.93)).mean() > 0.99
+    assert met(pivots, x, sampled(rng, 3000, dimension, together)).mean() < 0.05
+
+
+def test_vectors_that_point_one_way(spark):
+    rng = np.random.default_rng(9)
+    base = sampled(rng, 300, 32, 0.8)
+    rows = [(i, v.astype(np.float32).tolist(), 1) for i, v in enumerate(base)]
+    rows += [(1000 + i, v.astype(np.float32).tolist(), 1) for i, v in enumerate(turned(rng, base[:100], 0.8, 0.95))]
+    want, links = plain(rows)
+    got = near_vectors(spark.createDataFrame([(*r, 0) for r in rows], SCHEMA)).collect()
+    assert links >= 200 and sum(r.n_links for r in got) >= 0.99 * links
+
+
+@pytest.mark.parametrize("kind", ["string", "double", "boolean"])
+def test_labels_of_any_type(spark, kind):
+    label = {"string": lambda i: f"label {i % 3}", "double": lambda i: i % 3 / 2, "boolean": lambda i: i % 2 == 0}[kind]
+    rows = [(i, v, label(lab)) for i, v, lab in made_up(3, 120)] + [(999, [1.0] * 16, None)]
+    df = spark.createDataFrame([(*r, 0) for r in rows], f"vec_id long, embedding array<float>, label {kind}, near int")
+    want, _ = plain(rows)
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in near_vectors(df).collect()) == sorted(want)
 
 
-def test_links_are_found_with_more_pivots(spark, monkeypatch):
-    monkeypatch.setattr("tabflow.llm.pivot_index.FEWEST_PIVOTS", 1024)
-    rows = made_up(7)
+def test_posted_rows_are_few(spark):
+    """What is shuffled grows with the number of lists of a vector, which is small."""
+    rng = np.random.default_rng(2)
+    pivots = Pivots.drawn(sampled(rng, 1536, 64, 0.0), 1024, 0.93)
+    assert pivots.lists <= 8 and pivots.prefix * 4 + 32 + 64 * 4 < 400
+
+
+def test_long_and_odd_vectors(spark):
+    rows = [(i, [float(x) for x in np.random.default_rng(i % 5).normal(size=20_000)], 1) for i in range(12)] + [(100, [1.0] * 3, 1), (101, [2.0] * 3, 1)]
     want, links = plain(rows)
-    got = near_vectors(spark.createDataFrame([(*r, 0) for r in rows], SCHEMA)).collect()
-    assert links > 300 and sum(r.n_links for r in got) >= 0.99 * sum(n for _, n, _ in want)
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in near_vectors(spark.createDataFrame([(*r, 0) for r in rows], SCHEMA)).collect())
+    assert links > 10 and got == sorted(want)
