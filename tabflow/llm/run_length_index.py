@@ -6,10 +6,10 @@ with one anchor form a piece of some 67 bytes. Texts are dealt to blocks, anchor
 
 1. every block tells every bucket its anchors; buckets answer which lie in several documents;
 2. blocks send the distinct pieces of those, with the least id that has each;
-3. every bucket sorts the suffixes of its pieces, which puts the positions that share their
-   50 bytes into one group, and builds the runs of the Burrows-Wheeler transform, with the text
-   positions at the run ends sampled. The pieces walk back through it and read their groups, and so the least
-   id that has them; the samples prove the walk. No match length is computed, and the groups have an entry per row;
+3. every bucket indexes, of each anchor with several pieces, the piece of the least id: it sorts their suffixes and keeps the runs of the
+   Burrows-Wheeler transform, with the text positions at both ends of each run sampled. The other pieces stream
+   through it from their ends; their matching statistics tell which windows the first piece has, and so the least
+   id that has them. Stretches without a long match go through the same again;
 4. blocks mark the windows with a lesser id than the document's, merge and remove them.
 
 So copies, hot lines and repeated passages reach a bucket once per block. An anchor with very
@@ -34,10 +34,15 @@ from tabflow.llm.common import checkpointed, mixed, row_key, spare_name, span_ha
 LENGTH = 50
 GRAM = 16
 BLOCK_BYTES = 2 << 20
-BUCKET_BYTES = 1 << 20  # of text to a bucket, so that an index is sorted as plain numbers
+MOST_BLOCK_BYTES = 48 << 20
+PARCEL_KEYS = 64  # anchors that a block tells a bucket at once
+ANCHOR_BYTES = 18  # of text to an anchor
+BUCKET_BYTES = 4 << 20  # of text to a bucket
 HOT_PIECES = 200_000  # anchors with more are dealt window by window
 PIECE_WINDOWS = 40
 PIECES_AT_ONCE = 1 << 17  # whose windows are marked together
+UP_TO = np.array([(2 << b) - 1 for b in range(64)], np.uint64)  # the bits up to each
+ROUNDS = 2  # of indexing the first pieces and streaming the others
 ROW_BYTES = 64  # what a row counts besides its text where copies are added up
 RESULTS = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
 CHUNK = 1 << 15
@@ -192,13 +197,20 @@ class Block:
 
 @dataclass
 class RunLengthIndex:
-    """The compressed transform of pieces, a run for each stretch of one byte before the sorted suffixes."""
-
-    run_of: np.ndarray  # by row: its run (a rank structure over the run starts)
-    step: np.ndarray  # by run: how far stepping back moves its rows
-    run_end: np.ndarray  # its last row
-    sample: np.ndarray  # the text position sampled there
-    shared: np.ndarray  # by row: the number of its group of suffixes with the same first bytes
+    """The Burrows-Wheeler transform of some pieces by its runs, stretches of one byte before the sorted suffixes."""
+
+    text: np.ndarray  # the pieces' bytes as numbers from 1 on, an end (0) behind each
+    begin: np.ndarray  # where each piece begins in it
+    code: np.ndarray  # by byte: its number, 0 if it doesn't occur
+    starts: np.ndarray  # a bit for each row that begins a run, 64 rows in a number
+    ranks: np.ndarray  # how many runs begin before each of these
+    byte: np.ndarray  # by run: its byte's number
+    first: np.ndarray  # its first row
+    last: np.ndarray  # its last row
+    step: np.ndarray  # how far stepping back moves its rows
+    at_first: np.ndarray  # the text position sampled at its first row
+    at_last: np.ndarray  # and at its last one
+    by_byte: np.ndarray  # number * runs + run, in order: the runs of each byte
 
     @staticmethod
     def build(data: np.ndarray, starts: np.ndarray, length: int) -> RunLengthIndex:
@@ -208,14 +220,14 @@ class RunLengthIndex:
         """
         n_pieces, sizes = len(starts) - 1, np.diff(starts)
         present = np.flatnonzero(np.bincount(data, minlength=256))
-        code = np.zeros(256, np.uint64)
+        code = np.zeros(256, np.uint8 if len(present) < 256 else np.uint16)
         code[present] = np.arange(1, len(present) + 1)
         n, width = len(data) + n_pieces, int(len(present)).bit_length()
         place_bits = int(n).bit_length()
-        text = np.zeros(n + 64, np.uint64)  # with an end behind every piece
-        text[spread(starts[:-1] + np.arange(n_pieces), sizes)] = code[data]
-        end = np.repeat(starts[1:] + np.arange(n_pieces), sizes + 1)
-        left = end - np.arange(n)  # bytes of the suffix
+        begin = starts[:-1] + np.arange(n_pieces)
+        text = np.zeros(n + max(64, length), code.dtype)
+        text[spread(begin, sizes)] = code[data]
+        left = np.repeat(starts[1:] + np.arange(n_pieces), sizes + 1) - np.arange(n)  # bytes of the suffix
         depth = min(8, (63 - place_bits) // width)
         key = np.zeros(n, np.uint64)
         for k in range(depth):
@@ -225,52 +237,86 @@ class RunLengthIndex:
         beyond = ((depth - left[short]) * width).astype(np.uint64)
         key[short] = key[short] >> beyond << beyond
         order, rank = _ranked(key, place_bits, depth * width)
-        prefix = None
-        while True:
-            if prefix is None and 2 * depth >= length:
-                prefix = rank * np.uint64(n + 1) + _behind(rank, left, length - depth)
-            if depth > left.max(initial=0) or int(rank.max(initial=0)) == n - 1:
-                if prefix is not None:
-                    break
+        while depth <= left.max(initial=0) and int(rank.max(initial=0)) < n - 1:
             order, rank = _ranked(rank * np.uint64(n + 1) + _behind(rank, left, depth), place_bits, 2 * place_bits)
             depth *= 2
         # Suffixes that are equal to their ends are in the order of their pieces.
-        by_prefix = prefix[order]
-        shared = np.cumsum(np.r_[0, by_prefix[1:] != by_prefix[:-1]])
         before = np.where(order > 0, text[order - 1], 0)
-        new = np.r_[True, before[1:] != before[:-1]]
-        first = np.flatnonzero(new)
-        sizes_of = np.diff(np.r_[first, n])
-        by_byte = np.argsort(before[first], kind="stable")
-        back = np.empty(len(first), np.int64)
-        back[by_byte] = np.cumsum(sizes_of[by_byte]) - sizes_of[by_byte]
-        last = first + sizes_of - 1
-        return RunLengthIndex(np.cumsum(new, dtype=np.int32) - np.int32(1), back - first, last, order[last], shared)
-
-    def stream(self, starts: np.ndarray, length: int) -> np.ndarray:
-        """For every window of every piece, in order, the group of its ``length`` bytes.
-
-        All pieces step back from their ends at once. Where a row is the end of a run, its
-        sampled position must be that of the step: this proves the walk.
+        new = np.zeros(-(-n // 64) * 64, bool)
+        new[0], new[1:n] = True, before[1:] != before[:-1]
+        first, bits = np.flatnonzero(new), np.packbits(new, bitorder="little").view("<u8")
+        ranks = np.r_[0, np.cumsum(np.bitwise_count(bits), dtype=np.int64)[:-1]]
+        byte, runs = before[first].astype(np.int64), len(first)
+        size_of = np.diff(np.r_[first, n])
+        by_byte = np.argsort(byte, kind="stable")
+        back = np.empty(runs, np.int64)
+        back[by_byte] = np.cumsum(size_of[by_byte]) - size_of[by_byte]
+        last = first + size_of - 1
+        return RunLengthIndex(text, begin, code, bits, ranks, byte, first, last, back - first, order[first], order[last], byte[by_byte] * runs + by_byte)
+
+    def run_of(self, row: np.ndarray) -> np.ndarray:
+        word = row >> 6
+        return self.ranks[word] + np.bitwise_count(self.starts[word] & UP_TO[row & 63]) - 1
+
+    def statistics(self, data: np.ndarray, at: np.ndarray, sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """For every byte of some texts in ``data``, one text after the other: how long a string of the indexed pieces begins
+        there, up to ``length``, and where the index has it.
+
+        All texts step back from their ends at once. If a byte goes on before the row that is matched, so does the match. Else
+        the nearest runs of that byte above and below have the sampled suffixes that agree longest with the matched one.
+        At the end of a run the sampled position must be that of the match: this proves the walk.
         """
-        n_pieces, sizes = len(starts) - 1, np.diff(starts)
-        windows = sizes - length + 1
-        out = np.empty(int(windows.sum()), np.int64)
-        slot = np.cumsum(windows) - windows
+        runs, many = len(self.first), len(at)
+        found = np.zeros(int(sizes.sum()), np.int16)
+        place = np.zeros(len(found), np.int64)
+        windows = np.lib.stride_tricks.sliding_window_view(self.text, length)
         by_size = np.argsort(-sizes, kind="stable")
-        row, position = by_size.copy(), (starts[1:] + np.arange(n_pieces))[by_size]
-        size, slot = sizes[by_size], slot[by_size]
-        run = self.run_of[row]
-        for step in range(1, int(sizes.max(initial=0)) + 1):
-            live = int(np.searchsorted(-size, -step, "right"))  # pieces of at least ``step`` bytes
-            row = row[:live] + self.step[run[:live]]
-            run = self.run_of[row]
-            if step >= length:
-                out[slot[:live] + size[:live] - step] = self.shared[row]
-                at_end = np.flatnonzero(self.run_end[run] == row)
-                if not np.array_equal(self.sample[run[at_end]], position[at_end] - step):
-                    raise ValueError("the run-length index has lost its place")
-        return out
+        size, source = sizes[by_size], (at + sizes)[by_size]
+        slot = np.cumsum(sizes)[by_size]
+        row, position, held = np.zeros(many, np.int64), np.full(many, self.at_first[0]), np.zeros(many, np.int64)
+
+        def agree(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            apart = windows[a] != windows[b]
+            return np.where(apart.any(axis=1), apart.argmax(axis=1), length)
+
+        for back in range(1, int(sizes.max(initial=0)) + 1):
+            live = int(np.searchsorted(-size, -back, "right"))  # texts of at least so many bytes
+            r, p, n = row[:live], position[:live], held[:live]
+            c = self.code[data[source[:live] - back]].astype(np.int64)
+            run = self.run_of(r)
+            ends = np.flatnonzero(self.last[run] == r)
+            if not np.array_equal(self.at_last[run[ends]], p[ends]):
+                raise ValueError("the run-length index has lost its place")
+            odd = np.flatnonzero(self.byte[run] != c)
+            absent = c == 0
+            if len(odd):
+                next_ = np.searchsorted(self.by_byte, c[odd] * runs + run[odd])
+                below = self.by_byte[np.minimum(next_, runs - 1)]
+                above = self.by_byte[np.maximum(next_ - 1, 0)]
+                has_below, has_above = (next_ < runs) & (below // runs == c[odd]), (next_ > 0) & (above // runs == c[odd])
+                below, above = below % runs, above % runs
+                long_below, long_above = np.where(has_below, 0, -1), np.where(has_above, 0, -1)
+                for ok, long, sample in ((has_below, long_below, self.at_first[below]), (has_above, long_above, self.at_last[above])):
+                    some = np.flatnonzero(ok & (n[odd] > 0))
+                    long[some] = agree(p[odd[some]], sample[some])
+                up = long_above >= long_below
+                to = np.where(up, above, below)
+                longest = np.maximum(long_above, long_below)
+                absent[odd] |= longest < 0
+                moved = ~absent[odd]
+                into, to = odd[moved], to[moved]
+                r[into] = np.where(up[moved], self.last[to], self.first[to])
+                p[into] = np.where(up[moved], self.at_last[to], self.at_first[to])
+                n[into] = np.minimum(n[into], longest[moved])
+                run[into] = to
+            here = ~absent
+            r[here] += self.step[run[here]]
+            p[here] -= 1
+            n[here] = np.minimum(n[here] + 1, length)
+            n[absent] = 0
+            out = slot[:live] - back
+            found[out], place[out] = n, p
+        return found, place
 
 
 def _behind(rank: np.ndarray, left: np.ndarray, by: int) -> np.ndarray:
@@ -295,15 +341,64 @@ def _ranked(key: np.ndarray, place_bits: int, key_bits: int) -> tuple[np.ndarray
     return order, rank
 
 
+def _by_sorting(data: np.ndarray, at: np.ndarray, windows: np.ndarray, owner: np.ndarray, length: int) -> np.ndarray:
+    """The least owner of every window of some pieces, by the windows themselves."""
+    rows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, length)[spread(at, windows)])
+    _, which = np.unique(rows.view(f"V{length}").ravel(), return_inverse=True)
+    least = np.full(int(which.max(initial=-1)) + 1, np.iinfo(np.int64).max)
+    np.minimum.at(least, which, np.repeat(owner, windows))
+    return least[which]
+
+
 def least_ids(data: np.ndarray, starts: np.ndarray, owner: np.ndarray, length: int = LENGTH) -> np.ndarray:
-    """The least id over all pieces that have it, for every window of the pieces."""
+    """The least id over all pieces that have it, for every window of the pieces.
+
+    Equal windows have one anchor. So of the pieces of an anchor the one of the least owner settles all its windows, wherever they occur. These
+    pieces are indexed, if their anchor has others, and the others stream through: a window with a match of
+    ``length`` belongs to the piece it is matched in. What is left of the others, stretches of windows that the first piece
+    hasn't got, goes through the same again; what is left after ``ROUNDS`` is sorted by itself.
+    """
     if not len(owner):
         return np.empty(0, np.int64)
-    group = RunLengthIndex.build(data, starts, length).stream(starts, length)
-    least = np.full(int(group.max(initial=0)) + 1, np.iinfo(np.int64).max)
-    windows = np.diff(starts) - length + 1
-    np.minimum.at(least, group, np.repeat(owner, windows))
-    return least[group]
+    at, windows = starts[:-1], np.diff(starts) - length + 1
+    slot, key = np.cumsum(windows) - windows, window_keys(data, length)[at]
+    least = np.full(int(windows.sum()), np.iinfo(np.int64).max)
+    for turn in range(ROUNDS + 1):
+        order = np.lexsort((-windows, owner, key))
+        new = np.r_[True, key[order][1:] != key[order][:-1]]
+        head, rest = order[new], order[~new]
+        least[spread(slot[head], windows[head])] = np.repeat(owner[head], windows[head])
+        if not len(rest):
+            break
+        if turn == ROUNDS:
+            # All pieces of an anchor together, some anchors at a time.
+            group = np.cumsum(new)
+            some = np.flatnonzero(np.isin(group, group[~new]))
+            for part in np.split(some, np.flatnonzero(np.diff(group[some] // PIECES_AT_ONCE)) + 1):
+                more = order[part]
+                least[spread(slot[more], windows[more])] = _by_sorting(data, at[more], windows[more], owner[more], length)
+            break
+        shared = head[np.bincount(np.cumsum(new) - 1) > 1]
+        size = windows[shared] + length - 1
+        index = RunLengthIndex.build(data[spread(at[shared], size)], np.r_[0, np.cumsum(size)], length)
+        size = windows[rest] + length - 1
+        found, place = index.statistics(data, at[rest], size, length)
+        of_windows = spread(np.cumsum(size) - size, windows[rest])
+        hit, where = found[of_windows] >= length, place[of_windows]
+        piece = np.searchsorted(index.begin, where[hit], "right") - 1
+        least[spread(slot[rest], windows[rest])[hit]] = owner[shared[piece]]
+        # Stretches of windows without a match go on.
+        first = np.cumsum(windows[rest]) - windows[rest]
+        opens, closes = ~hit & ~np.r_[False, ~hit[:-1]], ~hit & ~np.r_[~hit[1:], False]
+        opens[first] = ~hit[first]
+        closes[first + windows[rest] - 1] = ~hit[first + windows[rest] - 1]
+        run, end = np.flatnonzero(opens), np.flatnonzero(closes)
+        if not len(run):
+            break
+        of = np.searchsorted(first, run, "right") - 1
+        far = run - first[of]
+        at, slot, windows, owner, key = at[rest][of] + far, slot[rest][of] + far, end - run + 1, owner[rest][of], key[rest][of]
+    return least
 
 
 def _answer(table: pa.Table, length: int) -> pa.Table:
@@ -360,6 +455,15 @@ def _mark(table: pa.Table, hot: int) -> pa.Table:
     return out.filter(some)
 
 
+def block_bytes(buckets: int) -> int:
+    """The size of a block: large enough that it has some ``PARCEL_KEYS`` anchors for every bucket, as far as ``MOST_BLOCK_BYTES`` go.
+
+    So the rows between blocks and buckets grow with the text, and not with its square, up to some 180 GB. Beyond, they have
+    fewer and fewer anchors each; they are never more than the anchors.
+    """
+    return max(BLOCK_BYTES, min(MOST_BLOCK_BYTES, PARCEL_KEYS * ANCHOR_BYTES * buckets))
+
+
 def _cut(docs: DataFrame, length: int, hot: int, id_col: str, text_col: str, keep_text: bool) -> DataFrame:
     """``_cut_once``, where rows that agree in id and text and together exceed a block are cut once and their copies follow."""
     key = spare_name(docs, "_copy")
@@ -386,7 +490,8 @@ def _cut(docs: DataFrame, length: int, hot: int, id_col: str, text_col: str, kee
 def _cut_once(docs: DataFrame, length: int, hot: int, id_col: str, text_col: str, keep_text: bool, carried: list[str]) -> DataFrame:
     block = spare_name(docs, "_block")
     size = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
-    n, buckets = max(1, -(-size // BLOCK_BYTES)), max(1, -(-size // BUCKET_BYTES))
+    buckets = max(1, -(-size // BUCKET_BYTES))
+    n = max(1, -(-size // block_bytes(buckets)))
     # The text takes part, so that rows with one id don't all meet in one block.
     dealt = docs.withColumn(block, F.pmod(F.xxhash64(id_col, text_col), F.lit(n)).cast("int"))
     columns = [f for f in docs.schema.fields if f.name.lower() not in RESULTS and (keep_text or f.name in (id_col, *carried))]

@@ -111,20 +111,73 @@ def test_pieces_hold_every_window_once():
     assert all(starts[t] <= a and a + w + 49 <= starts[t + 1] for a, w, t in zip(at, windows, text))
 
 
-@pytest.mark.parametrize("length", [32, 50, 56])
-def test_index_groups_equal_windows(length):
-    rng = random.Random(length)
-    base = ["".join(rng.choice("ab\0\xff") for _ in range(90)).encode("latin-1") for _ in range(4)]
-    parts = [rng.choice(base)[rng.randint(0, 20):][:rng.randint(length, 90)] for _ in range(50)] + [b"a" * 90, b"a" * length]
-    parts = [p for p in parts if len(p) >= length]
-    starts = np.r_[0, np.cumsum([len(p) for p in parts])]
-    data = np.frombuffer(b"".join(parts), np.uint8)
-    index = RunLengthIndex.build(data, starts, length)
-    group = index.stream(starts, length)
-    strings = [p[i:i + length] for p in parts for i in range(len(p) - length + 1)]
-    pairs = set(zip(group.tolist(), strings))
-    assert len(group) == len(strings) and len(pairs) == len(set(strings)) == len(set(group.tolist()))
-    assert len(index.run_end) < len(data) + len(parts)
+def longest(text, pieces, most):
+    """How much of the beginning of a text some piece has."""
+    n = 0
+    while n < min(most, len(text)) and any(text[:n + 1] in piece for piece in pieces):
+        n += 1
+    return n
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_matching_statistics(seed):
+    """Against the longest match by trial, at every byte; the place found has it."""
+    rng = random.Random(seed)
+    letters = ["ab", "ab\0\xff", "abcdefgh", "".join(map(chr, range(256)))][seed % 4]
+    length = [8, 20, 50][seed % 3]
+    base = ["".join(rng.choice(letters) for _ in range(90)).encode("latin-1") for _ in range(3)]
+    draw = lambda: rng.choice(base)[rng.randint(0, 30):][:rng.randint(1, 80)] + bytes([rng.choice(letters.encode("latin-1"))]) * rng.randint(0, 3)
+    pieces = [draw() for _ in range(25)] + [b"a" * 60, b"a"]
+    texts = [draw() + draw() for _ in range(30)] + [b"", b"a" * 100, b"~~~", b"\x80"] + pieces[:3]
+    starts = np.r_[0, np.cumsum([len(p) for p in pieces])]
+    index = RunLengthIndex.build(np.frombuffer(b"".join(pieces), np.uint8), starts, length)
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    sizes = np.array([len(t) for t in texts])
+    found, place = index.statistics(data, np.cumsum(sizes) - sizes, sizes, length)
+    want = [longest(t[i:], pieces, length) for t in texts for i in range(len(t))]
+    assert found.tolist() == want
+    bytes_of = np.zeros(257, int)
+    bytes_of[index.code] = np.arange(256)
+    for (t, i), n, at in zip(((t, i) for t in texts for i in range(len(t))), found, place):
+        assert bytes(bytes_of[index.text[at:at + n]].astype(np.uint8)) == t[i:i + n]
+    assert len(index.first) == len(index.at_first) == len(index.by_byte) <= len(index.text)
+
+
+@pytest.mark.parametrize("rounds", [0, 1, 8])
+@pytest.mark.parametrize("length", [32, 50])
+def test_least_ids(monkeypatch, rounds, length):
+    """Pieces of few anchors in many variants, so that several rounds are needed."""
+    monkeypatch.setattr(run_length_index, "ROUNDS", rounds)
+    monkeypatch.setattr(run_length_index, "PIECES_AT_ONCE", 40)
+    rng = random.Random(length + rounds)
+    data = bytearray()
+    for _ in range(4):
+        core = "".join(rng.choice("abcdef") for _ in range(40))
+        for _ in range(60):
+            left, right = ("".join(rng.choice("xy") for _ in range(rng.randint(0, 30))) for _ in range(2))
+            data += (left + core + right).encode() + b"." * rng.randint(0, 20) + "".join(rng.choice("pqrs") for _ in range(30)).encode()
+    data = np.frombuffer(bytes(data), np.uint8)
+    key, at, windows, _ = pieces_of(data, np.r_[0, len(data)], length)
+    text = data[run_length_index.spread(at, windows + length - 1)]
+    starts = np.r_[0, np.cumsum(windows + length - 1)]
+    owner = np.array([rng.randint(0, 50) for _ in at])
+    strings = [text[a + i:a + i + length].tobytes() for a, w in zip(starts, windows) for i in range(w)]
+    least = {}
+    for string, o in zip(strings, np.repeat(owner, windows).tolist()):
+        least[string] = min(o, least.get(string, o))
+    assert len(least) < len(strings)
+    assert run_length_index.least_ids(text, starts, owner, length).tolist() == [least[x] for x in strings]
+
+
+def test_rows_between_blocks_and_buckets_grow_with_the_text():
+    """Eight times the text has eight times the rows, not sixty-four times."""
+    def rows(size):
+        buckets = -(-size // run_length_index.BUCKET_BYTES)
+        return buckets * -(-size // run_length_index.block_bytes(buckets))
+
+    assert run_length_index.block_bytes(1) == run_length_index.BLOCK_BYTES
+    assert 7.5 < rows(160 << 30) / rows(20 << 30) < 8.5
+    assert run_length_index.block_bytes(10 ** 9) == run_length_index.MOST_BLOCK_BYTES
 
 
 def test_query(spark, sf_dir):
