@@ -3,6 +3,7 @@ import hashlib
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.errors import PySparkException
 from tokenizers import Tokenizer
 
 from tabflow.llm.piece_agenda import PieceModel, encode_decode
@@ -98,3 +99,18 @@ def test_piece_query(spark, sf_dir, piece_library):
         ids = piece_library.encode(texts[r.doc_id], add_eos=True)
         assert (r.n_tokens, r.ids_sha256) == (len(ids), sha(" ".join(map(str, ids))))
         assert r.decoded_sha256 == sha(piece_library.decode(ids))
+
+
+def test_a_wrong_cut_into_words_is_found(spark, monkeypatch):
+    """Whole texts are held against the library too, so words that are right one by one don't hide a wrong cut."""
+    begin = PieceModel.__init__
+
+    def wrong(self, data):
+        begin(self, data)
+        self.pattern = "(?s:.)"
+
+    monkeypatch.setattr(PieceModel, "__init__", wrong)
+    df = spark.createDataFrame([(1, "several words in a text")], "doc_id long, text string")
+    with pytest.raises(PySparkException, match="differs from the library"):
+        encode_decode(df, vocabulary(PIECE_VOCABULARY)).collect()
+    assert encode_decode(df, vocabulary(PIECE_VOCABULARY), check=False).count() == 1
