@@ -11,6 +11,7 @@ codebook holds, the others, and all words then, are spelled out beside the numbe
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -263,7 +264,7 @@ def phrase_counts(docs: DataFrame, least: int = 30, text_col: str = "text", lang
     with pa.ipc.new_stream(sink, book.schema) as out:
         out.write_table(book)
     blob = docs.sparkSession.sparkContext.broadcast(sink.getvalue().to_pybytes())
-    name = f"{docs.sparkSession.sparkContext.applicationId}-{id(blob)}-{book.num_rows}"
+    name = uuid.uuid4().hex
     spark = docs.sparkSession
     path = fresh_path(spark, "window-sums")
     _sums(_windows(source, blob, name, complete), least).write.parquet(path)
