@@ -48,12 +48,12 @@ class Target:
     def create(self, spark: SparkSession, schemas: dict[str, T.StructType]) -> None:
         """The stores and views of some tables, where they are missing."""
         known = {r["viewName"].lower() for r in spark.sql(f"SHOW VIEWS LIKE {literal(self.prefix + '*')}").collect()}
-        for name, schema in schemas.items():
-            if self.table(name).lower() in known:
-                continue
-            store = self.store(schema)
+        missing = {name: schema for name, schema in schemas.items() if self.table(name).lower() not in known}
+        for store, schema in {self.store(schema): schema for schema in missing.values()}.items():
             create_loads(spark, store, schema, self.path(store), ROUTE)
             create_days(spark, store, schema, self.path(store), ROUTE)
+        for name, schema in missing.items():
+            store = self.store(schema)
             columns, own = ", ".join(f"s.{quoted(c)}" for c in schema.names), f"s.{quoted(ROUTE)} = {literal(name)}"
             spark.sql(f"CREATE VIEW IF NOT EXISTS {self.table(name)} AS SELECT {columns} FROM {store} s LEFT ANTI JOIN {days_table(store)} d "
                       f"ON d.{FOLDED} = s.{LOAD_ID} AND d.{LOAD_DAY} = s.{LOAD_DAY} WHERE {own} "
