@@ -27,8 +27,8 @@ CODE_BITS = 21
 PAD, SPELLED = 0, (1 << CODE_BITS) - 1
 SAID = ["spelled", "last_spelled"]
 MOST_CODES = 1_000_000  # words in the codebook, which is broadcast: some 20 MB
-BATCH_BYTES = 8 << 20
-FLUSH = 1 << 22  # windows that are counted together before they leave a task
+BATCH_BYTES = 4 << 20
+FLUSH = 1 << 21  # windows that are counted together before they leave a task
 SPREAD = 8  # tasks that share the windows of a pair of words
 BLOCK_ROWS = 100_000  # candidates ranked in one task
 
@@ -147,7 +147,7 @@ def _windows(source: DataFrame, blob, name: str, complete: bool) -> DataFrame:
                     yield spell(words, pairs, which, np.flatnonzero(odd), columns)
                 begins &= ~odd
             a, b, c, d = (column[begins] for column in columns)
-            parts.append(((a << 2 * CODE_BITS) | (b << CODE_BITS) | c, d))
+            parts.append(((a << 2 * CODE_BITS) | (b << CODE_BITS) | c, d.astype(np.int32)))
             held += len(a)
             if held >= FLUSH:
                 yield counted(parts)
