@@ -38,6 +38,8 @@ def build_session(master: str | None = None, app: str = "tabflow", **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        # Checkpoints go when nothing refers to them any more; by default they stay for ever.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.scheduler.mode": "FAIR",
         "spark.ui.enabled": "false",
     }

@@ -120,12 +120,14 @@ def fold_days(spark: SparkSession, table: str, before: date, path: str | None =
             both = part.unionByName(ids, allowMissingColumns=True).select(*schema.names, FOLDED, *within)
             spark.sql(f"INSERT OVERWRITE TABLE {days_table(table)} PARTITION ({LOAD_DAY} = '{day}', {FOLD} = '{uuid.uuid4().hex}'"
                       f"{''.join(', ' + quoted(c) for c in within)}) BY NAME SELECT * FROM {{rows}}", rows=both)
-    for day, load_id in loads:
-        # A statement drops a partition by all its columns.
-        parts = [r[0].split("/") for r in spark.sql(f"SHOW PARTITIONS {table} PARTITION ({LOAD_DAY} = '{day}', {LOAD_ID} = '{load_id}')").collect()]
-        specs = [", ".join(f"{quoted(c)} = {literal(unquote(v))}" for c, v in (p.split("=", 1) for p in part)) for part in parts]
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(f"PARTITION ({spec})" for spec in specs))
-        if path:
-            remove_path(spark, f"{path}/{LOAD_DAY}={day}/{LOAD_ID}={load_id}")
+    # A partition is dropped by all its columns, some at a time.
+    known = set(loads)
+    listed = [r[0].split("/") for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    gone = [[p.split("=", 1) for p in parts] for parts in listed if tuple(p.split("=", 1)[1] for p in parts[:2]) in known]
+    specs = ["PARTITION (" + ", ".join(f"{quoted(c)} = {literal(unquote(v))}" for c, v in parts) + ")" for parts in gone]
+    for lo in range(0, len(specs), 100):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(specs[lo:lo + 100]))
+    for day, load_id in loads if path else ():
+        remove_path(spark, f"{path}/{LOAD_DAY}={day}/{LOAD_ID}={load_id}")
     spark.catalog.refreshTable(table)
     return days

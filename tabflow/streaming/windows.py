@@ -11,7 +11,7 @@ are counted beside the windows and not lost. The open windows are the state, one
 from __future__ import annotations
 
 from collections.abc import Iterator
-from datetime import date, datetime, timezone
+from datetime import date
 
 import pandas as pd
 import pyarrow as pa
@@ -25,6 +25,7 @@ from ..sinks.loads import create_loads, fold_days, read_loads
 from .ingest import Load, parse_accounts, run_batches
 
 WINDOW_SCHEMA = schema_from_text("window_start:TIMESTAMP, country_name:STRING, num_cc_card:INT64")
+SPAN = 60  # windows whose counts are one value of the state
 LATE = "late"  # partition column of a table of final windows: "true" for counts of late rows
 
 
@@ -63,41 +64,69 @@ def fold_windows(spark: SparkSession, table: str, before: date, path: str | None
 def _partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts per window and key of some rows, so that a hot window isn't shuffled row by row."""
     for batch in batches:
-        counts = pa.Table.from_batches([batch]).group_by(["start", "key"]).aggregate([([], "count_all")])
-        yield from counts.rename_columns(["start", "key", "n"]).to_batches()
+        counts = pa.Table.from_batches([batch]).group_by(["span", "key", "start"]).aggregate([([], "count_all")])
+        yield from counts.rename_columns(["span", "key", "start", "n"]).to_batches()
 
 
 class WindowCounter(StatefulProcessor):
-    """One window and key: a count until the watermark reaches the window's end; then the window, and what comes after it."""
+    """The windows of one key and span of time: counts until the watermark reaches a window's end; then the window, and what comes after it.
+
+    Windows are kept by spans, as each look at the state is a call out of the Python worker.
+    """
 
     OUTPUT = "window_start timestamp, country_name string, num_cc_card bigint, late string"
 
     def __init__(self, width: int) -> None:
-        self.width = width
+        self.width = width * 1_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.count = handle.getValueState("count", "n bigint")
-
-    def _row(self, key: tuple, n: int, late: bool) -> pd.DataFrame:
-        start = datetime.fromtimestamp(key[0] // 1_000_000, timezone.utc).replace(tzinfo=None)
-        return pd.DataFrame({"window_start": [start], "country_name": [key[1]], "num_cc_card": [n], "late": [str(late).lower()]})
+        self.open = handle.getValueState("open", "starts array<bigint>, counts array<bigint>, timer bigint")
+
+    def _end(self, start: int) -> int:
+        return (start + self.width) // 1000
+
+    def _told(self, key: tuple, counts: dict[int, int], late: bool) -> Iterator[pd.DataFrame]:
+        if counts:
+            starts = pd.to_datetime(pd.Series(list(counts), dtype="int64"), unit="us")
+            yield pd.DataFrame({"window_start": starts, "country_name": key[1], "num_cc_card": list(counts.values()), "late": str(late).lower()})
+
+    def _keep(self, counts: dict[int, int], timer: int) -> None:
+        """Store the open windows, with a timer at the first end."""
+        if not counts:
+            self.open.clear()
+            return
+        first = min(map(self._end, counts))
+        if first != timer:
+            if timer:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(first)
+        self.open.update((list(counts), list(counts.values()), first))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802,N803
-        n = int(sum(part["n"].sum() for part in rows))
-        end = key[0] // 1000 + self.width * 1000
-        if self.count.exists():
-            # A timer that is due fires after the rows of its batch.
-            self.count.update((int(self.count.get()[0]) + n,))
-        elif end <= timerValues.getCurrentWatermarkInMs():
-            yield self._row(key, n, True)
-        else:
-            self.count.update((n,))
-            self.handle.registerTimer(end)
+        new: dict[int, int] = {}
+        for part in rows:
+            for start, n in zip(part["start"].tolist(), part["n"].tolist()):
+                new[start] = new.get(start, 0) + n
+        held = self.open.get() if self.open.exists() else ([], [], 0)
+        counts, passed = dict(zip(held[0], held[1])), timerValues.getCurrentWatermarkInMs()
+        # A window whose timer is due takes the rows of its batch; one that is closed, or was never open, doesn't.
+        late = {start: n for start, n in new.items() if start not in counts and self._end(start) <= passed}
+        for start, n in new.items():
+            if start not in late:
+                counts[start] = counts.get(start, 0) + n
+        if len(late) < len(new):
+            self._keep(counts, held[2])
+        yield from self._told(key, late, True)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802,N803
-        yield self._row(key, int(self.count.get()[0]), False)
-        self.count.clear()
+        if not self.open.exists():
+            return
+        held = self.open.get()
+        counts, passed = dict(zip(held[0], held[1])), max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        closed = {start: n for start, n in counts.items() if self._end(start) <= passed}
+        self._keep({start: n for start, n in counts.items() if start not in closed}, 0)
+        yield from self._told(key, closed, False)
 
     def close(self) -> None:
         pass
@@ -113,11 +142,12 @@ def final_windows_stream(
     but those of windows still open. Needs the RocksDB state store (``session.RUNTIME_SETTINGS``).
     """
     micros = F.unix_micros(ts)
-    # The start is a number, so that Spark doesn't drop late rows before they are counted.
+    # Times are numbers, so that Spark doesn't drop late rows before they are counted.
+    down_to = lambda seconds: micros - F.pmod(micros, F.lit(seconds * 1_000_000))
     timed = rows.withWatermark(ts, delay).where(F.col(ts).isNotNull()).select(
-        (micros - F.pmod(micros, F.lit(width * 1_000_000))).alias("start"), F.col(key).cast("string").alias("key"))
-    partial = timed.mapInArrow(_partial_counts, "start bigint, key string, n bigint")
-    counted = partial.groupBy("start", "key").transformWithStateInPandas(
+        down_to(width * SPAN).alias("span"), F.col(key).cast("string").alias("key"), down_to(width).alias("start"))
+    partial = timed.mapInArrow(_partial_counts, "span bigint, key string, start bigint, n bigint")
+    counted = partial.groupBy("span", "key").transformWithStateInPandas(
         statefulProcessor=WindowCounter(width), outputStructType=WindowCounter.OUTPUT, outputMode="Append", timeMode="EventTime")
 
     def write(batch: DataFrame, load: Load) -> None:
