@@ -125,9 +125,10 @@ def fold_days(spark: SparkSession, table: str, before: date, path: str | None =
     listed = [r[0].split("/") for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
     gone = [[p.split("=", 1) for p in parts] for parts in listed if tuple(p.split("=", 1)[1] for p in parts[:2]) in known]
     specs = ["PARTITION (" + ", ".join(f"{quoted(c)} = {literal(unquote(v))}" for c, v in parts) + ")" for parts in gone]
-    for lo in range(0, len(specs), 100):
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(specs[lo:lo + 100]))
+    # Files first: what is interrupted here is still listed, and the next run goes on.
     for day, load_id in loads if path else ():
         remove_path(spark, f"{path}/{LOAD_DAY}={day}/{LOAD_ID}={load_id}")
+    for lo in range(0, len(specs), 100):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(specs[lo:lo + 100]))
     spark.catalog.refreshTable(table)
     return days
