@@ -36,14 +36,15 @@ _END = "end of row"
 
 
 def _numbers(value: str) -> str:
-    """The numbers of a JSON text as they were written, if one of them may not have come through; else NULL."""
-    return f"CASE WHEN {quoted(value)} RLIKE {literal(_LONG_NUMBER)} THEN regexp_extract_all({quoted(value)}, {literal(_NUMBER)}, 0) END AS {_NUMBERS}"
+    """The numbers of a JSON text, as they were written, that a double doesn't hold; NULL where every number has come through."""
+    written = f"regexp_extract_all({quoted(value)}, {literal(_NUMBER)}, 0)"
+    return f"CASE WHEN {quoted(value)} RLIKE {literal(_LONG_NUMBER)} THEN filter({written}, t -> NOT {real_keeps('t')}) END AS {_NUMBERS}"
 
 
 def _changed(raw: str) -> str:
-    """True where a text has come from one of ``_numbers`` that a double doesn't hold."""
+    """True where a text has come from one of ``_numbers``."""
     alike = f"try_cast(t AS DOUBLE) = try_cast({raw} AS DOUBLE) OR {raw} IN ('\"Infinity\"', '\"-Infinity\"') OR {raw} RLIKE {literal(_NESTED)}"
-    return f"({_NUMBERS} IS NOT NULL AND exists({_NUMBERS}, t -> t <> {raw} AND NOT {real_keeps('t')} AND ({alike})))"
+    return f"({_NUMBERS} IS NOT NULL AND exists({_NUMBERS}, t -> t <> {raw} AND ({alike})))"
 
 
 def _tag(df: DataFrame, raw: dict[str, str], schema: T.StructType, reason: str,
