@@ -582,7 +582,7 @@ def window_count_stream(spark, sf_dir):
 
 @query("window_count_final")
 def window_count_final(spark, sf_dir):
-    """Events in no order, over five micro-batches and two restarts: windows that are emitted once, and what came late for them."""
+    """Events in no order, over five micro-batches or, of a large table, more, and two restarts: windows that are emitted once, and what came late for them."""
     table, path = _fresh_table(spark, "final_windows")
     schema = rel.table(spark, sf_dir, "events").schema
     for part in rel.halves_of_events(spark, sf_dir):

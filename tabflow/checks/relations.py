@@ -27,7 +27,8 @@ from ..session import fresh_path
 from ..sinks.files import publish_messages, write_lines, write_ndjson
 
 BUCKETS = 16
-FILES = 4
+FILES = 4  # of a table that is cut into files, at least
+FILE_ROWS = 2_000_000  # a larger table gets more files: about so many rows each
 PAGE_ROWS = 200  # a day of the test tables is a few thousand rows
 JOB_PREFIX = "report"
 ACCOUNT_COLUMNS = [
@@ -67,6 +68,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def in_parts(rows: DataFrame, least: int = FILES) -> DataFrame:
+    """The rows in no order, in ``least`` partitions or, if they are many, one for every ``FILE_ROWS``: what one task gets doesn't grow with the table."""
+    return rows.repartition(max(least, -(-rows.count() // FILE_ROWS)))
+
+
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Card accounts, one per customer; values as they appear in a message (all text)."""
     key = F.col("c_custkey")
@@ -146,7 +152,7 @@ def account_messages(spark: SparkSession, sf_dir: str) -> str:
     """A folder of account messages, one JSON object per line, in files of no order."""
     def make() -> str:
         path = fresh_path(spark, "account-messages")
-        publish_messages(accounts(spark, sf_dir).repartition(FILES), path, fmt="text")
+        publish_messages(in_parts(accounts(spark, sf_dir)), path, fmt="text")
         return path
 
     return once(spark, sf_dir, "account messages", make)
@@ -161,7 +167,7 @@ def damaged_messages(spark: SparkSession, sf_dir: str) -> str:
         lines = rows.select(line, F.expr("int(substring(phone_number, 5)) % 5 = 0").alias("fifth"))
         damaged = F.concat(F.lit('{"note":"'), F.lit(bytearray(b"\xff")).cast("string"), F.lit('",'), F.expr("substring(line, 2)"))
         value = F.when(F.col("fifth"), damaged).otherwise(F.col("line"))
-        write_lines(lines.repartition(FILES), value, path)
+        write_lines(in_parts(lines), value, path)
         return path
 
     return once(spark, sf_dir, "damaged messages", make)
@@ -171,7 +177,7 @@ def in_files(spark: SparkSession, sf_dir: str, name: str) -> str:
     """A given table in several files whose rows are in no order."""
     def make() -> str:
         path = fresh_path(spark, f"{name}-files")
-        table(spark, sf_dir, name).repartition(FILES).write.parquet(path)
+        in_parts(table(spark, sf_dir, name)).write.parquet(path)
         return path
 
     return once(spark, sf_dir, f"{name} in files", make)
@@ -182,7 +188,7 @@ def halves_of_events(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     events = table(spark, sf_dir, "events")
     odd = F.xxhash64("event_id") % 2 != 0
     last = events.limit(1).withColumn("ts", F.lit("2100-01-01 00:00:00").cast("timestamp_ntz"))
-    return [events.where(~odd).repartition(FILES // 2), events.where(odd).repartition(FILES // 2), last]
+    return [in_parts(events.where(~odd), FILES // 2), in_parts(events.where(odd), FILES // 2), last]
 
 
 def bucketed_table(spark: SparkSession, sf_dir: str) -> str:
@@ -199,7 +205,7 @@ def bucketed_table(spark: SparkSession, sf_dir: str) -> str:
 def event_messages(spark: SparkSession, sf_dir: str) -> str:
     def make() -> str:
         path = fresh_path(spark, "event-messages")
-        publish_messages(table(spark, sf_dir, "events").repartition(FILES), path, fmt="text")
+        publish_messages(in_parts(table(spark, sf_dir, "events")), path, fmt="text")
         return path
 
     return once(spark, sf_dir, "event messages", make)
