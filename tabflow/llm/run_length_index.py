@@ -1,8 +1,9 @@
 """Removal of byte strings that an earlier document also has, by run-length indexes.
 
 A string of 50 bytes is looked for where its anchor leads: the least hash of its
-16-byte strings, which equal strings share. Windows (strings of 50 bytes) that follow one another
-with one anchor form a piece of some 67 bytes. Texts are dealt to blocks, anchors to buckets:
+24-byte strings, which equal strings share. Other strings seldom do: the more text there is, the more strings of 16 bytes
+occur in several documents by chance, and all their pieces would be indexed for nothing. Windows (strings of 50 bytes) that
+follow one another with one anchor form a piece of some 63 bytes. Texts are dealt to blocks, anchors to buckets:
 
 1. every block tells every bucket its anchors; buckets answer which lie in several documents;
 2. blocks send the distinct pieces of those, with the least id that has each;
@@ -32,11 +33,12 @@ from pyspark.sql.types import StructType
 from tabflow.llm.common import checkpointed, mixed, row_key, spare_name, span_hashes, utf8
 
 LENGTH = 50
-GRAM = 16
+GRAM = 24  # three words of 8 bytes
 BLOCK_BYTES = 2 << 20
 MOST_BLOCK_BYTES = 48 << 20
-PARCEL_KEYS = 64  # anchors that a block tells a bucket at once
-ANCHOR_BYTES = 18  # of text to an anchor
+PARCEL_KEYS = 82  # anchors that a block tells a bucket at once
+ANCHOR_BYTES = 14  # of text to an anchor
+KEY_BYTES = 5  # of an anchor that a bucket is told; anchors that agree in them are marked alike
 BUCKET_BYTES = 4 << 20  # of text to a bucket
 HOT_PIECES = 200_000  # anchors with more are dealt window by window
 PIECE_WINDOWS = 40
@@ -50,7 +52,7 @@ NO_ID = np.iinfo(np.int64).min  # a null id comes before all others
 
 
 def window_keys(data: np.ndarray, length: int = LENGTH) -> np.ndarray:
-    """The least hash of the 16-byte strings in every string of ``length`` bytes."""
+    """The least hash of the 24-byte strings in every string of ``length`` bytes."""
     n, span = len(data) - length + 1, length - GRAM + 1
     if n <= 0:
         return np.empty(0, np.uint64)
@@ -60,9 +62,10 @@ def window_keys(data: np.ndarray, length: int = LENGTH) -> np.ndarray:
     for lo in range(0, n, CHUNK):
         hi = min(n, lo + CHUNK)
         grams = hi - lo + span - 1
-        near = words[lo:lo + grams + 8].copy()
+        near = words[lo:lo + grams + GRAM - 8].copy()
         h = near[:grams] * np.uint64(0x9E3779B97F4A7C15)
         h += near[8:8 + grams] * np.uint64(0xC2B2AE3D27D4EB4F)
+        h += near[16:16 + grams] * np.uint64(0xA0761D6478BD642F)
         h ^= h >> np.uint64(32)
         h *= np.uint64(0xD6E8FEB86659FD93)
         h ^= h >> np.uint64(29)
@@ -125,7 +128,7 @@ class Block:
         return (mixed(hashes ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(self.buckets)).astype(np.int32)
 
     def anchors(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(bucket, its keys in order, 0 if one id has a key, else 1, plus twice its pieces up to 32,767)."""
+        """(bucket, the low bytes of its keys in order, 0 if one id has a key, else 1, plus twice its pieces up to 32,767)."""
         least = np.full(len(self.keys), np.iinfo(np.int64).max)
         most = np.full(len(self.keys), NO_ID)
         np.minimum.at(least, self.of, self.ids[self.text])
@@ -133,7 +136,7 @@ class Block:
         number = np.minimum(np.bincount(self.of, minlength=len(self.keys)), 32_767)
         told = ((least != most) | (number << 1)).astype(np.uint16)
         for bucket, where in self._segments():
-            yield bucket, self.keys[where], told[where]
+            yield bucket, self.keys[where].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES], told[where]
 
     def _segments(self) -> Iterator[tuple[int, np.ndarray]]:
         first = np.flatnonzero(np.r_[True, self.bucket[1:] != self.bucket[:-1]]) if len(self.bucket) else []
@@ -439,8 +442,11 @@ def _answer(table: pa.Table, length: int) -> pa.Table:
 
 def _mark(table: pa.Table, hot: int) -> pa.Table:
     """A bucket's codes for the anchors the blocks have told it: 0 in one document only, 1 shared, 2 shared by very many pieces."""
-    keys = [np.frombuffer(x.as_py(), np.uint64) for x in table["keys"]]
-    key, told = np.concatenate(keys), np.frombuffer(b"".join(x.as_py() for x in table["told"]), np.uint16)
+    keys = [x.as_py() for x in table["keys"]]
+    low = np.frombuffer(b"".join(keys), np.uint8).reshape(-1, KEY_BYTES)
+    key, told = np.zeros((len(low), 8), np.uint8), np.frombuffer(b"".join(x.as_py() for x in table["told"]), np.uint16)
+    key[:, :KEY_BYTES] = low
+    key = key.view("<u8").ravel()
     order = np.argsort(key, kind="stable")
     first = np.flatnonzero(np.r_[True, key[order][1:] != key[order][:-1]])
     size = np.diff(np.r_[first, len(key)])
@@ -448,7 +454,7 @@ def _mark(table: pa.Table, hot: int) -> pa.Table:
     several = (size > 1) | (np.maximum.reduceat(told[order] & 1, first) > 0)
     code = np.empty(len(key), np.uint8)
     code[order] = np.repeat(np.where(several, np.where(pieces > hot, 2, 1), 0).astype(np.uint8), size)
-    ends = np.cumsum([len(k) for k in keys]).tolist()
+    ends = np.cumsum([len(k) // KEY_BYTES for k in keys]).tolist()
     codes = [code[lo:hi] for lo, hi in zip([0, *ends], ends)]
     some = pa.array([bool(c.any()) for c in codes])
     out = pa.table({"block": table["block"], "bucket": table["bucket"], "codes": pa.array([c.tobytes() for c in codes], pa.binary())})

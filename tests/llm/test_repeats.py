@@ -1,7 +1,9 @@
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tabflow.llm import run_length_index
@@ -98,6 +100,36 @@ def test_a_very_long_text(spark):
     assert got[1].n_removed == 0 and got[2].n_removed == 39_000 and got[2].n_spans == 1 and got[4].n_removed == 500 and got[3].n_bytes == 5
 
 
+def test_texts_alike_by_chance_are_not_sent():
+    """Documents of common words share many strings of 16 bytes, and hardly one of 50: their pieces stay in their blocks."""
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcdefgh", k=10)) for _ in range(200)]
+    texts = [" ".join(rng.choices(words, k=300)) for _ in range(150)]
+    strings = [{t[at:at + 16] for at in range(len(t) - 15)} for t in texts]
+    seen = Counter(s for some in strings for s in some)
+    assert sum(n for n in seen.values() if n > 1) > 0.4 * sum(seen.values())
+    repeated = " ".join(rng.choices(words, k=40))
+    texts[100] += repeated
+    texts[20] = repeated + texts[20]
+    halves = [pa.table({"doc_id": range(lo, lo + 75), "text": texts[lo:lo + 75]}) for lo in (0, 75)]
+    blocks = [run_length_index.Block(half, "doc_id", "text", 1, LENGTH) for half in halves]
+    told = [(i, b, k.tobytes(), n.tobytes()) for i, block in enumerate(blocks) for b, k, n in block.anchors()]
+    marked = run_length_index._mark(pa.table(dict(zip(("block", "bucket", "keys", "told"), map(list, zip(*told))))), 200_000)
+    for block, codes in zip(blocks, marked["codes"].to_pylist()):
+        block.shared({0: codes})
+        assert 0 < len(block.place) < 0.1 * len(block.at)
+        assert block.size.sum() >= len(repeated) - LENGTH + 1
+
+
+def test_anchors_that_agree_in_what_is_told(spark, monkeypatch):
+    """One byte of an anchor is told, so that most share it with others: more is sent, and the result is the same."""
+    monkeypatch.setattr(run_length_index, "KEY_BYTES", 1)
+    rows = made_up(8, 60)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for hot in (200_000, 30):
+        assert found(repeated_bytes(df, hot=hot)) == sorted(plain_removal(rows))
+
+
 def test_pieces_hold_every_window_once():
     rng = np.random.default_rng(0)
     sizes = [0, 49, 50, 51, 0, 400, 90]
